@@ -67,7 +67,12 @@ class QualityReport:
     issues: DataFrame
     metrics: DataFrame
     summary: DataFrame
-    issue_rows: DataFrame
+    find_rows: Callable[[], DataFrame]
+
+    @property
+    def issue_rows(self) -> DataFrame:
+        """The rows each issue affects; planned only when asked for."""
+        return self.find_rows()
 
 
 def missing_columns(actual: Sequence[str], expected: Sequence[str] = tuple(QUALITY_COLUMNS)) -> list[str]:
@@ -130,11 +135,32 @@ def _joined(left: DataFrame, right: DataFrame, by: str) -> DataFrame:
     return left.join(renamed, F.col(by).eqNullSafe(F.col("__by")), "left").drop("__by")
 
 
-def _fences(df: DataFrame, statistics: DataFrame, checks: Checks) -> DataFrame:
-    """Per file and outlier column the lowest and highest ordinary value."""
+@dataclass(frozen=True)
+class _Measured:
+    """Statistics per file, computed once, and how many files there are."""
+
+    statistics: DataFrame
+    files: int
+
+
+def _measure(df: DataFrame, checks: Checks) -> _Measured:
+    columns = checks.outlier_columns(df)
+    aggregates = _profile_aggregates(df, checks) + bracket_aggregates(columns, QUARTILES, checks.accuracy)
+    if checks.has(df, checks.upper, checks.lower):
+        aggregates.append(F.count_if(inconsistent(checks.upper, checks.lower)).alias("inconsistent_rows"))
+    statistics = materialise(df.groupBy(checks.by).agg(*aggregates))
+    return _Measured(statistics, statistics.count())
+
+
+def _fences(df: DataFrame, measured: _Measured, checks: Checks) -> DataFrame:
+    """Per file and outlier column the quartiles and the lowest and highest ordinary value."""
     columns = checks.outlier_columns(df)
+    lines = measured.statistics.select(checks.by, "record_count")
+    if not columns:
+        return lines
     quartiles = quantiles_within(
-        df, statistics, [checks.by], columns, QUARTILES, "record_count", [checks.row_id], **checks.limits
+        df, measured.statistics, [checks.by], columns, QUARTILES, "record_count", [checks.row_id],
+        lines=measured.files, **checks.limits,
     )
     bounds = []
     for c in columns:
@@ -144,8 +170,7 @@ def _fences(df: DataFrame, statistics: DataFrame, checks: Checks) -> DataFrame:
             (low - FENCE * (high - low)).alias(f"{c}__low"),
             (high + FENCE * (high - low)).alias(f"{c}__high"),
         ]
-    sized = _joined(statistics.select(checks.by, "record_count"), quartiles, checks.by)
-    return materialise(sized.select(checks.by, "record_count", *bounds))
+    return materialise(_joined(lines, quartiles, checks.by).select(checks.by, "record_count", *bounds))
 
 
 def _is_outlier(c: str) -> Column:
@@ -155,26 +180,23 @@ def _is_outlier(c: str) -> Column:
 def outlier_bounds(df: DataFrame, checks: Checks = Checks()) -> DataFrame:
     """``<column>__q1/q3/low/high`` per file."""
     df = nan_to_null(df)
-    return _fences(df, _statistics(df, checks), checks)
+    return _fences(df, _measure(df, checks), checks)
 
 
-def _statistics(df: DataFrame, checks: Checks) -> DataFrame:
-    columns = checks.outlier_columns(df)
-    aggregates = _profile_aggregates(df, checks) + bracket_aggregates(columns, QUARTILES, checks.accuracy)
-    if checks.has(df, checks.upper, checks.lower):
-        aggregates.append(F.count_if(inconsistent(checks.upper, checks.lower)).alias("inconsistent_rows"))
-    return materialise(df.groupBy(checks.by).agg(*aggregates))
-
-
-def _with_fences(df: DataFrame, fences: DataFrame, checks: Checks) -> DataFrame:
-    return join_groups(df, fences, [checks.by], "record_count", [checks.row_id], "inner", **checks.limits)
+def _with_fences(df: DataFrame, fences: DataFrame, files: int, checks: Checks) -> DataFrame:
+    if not checks.outlier_columns(df):
+        return df
+    return join_groups(
+        df, fences, [checks.by], "record_count", [checks.row_id], "inner", lines=files, **checks.limits
+    )
 
 
 def outliers(df: DataFrame, checks: Checks = Checks()) -> DataFrame:
     """One line per outlying cell: file, row, column, value."""
     df = nan_to_null(df)
     columns = checks.outlier_columns(df)
-    rows = _with_fences(df, outlier_bounds(df, checks), checks)
+    measured = _measure(df, checks)
+    rows = _with_fences(df, _fences(df, measured, checks), measured.files, checks)
     cells = F.array_compact(F.array(*[
         F.when(_is_outlier(c), F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")))
         for c in columns
@@ -286,10 +308,9 @@ def profile_metrics(df: DataFrame, checks: Checks = Checks()) -> DataFrame:
     return _metrics(wide, df, checks)
 
 
-def issue_rows(df: DataFrame, fences: DataFrame, checks: Checks = Checks()) -> DataFrame:
+def _issue_rows(df: DataFrame, fences: DataFrame, files: int, checks: Checks) -> DataFrame:
     """Rows each issue affects: file, type, column, row id."""
-    df = nan_to_null(df)
-    rows = _with_fences(df, fences, checks)
+    rows = _with_fences(df, fences, files, checks)
     kinds = []
 
     def add(kind: str, column: str | None, hit: Column) -> None:
@@ -317,14 +338,14 @@ def _hot(checks: Checks) -> dict:
 def quality_report(df: DataFrame, checks: Checks = Checks()) -> QualityReport:
     """All checks for all files of ``df``; per-file statistics are computed once."""
     df = nan_to_null(df)
-    statistics = _statistics(df, checks)
-    fences = _fences(df, statistics, checks)
-    columns = checks.outlier_columns(df)
-    counted = _with_fences(df, fences, checks).groupBy(checks.by).agg(
-        *[F.count_if(_is_outlier(c)).alias(f"{c}__outliers") for c in columns],
-        F.lit(True).alias("__checked"),
-    )
-    wide = _joined(_joined(statistics, key_statistics(df, checks), checks.by), counted, checks.by)
+    measured = _measure(df, checks)
+    fences = _fences(df, measured, checks)
+    wide = _joined(measured.statistics, key_statistics(df, checks), checks.by)
+    if columns := checks.outlier_columns(df):
+        counted = _with_fences(df, fences, measured.files, checks).groupBy(checks.by).agg(
+            *[F.count_if(_is_outlier(c)).alias(f"{c}__outliers") for c in columns]
+        )
+        wide = _joined(wide, counted, checks.by)
     wide = materialise(_issues(wide, df, checks))
     issues = wide.select(
         checks.by, F.posexplode("issues").alias("issue_id", "issue")
@@ -333,7 +354,7 @@ def quality_report(df: DataFrame, checks: Checks = Checks()) -> QualityReport:
         issues=issues,
         metrics=_metrics(wide, df, checks),
         summary=_summary(wide, df, checks),
-        issue_rows=issue_rows(df, fences, checks),
+        find_rows=lambda: _issue_rows(df, fences, measured.files, checks),
     )
 
 

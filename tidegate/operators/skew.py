@@ -82,9 +82,13 @@ def join_groups(
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    lines: int | None = None,
 ) -> DataFrame:
-    """Join rows to an already materialised group table, broadcast only if it is small."""
-    if groups.count() <= broadcast_rows:
+    """Join rows to an already materialised group table, broadcast only if it is small.
+
+    ``lines`` is the table's line count if the caller has counted it already.
+    """
+    if (groups.count() if lines is None else lines) <= broadcast_rows:
         return _join(rows, groups, keys, how, small=True)
     return sliced_join(rows, groups, keys, size, spread_by, how, hot_rows)
 

@@ -57,12 +57,13 @@ def _csv_options(sep: str, multi_line: bool) -> dict[str, object]:
     }
 
 
-def shape_feed(raw: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """Missing-value texts as null, origin columns added, tiny files dropped.
+def shape_feed(raw: DataFrame, names: Sequence[str], min_bytes: int = MIN_BYTES) -> DataFrame:
+    """Missing-value texts of the ``names`` columns as null, origin columns added, tiny files dropped.
 
-    Works on a batch scan and on a stream alike.
+    Columns that stem from folder names are kept.  Works on a batch scan and on
+    a stream alike.
     """
-    columns = [null_if_na(F.col(c)).alias(c) for c in raw.columns]
+    columns = [null_if_na(F.col(c)).alias(c) if c in names else F.col(c) for c in raw.columns]
     return raw.where(F.col("_metadata.file_size") >= min_bytes).select(*columns, *_metadata_columns())
 
 
@@ -81,15 +82,15 @@ def read_feed(
     is looked up.  Big files are read as splits by many tasks unless fields hold
     line breaks (``multi_line``).
     """
-    names = list(header) if header is not None else landed_header(spark, path, sep, min_bytes)
+    names = clean_names(header if header is not None else landed_header(spark, path, sep, min_bytes))
     raw = (
-        spark.read.schema(text_schema(clean_names(names)))
+        spark.read.schema(text_schema(names))
         .options(**_csv_options(sep, multi_line))
         .option("ignoreMissingFiles", True)
         .option("ignoreCorruptFiles", True)
         .csv(path)
     )
-    return shape_feed(raw, min_bytes)
+    return shape_feed(raw, names, min_bytes)
 
 
 def read_feed_stream(
@@ -102,10 +103,11 @@ def read_feed_stream(
     max_files: int | None = None,
 ) -> DataFrame:
     """The landing folder as a stream: each file is delivered once per checkpoint."""
-    reader = spark.readStream.schema(text_schema(clean_names(header))).options(**_csv_options(sep, multi_line))
+    names = clean_names(header)
+    reader = spark.readStream.schema(text_schema(names)).options(**_csv_options(sep, multi_line))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return shape_feed(reader.csv(path), min_bytes)
+    return shape_feed(reader.csv(path), names, min_bytes)
 
 
 def union_feeds(*feeds: DataFrame) -> DataFrame:

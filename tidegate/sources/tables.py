@@ -135,7 +135,7 @@ def load(spark: SparkSession, path: str, source: DataFrame, order_by: Sequence[s
 
 def write_csv(df: DataFrame, path: str, by: str | None = None) -> None:
     """Processed rows as CSV with a header, in a folder of their own; raw files stay as they are."""
-    writer = df.write.mode("overwrite").option("header", True)
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
     if by:
         writer = writer.partitionBy(by)
     writer.csv(path)
