@@ -248,7 +248,8 @@ def folder_to_table(spark, sf_dir):
     placed = lineage.attach_lineage(rows.drop("day", "kind"), resolved)
     # Of one cycle, later events stand in later files: order the files by their first event.
     kept = placed.withColumn("position", F.col("event").cast("long")).drop("event")
-    typed = prepare(kept.drop("row_id").withColumnRenamed("position", "row_id"), "capacity", Load(keys=()))
+    processed = run_recipe(kept.drop("row_id").withColumnRenamed("position", "row_id"), "capacity", Load())
+    typed = prepare(tables.stage(processed, scratch_path(spark, "processed")))
     table_path = scratch_path(spark, "capacity")
     tables.merge_into(
         spark, table_path, typed.accepted.drop("file_path"), ["row_id"], now=F.timestamp_seconds(F.lit(NOW))

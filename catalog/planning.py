@@ -93,7 +93,7 @@ select * from grid g where not exists (
 """)
 def pending_requests(spark, sf_dir):
     asked, manifest, ledger, listing = _parts(spark, sf_dir)
-    return plan.pending_requests(asked, plan.cached_files(asked, manifest, ledger, listing, NOW, TTL))
+    return plan.pending_requests(asked, manifest, ledger, listing, NOW, TTL)
 
 
 @query("fresh_ledger", _DOWNLOADS + "select * from fresh")

@@ -11,6 +11,14 @@ def basename(path: Column) -> Column:
     return F.substring_index(trimmed, "/", -1)
 
 
+def scanned_name() -> Column:
+    """Name of the file a scanned row comes from.
+
+    Spark reports it percent-encoded, but for ``+``, which stands for itself.
+    """
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def stem(name: Column) -> Column:
     """File name without its last suffix; a leading or closing dot is no suffix."""
     return F.regexp_replace(basename(name), r"(?<=.)\.[^.]+$", "")

@@ -3,9 +3,11 @@
 1. One aggregation per group: counts, and a sketch that brackets every wanted
    rank between two values.
 2. One pass keeps only values inside a bracket, counted per distinct value; the
-   values below it shrink to one number.
-3. A window over the few bracketed values of a group finds the two neighbours
-   of the rank, which are interpolated linearly.
+   values below it shrink to one number.  A bracket is cut into slices.
+3. Running counts over the slices find the slice of each rank, running counts
+   over its values the two neighbours of the rank, interpolated linearly.
+
+A task sorts the distinct values of one slice at most.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from tidegate.session import materialise
 ACCURACY = 10_000
 # The sketch is off by at most one part in ACCURACY of the rows; a bracket is wider.
 _PAD = 3
+SLICES = 4096
 
 
 def bracket_aggregates(columns: Sequence[str], probabilities: Sequence[float], accuracy: int = ACCURACY) -> list[Column]:
@@ -57,41 +60,60 @@ def quantiles_within(
     )
 
     def element(c: str, i: int) -> Column:
-        low, high = F.col(f"__{c}_ends")[2 * i], F.col(f"__{c}_ends")[2 * i + 1]
+        low, high = F.col(f"__{c}_ends")[2 * i].cast("double"), F.col(f"__{c}_ends")[2 * i + 1].cast("double")
         value = F.col(c).cast("double")
+        share = F.try_divide(value - low, high - low)
+        cut = F.when(share.between(0.0, 1.0), F.floor(share * SLICES)).otherwise(0)
+        inside = value >= low
         return F.when(
-            F.col(c) <= high,
+            value <= high,
             F.struct(
                 F.lit(c).alias("column"),
                 F.lit(i).alias("i"),
                 F.col(f"__{c}_count").alias("total"),
-                F.when(F.col(c) >= low, value).alias("value"),
+                F.when(inside, cut).alias("slice"),
+                F.when(inside, value).alias("value"),
             ),
         )
 
     elements = F.array_compact(F.array(*[element(c, i) for c in columns for i in range(len(probabilities))]))
+    group = [*by, "column", "i", "total"]
     counted = (
         rows.select(*by, F.explode(elements).alias("e"))
         .select(*by, "e.*")
-        .groupBy(*by, "column", "i", "total", "value")
+        .groupBy(*group, "slice", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    spot = Window.partitionBy(*by, "column", "i", "total")
-    running = spot.orderBy(F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("upto", F.sum("n").over(running))
     wanted = F.lit(None)
     for i, p in enumerate(probabilities):
         wanted = F.when(F.col("i") == i, F.lit(float(p))).otherwise(wanted)
     position = (F.col("total") - 1) * wanted.cast("double")
 
+    def running(over: Sequence[str], order: str) -> Column:
+        ordered = Window.partitionBy(*over).orderBy(F.col(order).asc_nulls_first())
+        return F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+
+    # The values below a bracket form its null slice, which comes first.
+    slices = (
+        counted.groupBy(*group, "slice").agg(F.sum("n").alias("n"))
+        .withColumn("upto", running(group, "slice"))
+        .withColumn("before", F.col("upto") - F.col("n"))
+        .withColumn("position", position)
+        .where("slice is not null and before <= ceil(position) and floor(position) < upto")
+        .select(*group, "slice", "before", "position")
+    )
+    spot = [*group, "slice"]
+    right = slices.withColumnsRenamed({c: f"__r_{c}" for c in spot})
+    same = F.expr(" and ".join(f"`{c}` <=> `__r_{c}`" for c in spot))
+    hit = counted.where("value is not null").join(right, same).drop(*[f"__r_{c}" for c in spot])
+    ranked = hit.withColumn("upto", F.col("before") + running([*spot, "before", "position"], "value"))
+
     def at(rank: Column) -> Column:
-        held = F.col("value").isNotNull() & (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))
+        held = (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))
         return F.max(F.when(held, F.col("value")))
 
-    neighbours = (
-        ranked.withColumn("position", position)
-        .groupBy(*by, "column", "i", "total", "position")
-        .agg(at(F.floor("position")).alias("lower"), at(F.ceil("position")).alias("upper"))
+    neighbours = ranked.groupBy(*group, "position").agg(
+        at(F.floor("position")).alias("lower"), at(F.ceil("position")).alias("upper")
     )
     part = F.col("position") - F.floor("position")
     gap = F.col("upper") - F.col("lower")

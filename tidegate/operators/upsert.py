@@ -134,7 +134,7 @@ def append(
     return target.unionByName(_as_new(source.select(*columns), target, now, created_at))
 
 
-def action_counts(df: DataFrame) -> list[Column]:
+def action_counts() -> list[Column]:
     """Counters for ``DataFrame.observe`` on the result of ``upsert(with_action=True)``."""
     return [
         F.count_if(F.col(ACTION) == name).alias(name) for name in (INSERTED, UPDATED, KEPT)

@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidegate.operators.clean import nan_to_null, split_casts
 from tidegate.operators.upsert import split_check
 from tidegate.plans.recipes import Load, run_recipe
 from tidegate.schema import KEY_COLUMNS, capacity_schema
-from tidegate.sources.feed import FILE_COLUMNS, read_feed, with_row_index
+from tidegate.sources.feed import FILE_COLUMNS, MIN_BYTES, list_files, read_feed, with_row_index
 from tidegate.sources.sidecars import read_sidecars
-from tidegate.sources.tables import load as load_table
+from tidegate.sources.tables import load as load_table, stage
 
 # Files of one load follow each other by download time and name, rows by position.
 ROW_ORDER = ("download_timestamp", "file_path", "row_id")
@@ -28,10 +28,9 @@ class Prepared:
     rejected: DataFrame
 
 
-def prepare(rows: DataFrame, kind: str, load: Load, schema: T.StructType | None = None) -> Prepared:
-    """Recipe, typing and row checks over indexed feed rows."""
+def prepare(processed: DataFrame, schema: T.StructType | None = None) -> Prepared:
+    """Typing and row checks of processed feed rows."""
     schema = schema or capacity_schema()
-    processed = run_recipe(rows, kind, load)
     origin = [c for c in (*FILE_COLUMNS, "row_id") if c in processed.columns]
     typed, uncastable = split_casts(processed, schema, keep=origin)
     accepted, rejected = split_check(nan_to_null(typed))
@@ -50,11 +49,23 @@ def load_folder(
     now: float | None = None,
     compat_dates: bool = False,
     batch: int | None = None,
+    min_bytes: int = MIN_BYTES,
+    counters: Observation | None = None,
 ) -> Prepared:
-    """Load every file of ``landing`` into the table; returns what was set aside."""
-    rows = with_row_index(read_feed(spark, landing, header))
-    load = Load(sidecars=read_sidecars(spark, sidecars), now=now, compat_dates=compat_dates)
-    prepared = prepare(rows, kind, load)
+    """Load every file of ``landing`` into the table; returns what was loaded and set aside.
+
+    The files are parsed once: processed rows are staged beside the table, and
+    loading, quarantine and later quality checks read them from there.
+    """
+    rows = with_row_index(read_feed(spark, landing, header, min_bytes=min_bytes))
+    load = Load(
+        sidecars=read_sidecars(spark, sidecars),
+        files=list_files(spark, landing).where(F.col("file_size") >= min_bytes),
+        now=now,
+        compat_dates=compat_dates,
+    )
+    processed = stage(run_recipe(rows, kind, load), f"{table.rstrip('/')}__staging/rows")
+    prepared = prepare(processed)
     stamp = None if now is None else F.timestamp_seconds(F.lit(now))
-    load_table(spark, table, prepared.accepted, ROW_ORDER, keys, now=stamp, batch=batch)
+    load_table(spark, table, prepared.accepted, ROW_ORDER, keys, now=stamp, batch=batch, counters=counters)
     return prepared

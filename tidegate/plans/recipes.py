@@ -16,6 +16,7 @@ from tidegate.operators.clean import normalise_reasons
 from tidegate.operators.duplicates import DEFAULT_KEYS, DEFAULT_MAXIMA, collapse_duplicates
 from tidegate.operators.lineage import attach_lineage, files_of, resolve_lineage
 from tidegate.schema import LINEAGE_COLUMNS
+from tidegate.session import materialise
 from tidegate.sources.headers import clean_names
 
 
@@ -24,6 +25,7 @@ class Load:
     """What steps may need to know about the load they run in."""
 
     sidecars: DataFrame | None = None
+    files: DataFrame | None = None
     now: float | None = None
     compat_dates: bool = False
     keys: tuple[str, ...] = DEFAULT_KEYS
@@ -45,7 +47,9 @@ def lineage_step(rows: DataFrame, load: Load) -> DataFrame:
         return rows
     if load.sidecars is None:
         raise ValueError("the lineage step needs the sidecars of the load")
-    resolved = resolve_lineage(files_of(rows), load.sidecars, load.now, load.compat_dates)
+    # A listing knows the files without reading them; the rows know them too, for a scan.
+    files = load.files if load.files is not None else files_of(rows)
+    resolved = materialise(resolve_lineage(files, load.sidecars, load.now, load.compat_dates))
     return attach_lineage(rows, resolved)
 
 

@@ -11,7 +11,6 @@ from tidegate.functions.dates import backfill_days
 from tidegate.functions.filenames import endpoint_folder
 from tidegate.functions.params import combinations
 from tidegate.functions.requests import cache_key
-from tidegate.operators.duplicates import last_per_key
 from tidegate.sources.feed import MIN_BYTES
 from tidegate.sources.ledger import is_fresh, latest_entries
 
@@ -39,6 +38,50 @@ def not_seen(requests: DataFrame, seen: DataFrame, keys: Sequence[str] = ("day",
     return requests.join(seen.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def _available(manifest: DataFrame, listing: DataFrame, allowed: Sequence[str], min_bytes: int) -> DataFrame:
+    """Manifest records of allowed cycles whose file is stored and not tiny."""
+    identity = ["endpoint", "date", "requested_cycle", "cycle_name", "saved_filename"]
+    records = (
+        manifest.where(is_allowed_cycle(F.col("cycle_name"), allowed))
+        .where(F.col("saved_filename") != "")
+        .select(*identity)
+        .distinct()
+        .withColumn("folder", endpoint_folder(F.col("endpoint")))
+        .withColumnRenamed("saved_filename", "file_name")
+    )
+    stored = listing.where(F.col("file_size") >= min_bytes).select("folder", "file_name", "file_size").distinct()
+    return records.join(stored, ["folder", "file_name"])
+
+
+def _fresh_keys(requests: DataFrame, ledger: DataFrame, now: float | Column, ttl: float, allowed: Sequence[str]) -> DataFrame:
+    """Requests with the cycle names they may be answered by and whose ledger entry is fresh.
+
+    A request has as many keys as there are allowed names; each is looked up in
+    the ledger before any file is matched.
+    """
+    now = F.lit(float(now)) if isinstance(now, (int, float)) else now
+    key = F.concat(
+        cache_key(F.col("endpoint"), F.col("day"), cycle_name=F.col("cycle_name")), F.col("param_text")
+    )
+    asked = (
+        requests.select(*REQUEST_KEY)
+        .withColumn("cycle_name", F.explode(F.array(*[F.lit(a) for a in allowed])))
+        .withColumn("cache_key", key)
+        .withColumn("date", F.date_format("day", "yyyyMMdd"))
+    )
+    fresh = latest_entries(ledger).where(is_fresh(F.col("ts"), now, F.lit(float(ttl))))
+    return asked.join(fresh, "cache_key")
+
+
+def _answers(asked: DataFrame, available: DataFrame, how: str) -> DataFrame:
+    """Match on cycle number where one was asked for, else on the rest alone."""
+    by_name = ["endpoint", "date", "cycle_name"]
+    numbered = asked.where(F.col("cycle").isNotNull()).withColumn("requested_cycle", F.col("cycle"))
+    exact = numbered.join(available, [*by_name, "requested_cycle"], how).drop("requested_cycle")
+    loose = asked.where(F.col("cycle").isNull()).join(available.drop("requested_cycle").distinct(), by_name, how)
+    return exact.unionByName(loose)
+
+
 def cached_files(
     requests: DataFrame,
     manifest: DataFrame,
@@ -56,36 +99,34 @@ def cached_files(
     folder, file_name, file_size.  A file counts if its cycle is allowed, its
     ledger entry is not older than ``ttl`` seconds, and it is stored and not tiny.
     """
-    now = F.lit(float(now)) if isinstance(now, (int, float)) else now
-    records = manifest.where(is_allowed_cycle(F.col("cycle_name"), allowed)).where(F.col("saved_filename") != "")
-    identity = ["endpoint", "date", "requested_cycle", "cycle_name", "saved_filename"]
-    records = last_per_key(records.select(*identity, "download_timestamp"), identity, ["download_timestamp"])
-    stored = listing.where(F.col("file_size") >= min_bytes).select("folder", "file_name", "file_size").distinct()
-    available = (
-        records.withColumn("folder", endpoint_folder(F.col("endpoint")))
-        .withColumnRenamed("saved_filename", "file_name")
-        .join(stored, ["folder", "file_name"])
-        .drop("download_timestamp")
-    )
-    asked = requests.select(*REQUEST_KEY).withColumn("date", F.date_format("day", "yyyyMMdd"))
-    one_cycle = asked.where(F.col("cycle").isNotNull()).withColumn("requested_cycle", F.col("cycle"))
-    any_cycle = asked.where(F.col("cycle").isNull())
-    matched = one_cycle.join(available, ["endpoint", "date", "requested_cycle"]).unionByName(
-        any_cycle.join(available, ["endpoint", "date"])
-    )
-    key = F.concat(
-        cache_key(F.col("endpoint"), F.col("day"), cycle_name=F.col("cycle_name")), F.col("param_text")
-    )
-    fresh = latest_entries(ledger).where(is_fresh(F.col("ts"), now, F.lit(float(ttl))))
-    return matched.withColumn("cache_key", key).join(fresh, "cache_key").select(
+    asked = _fresh_keys(requests, ledger, now, ttl, allowed)
+    matched = _answers(asked, _available(manifest, listing, allowed, min_bytes), "inner")
+    return matched.select(
         *REQUEST_KEY, "cycle_name", "folder", "file_name", "file_size", "cache_key", "ts"
     )
 
 
-def pending_requests(requests: DataFrame, cached: DataFrame | None) -> DataFrame:
-    """Requests without a cached file; with caching off (None) all of them."""
-    if cached is None:
+def pending_requests(
+    requests: DataFrame,
+    manifest: DataFrame,
+    ledger: DataFrame,
+    listing: DataFrame,
+    now: float | Column,
+    ttl: float,
+    allowed: Sequence[str] = ALLOWED_CYCLES,
+    min_bytes: int = MIN_BYTES,
+    caching: bool = True,
+) -> DataFrame:
+    """Requests no cached file answers; with ``caching`` off all of them.
+
+    Only asks whether an answer exists, so files are not listed per request.
+    """
+    if not caching:
         return requests
-    answered = cached.select(*[F.col(k).alias(f"__{k}") for k in REQUEST_KEY]).distinct()
+    kinds = _available(manifest, listing, allowed, min_bytes).select(
+        "endpoint", "date", "cycle_name", "requested_cycle"
+    ).distinct()
+    answered = _answers(_fresh_keys(requests, ledger, now, ttl, allowed), kinds, "left_semi")
+    done = answered.select(*[F.col(k).alias(f"__{k}") for k in REQUEST_KEY]).distinct()
     same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in REQUEST_KEY]
-    return requests.join(answered, same[0] & same[1] & same[2] & same[3], "left_anti")
+    return requests.join(done, same[0] & same[1] & same[2] & same[3], "left_anti")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from tidegate.functions.filenames import scanned_name
 from tidegate.functions.text import null_if_na
 from tidegate.sources.headers import clean_names, split_header
 
@@ -14,14 +15,12 @@ CSV_GLOB = "*.[cC][sS][vV]"
 MIN_BYTES = 200
 # Columns that say where a row comes from.
 FILE_COLUMNS = ("file_name", "file_path", "file_size", "file_modified", "block_start")
-# Rows of one file are joined and counted in pieces of this size.
-SEGMENT_BYTES = 256 * 1024 * 1024
 
 
 def _metadata_columns() -> list:
     meta = F.col("_metadata")
     return [
-        meta["file_name"].alias("file_name"),
+        scanned_name().alias("file_name"),
         meta["file_path"].alias("file_path"),
         meta["file_size"].alias("file_size"),
         meta["file_modification_time"].alias("file_modified"),
@@ -125,7 +124,7 @@ def list_files(spark: SparkSession, path: str | list[str], glob: str = CSV_GLOB)
         .option("pathGlobFilter", glob)
         .load(path)
         .select(
-            F.col("_metadata.file_name").alias("file_name"),
+            scanned_name().alias("file_name"),
             F.col("_metadata.file_path").alias("file_path"),
             F.col("length").alias("file_size"),
             F.col("modificationTime").alias("file_modified"),

@@ -19,7 +19,7 @@ def read_ledger_json(spark: SparkSession, path: str) -> DataFrame:
     """Ledger kept as one JSON object; a document that is no JSON counts as empty."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.explode(F.from_json("value", "map<string,double>"))).toDF(*LEDGER_SCHEMA.names)
 
 

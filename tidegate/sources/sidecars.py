@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegate.functions.cycles import cycle_of_filename, is_allowed_cycle
-from tidegate.functions.filenames import filename_of_response, safe_filename, stem
+from tidegate.functions.filenames import filename_of_response, safe_filename, scanned_name, stem
 from tidegate.operators.duplicates import last_per_key
 from tidegate.schema import SIDECAR_SCHEMA
 from tidegate.sources.feed import MIN_BYTES
@@ -19,14 +19,14 @@ def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     A sidecar that is not JSON is kept as unreadable: its feed file falls back
     to defaults, unlike a file without any sidecar.
     """
-    raw = spark.read.option("wholetext", True).option("pathGlobFilter", SIDECAR_GLOB).text(path)
+    raw = spark.read.option("pathGlobFilter", SIDECAR_GLOB).text(path, wholetext=True)
     parsed = F.try_parse_json("value")
     fields = [
         F.try_variant_get("doc", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in SIDECAR_SCHEMA
     ]
     kind = F.schema_of_variant(F.try_variant_get("doc", "$.date", "variant"))
     return raw.select(
-        F.regexp_replace(F.col("_metadata.file_name"), r"\.meta\.json$", "").alias("stem"),
+        F.regexp_replace(scanned_name(), r"\.meta\.json$", "").alias("stem"),
         parsed.alias("doc"),
     ).select(
         "stem",

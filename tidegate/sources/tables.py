@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidegate.operators.duplicates import validate_unique_key
 from tidegate.operators.quality import QualityReport, report_documents
-from tidegate.operators.upsert import append, upsert
+from tidegate.operators.upsert import ACTION, action_counts, append, upsert
 from tidegate.schema import KEY_COLUMNS, capacity_schema
 from tidegate.sources.storage import path_exists
 
@@ -72,6 +72,7 @@ def merge_into(
     now: Column | None = None,
     batch: int | None = None,
     writer: str = "load",
+    counters: Observation | None = None,
 ) -> None:
     """Upsert ``source`` into the table at ``path``.
 
@@ -91,7 +92,10 @@ def merge_into(
     done = batch is not None and path_exists(spark, f"{staged}/_SUCCESS") and path_exists(spark, content)
     if not done:
         touched = touched_partitions(target, source, partition_by)
-        merged = upsert(touched, source, order_by, keys, now)
+        merged = upsert(touched, source, order_by, keys, now, with_action=True)
+        if counters is not None:
+            merged = merged.observe(counters, *action_counts())
+        merged = merged.drop(ACTION)
         if batch is None:
             merged.write.mode("overwrite").parquet(staged)
         else:
@@ -110,6 +114,16 @@ def staging_path(path: str, batch: int | None, writer: str) -> str:
     return f"{path.rstrip('/')}__staging/{writer}-{slot}"
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write rows once and go on from the written table.
+
+    Several branches (accepted, rejected, checks) then share one scan of the
+    feed files, and all see the same rows.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_into(spark: SparkSession, path: str, source: DataFrame, schema: T.StructType | None = None,
                 partition_by: str = PARTITION, order_by: Sequence[str] = (), now: Column | None = None) -> None:
     """Add all rows of ``source``: a load without a usable key."""
@@ -122,12 +136,12 @@ def append_into(spark: SparkSession, path: str, source: DataFrame, schema: T.Str
 def load(spark: SparkSession, path: str, source: DataFrame, order_by: Sequence[str],
          keys: Sequence[str] = KEY_COLUMNS, schema: T.StructType | None = None,
          partition_by: str = PARTITION, now: Column | None = None, batch: int | None = None,
-         writer: str = "load") -> str:
+         writer: str = "load", counters: Observation | None = None) -> str:
     """Upsert if ``keys`` are unique in the touched part of the table, else append; says which."""
     target = ensure_table(spark, path, schema, partition_by)
     keyed, _ = validate_unique_key(touched_partitions(target, source, partition_by).dropna(subset=list(keys)), keys)
     if keyed:
-        merge_into(spark, path, source, order_by, keys, schema, partition_by, now, batch, writer)
+        merge_into(spark, path, source, order_by, keys, schema, partition_by, now, batch, writer, counters)
         return "upsert"
     append_into(spark, path, source, schema, partition_by, order_by, now)
     return "append"

@@ -10,11 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.operators.quality import Checks, quality_report
 from tidegate.plans.loads import ROW_ORDER, prepare
-from tidegate.plans.recipes import Load
+from tidegate.plans.recipes import Load, run_recipe
 from tidegate.schema import KEY_COLUMNS
 from tidegate.sources.feed import with_row_index
 from tidegate.sources.sidecars import read_sidecars
-from tidegate.sources.tables import merge_into, write_report
+from tidegate.sources.tables import merge_into, stage, staging_path, write_report
 
 BatchStep = Callable[[DataFrame, int], None]
 
@@ -66,21 +66,25 @@ def feed_step(
 ) -> BatchStep:
     """Process the files of a micro-batch, upsert them, and report on their quality.
 
-    Sidecars are read per batch, as they land together with the files.
+    Sidecars are read per batch, as they land together with the files.  The
+    rows are staged once; every output is written under the batch number, so
+    that a repeated batch replaces what it wrote before.
     """
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = with_row_index(batch)
         load = Load(sidecars=read_sidecars(spark, sidecars), now=now)
-        prepared = prepare(rows, kind, load)
+        place = f"{staging_path(table, number, stream_id(spark, checkpoint))}-rows"
+        rows = stage(with_row_index(batch), f"{place}/raw")
+        processed = stage(run_recipe(rows, kind, load), f"{place}/processed")
+        prepared = prepare(processed)
         upsert_step(table, checkpoint, ROW_ORDER, keys, now=now)(prepared.accepted, number)
         if quarantine:
             for name, frame in (("uncastable", prepared.uncastable), ("rejected", prepared.rejected)):
                 frame.write.mode("overwrite").parquet(f"{quarantine}/{name}/batch={number}")
         if reports:
-            kept = prepared.accepted.withColumn("file_name", F.element_at(F.split("file_path", "/"), -1))
-            write_report(quality_report(kept.drop("file_path"), checks), reports, f"batch-{number}", checks.by)
+            typed = prepared.accepted.withColumn("file_name", F.element_at(F.split("file_path", "/"), -1))
+            write_report(quality_report(typed.drop("file_path"), checks), reports, f"batch-{number}", checks.by)
 
     return run
 
