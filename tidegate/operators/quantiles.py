@@ -20,7 +20,8 @@ from tidegate.operators.skew import join_groups
 from tidegate.session import materialise
 
 ACCURACY = 10_000
-# The sketch is off by at most one part in ACCURACY of the rows; a bracket is wider.
+# The sketch is off by at most one part in ACCURACY of the rows; a bracket is
+# wider.  Groups below ACCURACY values are one bracket, their whole range.
 _PAD = 3
 SLICES = 4096
 
@@ -28,14 +29,15 @@ SLICES = 4096
 def bracket_aggregates(columns: Sequence[str], probabilities: Sequence[float], accuracy: int = ACCURACY) -> list[Column]:
     """Aggregates for step 1: non-null count and bracket ends per column."""
     ends = [p for q in probabilities for p in (max(q - _PAD / accuracy, 0.0), min(q + _PAD / accuracy, 1.0))]
-    return [
-        x
-        for c in columns
-        for x in (
+    aggregates = []
+    for c in columns:
+        whole = F.array(*[x for _ in probabilities for x in (F.min(c), F.max(c))])
+        sketched = F.percentile_approx(c, [float(p) for p in ends], accuracy)
+        aggregates += [
             F.count(c).alias(f"__{c}_count"),
-            F.percentile_approx(c, [float(p) for p in ends], accuracy).alias(f"__{c}_ends"),
-        )
-    ]
+            F.when(F.count(c) < accuracy, whole).otherwise(sketched).alias(f"__{c}_ends"),
+        ]
+    return aggregates
 
 
 def quantiles_within(
