@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from catalog import query
 from catalog.views import FEED_SQL, feed, table, with_sql
 from tidegate.operators import clean, upsert as up
-from tidegate.operators.duplicates import last_per_key
+from tidegate.operators.duplicates import collapse_duplicates, last_per_key
 from tidegate.session import scratch_path
 from tidegate.sources.tables import ensure_table, load, merge_into, read_table
 
@@ -78,6 +78,31 @@ merged as (
 """
 
 
+@query("feed_to_table", with_sql(FEED_SQL) + _TABLES + """,
+collapsed as (
+  select location as loc, date as measure_date, cycle as cycle_id, max(capacity) as dc, max(available) as oac,
+    arg_min(note, row_id) filter (where note is not null) as note
+  from feed where location is not null and date >= date '2024-01-10' group by location, date, cycle
+),
+fit as (select * from collapsed where coalesce(dc >= 0 and dc - oac >= 0, true))
+select coalesce(s.loc, t.loc) as loc, coalesce(s.measure_date, t.measure_date) as measure_date, coalesce(s.cycle_id, t.cycle_id) as cycle_id,
+  case when s.loc is not null then s.dc else t.dc end as dc, case when s.loc is not null then s.oac else t.oac end as oac,
+  case when s.loc is not null then s.note else t.note end as note,
+  coalesce(t.created_at, timestamp '2024-03-01 00:00:00') as created_at
+from old t full join fit s on s.loc = t.loc and s.measure_date = t.measure_date and s.cycle_id = t.cycle_id
+union all select * from old_loose
+""")
+def feed_to_table(spark, sf_dir):
+    """A load from end to end: collapse duplicates, keep rows that fit, upsert into the table."""
+    late = feed(spark, sf_dir).where(F.col("date") >= F.lit("2024-01-10").cast("date")).drop("file_name")
+    collapsed = collapse_duplicates(late, ["row_id"]).select(
+        F.col("location").alias("loc"), F.col("date").alias("measure_date"), F.col("cycle").alias("cycle_id"),
+        F.col("capacity").alias("dc"), F.col("available").alias("oac"), "note", "row_id",
+    )
+    accepted, _ = up.split_check(collapsed, (F.col("dc") >= 0) & (F.col("dc") - F.col("oac") >= 0))
+    return up.upsert(loaded_before(spark, sf_dir), accepted, ["row_id"], KEYS, now())
+
+
 @query("upsert", with_sql(FEED_SQL) + _TABLES + "select * exclude (row_action) from merged")
 def upsert(spark, sf_dir):
     return up.upsert(loaded_before(spark, sf_dir), arriving(spark, sf_dir), ["row_id"], KEYS, now())

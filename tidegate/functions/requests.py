@@ -30,40 +30,34 @@ def request_url(
     search_type: str = "ALL",
 ) -> Column:
     """Address of one feed file; ``params`` (map of texts) override the defaults in place."""
-    defaults = [
-        ("f", F.lit(fmt)),
-        ("extension", F.lit(fmt)),
-        ("asset", F.lit(asset_id)),
-        ("gasDay", gas_day(day)),
-        ("searchType", F.lit(search_type)),
-        ("searchString", F.lit("")),
-        ("locType", F.lit("ALL")),
-        ("locZone", F.lit("ALL")),
-    ]
-
-    def entry(key: Column, value: Column) -> Column:
-        return F.struct(key.alias("key"), value.alias("value"))
-
-    def chosen(key: str, value: Column) -> Column:
-        if params is None:
-            return value
-        return F.when(F.map_contains_key(params, key), params[key]).otherwise(value)
-
-    entries = F.array(*[entry(F.lit(k), chosen(k, v)) for k, v in defaults])
+    defaults = {
+        "f": F.lit(fmt),
+        "extension": F.lit(fmt),
+        "asset": F.lit(asset_id),
+        "gasDay": gas_day(day),
+        "searchType": F.lit(search_type),
+        "searchString": F.lit(""),
+        "locType": F.lit("ALL"),
+        "locZone": F.lit("ALL"),
+    }
+
+    def item(key: Column, value: Column) -> Column:
+        return F.concat(quote_value(key), F.lit("="), quote_value(F.coalesce(value, F.lit("None"))))
+
+    # One expression per known key, so that constant items are folded at planning.
+    items = []
+    for key, value in defaults.items():
+        known = item(F.lit(key), value)
+        if params is not None:
+            known = F.when(F.map_contains_key(params, key), item(F.lit(key), params[key])).otherwise(known)
+        items.append(known)
     if cycle is not None:
-        number = F.array(entry(F.lit("cycle"), cycle.cast("string")))
-        none = F.filter(number, lambda _: F.lit(False))
-        entries = F.concat(entries, F.when(cycle.isNotNull(), number).otherwise(none))
+        items.append(F.concat(F.lit("cycle="), cycle.cast("string")))
     if params is not None:
-        names = [k for k, _ in defaults]
-        extra = F.filter(F.map_entries(params), lambda e: ~e["key"].isin(*names))
-        entries = F.concat(entries, extra)
-    query = F.array_join(
-        F.transform(
-            entries, lambda e: F.concat(quote_value(e["key"]), F.lit("="), quote_value(e["value"]))
-        ),
-        "&",
-    )
+        extra = F.filter(F.map_entries(params), lambda e: ~e["key"].isin(*defaults))
+        items.append(F.transform(extra, lambda e: item(e["key"], e["value"])))
+    # concat_ws leaves out nulls: the cycle of a request without one.
+    query = F.concat_ws("&", *items)
     return F.concat(F.lit(base_url + routing_path + asset_id), endpoint, F.lit("?"), query)
 
 

@@ -33,7 +33,7 @@ def na_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN of floating columns becomes null, so later operators only meet null."""
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: null_if_nan(F.col(c)) for c in floats})
+    return df.withColumns({c: null_if_nan(F.col(c)) for c in floats}) if floats else df
 
 
 def _failed_casts(df: DataFrame, schema: T.StructType) -> Column:

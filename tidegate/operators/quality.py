@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tidegate.functions import sqltext as sql
 from tidegate.functions.numbers import round_exact
 from tidegate.operators.clean import nan_to_null
 from tidegate.operators.duplicates import flag_duplicates
@@ -91,20 +92,19 @@ def profile(df: DataFrame, checks: Checks = Checks()) -> DataFrame:
 
 
 def _profile_aggregates(df: DataFrame, checks: Checks) -> list[Column]:
-    aggregates = [F.count(F.lit(1)).alias("record_count")]
-    aggregates += [(F.count(F.lit(1)) - F.count(c)).alias(f"{c}__nulls") for c in checks.columns(df)]
-    for c in checks.numeric(df):
-        aggregates += [
-            F.min(c).cast("double").alias(f"{c}__min"),
-            F.max(c).cast("double").alias(f"{c}__max"),
-            F.avg(c).cast("double").alias(f"{c}__mean"),
-        ]
-    return aggregates
+    aggregates = ["count(1) as record_count"]
+    aggregates += [f"count(1) - count({sql.name(c)}) as {sql.name(f'{c}__nulls')}" for c in checks.columns(df)]
+    aggregates += [
+        f"cast({f}({sql.name(c)}) as double) as {sql.name(f'{c}__{label}')}"
+        for c in checks.numeric(df)
+        for f, label in (("min", "min"), ("max", "max"), ("avg", "mean"))
+    ]
+    return [F.expr(a) for a in aggregates]
 
 
 def _completeness(df: DataFrame, checks: Checks) -> Column:
     columns = checks.columns(df)
-    empty = sum((F.col(f"{c}__nulls") for c in columns), F.lit(0))
+    empty = F.expr(" + ".join(sql.name(f"{c}__nulls") for c in columns) or "0")
     cells = F.col("record_count") * len(columns)
     return F.when(cells > 0, round_exact(1 - empty / cells, 4)).otherwise(F.lit(0.0))
 
@@ -131,8 +131,8 @@ def key_statistics(df: DataFrame, checks: Checks = Checks()) -> DataFrame:
 
 
 def _joined(left: DataFrame, right: DataFrame, by: str) -> DataFrame:
-    renamed = right.withColumnRenamed(by, "__by")
-    return left.join(renamed, F.col(by).eqNullSafe(F.col("__by")), "left").drop("__by")
+    same = F.expr(sql.same({by: "__by"}))
+    return left.join(right.withColumnRenamed(by, "__by"), same, "left").drop("__by")
 
 
 @dataclass(frozen=True)
@@ -164,17 +164,20 @@ def _fences(df: DataFrame, measured: _Measured, checks: Checks) -> DataFrame:
     )
     bounds = []
     for c in columns:
-        low, high = F.col(f"{c}_q0"), F.col(f"{c}_q1")
+        low, high = sql.name(f"{c}_q0"), sql.name(f"{c}_q1")
         bounds += [
-            low.alias(f"{c}__q1"), high.alias(f"{c}__q3"),
-            (low - FENCE * (high - low)).alias(f"{c}__low"),
-            (high + FENCE * (high - low)).alias(f"{c}__high"),
+            f"{low} as {sql.name(f'{c}__q1')}",
+            f"{high} as {sql.name(f'{c}__q3')}",
+            f"{low} - {FENCE}D * ({high} - {low}) as {sql.name(f'{c}__low')}",
+            f"{high} + {FENCE}D * ({high} - {low}) as {sql.name(f'{c}__high')}",
         ]
-    return materialise(_joined(lines, quartiles, checks.by).select(checks.by, "record_count", *bounds))
+    joined = _joined(lines, quartiles, checks.by)
+    return materialise(joined.selectExpr(sql.name(checks.by), "record_count", *bounds))
 
 
-def _is_outlier(c: str) -> Column:
-    return F.coalesce((F.col(c) < F.col(f"{c}__low")) | (F.col(c) > F.col(f"{c}__high")), F.lit(False))
+def _is_outlier(c: str) -> str:
+    value, low, high = (sql.name(x) for x in (c, f"{c}__low", f"{c}__high"))
+    return f"coalesce({value} < {low} or {value} > {high}, false)"
 
 
 def outlier_bounds(df: DataFrame, checks: Checks = Checks()) -> DataFrame:
@@ -197,22 +200,23 @@ def outliers(df: DataFrame, checks: Checks = Checks()) -> DataFrame:
     columns = checks.outlier_columns(df)
     measured = _measure(df, checks)
     rows = _with_fences(df, _fences(df, measured, checks), measured.files, checks)
-    cells = F.array_compact(F.array(*[
-        F.when(_is_outlier(c), F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")))
+    cells = ", ".join(
+        f"case when {_is_outlier(c)} then"
+        f" named_struct('column', {sql.text(c)}, 'value', cast({sql.name(c)} as double)) end"
         for c in columns
-    ]))
-    return rows.select(checks.by, checks.row_id, F.explode(cells).alias("cell")).select(
-        checks.by, checks.row_id, "cell.*"
     )
+    return rows.select(
+        checks.by, checks.row_id, F.expr(f"explode(array_compact(array({cells}))) as cell")
+    ).select(checks.by, checks.row_id, "cell.*")
 
 
-def _issue(severity: str, kind: str, column: str | None, description: Column, affected: Column) -> Column:
-    return F.struct(
-        F.lit(severity).alias("severity"),
-        F.lit(kind).alias("type"),
-        F.lit(column).cast("string").alias("column"),
-        description.alias("description"),
-        affected.cast("long").alias("affected_count"),
+def _issue(severity: str, kind: str, column: str | None, count: str, before: str, after: str) -> str:
+    """SQL of one issue; ``count`` rows are named between the two halves of its description."""
+    place = "cast(null as string)" if column is None else sql.text(column)
+    description = f"concat({sql.text(before)}, {count}, {sql.text(after)})" if after else sql.text(before)
+    return (
+        f"named_struct('severity', {sql.text(severity)}, 'type', {sql.text(kind)}, 'column', {place},"
+        f" 'description', {description}, 'affected_count', cast({count} as bigint))"
     )
 
 
@@ -220,27 +224,27 @@ def _issues(wide: DataFrame, df: DataFrame, checks: Checks) -> DataFrame:
     """Issues of every file from its statistics, numbered in the order of the checks."""
     found = []
 
-    def add(severity: str, kind: str, column: str | None, count: Column, before: str, after: str) -> None:
-        text = F.concat(F.lit(before), count.cast("string"), F.lit(after))
-        found.append(F.when(count > 0, _issue(severity, kind, column, text, count)))
+    def add(severity: str, kind: str, column: str | None, counter: str, before: str, after: str) -> None:
+        count = sql.name(counter)
+        found.append(f"case when {count} > 0 then {_issue(severity, kind, column, count, before, after)} end")
 
     if missing := checks.missing(df):
-        text = F.lit(f"Missing required columns: {', '.join(missing)}")
-        found.append(_issue(ERROR, "MISSING_COLUMNS", None, text, F.lit(0)))
+        found.append(
+            _issue(ERROR, "MISSING_COLUMNS", None, "0", f"Missing required columns: {', '.join(missing)}", "")
+        )
     if checks.has(df, checks.upper, checks.lower):
-        add(ERROR, "INCONSISTENT_DATA", None, F.col("inconsistent_rows"),
+        add(ERROR, "INCONSISTENT_DATA", None, "inconsistent_rows",
             f"Inconsistent capacity data: {checks.upper} < {checks.lower} for ", " records")
     if checks.has(df, *checks.keys):
-        add(WARNING, "DUPLICATE_RECORDS", None, F.col("duplicate_rows"),
-            "Duplicate location entries found: ", " records")
+        add(WARNING, "DUPLICATE_RECORDS", None, "duplicate_rows", "Duplicate location entries found: ", " records")
     for c in checks.columns(df):
-        add(ERROR if c in checks.keys else WARNING, "MISSING_VALUES", c, F.col(f"{c}__nulls"),
+        add(ERROR if c in checks.keys else WARNING, "MISSING_VALUES", c, f"{c}__nulls",
             f"Missing values in {c}: ", " records affected")
     for c in checks.outlier_columns(df):
-        add(INFO, "POTENTIAL_OUTLIERS", c, F.col(f"{c}__outliers"),
+        add(INFO, "POTENTIAL_OUTLIERS", c, f"{c}__outliers",
             f"Potential outliers in {c}: ", " records affected")
-    listed = F.array_compact(F.array(*found)) if found else F.array()
-    return wide.withColumn("issues", listed)
+    listed = f"array_compact(array({', '.join(found)}))" if found else "array()"
+    return wide.withColumn("issues", F.expr(listed))
 
 
 def severity_counts(issues: DataFrame, by: str = "file_name") -> DataFrame:
@@ -313,22 +317,22 @@ def _issue_rows(df: DataFrame, fences: DataFrame, files: int, checks: Checks) ->
     rows = _with_fences(df, fences, files, checks)
     kinds = []
 
-    def add(kind: str, column: str | None, hit: Column) -> None:
-        kinds.append(F.when(hit, F.struct(F.lit(kind).alias("type"), F.lit(column).cast("string").alias("column"))))
+    def add(kind: str, column: str | None, hit: str) -> None:
+        place = "cast(null as string)" if column is None else sql.text(column)
+        kinds.append(f"case when {hit} then named_struct('type', {sql.text(kind)}, 'column', {place}) end")
 
     if checks.has(df, checks.upper, checks.lower):
-        add("INCONSISTENT_DATA", None, inconsistent(checks.upper, checks.lower))
+        add("INCONSISTENT_DATA", None, f"{sql.name(checks.upper)} < {sql.name(checks.lower)}")
     if checks.has(df, *checks.keys):
         flagged = [checks.by, *checks.keys]
         rows = flag_duplicates(rows, flagged, [checks.by, checks.row_id], "__duplicate", **_hot(checks))
-        add("DUPLICATE_RECORDS", None, F.col("__duplicate"))
+        add("DUPLICATE_RECORDS", None, "__duplicate")
     for c in checks.columns(df):
-        add("MISSING_VALUES", c, F.col(c).isNull())
+        add("MISSING_VALUES", c, f"{sql.name(c)} is null")
     for c in checks.outlier_columns(df):
         add("POTENTIAL_OUTLIERS", c, _is_outlier(c))
-    return rows.select(
-        checks.by, checks.row_id, F.explode(F.array_compact(F.array(*kinds))).alias("k")
-    ).select(checks.by, "k.*", checks.row_id)
+    listed = F.expr(f"explode(array_compact(array({', '.join(kinds)}))) as k")
+    return rows.select(checks.by, checks.row_id, listed).select(checks.by, "k.*", checks.row_id)
 
 
 def _hot(checks: Checks) -> dict:
@@ -343,7 +347,7 @@ def quality_report(df: DataFrame, checks: Checks = Checks()) -> QualityReport:
     wide = _joined(measured.statistics, key_statistics(df, checks), checks.by)
     if columns := checks.outlier_columns(df):
         counted = _with_fences(df, fences, measured.files, checks).groupBy(checks.by).agg(
-            *[F.count_if(_is_outlier(c)).alias(f"{c}__outliers") for c in columns]
+            *[F.expr(f"count_if({_is_outlier(c)}) as {sql.name(f'{c}__outliers')}") for c in columns]
         )
         wide = _joined(wide, counted, checks.by)
     wide = materialise(_issues(wide, df, checks))

@@ -14,8 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from tidegate.functions import sqltext as sql
 from tidegate.operators.skew import join_groups
 from tidegate.session import materialise
 
@@ -29,13 +30,17 @@ SLICES = 4096
 def bracket_aggregates(columns: Sequence[str], probabilities: Sequence[float], accuracy: int = ACCURACY) -> list[Column]:
     """Aggregates for step 1: non-null count and bracket ends per column."""
     ends = [p for q in probabilities for p in (max(q - _PAD / accuracy, 0.0), min(q + _PAD / accuracy, 1.0))]
+    listed = ", ".join(f"{float(p)!r}D" for p in ends)
     aggregates = []
     for c in columns:
-        whole = F.array(*[x for _ in probabilities for x in (F.min(c), F.max(c))])
-        sketched = F.percentile_approx(c, [float(p) for p in ends], accuracy)
+        column = sql.name(c)
+        whole = ", ".join(f"min({column}), max({column})" for _ in probabilities)
         aggregates += [
-            F.count(c).alias(f"__{c}_count"),
-            F.when(F.count(c) < accuracy, whole).otherwise(sketched).alias(f"__{c}_ends"),
+            F.expr(f"count({column}) as {sql.name(f'__{c}_count')}"),
+            F.expr(
+                f"case when count({column}) < {accuracy} then array({whole})"
+                f" else percentile_approx({column}, array({listed}), {accuracy}) end as {sql.name(f'__{c}_ends')}"
+            ),
         ]
     return aggregates
 
@@ -61,73 +66,75 @@ def quantiles_within(
         df.select(*by, *columns, *spread), brackets.select(*by, size, *needed), by, size, spread_by, "inner", **limits
     )
 
-    def element(c: str, i: int) -> Column:
-        low, high = F.col(f"__{c}_ends")[2 * i].cast("double"), F.col(f"__{c}_ends")[2 * i + 1].cast("double")
-        value = F.col(c).cast("double")
-        share = F.try_divide(value - low, high - low)
-        cut = F.when(share.between(0.0, 1.0), F.floor(share * SLICES)).otherwise(0)
-        inside = value >= low
-        return F.when(
-            value <= high,
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(i).alias("i"),
-                F.col(f"__{c}_count").alias("total"),
-                F.when(inside, cut).alias("slice"),
-                F.when(inside, value).alias("value"),
-            ),
-        )
-
-    elements = F.array_compact(F.array(*[element(c, i) for c in columns for i in range(len(probabilities))]))
+    elements = ", ".join(_element(c, i) for c in columns for i in range(len(probabilities)))
     group = [*by, "column", "i", "total"]
     counted = (
-        rows.select(*by, F.explode(elements).alias("e"))
+        rows.select(*by, F.expr(f"explode(array_compact(array({elements}))) as e"))
         .select(*by, "e.*")
         .groupBy(*group, "slice", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.expr("count(1) as n"))
     )
-    wanted = F.lit(None)
-    for i, p in enumerate(probabilities):
-        wanted = F.when(F.col("i") == i, F.lit(float(p))).otherwise(wanted)
-    position = (F.col("total") - 1) * wanted.cast("double")
-
-    def running(over: Sequence[str], order: str) -> Column:
-        ordered = Window.partitionBy(*over).orderBy(F.col(order).asc_nulls_first())
-        return F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    wanted = " ".join(f"when {i} then {float(p)!r}D" for i, p in enumerate(probabilities))
 
     # The values below a bracket form its null slice, which comes first.
     slices = (
-        counted.groupBy(*group, "slice").agg(F.sum("n").alias("n"))
-        .withColumn("upto", running(group, "slice"))
-        .withColumn("before", F.col("upto") - F.col("n"))
-        .withColumn("position", position)
+        counted.groupBy(*group, "slice")
+        .agg(F.expr("sum(n) as n"))
+        .withColumn("upto", _running(group, "slice"))
+        .selectExpr(*map(sql.name, [*group, "slice"]), "upto", "upto - n as before",
+                    f"(total - 1) * case i {wanted} end as position")
         .where("slice is not null and before <= ceil(position) and floor(position) < upto")
-        .select(*group, "slice", "before", "position")
+        .drop("upto")
     )
     spot = [*group, "slice"]
-    right = slices.withColumnsRenamed({c: f"__r_{c}" for c in spot})
-    same = F.expr(" and ".join(f"`{c}` <=> `__r_{c}`" for c in spot))
-    hit = counted.where("value is not null").join(right, same).drop(*[f"__r_{c}" for c in spot])
-    ranked = hit.withColumn("upto", F.col("before") + running([*spot, "before", "position"], "value"))
+    right = {c: f"__r_{c}" for c in spot}
+    # Null-safe on purpose: a plain comparison would push a filter below one of the
+    # two uses of ``counted``, and the data would be read twice instead of once.
+    hit = counted.join(slices.withColumnsRenamed(right), F.expr(sql.same(right))).drop(*right.values())
+    ranked = hit.withColumn("upto", F.col("before") + _running([*spot, "before", "position"], "value"))
+
+    found, results = [], []
+    for c in columns:
+        for i in range(len(probabilities)):
+            place, result = f"column = {sql.text(c)} and i = {i}", f"{c}_q{i}"
+            found.append(f"max(case when {place} then position end) as {sql.name(f'__{result}_at')}")
+            for end, rank in (("lower", "floor(position)"), ("upper", "ceil(position)")):
+                held = f"{place} and upto - n <= {rank} and {rank} < upto"
+                found.append(f"max(case when {held} then value end) as {sql.name(f'__{result}_{end}')}")
+            results.append(_interpolated(result))
+    return ranked.groupBy(*by).agg(*map(F.expr, found)).selectExpr(*map(sql.name, by), *results)
+
+
+def _running(over: Sequence[str], order: str) -> Column:
+    partition = ", ".join(map(sql.name, over))
+    return F.expr(
+        f"sum(n) over (partition by {partition} order by {order} asc nulls first"
+        " rows between unbounded preceding and current row)"
+    )
 
-    def at(rank: Column) -> Column:
-        held = (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))
-        return F.max(F.when(held, F.col("value")))
 
-    neighbours = ranked.groupBy(*group, "position").agg(
-        at(F.floor("position")).alias("lower"), at(F.ceil("position")).alias("upper")
+def _element(c: str, i: int) -> str:
+    """One value of column ``c`` as seen by probability ``i``: inside its bracket, below it, or nothing."""
+    value, ends = f"cast({sql.name(c)} as double)", sql.name(f"__{c}_ends")
+    low, high = f"cast({ends}[{2 * i}] as double)", f"cast({ends}[{2 * i + 1}] as double)"
+    share = f"try_divide({value} - {low}, {high} - {low})"
+    cut = f"case when {share} between 0 and 1 then floor({share} * {SLICES}) else 0 end"
+    return (
+        f"case when {value} <= {high} then named_struct('column', {sql.text(c)}, 'i', {i},"
+        f" 'total', {sql.name(f'__{c}_count')}, 'slice', case when {value} >= {low} then {cut} end,"
+        f" 'value', case when {value} >= {low} then {value} end) end"
     )
-    part = F.col("position") - F.floor("position")
-    gap = F.col("upper") - F.col("lower")
-    mixed = F.when(part >= 0.5, F.col("upper") - gap * (1 - part)).otherwise(F.col("lower") + gap * part)
+
+
+def _interpolated(result: str) -> str:
+    at, lower, upper = (sql.name(f"__{result}_{x}") for x in ("at", "lower", "upper"))
+    part, gap = f"({at} - floor({at}))", f"({upper} - {lower})"
     # A rank outside its bracket would mean a broken sketch: stop, do not go on with a wrong bound.
-    safe = F.when(mixed.isNull(), F.raise_error(F.lit("quantile rank outside its bracket"))).otherwise(mixed)
-    return neighbours.groupBy(*by).agg(
-        *[
-            F.max(F.when((F.col("column") == c) & (F.col("i") == i), safe)).alias(f"{c}_q{i}")
-            for c in columns
-            for i in range(len(probabilities))
-        ]
+    return (
+        f"case when {at} is null then null"
+        f" when {lower} is null or {upper} is null then raise_error('quantile rank outside its bracket')"
+        f" when {part} >= 0.5 then {upper} - {gap} * (1 - {part}) else {lower} + {gap} * {part} end"
+        f" as {sql.name(result)}"
     )
 
 
@@ -162,5 +169,6 @@ def group_quantiles(
     found = quantiles_within(df, brackets, by, columns, probabilities, size, spread_by, **limits)
     # Groups without any value have no quantile but stay in the result.
     keys = {c: f"__g_{c}" for c in by}
-    same = F.expr(" and ".join(f"`{c}` <=> `{n}`" for c, n in keys.items()))
-    return brackets.select(*by).join(found.withColumnsRenamed(keys), same, "left").drop(*keys.values())
+    return brackets.select(*by).join(
+        found.withColumnsRenamed(keys), F.expr(sql.same(keys)), "left"
+    ).drop(*keys.values())

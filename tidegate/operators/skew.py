@@ -10,11 +10,10 @@ slice.  The result is the same either way.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tidegate.session import materialise
+from tidegate.functions import sqltext as sql
 
 # Rows of one group that one task may receive.
 HOT_ROWS = 2_000_000
@@ -27,22 +26,12 @@ BROADCAST_ROWS = 200_000
 _SLICE = "__slice"
 
 
-def same_group(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str = "__k_") -> Column:
-    """Null-safe equality of ``keys`` with their ``prefix``ed copies on the right."""
-    return reduce(
-        lambda a, b: a & b, [left[k].eqNullSafe(right[prefix + k]) for k in keys], F.lit(True)
-    )
-
-
-def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str = "__k_") -> DataFrame:
-    return df.withColumnsRenamed({k: prefix + k for k in keys})
-
-
 def _join(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str, small: bool) -> DataFrame:
-    right = _prefixed(groups, keys)
-    condition = same_group(rows, right, keys)
-    joined = rows.join(F.broadcast(right) if small else right, condition, how)
-    return joined.drop(*["__k_" + k for k in keys])
+    """Null-safe join on ``keys``; the columns of ``rows`` come first."""
+    renamed = {k: f"__k_{k}" for k in keys}
+    right = groups.withColumnsRenamed(renamed)
+    joined = rows.join(F.broadcast(right) if small else right, F.expr(sql.same(renamed)), how)
+    return joined.drop(*renamed.values())
 
 
 def sliced_join(
@@ -92,5 +81,3 @@ def join_groups(
         return _join(rows, groups, keys, how, small=True)
     return sliced_join(rows, groups, keys, size, spread_by, how, hot_rows)
 
-
-__all__ = ["BROADCAST_ROWS", "HOT_GROUPS", "HOT_ROWS", "join_groups", "materialise", "same_group", "sliced_join"]
