@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-from tidegate.functions.filenames import basename
+from tidegate.functions.filenames import basename, bind
 
 # The cycle names a feed may carry.
 INTRADAY_1 = "Intraday 1"
@@ -25,22 +25,22 @@ def cycle_of_filename(name: Column) -> Column:
     One digit follows ``intraday``; anything but 1 to 3 falls through to the
     other names.
     """
-    base = F.lower(basename(name))
-    digit = F.regexp_extract(base, r"(?U)intraday\s*(\d)", 1)
-    return (
-        F.when(digit == "1", F.lit(INTRADAY_1))
-        .when(digit == "2", F.lit(INTRADAY_2))
-        .when(digit == "3", F.lit(INTRADAY_3))
-        .when(base.contains("timely"), F.lit(TIMELY))
-        .when(base.contains("evening"), F.lit(EVENING))
-        .when(base.contains("final"), F.lit(FINAL))
-    )
+    def named(base: Column) -> Column:
+        digit = F.right(F.regexp_substr(base, F.lit(r"(?U)intraday\s*\d")), F.lit(1))
+        return (
+            F.when(base.contains("intraday") & digit.isin("1", "2", "3"), F.concat(F.lit("Intraday "), digit))
+            .when(base.contains("timely"), F.lit(TIMELY))
+            .when(base.contains("evening"), F.lit(EVENING))
+            .when(base.contains("final"), F.lit(FINAL))
+        )
+
+    return bind(F.lower(basename(name)), named)
 
 
 def intraday_label(name: Column) -> Column:
     """``Intraday <digits>`` with every digit kept, or null; used for lineage."""
-    digits = F.regexp_extract(F.lower(name), r"(?U)intraday\s*(\d+)", 1)
-    return F.when(digits != "", F.concat(F.lit("Intraday "), digits))
+    found = F.regexp_substr(F.lower(name), F.lit(r"(?U)intraday\s*\d+"))
+    return F.regexp_replace(found, r"(?U)^intraday\s*", "Intraday ")
 
 
 def cycle_id(cycle_name: Column) -> Column:
@@ -49,9 +49,8 @@ def cycle_id(cycle_name: Column) -> Column:
 
 def is_allowed_cycle(cycle_name: Column, allowed: Sequence[str] = ALLOWED_CYCLES) -> Column:
     """True for names in ``allowed``; null and empty names are never allowed."""
-    if not allowed:
-        return F.lit(False)
-    return F.coalesce((cycle_name != "") & cycle_name.isin(*allowed), F.lit(False))
+    named = [a for a in allowed if a]
+    return F.coalesce(cycle_name.isin(*named), F.lit(False)) if named else F.lit(False)
 
 
 def expected_cycles(ts: Column) -> Column:

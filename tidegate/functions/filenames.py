@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used.
+
+    Without it an expression that is used several times, above all in a filter,
+    is copied to every place.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def basename(path: Column) -> Column:
     """Last component of a slash-separated path; trailing ``/`` and ``/.`` do not count."""
-    trimmed = F.regexp_replace(F.regexp_replace(path, r"(/+\.?)+$", ""), r"^\.$", "")
-    return F.substring_index(trimmed, "/", -1)
+    return F.regexp_extract(path, r"((?!\.(?:/|$))[^/]++)(?:/++\.?)*$", 1)
 
 
 def scanned_name() -> Column:
@@ -41,16 +51,15 @@ def safe_filename(name: Column, now: Column | None = None) -> Column:
     last = F.when(name.contains("\\"), F.substring_index(name, "\\", -1)).otherwise(basename(name))
     clean = F.regexp_replace(last, r'[<>:"/|?*]', "_")
     unnamed = F.concat(F.lit("unnamed_"), F.floor(now).cast("string"), F.lit(".csv"))
-    return (
-        F.when(F.coalesce(name, F.lit("")) == "", F.lit("unnamed_file.csv"))
-        .when((clean == "") | clean.startswith("."), unnamed)
-        .otherwise(clean)
+    usable = bind(clean, lambda c: F.when((c != "") & ~c.startswith("."), c))
+    return F.when(F.coalesce(name, F.lit("")) == "", F.lit("unnamed_file.csv")).otherwise(
+        F.coalesce(usable, unnamed)
     )
 
 
 def filename_of_response(disposition: Column, endpoint: Column, day: Column, fmt: str = "csv") -> Column:
     """File name offered by a Content-Disposition header, or one built from the request."""
-    offered = F.nullif(F.regexp_extract(disposition, r'filename="?([^"]+)"?', 1), F.lit(""))
+    offered = F.regexp_replace(F.regexp_substr(disposition, F.lit('filename="?[^"]+')), '^filename="?', "")
     built = F.concat(
         endpoint_folder(endpoint), F.lit("_"), F.date_format(day, "yyyyMMdd"), F.lit(f".{fmt}")
     )
@@ -59,11 +68,5 @@ def filename_of_response(disposition: Column, endpoint: Column, day: Column, fmt
 
 def date_text_of_filename(name: Column) -> Column:
     """``yyyy-MM-dd`` text for the first ``MM-DD-YYYY`` in a name, not validated, or null."""
-    found = r"(\d{2})-(\d{2})-(\d{4})"
-    text = F.concat_ws(
-        "-",
-        F.regexp_extract(name, found, 3),
-        F.regexp_extract(name, found, 1),
-        F.regexp_extract(name, found, 2),
-    )
-    return F.when(F.regexp_like(name, F.lit(found)), text)
+    found = F.regexp_substr(name, F.lit(r"\d{2}-\d{2}-\d{4}"))
+    return F.regexp_replace(found, r"(\d{2})-(\d{2})-(\d{4})", "$3-$1-$2")

@@ -76,7 +76,12 @@ def cache_key(
         named = F.concat(F.lit("_"), F.replace(F.lower(cycle_name), F.lit(" "), F.lit("_")))
         part = F.when(F.coalesce(cycle_name, F.lit("")) != "", named).otherwise(part)
     tail = F.lit("") if params is None else F.coalesce(sorted_text(params), F.lit(""))
-    return F.concat(endpoint, F.lit("_"), F.date_format(day, "yyyyMMdd"), part, F.lit("_"), tail)
+    return F.concat(key_start(endpoint, day), part, F.lit("_"), tail)
+
+
+def key_start(endpoint: Column, day: Column) -> Column:
+    """The part of a cache key that all cycles of a day share."""
+    return F.concat(endpoint, F.lit("_"), F.date_format(day, "yyyyMMdd"))
 
 
 def cache_key_parts(key: Column) -> Column:

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidegate.functions import sqltext as sql
 from tidegate.functions.cycles import ALLOWED_CYCLES, is_allowed_cycle
 from tidegate.functions.dates import backfill_days
 from tidegate.functions.filenames import endpoint_folder
 from tidegate.functions.params import combinations
-from tidegate.functions.requests import cache_key
+from tidegate.functions.requests import key_start
 from tidegate.sources.feed import MIN_BYTES
 from tidegate.sources.ledger import is_fresh, latest_entries
 
@@ -60,26 +61,34 @@ def _fresh_keys(requests: DataFrame, ledger: DataFrame, now: float | Column, ttl
     the ledger before any file is matched.
     """
     now = F.lit(float(now)) if isinstance(now, (int, float)) else now
-    key = F.concat(
-        cache_key(F.col("endpoint"), F.col("day"), cycle_name=F.col("cycle_name")), F.col("param_text")
-    )
+    names = [
+        F.struct(F.lit(a).alias("cycle_name"), F.lit(f"_{a.lower().replace(' ', '_')}_").alias("ending"))
+        for a in allowed
+        if a
+    ]
     asked = (
         requests.select(*REQUEST_KEY)
-        .withColumn("cycle_name", F.explode(F.array(*[F.lit(a) for a in allowed])))
-        .withColumn("cache_key", key)
-        .withColumn("date", F.date_format("day", "yyyyMMdd"))
+        .withColumn("start", key_start(F.col("endpoint"), F.col("day")))
+        .withColumn("date", F.substring_index("start", "_", -1))
+        .withColumn("name", F.explode(F.array(*names)))
+        .withColumn("cache_key", F.concat("start", "name.ending", "param_text"))
+        .select(*REQUEST_KEY, "date", "name.cycle_name", "cache_key")
     )
     fresh = latest_entries(ledger).where(is_fresh(F.col("ts"), now, F.lit(float(ttl))))
     return asked.join(fresh, "cache_key")
 
 
 def _answers(asked: DataFrame, available: DataFrame, how: str) -> DataFrame:
-    """Match on cycle number where one was asked for, else on the rest alone."""
-    by_name = ["endpoint", "date", "cycle_name"]
-    numbered = asked.where(F.col("cycle").isNotNull()).withColumn("requested_cycle", F.col("cycle"))
-    exact = numbered.join(available, [*by_name, "requested_cycle"], how).drop("requested_cycle")
-    loose = asked.where(F.col("cycle").isNull()).join(available.drop("requested_cycle").distinct(), by_name, how)
-    return exact.unionByName(loose)
+    """Match by endpoint, day, cycle name and the cycle number asked for.
+
+    Each file also stands under a null number, which is what a request for any
+    cycle asks for: one equi-join serves both kinds of request.
+    """
+    either = F.explode(F.array("requested_cycle", F.lit(None).cast("int")))
+    offered = available.withColumn("requested_cycle", either).distinct()
+    keys = {"endpoint": "__endpoint", "date": "__date", "cycle_name": "__cycle_name", "cycle": "requested_cycle"}
+    renamed = {k: v for k, v in keys.items() if k != "cycle"}
+    return asked.join(offered.withColumnsRenamed(renamed), F.expr(sql.same(keys)), how)
 
 
 def cached_files(
@@ -127,6 +136,6 @@ def pending_requests(
         "endpoint", "date", "cycle_name", "requested_cycle"
     ).distinct()
     answered = _answers(_fresh_keys(requests, ledger, now, ttl, allowed), kinds, "left_semi")
-    done = answered.select(*[F.col(k).alias(f"__{k}") for k in REQUEST_KEY]).distinct()
-    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in REQUEST_KEY]
-    return requests.join(done, same[0] & same[1] & same[2] & same[3], "left_anti")
+    renamed = {k: f"__{k}" for k in REQUEST_KEY}
+    done = answered.select(*REQUEST_KEY).distinct().withColumnsRenamed(renamed)
+    return requests.join(done, F.expr(sql.same(renamed)), "left_anti")
