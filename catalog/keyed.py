@@ -194,8 +194,8 @@ def stored_load_without_key(spark, sf_dir):
 
 
 @query("check_split", """
-select c_custkey, c_acctbal as dc, case when c_mktsegment = 'BUILDING' then null else c_nationkey - 1.0 end as opc,
-  coalesce(c_acctbal >= 0 and (case when c_mktsegment = 'BUILDING' then null else c_nationkey - 1.0 end) >= 0, true) as accepted
+select c_custkey, c_acctbal as dc, case when c_mktsegment = 'BUILDING' then null else cast(c_nationkey as double) - 1 end as opc,
+  coalesce(c_acctbal >= 0 and (case when c_mktsegment = 'BUILDING' then null else cast(c_nationkey as double) - 1 end) >= 0, true) as accepted
 from customer
 """)
 def check_split(spark, sf_dir):

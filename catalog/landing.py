@@ -36,10 +36,10 @@ def readings(spark, sf_dir):
     )
 
 
-def land(rows, path: str, *order: str) -> None:
+def land(rows, path: str) -> None:
     """Write CSV files per day and kind, each a run of events in order."""
     (
-        rows.repartitionByRange(8, F.col("Event").cast("long"))
+        rows.repartitionByRange(F.col("Event").cast("long"))
         .sortWithinPartitions("day", "kind", F.col("Event").cast("long"))
         .write.mode("append").option("header", True).option("escape", '"').partitionBy("day", "kind").csv(path)
     )
@@ -173,7 +173,7 @@ def tables_lineage() -> list[str]:
 
 _ROW_LINEAGE = """
 select l_orderkey, l_linenumber, l_partkey, cast(o_orderdate as date) as measure_date, 'Unknown_Cycle' as cycle_id,
-  1706745600.0 as download_timestamp
+  cast(1706745600 as double) as download_timestamp
 from lineitem left join orders on l_orderkey = o_orderkey
 """
 

@@ -132,7 +132,7 @@ named as (
     end as cycle_name
   from answered
 )
-select concat('zone/', o_orderpriority) as endpoint, length(cast(o_custkey as varchar)) as requested_cycle, cycle_name,
+select concat('zone/', o_orderpriority) as endpoint, cast(length(cast(o_custkey as varchar)) as integer) as requested_cycle, cycle_name,
   strftime(o_orderdate, '%Y%m%d') as date, original_filename,
   case o_orderstatus when 'F' then concat('oac_EVENING_', o_custkey, '.csv') else original_filename end as saved_filename,
   strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') as download_time, cast(epoch(o_orderdate) as double) as download_timestamp

@@ -160,7 +160,11 @@ def test_stream_of_files(spark, tmp_path):
     assert rows.where("loc = 'L1' and cycle_id = 'Evening'").first()["dc"] == 500.0
     reports = spark.read.json(str(tmp_path / "reports" / "reports"))
     assert {r["file_name"] for r in reports.select("file_name").collect()} == {
-        "oac%20intraday%201.csv", "oac%20evening.csv", "oac%20bad.csv", "late%20evening.csv"}
+        "oac intraday 1.csv", "oac evening.csv", "oac bad.csv", "late evening.csv"}
+    bad = reports.where("file_name = 'oac bad.csv'").first()
+    # Rows that were set aside are checked as well; what could not be typed counts as missing.
+    assert bad["summary"]["record_count"] == 15
+    assert any(i["description"] == "Missing values in dc: 5 records affected" for i in bad["issues"])
     assert spark.read.parquet(str(tmp_path / "quarantine" / "rejected")).count() == 5
 
 

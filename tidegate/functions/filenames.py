@@ -21,12 +21,14 @@ def basename(path: Column) -> Column:
     return F.regexp_extract(path, r"((?!\.(?:/|$))[^/]++)(?:/++\.?)*$", 1)
 
 
-def scanned_name() -> Column:
+def scanned_name(encoded: Column | None = None) -> Column:
     """Name of the file a scanned row comes from.
 
-    Spark reports it percent-encoded, but for ``+``, which stands for itself.
+    Spark reports names and paths percent-encoded, but for ``+``, which stands
+    for itself.
     """
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    encoded = F.col("_metadata.file_name") if encoded is None else encoded
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
 def stem(name: Column) -> Column:

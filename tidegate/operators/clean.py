@@ -66,6 +66,12 @@ def split_casts(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -
     return accepted, checked.where(F.size(CAST_ERRORS) > 0)
 
 
+def typed_leniently(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """All rows, columns typed as ``schema`` says; what does not fit becomes null."""
+    known = {f.name: f.dataType for f in schema}
+    return df.withColumns({c: F.col(c).try_cast(known[c]) for c in df.columns if c in known})
+
+
 def infer_types(df: DataFrame) -> DataFrame:
     """Type text columns by their content: bigint, double, boolean or string.
 

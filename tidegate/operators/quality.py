@@ -41,7 +41,7 @@ class Checks:
     lower: str = "available"
     location: str = "location"
     no_outliers: tuple[str, ...] = ("date", "cycle")
-    helpers: tuple[str, ...] = ()
+    helpers: tuple[str, ...] = ("file_path", "file_size", "file_modified", "block_start")
     accuracy: int = ACCURACY
     limits: dict = field(default_factory=dict)
 

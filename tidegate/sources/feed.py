@@ -110,7 +110,11 @@ def read_feed_stream(
 
 
 def union_feeds(*feeds: DataFrame) -> DataFrame:
-    """Feeds of different layouts in one frame; a column one of them lacks is null there."""
+    """Feeds of different layouts in one frame; a column one of them lacks is null there.
+
+    Where the table must keep its values for such a column, load the layouts one
+    after the other instead: an upsert writes nulls it is given.
+    """
     out = feeds[0]
     for feed in feeds[1:]:
         out = out.unionByName(feed, allowMissingColumns=True)

@@ -8,10 +8,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidegate.operators.clean import typed_leniently
+from tidegate.operators.lineage import files_of
 from tidegate.operators.quality import Checks, quality_report
 from tidegate.plans.loads import ROW_ORDER, prepare
 from tidegate.plans.recipes import Load, run_recipe
-from tidegate.schema import KEY_COLUMNS
+from tidegate.schema import KEY_COLUMNS, capacity_schema
 from tidegate.sources.feed import with_row_index
 from tidegate.sources.sidecars import read_sidecars
 from tidegate.sources.tables import merge_into, stage, staging_path, write_report
@@ -32,6 +34,14 @@ def start(stream: DataFrame, step: BatchStep, checkpoint: str, every: str | None
     return writer.trigger(**trigger).start()
 
 
+def _merge(
+    batch: DataFrame, number: int, table: str, writer: str, order_by: Sequence[str], keys: Sequence[str],
+    schema: T.StructType | None, partition_by: str, now: float | None,
+) -> None:
+    stamp = None if now is None else F.timestamp_seconds(F.lit(now))
+    merge_into(batch.sparkSession, table, batch, order_by, keys, schema, partition_by, stamp, number, writer)
+
+
 def upsert_step(
     table: str,
     checkpoint: str,
@@ -41,14 +51,16 @@ def upsert_step(
     partition_by: str = "measure_date",
     now: float | None = None,
 ) -> BatchStep:
-    """Upsert a micro-batch; a repeated batch is finished, never loaded twice."""
+    """Upsert a micro-batch; a repeated batch is finished, never loaded twice.
+
+    The batch is staged first: its days, its keyed and its keyless rows are then
+    read from a table, and the source is scanned once.
+    """
 
     def run(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        stamp = None if now is None else F.timestamp_seconds(F.lit(now))
-        merge_into(
-            spark, table, batch, order_by, keys, schema, partition_by, stamp, number, stream_id(spark, checkpoint)
-        )
+        writer = stream_id(batch.sparkSession, checkpoint)
+        rows = stage(batch, f"{staging_path(table, number, writer)}-rows")
+        _merge(rows, number, table, writer, order_by, keys, schema, partition_by, now)
 
     return run
 
@@ -66,25 +78,26 @@ def feed_step(
 ) -> BatchStep:
     """Process the files of a micro-batch, upsert them, and report on their quality.
 
-    Sidecars are read per batch, as they land together with the files.  The
-    rows are staged once; every output is written under the batch number, so
+    The sidecars of the batch's files are read with it, as they land together.
+    Rows are staged once; every output is written under the batch number, so
     that a repeated batch replaces what it wrote before.
     """
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        load = Load(sidecars=read_sidecars(spark, sidecars), now=now)
-        place = f"{staging_path(table, number, stream_id(spark, checkpoint))}-rows"
+        writer = stream_id(spark, checkpoint)
+        place = f"{staging_path(table, number, writer)}-rows"
         rows = stage(with_row_index(batch), f"{place}/raw")
+        load = Load(sidecars=read_sidecars(spark, sidecars, files_of(rows)), now=now)
         processed = stage(run_recipe(rows, kind, load), f"{place}/processed")
         prepared = prepare(processed)
-        upsert_step(table, checkpoint, ROW_ORDER, keys, now=now)(prepared.accepted, number)
+        _merge(prepared.accepted, number, table, writer, ROW_ORDER, keys, None, "measure_date", now)
         if quarantine:
             for name, frame in (("uncastable", prepared.uncastable), ("rejected", prepared.rejected)):
                 frame.write.mode("overwrite").parquet(f"{quarantine}/{name}/batch={number}")
         if reports:
-            typed = prepared.accepted.withColumn("file_name", F.element_at(F.split("file_path", "/"), -1))
-            write_report(quality_report(typed.drop("file_path"), checks), reports, f"batch-{number}", checks.by)
+            checked = quality_report(typed_leniently(processed, capacity_schema()), checks)
+            write_report(checked, reports, f"batch-{number}", checks.by)
 
     return run
 
