@@ -350,12 +350,12 @@ def na_texts(spark, sf_dir):
 
 
 @query("rounding", """
-select event_id, round(value / 7, 4) as four, round(sqrt(value), 2) as two, round(value, 0) as whole
-from events where value <> floor(value) + 0.5
+select event_id, round(value / 7, 4) as four, round(sqrt(value), 2) as two, round_even(value, 0) as whole
+from events
 """)
 def rounding(spark, sf_dir):
     value = F.col("value")
-    return table(spark, sf_dir, "events").where(value != F.floor(value) + 0.5).select(
+    return table(spark, sf_dir, "events").select(
         "event_id",
         numbers.round_exact(value / 7, 4).alias("four"),
         numbers.round_exact(F.sqrt(value), 2).alias("two"),

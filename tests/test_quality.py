@@ -177,3 +177,19 @@ def test_stored_report(spark, tmp_path):
     assert set(line) == {"file_name", "summary", "metrics", "issues", "issue_counts", "run_date"}
     assert line["summary"]["record_count"] == 120 and line["summary"]["issue_count"] == len(line["issues"])
     assert sum(line["issue_counts"].values()) == len(line["issues"])
+
+
+def test_further_checks_count_like_built_in_ones(spark):
+    def zero_flow(rows):
+        return rows.where("flow = 0").groupBy("file_name").agg(F.count(F.lit(1)).alias("affected_count")).select(
+            "file_name", F.lit("ERROR").alias("severity"), F.lit("NO_FLOW").alias("type"), F.lit("flow").alias("column"),
+            F.lit("Flow stands still").alias("description"), "affected_count",
+        )
+
+    pdf = sample(6, 2)
+    plain, more = (q.quality_report(frame(spark, pdf), q.Checks(extra=e)) for e in ((), (zero_flow,)))
+    last = more.issues.where("file_name = 'f1'").orderBy(F.desc("issue_id")).first()
+    assert (last["type"], last["affected_count"]) == ("NO_FLOW", int(((pdf.file_name == "f1") & (pdf.flow == 0)).sum()))
+    scores = [r.summary.where("file_name = 'f1'").first() for r in (plain, more)]
+    assert scores[1]["issue_count"] == scores[0]["issue_count"] + 1
+    assert scores[1]["quality_score"] <= scores[0]["quality_score"]

@@ -44,6 +44,9 @@ class Checks:
     helpers: tuple[str, ...] = ("file_path", "file_size", "file_modified", "block_start")
     accuracy: int = ACCURACY
     limits: dict = field(default_factory=dict)
+    # Further checks: each maps the rows to findings, one line per file and finding, with
+    # the file, severity, type, column, description and affected_count.
+    extra: tuple[Callable[[DataFrame], DataFrame], ...] = ()
 
     def columns(self, df: DataFrame) -> list[str]:
         return [c for c in df.columns if c not in {self.by, self.row_id, *self.helpers}]
@@ -247,6 +250,20 @@ def _issues(wide: DataFrame, df: DataFrame, checks: Checks) -> DataFrame:
     return wide.withColumn("issues", F.expr(listed))
 
 
+def _with_extra(wide: DataFrame, df: DataFrame, checks: Checks) -> DataFrame:
+    """Findings of the further checks, put after the built-in ones."""
+    for check in checks.extra:
+        found = check(df).selectExpr(
+            sql.name(checks.by),
+            "named_struct('severity', severity, 'type', type, 'column', cast(column as string),"
+            " 'description', description, 'affected_count', cast(affected_count as bigint)) as issue",
+        )
+        listed = found.groupBy(checks.by).agg(F.array_sort(F.collect_list("issue")).alias("__more"))
+        added = _joined(wide, listed, checks.by)
+        wide = added.withColumn("issues", F.expr("concat(issues, coalesce(__more, array()))")).drop("__more")
+    return wide
+
+
 def severity_counts(issues: DataFrame, by: str = "file_name") -> DataFrame:
     return issues.groupBy(by, "severity").agg(F.count(F.lit(1)).alias("issue_count"))
 
@@ -350,7 +367,7 @@ def quality_report(df: DataFrame, checks: Checks = Checks()) -> QualityReport:
             *[F.expr(f"count_if({_is_outlier(c)}) as {sql.name(f'{c}__outliers')}") for c in columns]
         )
         wide = _joined(wide, counted, checks.by)
-    wide = materialise(_issues(wide, df, checks))
+    wide = materialise(_with_extra(_issues(wide, df, checks), df, checks))
     issues = wide.select(
         checks.by, F.posexplode("issues").alias("issue_id", "issue")
     ).select(checks.by, "issue_id", "issue.*")
