@@ -397,6 +397,21 @@ def two_layouts(spark, sf_dir):
     )
 
 
+@query("mixed_layouts", _READINGS + """
+select loc, dc, case when day < date '2024-01-16' then oac end as oac, event from readings
+""")
+def mixed_layouts(spark, sf_dir):
+    """The same two layouts side by side in one folder, told apart by their headers."""
+    path = scratch_path(spark, "mixed")
+    rows, change = readings(spark, sf_dir), F.lit("2024-01-16").cast("date")
+    for columns, when in ((["Loc", "DC", "OAC", "Event"], F.col("day") < change), (["Event", "Loc", "DC"], F.col("day") >= change)):
+        rows.where(when).select(*columns).write.mode("append").option("header", True).csv(path)
+    return source.read_layouts(spark, path, min_bytes=0).select(
+        "loc", F.col("dc").try_cast("double").alias("dc"), F.col("oac").try_cast("double").alias("oac"),
+        F.col("event").cast("bigint").alias("event"),
+    )
+
+
 @query("inferred_types", """
 with kinds as (
   select * from (values ('loc', 'bigint'), ('loc_name', 'string'), ('dc', 'double'), ('oac', 'bigint'), ('qty_reason', 'string'),

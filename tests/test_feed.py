@@ -68,6 +68,19 @@ def test_union_of_layouts(spark, tmp_path):
     assert both.where("dc is null").count() == both.where("oac is null").count() == 20
 
 
+def test_mixed_layouts_in_one_folder(spark, tmp_path):
+    write_feed(tmp_path / "a one.csv")
+    write_feed(tmp_path / "b.csv", 30, "Loc,OAC,Loc Name,Qty Reason")
+    write_feed(tmp_path / "c.csv", 25)
+    (tmp_path / "tiny.csv").write_text("other\n1\n")
+    rows = feed.with_row_index(feed.read_layouts(spark, str(tmp_path)))
+    assert {"loc", "loc_name", "dc", "oac", "qty_reason"} <= set(rows.columns) and "other" not in rows.columns
+    assert rows.where(F.col("row_id") == F.col("loc").cast("long")).count() == rows.count() == 75
+    b = rows.where("file_name = 'b.csv' and loc = '3'").first()
+    assert (b["oac"], b["loc_name"], b["dc"]) == ("name, 3", "3.5", None)
+    assert feed.read_layouts(spark, str(tmp_path), min_bytes=10**6).count() == 0
+
+
 def test_infer_types(spark):
     df = spark.createDataFrame(
         [("1", "1", "1.5", "True", "x", None, "true"), ("2", None, "2", "FALSE", "2", None, None)],

@@ -10,6 +10,10 @@ import __spark_entry__ as entry
 from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
+# No row is handed to Python, and nothing is joined without a key ...
+FORBIDDEN = ("EvalPython", "InPandas", "InArrow", "CartesianProduct")
+# ... but for the question whether a duplicate exists at all: one row or none.
+ONE_ROW_CHECK = ("dedup_collapse", "dedup_keep_null_keys", "feed_to_table")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
@@ -21,6 +25,9 @@ def con():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [n for n in FORBIDDEN if n in plan]
+    assert "NestedLoopJoin" not in plan or name in ONE_ROW_CHECK
     sql = entry.oracle_sql().get(name)
     if sql is None:
         assert df.count() >= 0

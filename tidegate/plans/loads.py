@@ -55,7 +55,8 @@ def load_folder(
     """Load every file of ``landing`` into the table; returns what was loaded and set aside.
 
     The files are parsed once: processed rows are staged beside the table, and
-    loading, quarantine and later quality checks read them from there.
+    loading, quarantine and later quality checks read them from there.  The
+    returned frames are good until the next load of the same table.
     """
     rows = with_row_index(read_feed(spark, landing, header, min_bytes=min_bytes))
     load = Load(

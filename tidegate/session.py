@@ -22,6 +22,7 @@ def build_session(app: str = "tidegate", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     builder = SparkSession.builder.appName(app)

@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from tidegate.functions.filenames import scanned_name
 from tidegate.functions.text import null_if_na
-from tidegate.sources.headers import clean_names, split_header
+from tidegate.session import materialise
+from tidegate.sources.headers import clean_names, file_headers, split_header
 
 CSV_GLOB = "*.[cC][sS][vV]"
 # Smaller files hold no more than a header.
 MIN_BYTES = 200
+# Files named in a filter at most; longer lists become a join.
+LISTED_FILES = 10_000
+MAX_LAYOUTS = 100
 # Columns that say where a row comes from.
 FILE_COLUMNS = ("file_name", "file_path", "file_size", "file_modified", "block_start")
 
@@ -92,6 +96,33 @@ def read_feed(
     return shape_feed(raw, names, min_bytes)
 
 
+def read_layouts(
+    spark: SparkSession, path: str, sep: str = ",", multi_line: bool = False, min_bytes: int = MIN_BYTES
+) -> DataFrame:
+    """Like ``read_feed`` for a folder whose files do not share one header.
+
+    One pass over the text finds the headers; each layout is then scanned with
+    its own names, and only its own files where their list is short enough to
+    prune the listing.
+    """
+    headers = materialise(file_headers(spark, path, CSV_GLOB, min_bytes))
+    layouts = headers.groupBy("header").agg(F.count(F.lit(1)).alias("files")).limit(MAX_LAYOUTS + 1).collect()
+    if len(layouts) > MAX_LAYOUTS:
+        raise ValueError(f"more than {MAX_LAYOUTS} different headers: these are hardly feed files of one kind")
+    if len(layouts) == 0:
+        return read_feed(spark, path, [], sep, multi_line, min_bytes)
+    feeds = []
+    for layout in layouts:
+        rows = read_feed(spark, path, split_header(layout["header"], sep), sep, multi_line, min_bytes)
+        own = headers.where(F.col("header") == layout["header"]).select("file_path")
+        if layout["files"] <= LISTED_FILES:
+            rows = rows.where(F.col("file_path").isin([r[0] for r in own.collect()]))
+        else:
+            rows = rows.join(own, "file_path", "left_semi").select(*rows.columns)
+        feeds.append(rows)
+    return union_feeds(*feeds)
+
+
 def read_feed_stream(
     spark: SparkSession,
     path: str,

@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterable, Sequence
 from itertools import count
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _NOT_WORD = re.compile(r"\W")
 
@@ -53,11 +53,14 @@ def split_header(line: str, sep: str = ",") -> list[str]:
     return distinct_names(fields)
 
 
-def file_headers(spark, path: str, glob: str = "*.[cC][sS][vV]") -> DataFrame:
+def file_headers(
+    spark: SparkSession, path: str, glob: str = "*.[cC][sS][vV]", min_bytes: int = 0
+) -> DataFrame:
     """First line of every file as ``(file_path, header)``: one pass over the text."""
     lines = (
         spark.read.option("pathGlobFilter", glob)
         .text(path)
+        .where(F.col("_metadata.file_size") >= min_bytes)
         .select(
             F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_block_start").alias("start"),

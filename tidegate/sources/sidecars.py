@@ -8,10 +8,9 @@ from tidegate.functions.cycles import cycle_of_filename, is_allowed_cycle
 from tidegate.functions.filenames import filename_of_response, safe_filename, scanned_name, stem
 from tidegate.operators.duplicates import last_per_key
 from tidegate.schema import SIDECAR_SCHEMA
-from tidegate.sources.feed import MIN_BYTES
+from tidegate.sources.feed import LISTED_FILES, MIN_BYTES
 
 SIDECAR_GLOB = "*.meta.json"
-LISTED_FILES = 10_000
 
 
 def read_sidecars(spark: SparkSession, path: str, of_files: DataFrame | None = None) -> DataFrame:

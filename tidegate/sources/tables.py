@@ -51,10 +51,9 @@ def touched_partitions(target: DataFrame, source: DataFrame, partition_by: str =
 
 
 def _write_partitions(rows: DataFrame, path: str, partition_by: str) -> None:
-    """Replace exactly the partitions ``rows`` holds; AQE evens out the files of a day."""
+    """Replace exactly the partitions ``rows`` holds."""
     (
-        rows.hint("rebalance", partition_by)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_by)
         .parquet(path)
@@ -95,7 +94,9 @@ def merge_into(
         merged = upsert(touched, source, order_by, keys, now, with_action=True)
         if counters is not None:
             merged = merged.observe(counters, *action_counts())
-        merged = merged.drop(ACTION)
+        # Rows of a day are brought together here, AQE evens out the days; the swap
+        # below is then a copy without a shuffle.
+        merged = merged.drop(ACTION).hint("rebalance", partition_by)
         if batch is None:
             merged.write.mode("overwrite").parquet(staged)
         else:
