@@ -17,7 +17,7 @@ from tidegate.functions.numbers import round_exact
 from tidegate.operators.clean import nan_to_null
 from tidegate.operators.duplicates import flag_duplicates
 from tidegate.operators.quantiles import ACCURACY, bracket_aggregates, quantiles_within
-from tidegate.operators.skew import join_groups
+from tidegate.operators.skew import BROADCAST_ROWS, join_groups
 from tidegate.schema import QUALITY_COLUMNS
 from tidegate.session import materialise
 
@@ -175,7 +175,7 @@ def _fences(df: DataFrame, measured: _Measured, checks: Checks) -> DataFrame:
             f"{high} + {FENCE}D * ({high} - {low}) as {sql.name(f'{c}__high')}",
         ]
     joined = _joined(lines, quartiles, checks.by)
-    return materialise(joined.selectExpr(sql.name(checks.by), "record_count", *bounds))
+    return joined.selectExpr(sql.name(checks.by), "record_count", *bounds)
 
 
 def _is_outlier(c: str) -> str:
@@ -190,8 +190,12 @@ def outlier_bounds(df: DataFrame, checks: Checks = Checks()) -> DataFrame:
 
 
 def _with_fences(df: DataFrame, fences: DataFrame, files: int, checks: Checks) -> DataFrame:
-    if not checks.outlier_columns(df):
+    ends = [f"{c}__{end}" for c in checks.outlier_columns(df) for end in ("low", "high")]
+    if not ends:
         return df
+    fences = fences.select(checks.by, "record_count", *ends)
+    if files > checks.limits.get("broadcast_rows", BROADCAST_ROWS):
+        fences = materialise(fences)  # used twice where it is not broadcast
     return join_groups(
         df, fences, [checks.by], "record_count", [checks.row_id], "inner", lines=files, **checks.limits
     )
@@ -363,8 +367,11 @@ def quality_report(df: DataFrame, checks: Checks = Checks()) -> QualityReport:
     fences = _fences(df, measured, checks)
     wide = _joined(measured.statistics, key_statistics(df, checks), checks.by)
     if columns := checks.outlier_columns(df):
+        # The fences are the same in all rows of a file; they are kept for the affected rows.
+        ends = [sql.name(f"{c}__{end}") for c in columns for end in ("low", "high")]
         counted = _with_fences(df, fences, measured.files, checks).groupBy(checks.by).agg(
-            *[F.expr(f"count_if({_is_outlier(c)}) as {sql.name(f'{c}__outliers')}") for c in columns]
+            *[F.expr(f"count_if({_is_outlier(c)}) as {sql.name(f'{c}__outliers')}") for c in columns],
+            *[F.expr(f"max({end}) as {end}") for end in ends],
         )
         wide = _joined(wide, counted, checks.by)
     wide = materialise(_with_extra(_issues(wide, df, checks), df, checks))
@@ -375,7 +382,7 @@ def quality_report(df: DataFrame, checks: Checks = Checks()) -> QualityReport:
         issues=issues,
         metrics=_metrics(wide, df, checks),
         summary=_summary(wide, df, checks),
-        find_rows=lambda: _issue_rows(df, fences, measured.files, checks),
+        find_rows=lambda: _issue_rows(df, wide, measured.files, checks),
     )
 
 
