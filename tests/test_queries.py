@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+import catalog
 from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -22,7 +23,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
