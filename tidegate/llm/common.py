@@ -163,6 +163,16 @@ def shard_slices(ordered: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
         yield int(shard[a]), slice(int(a), int(b))
 
 
+def by_shard(hashes: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of the hashes of each shard."""
+    shard = hashes >> np.uint64(64 - bits)
+    by = np.argsort(shard.astype(np.uint16) if bits <= 16 else shard, kind="stable")  # radix sort of short numbers
+    shard = shard[by]
+    firsts = runs(shard)
+    for a, b in zip(firsts, [*firsts[1:], len(by)]):
+        yield int(shard[a]), by[a:b]
+
+
 def blob(*arrays: np.ndarray) -> list[bytes]:
     return [np.ascontiguousarray(a).tobytes() for a in arrays]
 

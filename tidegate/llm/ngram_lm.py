@@ -290,18 +290,14 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]
 def _look_up(folder: str, bits: int, route: np.ndarray, key: np.ndarray, names: list[str]) -> list[np.ndarray]:
     """What the shards hold for the keys: the arrays of the names after the first, zero where there is nothing."""
     out: list[np.ndarray | None] = [None] * (len(names) - 1)
-    by = np.argsort(route >> np.uint64(64 - bits), kind="stable")
-    shards = (route >> np.uint64(64 - bits)).astype(np.int64)[by]
-    firsts = common.runs(shards)
-    for a, b in zip(firsts, [*firsts[1:], len(by)]):
-        held = arrays.load(folder, f"{names[0]}-{shards[a]}")
+    for shard, wanted in common.by_shard(route, bits):
+        held = arrays.load(folder, f"{names[0]}-{shard}")
         if held is None:
             continue
-        wanted = by[a:b]
         at = np.minimum(np.searchsorted(held, key[wanted]), len(held) - 1)
         hit = held[at] == key[wanted]
         for i, name in enumerate(names[1:]):
-            values = arrays.load(folder, f"{name}-{shards[a]}")
+            values = arrays.load(folder, f"{name}-{shard}")
             if out[i] is None:
                 out[i] = np.zeros((len(key), *values.shape[1:]), np.int64)
             out[i][wanted[hit]] = values[at[hit]]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import common, ngram_lm
+from tidegate.llm import common, ngram_lm, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,3 +25,32 @@ def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = ngram_lm.train(docs.where(~held_out), order=2)
     scores = ngram_lm.score(docs, model, keep=["doc_id", held_out.alias("held_out")])
     return scores.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+
+
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents")
+    levels = substring_dedup.repeated_windows(docs, min_words=13, longest=13)
+    return substring_dedup.remove_repeats(docs, levels, keep=["doc_id"], with_text=False).drop("longest_repeat")
+
+
+ORACLES["op2_substring_dedup"] = r"""
+with words as (
+  select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+starts as (
+  select r, doc_id, w, unnest(range(1, len(w) - 11)) as i from words),
+windows as (
+  select r, doc_id, i, sha256(array_to_string(w[i:i + 12], ' ')) as h from starts),
+firsts as (
+  select h, min(doc_id) as first from windows group by h having min(doc_id) < max(doc_id)),
+hits as (
+  select distinct r, i + k as i from windows join firsts using (h), range(13) as t(k) where first < doc_id),
+places as (
+  select r, doc_id, unnest(w) as word, generate_subscripts(w, 1) as i from words),
+marked as (
+  select p.r, p.word, p.i, h.i is not null as gone from places p left join hits h on p.r = h.r and p.i = h.i),
+counted as (
+  select r, sum(gone::int) as n_removed, string_agg(word, ' ' order by i) filter (where not gone) as kept from marked group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from words left join counted using (r)
+"""
