@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import common, ngram_lm, substring_dedup
+from tidegate.llm import common, decontaminate, language_id, ngram_lm, packing, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,3 +55,49 @@ counted as (
 select doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
 from words left join counted using (r)
 """
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents")
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"], with_ids=False)
+    return pieces.drop("continues")
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents")
+    held_out = common.fold(4) == 2
+    model = language_id.train(docs.where(~held_out))
+    return language_id.predict(docs, model, keep=["doc_id", held_out.alias("held_out")])
+
+
+@query
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (common.read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontaminate.scan(docs, benchmark, keep=["doc_id"]).drop("spans")
+
+
+ORACLES["op9_decontaminate"] = r"""
+with d as (
+  select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+bw as (
+  select item_id, least(len(w), 10) as n, array_to_string(w[i:i + 9], ' ') as h
+  from (select *, unnest(range(1, greatest(2, len(w) - 8))) as i from b where len(w) > 0)),
+sizes as (select distinct n from bw),
+dw as (
+  select r, i, n, array_to_string(w[i:i + n - 1], ' ') as h
+  from (select r, w, n, unnest(range(1, len(w) - n + 2)) as i from d, sizes)),
+hits as (select r, i, n, item_id from dw join bw using (n, h)),
+covered as (select r, count(distinct i + k) as n_hit from (select distinct r, i, n from hits), range(10) as t(k) where k < n group by r),
+items as (
+  select r, count(*) as n_items, string_agg(cast(item_id as varchar), ',' order by cast(item_id as varchar)) as listed
+  from (select distinct r, item_id from hits) group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join covered using (r) left join items using (r)
+"""
