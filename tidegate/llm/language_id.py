@@ -67,7 +67,7 @@ def grams(texts: list[str], buckets: int) -> tuple[list[np.ndarray], np.ndarray]
 
 
 def _flushes(batch: pa.RecordBatch) -> Iterator[slice]:
-    sizes = np.cumsum([len(x.as_buffer()) if x.is_valid else 0 for x in batch.column("text")])
+    sizes = np.cumsum([len(x.as_buffer()) if x.is_valid else 0 for x in batch.column("__text")])
     first = 0
     while first < batch.num_rows:
         done = sizes[first - 1] if first else 0
@@ -79,7 +79,7 @@ def _flushes(batch: pa.RecordBatch) -> Iterator[slice]:
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Count the n-grams of every row whose text and language are not null."""
     common.prepared(docs.sparkSession)
-    rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), common.text_bytes(text).alias("text"))
+    rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), common.text_bytes(text).alias("__text"))
     classes = rows.groupBy("lang").count().orderBy("lang").collect()  # one line per language
     languages = tuple(r["lang"] for r in classes)
     if not languages:
@@ -91,7 +91,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
         for batch in batches:
             own = batch.column("lang").to_pylist()
             for part in _flushes(batch):
-                texts = [x.as_py().decode() for x in batch.column("text")[part]]
+                texts = [x.as_py().decode() for x in batch.column("__text")[part]]
                 found, firsts = grams(texts, buckets)
                 for name in set(own[part]):
                     held = sums.setdefault(name, np.zeros(buckets, np.int64))
@@ -118,8 +118,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str |
     """Per row: ``lang_pred``, ``score`` (its posterior probability) and ``fit``, by how much more likely than under a
     uniform choice of buckets an n-gram is on average (natural logarithm; null for ``und``)."""
     spark = common.prepared(docs.sparkSession)
-    rows = docs.select(*keep, common.text_bytes(text).alias("text"))
-    kept = rows.drop("text").schema
+    rows = docs.select(*keep, common.text_bytes(text).alias("__text"))
+    kept = rows.drop("__text").schema
     held = spark.sparkContext.broadcast(model)  # MATRIX_BYTES at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +128,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str |
         for batch in batches:
             best, score, fit = [], [], []
             for part in _flushes(batch):
-                texts = [x.as_py().decode() for x in batch.column("text")[part]]
+                texts = [x.as_py().decode() for x in batch.column("__text")[part]]
                 found, firsts = grams(texts, own.buckets)
                 size = np.diff(firsts)
                 total = np.zeros((len(texts), len(own.languages)))
@@ -152,7 +152,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str |
                 best += np.where(some, top, len(names) - 1).tolist()
                 score += np.where(some, share, 0.0).tolist()
                 fit += [m if s else None for m, s in zip(mean.tolist(), some.tolist())]
-            carried = batch.drop_columns(["text"])
+            carried = batch.drop_columns(["__text"])
             columns = [pa.array(names[best], pa.string()), pa.array(score, pa.float64()), pa.array(fit, pa.float64())]
             yield pa.RecordBatch.from_arrays([*carried.columns, *columns], [*carried.schema.names, "lang_pred", "score", "fit"])
 

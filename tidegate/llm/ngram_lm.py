@@ -71,7 +71,7 @@ def _route(context: np.ndarray, key: np.ndarray, hot: np.ndarray) -> np.ndarray:
 
 def _sequences(batch: pa.RecordBatch, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes with ``order - 1`` starts before and one end after each text; tokens of each text."""
-    data, offsets = common.buffers(batch.column("text"))
+    data, offsets = common.buffers(batch.column("__text"))
     data = np.frombuffer(data.tobytes().translate(common.LOWER), np.uint8)
     starts, ends, firsts = common.word_spans(data, offsets)
     words = common.word_hashes(data, starts, ends)
@@ -98,7 +98,7 @@ def _flushes(batches: Iterator[pa.RecordBatch], order: int, most: int) -> Iterat
         s, t = _sequences(batch, order)
         sequences.append(s)
         tokens.append(t)
-        held.append(batch.drop_columns(["text"]))
+        held.append(batch.drop_columns(["__text"]))
         size += len(s)
         if size >= most:
             yield np.concatenate(sequences), np.concatenate(tokens), held
@@ -252,7 +252,7 @@ def train(docs: DataFrame, order: int = 2, text: str = "text") -> Model:
         raise ValueError("a model interpolates at least two orders")
     spark = common.prepared(docs.sparkSession)
     bits = common.shard_bits(docs, text)
-    texts = docs.select(common.text_bytes(text).alias("text"))
+    texts = docs.select(common.text_bytes(text).alias("__text"))
     hot = hot_contexts(texts, order)
     folder = scratch_path(spark, "ngrams")
 
@@ -337,8 +337,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str | Co
     ``keep`` names the columns of ``docs`` that the result carries besides.
     """
     common.prepared(docs.sparkSession)
-    rows = docs.select(*keep, common.text_bytes(text).alias("text"))
-    kept = rows.drop("text").schema
+    rows = docs.select(*keep, common.text_bytes(text).alias("__text"))
+    kept = rows.drop("__text").schema
     order, out = model.order, "n_tokens long, n_known long, base_score double, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

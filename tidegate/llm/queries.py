@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import common, decontaminate, language_id, ngram_lm, packing, substring_dedup
+from tidegate.llm import common, decontaminate, language_id, ngram_lm, packing, secret_scan, simhash, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -101,3 +101,13 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
   sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join covered using (r) left join items using (r)
 """
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(common.read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(common.read_table(spark, sf_dir, "documents"), keep=["doc_id"])
