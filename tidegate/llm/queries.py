@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import common, decontaminate, language_id, ngram_lm, packing, secret_scan, simhash, substring_dedup
+from tidegate.llm import common, decontaminate, language_id, nearest, ngram_lm, packing, quality, secret_scan, simhash, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -111,3 +111,16 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(common.read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+@query
+def op8_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(common.read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op7_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (common.read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    held_out = common.fold(4) == 2
+    model = quality.train(docs.where(~held_out), labels.where(~held_out))
+    return quality.score(docs, model, keep=["doc_id", held_out.alias("held_out")])
