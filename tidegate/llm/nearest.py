@@ -31,7 +31,8 @@ from tidegate.session import scratch_path
 #: Sample that the trees are fitted on: vectors and bytes at most; sample vectors per leaf at least.
 SAMPLE_ROWS, SAMPLE_BYTES, SAMPLE_PER_LEAF = 20_000, 16_000_000, 8
 TREES = 12
-LEAF_ROWS = 256
+#: Leaves of a tree, whatever the number of vectors: so a query meets the same number of leaves in any table.
+LEAVES = 256
 #: Recall that a search among the sample must reach for its share of vectors to be enough, and queries that try it.
 TRIAL_RECALL, TRIAL_QUERIES = 0.96, 200
 #: Vectors of a leaf that one group holds.
@@ -87,9 +88,9 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
-def fit(sample: np.ndarray, rows: int, trees: int = TREES, leaf_rows: int = LEAF_ROWS, seed: int = 7) -> Forest:
+def fit(sample: np.ndarray, trees: int = TREES, leaves: int = LEAVES, seed: int = 7) -> Forest:
     """Split the sample at the median of its projections on the difference of two of its members, again and again."""
-    depth = max(0, min(int(np.ceil(np.log2(max(1, rows / leaf_rows)))), int(np.log2(max(1, len(sample) / SAMPLE_PER_LEAF)))))
+    depth = int(np.log2(max(1, min(leaves, len(sample) / SAMPLE_PER_LEAF))))
     rng, unit = np.random.default_rng(seed), _unit(sample)
     normals = np.zeros((trees, 2**depth - 1, sample.shape[1]))
     offsets = np.zeros((trees, 2**depth - 1))
@@ -147,7 +148,7 @@ def _classes(vectors: DataFrame, k: int) -> tuple[DataFrame, int]:
 
 
 def search(vectors: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", trees: int = TREES,
-           leaf_rows: int = LEAF_ROWS, share: float | None = None) -> DataFrame:
+           leaves: int = LEAVES, share: float | None = None) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: the ``k`` nearest found of every row for which ``is_query`` holds."""
     spark = common.prepared(vectors.sparkSession)
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec"), F.coalesce(is_query, F.lit(False)).alias("q"))
@@ -160,14 +161,14 @@ def search(vectors: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", vec
     total = classes.count()
     limit = max(1, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * size)))
     sample = np.array([r["vec"] for r in classes.orderBy("h", "rep").limit(limit).collect()])
-    fitted = fit(sample, total, trees, leaf_rows)
+    fitted = fit(sample, trees, leaves)
     search_rows = int(total * (share or share_needed(fitted, sample, k))) + 1
     forest = spark.sparkContext.broadcast(fitted)  # bounded by the sample
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leaves = forest.value.leaves(_unit(_matrix(batch.column("vec"), size))) if batch.num_rows else np.zeros((0, trees))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves.tolist(), pa.list_(pa.int32()))], [*batch.schema.names, "leaves"])
+            own = forest.value.leaves(_unit(_matrix(batch.column("vec"), size))) if batch.num_rows else np.zeros((0, trees))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.tolist(), pa.list_(pa.int32()))], [*batch.schema.names, "leaves"])
 
     placed = classes.select("rep", "ids", "vec").mapInArrow(place, "rep long, ids array<long>, vec array<double>, leaves array<int>")
     placed.write.parquet(at := scratch_path(spark, "leaves"))
