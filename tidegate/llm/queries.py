@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import common, decontaminate, language_id, nearest, ngram_lm, packing, quality, secret_scan, simhash, substring_dedup
+from tidegate.llm import common, decontaminate, language_id, nearest, ngram_lm, packing, pii, quality, secret_scan, simhash, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,3 +124,8 @@ def op7_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = common.fold(4) == 2
     model = quality.train(docs.where(~held_out), labels.where(~held_out))
     return quality.score(docs, model, keep=["doc_id", held_out.alias("held_out")])
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(common.read_table(spark, sf_dir, "documents"))
