@@ -139,8 +139,11 @@ def _distinct_grams(sequence: np.ndarray, places: np.ndarray, order: int) -> tup
 
 def _gram_rows(grams: np.ndarray, counts: np.ndarray, raw: np.ndarray, hot: np.ndarray, bits: int) -> Iterator[dict]:
     """Blobs per shard.  A context is written once for all its followers that stand together."""
-    context = _key(grams[:, :-1]) if grams.shape[1] > 1 else grams[:, 0]
-    route = _route(context, _key(grams), hot)
+    if grams.shape[1] > 1:
+        context = _key(grams[:, :-1])
+        route = _route(context, _key(grams), hot)
+    else:  # single words have no context, and are looked up by their own hash
+        context = route = grams[:, 0]
     by = np.argsort(route, kind="stable")
     grams, counts, raw, context, route = grams[by], counts[by], raw[by], context[by], route[by]
     for shard, part in common.shard_slices(route, bits):
