@@ -88,8 +88,8 @@ def cached_files(spark, sf_dir):
 
 
 @query("pending_requests", _DOWNLOADS + """
-select * from grid g where not exists (
-  select 1 from cached c where c.endpoint = g.endpoint and c.day = g.day and c.cycle is not distinct from g.cycle)
+select g.* from grid g anti join cached c
+  on c.endpoint = g.endpoint and c.day = g.day and coalesce(c.cycle, -1) = coalesce(g.cycle, -1)
 """)
 def pending_requests(spark, sf_dir):
     asked, manifest, ledger, listing = _parts(spark, sf_dir)

@@ -144,3 +144,13 @@ def test_flags_do_not_depend_on_slicing(spark, skewed):
         flagged = dup.flag_duplicates(df, ["k"], hot_rows=hot_rows)
         assert flagged.count() == 6000
         assert {r[0] for r in flagged.where("is_duplicate").select("row_id").collect()} == expected
+
+
+def test_more_hot_groups_than_are_broadcast(spark, skewed, monkeypatch):
+    from tidegate.operators import skew
+
+    _, df = skewed
+    sizes = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    want = sorted(map(str, sliced_join(df, sizes, ["k"], "n", ["row_id"], hot_rows=50).collect()))
+    monkeypatch.setattr(skew, "HOT_GROUPS", 0)
+    assert sorted(map(str, sliced_join(df, sizes, ["k"], "n", ["row_id"], hot_rows=50).collect())) == want

@@ -205,3 +205,36 @@ def test_time_to_live_readmits(spark, tmp_path):
     assert drop("2.json", "k", "2025-06-01T12:00:00") == [1]
     drop("3.json", "other", "2025-06-05T00:00:00")
     assert drop("4.json", "k", "2025-06-05T12:00:00") == [1, 5]
+
+
+def test_streams_keep_each_others_outputs(spark, tmp_path):
+    first_files(tmp_path)
+    stream(spark, tmp_path)
+    before = spark.read.parquet(str(tmp_path / "quarantine" / "rejected")).count()
+    rows = feed.read_feed_stream(spark, str(tmp_path / "landing"), HEADER, min_bytes=50, max_files=1)
+    step = ingest.feed_step(
+        str(tmp_path / "table"), str(tmp_path / "metadata"), str(tmp_path / "second"), now=NOW,
+        reports=str(tmp_path / "reports"), quarantine=str(tmp_path / "quarantine"))
+    ingest.start(rows, step, str(tmp_path / "second")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "quarantine" / "rejected")).count() == 2 * before
+    assert spark.read.json(str(tmp_path / "reports" / "reports")).groupBy("file_name").count().where("count != 2").count() == 0
+
+
+def test_sidecars_of_many_files(spark, tmp_path, monkeypatch):
+    from tidegate.sources import sidecars
+
+    first_files(tmp_path)
+    files = spark.createDataFrame([("x/oac evening.csv",), ("x/oac bad.csv",), ("x/none.csv",)], "file_path string")
+    found = []
+    for limit in (10, 1):
+        monkeypatch.setattr(sidecars, "LISTED_FILES", limit)
+        found.append(sorted(r["stem"] for r in sidecars.read_sidecars(spark, str(tmp_path / "metadata"), files).collect()))
+    assert found[0] == found[1] and set(found[0]) <= {"oac evening", "oac bad"}
+
+
+def test_cycle_parameter_replaces_the_cycle(spark):
+    from tidegate.functions.requests import request_url
+
+    row = spark.sql("select date'2025-06-08' as day, 1 as cycle, map('cycle', '3', 'x', 'y') as params")
+    url = row.select(request_url(F.lit("e"), F.col("day"), F.col("cycle"), F.col("params"), base_url="http://h/")).first()[0]
+    assert url.endswith("&cycle=3&x=y") and url.count("cycle=") == 1

@@ -177,3 +177,16 @@ def test_cluster_needs_a_shared_folder():
         shared_dir(Session())
     Session.conf["spark.checkpoint.dir"] = "hdfs:///shared/"
     assert shared_dir(Session()) == "hdfs:///shared"
+
+
+def test_batch_number_with_other_rows_is_loaded(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for name in ("a", "zz", "zz"):  # the last one is a repeat
+        tables.merge_into(spark, path, source(spark, [(1, name, D1, 1.0)]), ["ord"], KEYS, SCHEMA, batch=1)
+    assert sorted(r["loc"] for r in tables.read_table(spark, path, SCHEMA).collect()) == ["a", "zz"]
+
+
+def test_duplicate_key_on_another_day_is_seen(spark, tmp_path):
+    path = str(tmp_path / "table")
+    target(spark, [("a", D1, 5.0, "", OLD), ("a", D1, 6.0, "", OLD)]).write.partitionBy("measure_date").parquet(path)
+    assert tables.load(spark, path, source(spark, [(1, "b", D2, 1.0)]), ["ord"], KEYS, SCHEMA) == "append"

@@ -51,10 +51,15 @@ def request_url(
         if params is not None:
             known = F.when(F.map_contains_key(params, key), item(F.lit(key), params[key])).otherwise(known)
         items.append(known)
+    placed = list(defaults)
     if cycle is not None:
-        items.append(F.concat(F.lit("cycle="), cycle.cast("string")))
+        known = F.concat(F.lit("cycle="), cycle.cast("string"))
+        if params is not None:
+            known = F.when(F.map_contains_key(params, "cycle"), item(F.lit("cycle"), params["cycle"])).otherwise(known)
+        items.append(known)
+        placed.append("cycle")
     if params is not None:
-        extra = F.filter(F.map_entries(params), lambda e: ~e["key"].isin(*defaults))
+        extra = F.filter(F.map_entries(params), lambda e: ~e["key"].isin(*placed))
         items.append(F.transform(extra, lambda e: item(e["key"], e["value"])))
     # concat_ws leaves out nulls: the cycle of a request without one.
     query = F.concat_ws("&", *items)

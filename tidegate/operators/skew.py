@@ -17,8 +17,7 @@ from tidegate.functions import sqltext as sql
 
 # Rows of one group that one task may receive.
 HOT_ROWS = 2_000_000
-# Groups that are sliced at most, the largest first; bounds the broadcast list.
-# A group beyond the list holds less than 1/HOT_GROUPS of all rows.
+# Lists of hot groups up to this length are broadcast; a longer one is joined by a shuffle.
 HOT_GROUPS = 10_000
 # Group tables up to this many lines are broadcast.
 BROADCAST_ROWS = 200_000
@@ -49,13 +48,9 @@ def sliced_join(
     the slice depends on nothing else, so a recomputed task repeats it.
     """
     slices = F.greatest(F.ceil(F.col(size) / hot_rows), F.lit(1)).cast("int")
-    hot = (
-        groups.where(F.col(size) > hot_rows)
-        .orderBy(F.col(size).desc())
-        .limit(HOT_GROUPS)
-        .select(*keys, slices.alias("__slices"))
-    )
-    marked = _join(rows, hot, keys, "left", small=True)
+    hot = groups.where(F.col(size) > hot_rows).select(*keys, slices.alias("__slices"))
+    few = hot.limit(HOT_GROUPS + 1).count() <= HOT_GROUPS
+    marked = _join(rows, hot, keys, "left", small=few)
     cut = F.pmod(F.xxhash64(*spread_by), F.coalesce(F.col("__slices"), F.lit(1))).cast("int")
     marked = marked.withColumn(_SLICE, cut).drop("__slices")
     repeated = groups.withColumn(_SLICE, F.explode(F.sequence(F.lit(0), slices - 1)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -54,9 +55,9 @@ def load_folder(
 ) -> Prepared:
     """Load every file of ``landing`` into the table; returns what was loaded and set aside.
 
-    The files are parsed once: processed rows are staged beside the table, and
-    loading, quarantine and later quality checks read them from there.  The
-    returned frames are good until the next load of the same table.
+    The files are parsed once: processed rows are staged beside the table, in a
+    folder of this load's own, and loading, quarantine and later quality checks
+    read them from there.  The returned frames are good until it is removed.
     """
     rows = with_row_index(read_feed(spark, landing, header, min_bytes=min_bytes))
     load = Load(
@@ -65,7 +66,7 @@ def load_folder(
         now=now,
         compat_dates=compat_dates,
     )
-    processed = stage(run_recipe(rows, kind, load), f"{table.rstrip('/')}__staging/rows")
+    processed = stage(run_recipe(rows, kind, load), f"{table.rstrip('/')}__staging/rows-{uuid.uuid4().hex}")
     prepared = prepare(processed)
     stamp = None if now is None else F.timestamp_seconds(F.lit(now))
     load_table(spark, table, prepared.accepted, ROW_ORDER, keys, now=stamp, batch=batch, counters=counters)

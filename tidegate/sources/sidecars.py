@@ -18,15 +18,20 @@ def read_sidecars(spark: SparkSession, path: str, of_files: DataFrame | None = N
 
     ``of_files`` (file_path) limits the read to the sidecars of those files: up
     to ``LISTED_FILES`` of them become a list that prunes the folder listing, so
-    that a load of few files does not open the sidecars of all.  A sidecar that is not JSON is kept as unreadable: its feed file falls back
-    to defaults, unlike a file without any sidecar.
+    that a load of few files does not open the sidecars of all; more of them are
+    matched by a semi join.  A sidecar that is not JSON is kept as unreadable: its
+    feed file falls back to defaults, unlike a file without any sidecar.
     """
     raw = spark.read.option("pathGlobFilter", SIDECAR_GLOB).text(path, wholetext=True)
     if of_files is not None:
         wanted = F.regexp_replace(F.substring_index("file_path", "/", -1), r"(?<=.)\.[^.]+$", "")
-        names = of_files.select(F.concat(wanted, F.lit(".meta.json"))).distinct().limit(LISTED_FILES + 1).collect()
+        wanted_names = of_files.select(F.concat(wanted, F.lit(".meta.json")).alias("__name")).distinct()
+        names = wanted_names.limit(LISTED_FILES + 1).collect()
+        file_name = F.col("_metadata.file_name")
         if len(names) <= LISTED_FILES:
-            raw = raw.where(F.col("_metadata.file_name").isin([n[0] for n in names]))
+            raw = raw.where(file_name.isin([n[0] for n in names]))
+        else:
+            raw = raw.select("*", "_metadata").join(wanted_names, file_name == F.col("__name"), "left_semi")
     parsed = F.try_parse_json("value")
     fields = [
         F.try_variant_get("doc", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in SIDECAR_SCHEMA

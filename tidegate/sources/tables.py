@@ -77,8 +77,9 @@ def merge_into(
 
     Only partitions the load touches are read and rewritten.  The new content
     is first written beside the table, then swapped in; after a failure in
-    between, repeating the call with the same ``batch`` finishes the swap
-    instead of loading twice.  Without a batch name a repeat is harmless for
+    between, repeating the call with the same ``batch`` and the same
+    rows finishes the swap instead of loading twice; other rows under a number
+    used before are a load of their own.  Without a batch name a repeat is harmless for
     rows with a key.  ``partition_by`` must be a key column, so that no key
     changes its partition.
     """
@@ -87,7 +88,8 @@ def merge_into(
     schema = schema or capacity_schema()
     target = ensure_table(spark, path, schema, partition_by)
     staged = staging_path(path, batch, writer)
-    content = staged if batch is None else f"{staged}/batch={batch}"
+    name = None if batch is None else f"{batch}-{_digest(source)}"
+    content = staged if batch is None else f"{staged}/batch={name}"
     done = batch is not None and path_exists(spark, f"{staged}/_SUCCESS") and path_exists(spark, content)
     if not done:
         touched = touched_partitions(target, source, partition_by)
@@ -100,12 +102,18 @@ def merge_into(
         if batch is None:
             merged.write.mode("overwrite").parquet(staged)
         else:
-            merged.withColumn("batch", F.lit(batch)).write.mode("overwrite").partitionBy("batch").parquet(staged)
+            merged.withColumn("batch", F.lit(name)).write.mode("overwrite").partitionBy("batch").parquet(staged)
         if not path_exists(spark, content):
             return  # nothing to load
     _write_partitions(spark.read.schema(schema).parquet(content), path, partition_by)
 
 
+def _digest(rows: DataFrame) -> str:
+    """Tells the content of one load from another, whatever the order of its rows."""
+    line = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)")).alias("h")).first()
+    return f"{line['n']}-{line['h'] or 0}"
+
+
 def staging_path(path: str, batch: int | None, writer: str) -> str:
     """Where a load is staged.  Batches of one writer alternate between two slots.
 
@@ -138,9 +146,14 @@ def load(spark: SparkSession, path: str, source: DataFrame, order_by: Sequence[s
          keys: Sequence[str] = KEY_COLUMNS, schema: T.StructType | None = None,
          partition_by: str = PARTITION, now: Column | None = None, batch: int | None = None,
          writer: str = "load", counters: Observation | None = None) -> str:
-    """Upsert if ``keys`` are unique in the touched part of the table, else append; says which."""
+    """Upsert if ``keys`` are unique in the table, else append; says which.
+
+    The whole table is asked (its key columns alone are read), so the answer does
+    not depend on the days that arrive.  Rows with a null key never match and are
+    left out of the question.
+    """
     target = ensure_table(spark, path, schema, partition_by)
-    keyed, _ = validate_unique_key(touched_partitions(target, source, partition_by).dropna(subset=list(keys)), keys)
+    keyed, _ = validate_unique_key(target.dropna(subset=list(keys)), keys)
     if keyed:
         merge_into(spark, path, source, order_by, keys, schema, partition_by, now, batch, writer, counters)
         return "upsert"

@@ -79,8 +79,9 @@ def feed_step(
     """Process the files of a micro-batch, upsert them, and report on their quality.
 
     The sidecars of the batch's files are read with it, as they land together.
-    Rows are staged once; every output is written under the batch number, so
-    that a repeated batch replaces what it wrote before.
+    Rows are staged once; every output is written under the stream's id and the
+    batch number, so that a repeated batch replaces what it wrote before and no
+    other stream's.
     """
 
     def run(batch: DataFrame, number: int) -> None:
@@ -94,10 +95,10 @@ def feed_step(
         _merge(prepared.accepted, number, table, writer, ROW_ORDER, keys, None, "measure_date", now)
         if quarantine:
             for name, frame in (("uncastable", prepared.uncastable), ("rejected", prepared.rejected)):
-                frame.write.mode("overwrite").parquet(f"{quarantine}/{name}/batch={number}")
+                frame.write.mode("overwrite").parquet(f"{quarantine}/{name}/writer={writer}/batch={number}")
         if reports:
             checked = quality_report(typed_leniently(processed, capacity_schema()), checks)
-            write_report(checked, reports, f"batch-{number}", checks.by)
+            write_report(checked, reports, f"{writer}-batch-{number}", checks.by)
 
     return run
 
