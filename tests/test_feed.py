@@ -81,6 +81,13 @@ def test_mixed_layouts_in_one_folder(spark, tmp_path):
     assert feed.read_layouts(spark, str(tmp_path), min_bytes=10**6).count() == 0
 
 
+def test_any_number_of_layouts(spark, tmp_path):
+    for i in range(101):
+        (tmp_path / f"f{i}.csv").write_text(f"Loc,Own {i},DC\nL{i},x{i},{i}\n" if i % 2 else f"DC,Loc,Own {i}\n{i},L{i},x{i}\n")
+    rows = feed.read_layouts(spark, str(tmp_path), min_bytes=1, index="row_id").collect()
+    assert {(r["loc"], r["dc"], r[f"own_{r['dc']}"], r["row_id"]) for r in rows} == {(f"L{i}", str(i), f"x{i}", 0) for i in range(101)}
+
+
 def test_infer_types(spark):
     df = spark.createDataFrame(
         [("1", "1", "1.5", "True", "x", None, "true"), ("2", None, "2", "FALSE", "2", None, None)],

@@ -238,3 +238,14 @@ def test_cycle_parameter_replaces_the_cycle(spark):
     row = spark.sql("select date'2025-06-08' as day, 1 as cycle, map('cycle', '3', 'x', 'y') as params")
     url = row.select(request_url(F.lit("e"), F.col("day"), F.col("cycle"), F.col("params"), base_url="http://h/")).first()[0]
     assert url.endswith("&cycle=3&x=y") and url.count("cycle=") == 1
+
+
+def test_swapped_columns_land_in_their_places(spark, tmp_path):
+    for name, header, line in (("a", "Loc,Loc Name,DC,OAC", "L1,n,10,1"), ("b", "Loc,Loc Name,OAC,DC", "L3,n,1,10")):
+        (tmp_path / "landing").mkdir(exist_ok=True)
+        (tmp_path / "landing" / f"oac {name}.csv").write_text(f"{header}\n{line}\n")
+    (tmp_path / "metadata").mkdir()
+    (tmp_path / "metadata" / "none.meta.json").write_text("{}")
+    loads.load_folder(spark, str(tmp_path / "landing"), str(tmp_path / "metadata"), str(tmp_path / "table"), now=NOW, min_bytes=1)
+    rows = tables.read_table(spark, str(tmp_path / "table")).collect()
+    assert sorted((r["loc"], r["dc"], r["oac"]) for r in rows) == [("L1", 10, 1), ("L3", 10, 1)]

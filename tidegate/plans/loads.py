@@ -12,7 +12,7 @@ from tidegate.operators.clean import nan_to_null, split_casts
 from tidegate.operators.upsert import split_check
 from tidegate.plans.recipes import Load, run_recipe
 from tidegate.schema import KEY_COLUMNS, capacity_schema
-from tidegate.sources.feed import FILE_COLUMNS, MIN_BYTES, list_files, read_feed, with_row_index
+from tidegate.sources.feed import FILE_COLUMNS, MIN_BYTES, list_files, read_feed, read_layouts, with_row_index
 from tidegate.sources.sidecars import read_sidecars
 from tidegate.sources.tables import load as load_table, stage
 
@@ -55,11 +55,15 @@ def load_folder(
 ) -> Prepared:
     """Load every file of ``landing`` into the table; returns what was loaded and set aside.
 
-    The files are parsed once: processed rows are staged beside the table, in a
+    Without a ``header`` every file is read by its own.  The files are parsed
+    once: processed rows are staged beside the table, in a
     folder of this load's own, and loading, quarantine and later quality checks
     read them from there.  The returned frames are good until it is removed.
     """
-    rows = with_row_index(read_feed(spark, landing, header, min_bytes=min_bytes))
+    if header is None:
+        rows = read_layouts(spark, landing, min_bytes=min_bytes, index="row_id")
+    else:
+        rows = with_row_index(read_feed(spark, landing, header, min_bytes=min_bytes))
     load = Load(
         sidecars=read_sidecars(spark, sidecars),
         files=list_files(spark, landing).where(F.col("file_size") >= min_bytes),

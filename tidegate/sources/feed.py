@@ -16,7 +16,6 @@ CSV_GLOB = "*.[cC][sS][vV]"
 MIN_BYTES = 200
 # Files named in a filter at most; longer lists become a join.
 LISTED_FILES = 10_000
-MAX_LAYOUTS = 100
 # Columns that say where a row comes from.
 FILE_COLUMNS = ("file_name", "file_path", "file_size", "file_modified", "block_start")
 
@@ -97,30 +96,42 @@ def read_feed(
 
 
 def read_layouts(
-    spark: SparkSession, path: str, sep: str = ",", multi_line: bool = False, min_bytes: int = MIN_BYTES
+    spark: SparkSession, path: str, sep: str = ",", multi_line: bool = False, min_bytes: int = MIN_BYTES,
+    index: str | None = None,
 ) -> DataFrame:
     """Like ``read_feed`` for a folder whose files do not share one header.
 
-    One pass over the text finds the headers; each layout is then scanned with
-    its own names, and only its own files where their list is short enough to
-    prune the listing.
+    One pass over the text finds the headers, one line per file; one scan then
+    reads all files by position, and every file's own header says which column
+    a position is.  A column that a file lacks is null.  ``index`` adds the row
+    position (``with_row_index``), which must be taken before files are matched.
     """
     headers = materialise(file_headers(spark, path, CSV_GLOB, min_bytes))
-    layouts = headers.groupBy("header").agg(F.count(F.lit(1)).alias("files")).limit(MAX_LAYOUTS + 1).collect()
-    if len(layouts) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different headers: these are hardly feed files of one kind")
-    if len(layouts) == 0:
-        return read_feed(spark, path, [], sep, multi_line, min_bytes)
-    feeds = []
-    for layout in layouts:
-        rows = read_feed(spark, path, split_header(layout["header"], sep), sep, multi_line, min_bytes)
-        own = headers.where(F.col("header") == layout["header"]).select("file_path")
-        if layout["files"] <= LISTED_FILES:
-            rows = rows.where(F.col("file_path").isin([r[0] for r in own.collect()]))
-        else:
-            rows = rows.join(own, "file_path", "left_semi").select(*rows.columns)
-        feeds.append(rows)
-    return union_feeds(*feeds)
+    layouts = {r["header"]: clean_names(split_header(r["header"], sep)) for r in headers.select("header").distinct().collect()}
+    if not layouts:
+        rows = read_feed(spark, path, [], sep, multi_line, min_bytes)
+        return with_row_index(rows, index) if index else rows
+    places = [f"__{i}" for i in range(max(map(len, layouts.values())))]
+    raw = (
+        spark.read.schema(text_schema(places))
+        .options(**_csv_options(sep, multi_line))
+        .option("ignoreMissingFiles", True)
+        .option("ignoreCorruptFiles", True)
+        .csv(path)
+    )
+    rows = shape_feed(raw, places, min_bytes)
+    rows = with_row_index(rows, index) if index else rows
+    named = spark.createDataFrame(list(layouts.items()), "header string, __names array<string>")
+    files = headers.join(named, "header").select(F.col("file_path").alias("__path"), "__names")
+    few = headers.limit(LISTED_FILES + 1).count() <= LISTED_FILES
+    rows = rows.join(F.broadcast(files) if few else files, F.col("file_path") == F.col("__path"))
+    cells = F.array(*places)
+    columns = [
+        F.get(cells, F.array_position("__names", F.lit(name)).cast("int") - 1).alias(name)
+        for name in dict.fromkeys(n for names in layouts.values() for n in names)
+    ]
+    kept = [F.col(c) for c in rows.columns if c not in (*places, "__path", "__names")]
+    return rows.select(*columns, *kept)
 
 
 def read_feed_stream(
