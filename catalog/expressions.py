@@ -9,6 +9,7 @@ from catalog.views import NAMES_SQL, names, table, with_sql
 from tidegate.functions import cycles, dates, filenames, numbers, params, requests, text
 from tidegate.operators.clean import normalise_reasons
 from tidegate.plans.requests import expand_params
+from tidegate.sources.sidecars import parse_sidecars
 
 _CYCLE_SQL = """,
 based as (select *, lower(regexp_extract(name, '[^/]*$')) as base from names),
@@ -364,16 +365,21 @@ def rounding(spark, sf_dir):
 
 
 @query("sidecar_json", """
-select o_orderkey, concat('{"endpoint":"', o_orderpriority, '","requested_cycle":', o_custkey, ',"date":"',
-  strftime(o_orderdate, '%Y%m%d'), '"}') as document, o_orderpriority as endpoint, cast(o_custkey as integer) as requested_cycle
-from orders
+select cast(o_orderkey as varchar) as stem, case when ok then o_orderpriority end as endpoint,
+  case when ok then cast(o_custkey as integer) end as requested_cycle,
+  case when ok then case when o_orderstatus = 'P' then cast(o_custkey as varchar) else strftime(o_orderdate, '%Y%m%d') end end as date,
+  ok and o_orderstatus <> 'P' as date_is_text, ok as readable
+from (select *, o_orderpriority <> '5-LOW' as ok from orders)
 """)
 def sidecar_json(spark, sf_dir):
-    record = F.struct(
-        F.col("o_orderpriority").alias("endpoint"),
-        F.col("o_custkey").alias("requested_cycle"),
-        F.date_format("o_orderdate", "yyyyMMdd").alias("date"),
+    """Sidecar texts: dates as text and as number, and documents that end too early."""
+    day = F.date_format("o_orderdate", "yyyyMMdd")
+    fields = [F.col("o_orderpriority").alias("endpoint"), F.col("o_custkey").alias("requested_cycle")]
+    whole = F.when(
+        F.col("o_orderstatus") == "P", F.to_json(F.struct(*fields, F.col("o_custkey").alias("date")))
+    ).otherwise(F.to_json(F.struct(*fields, day.alias("date"))))
+    cut = F.when(F.col("o_orderpriority") == "5-LOW", F.expr("left(whole, length(whole) - 1)")).otherwise(F.col("whole"))
+    documents = table(spark, sf_dir, "orders").withColumn("whole", whole).select(
+        F.col("o_orderkey").cast("string").alias("stem"), cut.alias("value")
     )
-    documents = table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(record).alias("document"))
-    parsed = F.from_json("document", "endpoint string, requested_cycle int, date string")
-    return documents.withColumn("p", parsed).select("o_orderkey", "document", "p.endpoint", "p.requested_cycle")
+    return parse_sidecars(documents).select("stem", "endpoint", "requested_cycle", "date", "date_is_text", "readable")

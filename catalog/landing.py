@@ -9,7 +9,7 @@ from catalog.views import NAMES_SQL, names, table, with_sql
 from tidegate.functions.filenames import stem
 from tidegate.operators import lineage, quality as q
 from tidegate.operators.clean import infer_types
-from tidegate.plans.loads import prepare
+from tidegate.plans.loads import load_folder, prepare
 from tidegate.plans.recipes import Load, run_recipe
 from tidegate.session import scratch_path
 from tidegate.sources import feed as source, tables
@@ -276,21 +276,6 @@ def processed_csv(spark, sf_dir):
     )
 
 
-@query("stored_reports", """
-select event_type as file_name, count(*) as record_count, '2024-02-01' as run_date from events group by event_type
-""")
-def stored_reports(spark, sf_dir):
-    """Quality reports written as JSON and read again."""
-    rows = readings(spark, sf_dir).select(
-        F.col("kind").alias("file_name"), F.col("Event").cast("long").alias("row_id"), F.col("Loc").alias("location"),
-        F.col("OAC").cast("double").alias("available"), F.col("day").alias("date"), F.col("kind").alias("cycle"),
-    )
-    out = scratch_path(spark, "reports")
-    tables.write_report(q.quality_report(rows), out, "2024-02-01")
-    again = spark.read.json(f"{out}/reports")
-    return again.select("file_name", "summary.record_count", F.col("run_date").cast("string").alias("run_date"))
-
-
 @query("unreadable_files", """
 select concat(event_type, '.csv') as file_name, case when event_type in ('click', 'error') then 'FILE_NOT_FOUND' else 'EMPTY_FILE' end as type,
   0 as record_count, 'FAILED' as status, count(*) as events
@@ -359,20 +344,36 @@ def stream_upsert(spark, sf_dir):
     return tables.read_table(spark, out, _ROW_SCHEMA)
 
 
-@query("stream_admit_once", "select distinct cast(user_id as varchar) as loc from events")
+@query("stream_admit_once", """
+with seen as (
+  select cast(user_id as varchar) as loc, bool_or(day <= 10) as first, bool_or(day between 11 and 20) as second, bool_or(day > 20) as third
+  from (select user_id, extract(day from ts) as day from events) group by user_id
+)
+select loc, unnest([1, 8, 15]) as arrived, unnest([first, second and not first, third and not (second and not first)]) as admitted
+from seen
+""")
 def stream_admit_once(spark, sf_dir):
-    """One row per location within the time to live, which here spans all days."""
-    path, out, checkpoint = landed(spark, sf_dir), scratch_path(spark, "admitted"), scratch_path(spark, "checkpoint")
-    arrivals = _stream_rows(source.read_feed_stream(spark, path, RAW, min_bytes=0)).select(
-        "loc", F.col("measure_date").cast("timestamp").alias("arrival")
-    )
-    admitted = ingest.admit_once_within(arrivals, ["loc"], "arrival", "60 days")
-    admitted.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(
-        availableNow=True
-    ).start().awaitTermination()
-    return spark.read.parquet(out).select("loc")
-
+    """A location is admitted once within three days of its admission, and again after that.
 
+    The events come in three runs, a week apart: the middle one moves the watermark past what the first
+    admitted, not past its own.
+    """
+    path, out, checkpoint = (scratch_path(spark, name) for name in ("arrivals", "admitted", "checkpoint"))
+    rows, day = readings(spark, sf_dir), F.dayofmonth("day")
+    locs = rows.select(F.col("Loc").alias("loc")).distinct()
+    for arrived, when in ((1, day <= 10), (8, day.between(11, 20)), (15, day > 20)):
+        land(rows.where(when).withColumn("day", F.make_date(F.lit(2024), F.lit(2), F.lit(arrived))), path)
+        arrivals = _stream_rows(source.read_feed_stream(spark, path, RAW, min_bytes=0)).select(
+            "loc", F.col("measure_date").cast("timestamp").alias("arrival")
+        )
+        admitted = ingest.admit_once_within(arrivals, ["loc"], "arrival", "3 days")
+        admitted.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(
+            availableNow=True
+        ).start().awaitTermination()
+    found = spark.read.schema("loc string, arrival timestamp").parquet(out).select(
+        "loc", F.dayofmonth("arrival").alias("arrived"), F.lit(True).alias("admitted"))
+    asked = locs.select("loc", F.explode(F.array(*[F.lit(d) for d in (1, 8, 15)])).alias("arrived"))
+    return asked.join(found, ["loc", "arrived"], "left").withColumn("admitted", F.coalesce("admitted", F.lit(False)))
 
 
 @query("two_layouts", _READINGS + """
@@ -444,3 +445,120 @@ def recipe_capacity(spark, sf_dir):
     )
     done = run_recipe(rows, "Capacity", Load())
     return done.select(F.col("location").alias("loc"), "file_path", "capacity", "row_id", "oac", "qty_reason")
+
+
+def _raw_lines(rows, header: str, line, path: str) -> None:
+    """CSV files made of whole lines, so that a line need not fit the header."""
+    (
+        rows.repartitionByRange(F.col("Event").cast("long"))
+        .sortWithinPartitions(F.col("Event").cast("long"))
+        .select(line.alias(header))
+        .write.option("header", True).option("sep", "\t").option("quote", "\x01").csv(path)
+    )
+
+
+def _put_text(spark, path: str, text: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+
+
+# Sidecars of the files of a kind; the other kinds have none.
+_SIDECARS = {
+    "purchase": '{"cycle_name": "Evening", "date": "20240110", "download_timestamp": 1704931200}',
+    "error": '{"cycle_name": "Evening", "date": "2024-01-11", "download_timestamp": 1705017600}',
+    "click": '{"cycle_name": "Evening", ',
+}
+
+
+def _mixed_folder(spark, sf_dir) -> tuple[str, str]:
+    """Two layouts with other columns in another order, lines that are too long, and JSON sidecars beside them."""
+    landing, metadata = scratch_path(spark, "mixed"), scratch_path(spark, "sidecars")
+    rows = readings(spark, sf_dir)
+    name, empty = F.concat(F.lit('"'), F.col("Loc Name"), F.lit('"')), F.lit("")
+    number = [F.coalesce(F.col(c), empty) for c in ("DC", "OAC")]
+    third = F.col("Event").cast("long") % 3 == 0
+    long_line = (F.col("kind") == "error") & third
+    older = F.when(long_line, F.concat_ws(",", "Loc", name, empty, empty, F.lit("x"), F.col("Event"))).otherwise(
+        F.concat_ws(",", "Loc", name, *number))
+    newer = F.when(long_line, F.concat_ws(",", name, "Loc", empty, F.col("Event"))).otherwise(F.concat_ws(",", name, "Loc", number[0]))
+    change = F.lit("2024-01-16").cast("date")
+    # A write of its own per kind, as Spark names the files of one task alike in all folders of a write.
+    for kind in ("click", "error", "purchase", "signup", "view"):
+        own = rows.where(F.col("kind") == kind)
+        _raw_lines(own.where(F.col("day") < change), "Loc,Loc Name,DC,OAC", older, f"{landing}/a-{kind}")
+        _raw_lines(own.where(F.col("day") >= change), "Loc Name,Loc,DC", newer, f"{landing}/b-{kind}")
+    folder = F.element_at(F.split("file_path", "/"), -2)
+    # One line per file; a load has few.
+    _put_text(spark, f"{metadata}/of no file.meta.json", "{}")
+    for file in source.list_files(spark, f"{landing}/*").select("file_name", folder.alias("folder")).toLocalIterator():
+        if text := _SIDECARS.get(file["folder"][2:]):
+            _put_text(spark, f"{metadata}/{file['file_name'][:-4]}.meta.json", text)
+    return f"{landing}/*", metadata
+
+
+_MIXED = _READINGS + """,
+lines as (
+  select *, case when day < date '2024-01-16' then 'a' else 'b' end as layout,
+    case kind when 'purchase' then date '2024-01-10' when 'error' then date '2024-01-11' else date '2024-02-01' end as measure_date,
+    case when kind in ('purchase', 'error') then 'Evening' else 'Unknown_Cycle' end as cycle_id,
+    cast(case kind when 'purchase' then 1704931200 when 'error' then 1705017600 else 1706745600 end as double) as download_timestamp,
+    kind = 'error' and event % 3 = 0 as too_long
+  from readings
+),
+stored as (
+  select loc, loc_name, dc, case when layout = 'a' then oac end as oac, measure_date, cycle_id, download_timestamp
+  from lines where not too_long
+  qualify row_number() over (partition by loc, loc_name, measure_date, cycle_id order by layout desc, kind desc, event desc) = 1
+),
+aside as (
+  select case layout when 'a' then concat(loc, ',"', loc_name, '",,,x,', event) else concat('"', loc_name, '",', loc, ',,', event) end as line
+  from lines where too_long
+)
+"""
+_PLACE = ["loc", "loc_name", "dc", "oac", "measure_date", "cycle_id", "download_timestamp"]
+
+
+@query("load_mixed_folder", _MIXED + """
+select *, null as line from stored union all by name select line from aside
+""")
+def load_mixed_folder(spark, sf_dir):
+    """A whole load from files: own headers, sidecars that are whole, broken or absent, lines too long set aside."""
+    landing, metadata = _mixed_folder(spark, sf_dir)
+    at = scratch_path(spark, "capacity")
+    done = load_folder(spark, landing, metadata, at, now=NOW, min_bytes=0)
+    lines = done.surplus.select(F.col("surplus_line").alias("line"))
+    return tables.read_table(spark, at).select(*_PLACE).unionByName(lines, allowMissingColumns=True)
+
+
+@query("stream_feed", _MIXED + """,
+checked as (
+  select concat(layout, '-', kind) as loc, count(*) as n, count(*) - count(dc) as empty from lines where not too_long and layout = 'a'
+  group by layout, kind
+),
+kept as (
+  select loc, loc_name, dc, oac, measure_date, cycle_id, download_timestamp from lines where not too_long and layout = 'a'
+  qualify row_number() over (partition by loc, loc_name, measure_date, cycle_id order by kind desc, event desc) = 1
+)
+select 'table' as part, *, null as line, cast(1 as bigint) as n, cast(null as bigint) as empty from kept
+union all by name select 'surplus' as part, line, cast(2 as bigint) as n from aside where not starts_with(line, '"')
+union all by name select 'report' as part, loc, cast(2 * n as bigint) as n, cast(2 * empty as bigint) as empty from checked
+""")
+def stream_feed(spark, sf_dir):
+    """Two streams over one folder into one table: rows once, what is set aside and reported once per stream."""
+    landing, metadata = _mixed_folder(spark, sf_dir)
+    out = scratch_path(spark, "streamed")
+    for name in ("first", "second"):
+        stream = source.read_feed_stream(spark, landing.replace("/*", "/a-*"), ["Loc", "Loc Name", "DC", "OAC"], min_bytes=0)
+        step = ingest.feed_step(f"{out}/table", metadata, f"{out}/{name}", now=NOW, reports=f"{out}/reports", quarantine=f"{out}/aside")
+        ingest.start(stream, step, f"{out}/{name}").awaitTermination()
+    rows = tables.read_table(spark, f"{out}/table").select(F.lit("table").alias("part"), *_PLACE, F.lit(1).cast("long").alias("n"))
+    lines = spark.read.parquet(f"{out}/aside/surplus").groupBy(F.col("surplus_line").alias("line")).agg(
+        F.count(F.lit(1)).alias("n")).withColumn("part", F.lit("surplus"))
+    reports = spark.read.json(f"{out}/reports/reports").withColumn("loc", F.element_at(F.split("file_path", "/"), -2))
+    nulls = F.filter("issues", lambda i: (i["type"] == "MISSING_VALUES") & (i["column"] == "dc"))
+    reports = reports.groupBy("loc").agg(
+        F.sum("summary.record_count").alias("n"), F.sum(F.coalesce(F.get(nulls, F.lit(0))["affected_count"], F.lit(0))).alias("empty")
+    ).withColumn("part", F.lit("report"))
+    return rows.unionByName(lines, allowMissingColumns=True).unionByName(reports, allowMissingColumns=True)

@@ -8,6 +8,8 @@ from catalog import query
 from catalog.views import FEED_SQL, feed, with_sql
 from tidegate.operators import quality as q
 from tidegate.operators.quantiles import group_quantiles
+from tidegate.session import scratch_path
+from tidegate.sources.tables import write_report
 
 _COLUMNS = ["date", "cycle", "location", "capacity", "available", "note"]
 _NULLS = ", ".join(f"count(*) - count({c}) as {c}__nulls" for c in _COLUMNS)
@@ -153,7 +155,7 @@ def severity_counts(spark, sf_dir):
     return q.severity_counts(q.quality_report(feed(spark, sf_dir)).issues)
 
 
-@query("quality_summary", with_sql(FEED_SQL) + _ISSUES + """,
+_SUMMARY = with_sql(FEED_SQL) + _ISSUES + """,
 sizes as (select file_name, count(*) as record_count from feed group by file_name),
 counted as (
   select file_name, cast(count(*) as integer) as issue_count, count(*) filter (where severity = 'ERROR') * 1.0
@@ -168,11 +170,24 @@ scored as (
 select *, case when quality_score >= 0.8 then 'PASSED' when quality_score >= 0.5 then 'WARNING' else 'FAILED' end as status,
   quality_score >= 0.8 as passed
 from scored
-""")
+"""
+
+
+@query("quality_summary", _SUMMARY)
 def quality_summary(spark, sf_dir):
     return q.quality_report(feed(spark, sf_dir)).summary
 
 
+@query("stored_reports", _SUMMARY.replace("from scored\n", "from scored, (select unnest(['run-1', 'run-2']) as run)\n"))
+def stored_reports(spark, sf_dir):
+    """Two runs' reports written as JSON and read again; neither replaces the other's, a repeated run its own."""
+    out, report = scratch_path(spark, "reports"), q.quality_report(feed(spark, sf_dir))
+    for run in ("run-1", "run-2", "run-2"):
+        write_report(report, out, run)
+    again = spark.read.json(f"{out}/reports").select(F.col("run_date").alias("run"), "file_name", "summary.*")
+    return again.withColumns({c: F.col(c).cast("int") for c in ("column_count", "issue_count")})
+
+
 @query("quality_missing_columns", """
 select event_type as file_name, 'ERROR' as severity, 'MISSING_COLUMNS' as type,
   'Missing required columns: available, capacity, date, location' as description, count(*) as record_count

@@ -159,9 +159,9 @@ def test_stream_of_files(spark, tmp_path):
     assert rows.count() == 46
     assert rows.where("loc = 'L1' and cycle_id = 'Evening'").first()["dc"] == 500.0
     reports = spark.read.json(str(tmp_path / "reports" / "reports"))
-    assert {r["file_name"] for r in reports.select("file_name").collect()} == {
-        "oac intraday 1.csv", "oac evening.csv", "oac bad.csv", "late evening.csv"}
-    bad = reports.where("file_name = 'oac bad.csv'").first()
+    names = {r["file_path"].rsplit("/", 1)[-1].replace("%20", " ") for r in reports.select("file_path").collect()}
+    assert names == {"oac intraday 1.csv", "oac evening.csv", "oac bad.csv", "late evening.csv"}
+    bad = reports.where("file_path like '%bad.csv'").first()
     # Rows that were set aside are checked as well; what could not be typed counts as missing.
     assert bad["summary"]["record_count"] == 15
     assert any(i["description"] == "Missing values in dc: 5 records affected" for i in bad["issues"])
@@ -217,7 +217,7 @@ def test_streams_keep_each_others_outputs(spark, tmp_path):
         reports=str(tmp_path / "reports"), quarantine=str(tmp_path / "quarantine"))
     ingest.start(rows, step, str(tmp_path / "second")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "quarantine" / "rejected")).count() == 2 * before
-    assert spark.read.json(str(tmp_path / "reports" / "reports")).groupBy("file_name").count().where("count != 2").count() == 0
+    assert spark.read.json(str(tmp_path / "reports" / "reports")).groupBy("file_path").count().where("count != 2").count() == 0
 
 
 def test_sidecars_of_many_files(spark, tmp_path, monkeypatch):
@@ -249,3 +249,26 @@ def test_swapped_columns_land_in_their_places(spark, tmp_path):
     loads.load_folder(spark, str(tmp_path / "landing"), str(tmp_path / "metadata"), str(tmp_path / "table"), now=NOW, min_bytes=1)
     rows = tables.read_table(spark, str(tmp_path / "table")).collect()
     assert sorted((r["loc"], r["dc"], r["oac"]) for r in rows) == [("L1", 10, 1), ("L3", 10, 1)]
+
+
+def test_surplus_fields_and_equal_names(spark, tmp_path):
+    """Longer rows are set aside whole; files of one name in two folders stay two; two sidecars make no second row."""
+    for folder, header, lines in (
+        ("x", "Loc,Loc Name,DC", ["L1,n,1", "L2,n,2,EXTRA", 'L3,"n, x",3', 'L4,"n, ""x",4,', "L5,n", "L6,n,6,7,8"]),
+        ("y", "Loc,Loc Name,DC,OAC", ["L7,n,7,8", "L8,n,8,9,10"]),
+    ):
+        (tmp_path / "landing" / folder).mkdir(parents=True)
+        (tmp_path / "landing" / folder / "oac.csv").write_text("\n".join([header, *lines]) + "\n")
+        (tmp_path / "metadata" / folder).mkdir(parents=True)
+        (tmp_path / "metadata" / folder / "oac.meta.json").write_text(
+            json.dumps({"cycle_name": f"Evening {folder}", "date": "20250608", "download_timestamp": 5.0 + len(lines)}))
+    landing, metadata = f"{tmp_path}/landing/*", f"{tmp_path}/metadata/*"
+    done = loads.load_folder(spark, landing, metadata, str(tmp_path / "table"), now=NOW, min_bytes=1)
+    rows = tables.read_table(spark, str(tmp_path / "table")).orderBy("loc").collect()
+    assert [(r["loc"], r["loc_name"], r["dc"], r["oac"]) for r in rows] == [
+        ("L1", "n", 1, None), ("L3", "n, x", 3, None), ("L5", "n", None, None), ("L7", "n", 7, 8)]
+    assert {r["cycle_id"] for r in rows} == {"Evening_x"}
+    aside = done.surplus.orderBy("file_path", "row_id").collect()
+    assert [(r["file_path"][-9:], r["row_id"], r["surplus_line"]) for r in aside] == [
+        ("x/oac.csv", 1, "L2,n,2,EXTRA"), ("x/oac.csv", 3, 'L4,"n, ""x",4,'), ("x/oac.csv", 5, "L6,n,6,7,8"),
+        ("y/oac.csv", 1, "L8,n,8,9,10")]

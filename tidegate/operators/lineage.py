@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidegate.functions.cycles import UNKNOWN_CYCLE, cycle_id, intraday_label
 from tidegate.functions.dates import epoch_date, parse_date
 from tidegate.functions.filenames import date_text_of_filename, stem
+from tidegate.operators.duplicates import last_per_key
 from tidegate.operators.skew import BROADCAST_ROWS
 from tidegate.schema import LINEAGE_COLUMNS
 
@@ -24,7 +25,9 @@ def resolve_lineage(
 
     ``files``: file_name, file_modified and any other column; ``sidecars`` as
     from ``read_sidecars``.  A sidecar's values win; a file without one is read
-    by its name; an unreadable sidecar leaves the defaults.  ``compat_dates``
+    by its name; an unreadable sidecar leaves the defaults.  Of several sidecars of
+    one stem the readable one of the latest download counts, so a file is never
+    multiplied.  ``compat_dates``
     does not accept yyyyMMdd dates and replaces today's date, both by the day of
     the download.
     """
@@ -33,10 +36,11 @@ def resolve_lineage(
     elif not isinstance(now, Column):
         now = F.lit(float(now))
     today = epoch_date(now)
-    side = sidecars.select(
-        F.col("stem").alias("__stem"),
-        *[F.col(c).alias(f"__{c}") for c in ("cycle_name", "date", "download_timestamp", "date_is_text", "readable")],
+    fields = ("cycle_name", "date", "download_timestamp", "date_is_text", "readable")
+    latest = last_per_key(
+        sidecars.select("stem", *fields), ["stem"], ["readable", "download_timestamp", "cycle_name", "date", "date_is_text"]
     )
+    side = latest.select(F.col("stem").alias("__stem"), *[F.col(c).alias(f"__{c}") for c in fields])
     joined = files.withColumn("__file_stem", stem(F.col("file_name"))).join(
         side, F.col("__file_stem") == F.col("__stem"), "left"
     )

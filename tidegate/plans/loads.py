@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -12,7 +12,7 @@ from tidegate.operators.clean import nan_to_null, split_casts
 from tidegate.operators.upsert import split_check
 from tidegate.plans.recipes import Load, run_recipe
 from tidegate.schema import KEY_COLUMNS, capacity_schema
-from tidegate.sources.feed import FILE_COLUMNS, MIN_BYTES, list_files, read_feed, read_layouts, with_row_index
+from tidegate.sources.feed import FILE_COLUMNS, MIN_BYTES, list_files, read_feed, read_layouts, split_surplus, with_row_index
 from tidegate.sources.sidecars import read_sidecars
 from tidegate.sources.tables import load as load_table, stage
 
@@ -22,11 +22,15 @@ ROW_ORDER = ("download_timestamp", "file_path", "row_id")
 
 @dataclass(frozen=True)
 class Prepared:
-    """Typed rows ready for the table, and the rows that cannot go there."""
+    """Typed rows ready for the table, and the rows that cannot go there.
+
+    ``surplus``: the lines with more fields than their file's header.
+    """
 
     accepted: DataFrame
     uncastable: DataFrame
     rejected: DataFrame
+    surplus: DataFrame | None = None
 
 
 def prepare(processed: DataFrame, schema: T.StructType | None = None) -> Prepared:
@@ -55,7 +59,8 @@ def load_folder(
 ) -> Prepared:
     """Load every file of ``landing`` into the table; returns what was loaded and set aside.
 
-    Without a ``header`` every file is read by its own.  The files are parsed
+    Without a ``header`` every file is read by its own.  Lines with more fields
+    than that are set aside with their file and row.  The files are parsed
     once: processed rows are staged beside the table, in a
     folder of this load's own, and loading, quarantine and later quality checks
     read them from there.  The returned frames are good until it is removed.
@@ -70,8 +75,10 @@ def load_folder(
         now=now,
         compat_dates=compat_dates,
     )
-    processed = stage(run_recipe(rows, kind, load), f"{table.rstrip('/')}__staging/rows-{uuid.uuid4().hex}")
-    prepared = prepare(processed)
+    place = f"{table.rstrip('/')}__staging/rows-{uuid.uuid4().hex}"
+    fitting, surplus = split_surplus(stage(rows, f"{place}/raw"))
+    processed = stage(run_recipe(fitting, kind, load), f"{place}/processed")
+    prepared = replace(prepare(processed), surplus=surplus)
     stamp = None if now is None else F.timestamp_seconds(F.lit(now))
     load_table(spark, table, prepared.accepted, ROW_ORDER, keys, now=stamp, batch=batch, counters=counters)
     return prepared

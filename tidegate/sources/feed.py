@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidegate.functions.filenames import scanned_name
 from tidegate.functions.text import null_if_na
@@ -16,8 +17,10 @@ CSV_GLOB = "*.[cC][sS][vV]"
 MIN_BYTES = 200
 # Files named in a filter at most; longer lists become a join.
 LISTED_FILES = 10_000
+# The whole line of a row with more fields than its header, null for every other row.
+SURPLUS = "surplus_line"
 # Columns that say where a row comes from.
-FILE_COLUMNS = ("file_name", "file_path", "file_size", "file_modified", "block_start")
+FILE_COLUMNS = ("file_name", "file_path", "file_size", "file_modified", "block_start", SURPLUS)
 
 
 def _metadata_columns() -> list:
@@ -35,6 +38,29 @@ def text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def _scan_schema(names: Sequence[str]) -> T.StructType:
+    """``names``, and the line of every row that does not have exactly as many fields."""
+    return text_schema([*names, SURPLUS])
+
+
+def _fields_of(line: Column, sep: str) -> Column:
+    """How many fields a line has; separators between quotes are none."""
+    mark = re.escape(sep)
+    bare = F.regexp_replace(line, rf'(^|{mark})\s*"(?:[^"]|"")*"', "$1")
+    return F.floor((F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / len(sep)) + 1
+
+
+def split_surplus(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit their header, and where the others stand: origin columns and whole line.
+
+    A row with more fields than its file has columns cannot be told apart from
+    one that is shifted, so none of its values goes to a table.
+    """
+    origin = [c for c in (*FILE_COLUMNS, "row_id") if c in rows.columns]
+    surplus = F.col(SURPLUS).isNotNull()
+    return rows.where(~surplus).drop(SURPLUS), rows.where(surplus).select(*origin)
+
+
 def landed_header(spark: SparkSession, path: str | list[str], sep: str = ",", min_bytes: int = MIN_BYTES) -> list[str]:
     """Column names of a landing folder, taken from the first line of one of its files."""
     first = (
@@ -56,17 +82,22 @@ def _csv_options(sep: str, multi_line: bool) -> dict[str, object]:
         "escape": '"',
         "multiLine": multi_line,
         "pathGlobFilter": CSV_GLOB,
+        "columnNameOfCorruptRecord": SURPLUS,
     }
 
 
-def shape_feed(raw: DataFrame, names: Sequence[str], min_bytes: int = MIN_BYTES) -> DataFrame:
+def shape_feed(
+    raw: DataFrame, names: Sequence[str], min_bytes: int = MIN_BYTES, sep: str = ","
+) -> DataFrame:
     """Missing-value texts of the ``names`` columns as null, origin columns added, tiny files dropped.
 
     Columns that stem from folder names are kept.  Works on a batch scan and on
-    a stream alike.
+    a stream alike.  Rows with more fields than ``names`` keep their line in
+    ``SURPLUS``; shorter rows end in nulls.
     """
-    columns = [null_if_na(F.col(c)).alias(c) if c in names else F.col(c) for c in raw.columns]
-    return raw.where(F.col("_metadata.file_size") >= min_bytes).select(*columns, *_metadata_columns())
+    columns = [null_if_na(F.col(c)).alias(c) if c in names else F.col(c) for c in raw.columns if c != SURPLUS]
+    surplus = F.when(_fields_of(F.col(SURPLUS), sep) > len(names), F.col(SURPLUS)).alias(SURPLUS)
+    return raw.where(F.col("_metadata.file_size") >= min_bytes).select(*columns, *_metadata_columns(), surplus)
 
 
 def read_feed(
@@ -79,20 +110,20 @@ def read_feed(
 ) -> DataFrame:
     """All CSV files below ``path`` as text columns, names made table-safe, plus ``FILE_COLUMNS``.
 
-    Files that vanish or cannot be read are skipped, others go on.  Give
-    ``header`` where the layout is known; otherwise the first line of one file
+    Files that vanish or cannot be read are skipped, others go on.  Rows with more
+    fields than columns are marked, see ``split_surplus``.  Give ``header`` where the layout is known; otherwise the first line of one file
     is looked up.  Big files are read as splits by many tasks unless fields hold
     line breaks (``multi_line``).
     """
     names = clean_names(header if header is not None else landed_header(spark, path, sep, min_bytes))
     raw = (
-        spark.read.schema(text_schema(names))
+        spark.read.schema(_scan_schema(names))
         .options(**_csv_options(sep, multi_line))
         .option("ignoreMissingFiles", True)
         .option("ignoreCorruptFiles", True)
         .csv(path)
     )
-    return shape_feed(raw, names, min_bytes)
+    return shape_feed(raw, names, min_bytes, sep)
 
 
 def read_layouts(
@@ -103,7 +134,8 @@ def read_layouts(
 
     One pass over the text finds the headers, one line per file; one scan then
     reads all files by position, and every file's own header says which column
-    a position is.  A column that a file lacks is null.  ``index`` adds the row
+    a position is.  A column that a file lacks is null, a row longer than its
+    file's header is marked (``split_surplus``).  ``index`` adds the row
     position (``with_row_index``), which must be taken before files are matched.
     """
     headers = materialise(file_headers(spark, path, CSV_GLOB, min_bytes))
@@ -113,13 +145,13 @@ def read_layouts(
         return with_row_index(rows, index) if index else rows
     places = [f"__{i}" for i in range(max(map(len, layouts.values())))]
     raw = (
-        spark.read.schema(text_schema(places))
+        spark.read.schema(_scan_schema(places))
         .options(**_csv_options(sep, multi_line))
         .option("ignoreMissingFiles", True)
         .option("ignoreCorruptFiles", True)
         .csv(path)
     )
-    rows = shape_feed(raw, places, min_bytes)
+    rows = raw.where(F.col("_metadata.file_size") >= min_bytes).select(*raw.columns, *_metadata_columns())
     rows = with_row_index(rows, index) if index else rows
     named = spark.createDataFrame(list(layouts.items()), "header string, __names array<string>")
     files = headers.join(named, "header").select(F.col("file_path").alias("__path"), "__names")
@@ -127,11 +159,18 @@ def read_layouts(
     rows = rows.join(F.broadcast(files) if few else files, F.col("file_path") == F.col("__path"))
     cells = F.array(*places)
     columns = [
-        F.get(cells, F.array_position("__names", F.lit(name)).cast("int") - 1).alias(name)
+        null_if_na(F.get(cells, F.array_position("__names", F.lit(name)).cast("int") - 1)).alias(name)
         for name in dict.fromkeys(n for names in layouts.values() for n in names)
     ]
-    kept = [F.col(c) for c in rows.columns if c not in (*places, "__path", "__names")]
-    return rows.select(*columns, *kept)
+    # A row that fills all places has no line of its own: its fields make one up.
+    fields = F.when(F.col(SURPLUS).isNull(), len(places)).otherwise(_fields_of(F.col(SURPLUS), sep))
+    special = rf'["\r\n]|{re.escape(sep)}'
+    quoted = F.transform(cells, lambda c: F.when(
+        c.rlike(special), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c))
+    line = F.coalesce(F.col(SURPLUS), F.array_join(quoted, sep, ""))
+    surplus = F.when(fields > F.size("__names"), line).alias(SURPLUS)
+    kept = [F.col(c) for c in rows.columns if c not in (*places, "__path", "__names", SURPLUS)]
+    return rows.select(*columns, *kept, surplus)
 
 
 def read_feed_stream(
@@ -145,10 +184,10 @@ def read_feed_stream(
 ) -> DataFrame:
     """The landing folder as a stream: each file is delivered once per checkpoint."""
     names = clean_names(header)
-    reader = spark.readStream.schema(text_schema(names)).options(**_csv_options(sep, multi_line))
+    reader = spark.readStream.schema(_scan_schema(names)).options(**_csv_options(sep, multi_line))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return shape_feed(reader.csv(path), names, min_bytes)
+    return shape_feed(reader.csv(path), names, min_bytes, sep)
 
 
 def union_feeds(*feeds: DataFrame) -> DataFrame:

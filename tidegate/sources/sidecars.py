@@ -32,15 +32,16 @@ def read_sidecars(spark: SparkSession, path: str, of_files: DataFrame | None = N
             raw = raw.where(file_name.isin([n[0] for n in names]))
         else:
             raw = raw.select("*", "_metadata").join(wanted_names, file_name == F.col("__name"), "left_semi")
-    parsed = F.try_parse_json("value")
+    return parse_sidecars(raw.select(F.regexp_replace(scanned_name(), r"\.meta\.json$", "").alias("stem"), "value"))
+
+
+def parse_sidecars(documents: DataFrame) -> DataFrame:
+    """The sidecar fields of JSON texts (``stem``, ``value``); a text that is no JSON is not ``readable``."""
     fields = [
         F.try_variant_get("doc", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in SIDECAR_SCHEMA
     ]
     kind = F.schema_of_variant(F.try_variant_get("doc", "$.date", "variant"))
-    return raw.select(
-        F.regexp_replace(scanned_name(), r"\.meta\.json$", "").alias("stem"),
-        parsed.alias("doc"),
-    ).select(
+    return documents.select("stem", F.try_parse_json("value").alias("doc")).select(
         "stem",
         *fields,
         F.coalesce(kind == "STRING", F.lit(False)).alias("date_is_text"),

@@ -14,11 +14,13 @@ from tidegate.operators.quality import Checks, quality_report
 from tidegate.plans.loads import ROW_ORDER, prepare
 from tidegate.plans.recipes import Load, run_recipe
 from tidegate.schema import KEY_COLUMNS, capacity_schema
-from tidegate.sources.feed import with_row_index
+from tidegate.sources.feed import split_surplus, with_row_index
 from tidegate.sources.sidecars import read_sidecars
 from tidegate.sources.tables import merge_into, stage, staging_path, write_report
 
 BatchStep = Callable[[DataFrame, int], None]
+# A file is known by its path; files of one name in two folders are two files.
+PER_FILE = Checks(by="file_path", helpers=("file_name", "file_size", "file_modified", "block_start"))
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -74,7 +76,7 @@ def feed_step(
     now: float | None = None,
     reports: str | None = None,
     quarantine: str | None = None,
-    checks: Checks = Checks(),
+    checks: Checks = PER_FILE,
 ) -> BatchStep:
     """Process the files of a micro-batch, upsert them, and report on their quality.
 
@@ -88,13 +90,13 @@ def feed_step(
         spark = batch.sparkSession
         writer = stream_id(spark, checkpoint)
         place = f"{staging_path(table, number, writer)}-rows"
-        rows = stage(with_row_index(batch), f"{place}/raw")
+        rows, surplus = split_surplus(stage(with_row_index(batch), f"{place}/raw"))
         load = Load(sidecars=read_sidecars(spark, sidecars, files_of(rows)), now=now)
         processed = stage(run_recipe(rows, kind, load), f"{place}/processed")
         prepared = prepare(processed)
         _merge(prepared.accepted, number, table, writer, ROW_ORDER, keys, None, "measure_date", now)
         if quarantine:
-            for name, frame in (("uncastable", prepared.uncastable), ("rejected", prepared.rejected)):
+            for name, frame in (("uncastable", prepared.uncastable), ("rejected", prepared.rejected), ("surplus", surplus)):
                 frame.write.mode("overwrite").parquet(f"{quarantine}/{name}/writer={writer}/batch={number}")
         if reports:
             checked = quality_report(typed_leniently(processed, capacity_schema()), checks)
