@@ -187,7 +187,7 @@ with asked as (
     concat(o_orderpriority, ' & 100% /', o_custkey, '=é') as note
   from orders
 )
-select o_orderkey, concat('https://feeds.example.org/api/TW/', endpoint, '?f=csv&extension=csv&asset=TW%2F&gasDay=',
+select o_orderkey, concat('https://feeds.example.org/api/A1/', endpoint, '?f=csv&extension=csv&asset=A1%2F&gasDay=',
   strftime(o_orderdate, '%m%%2F%d%%2F%Y'), '&searchType=NOM&searchString=&locType=ALL&locZone=',
   replace(url_encode(o_orderpriority), '%20', '+'),
   case when cycle is not null then concat('&cycle=', cycle) else '' end, '&note=',
@@ -210,7 +210,7 @@ def build_url(spark, sf_dir):
         F.col("o_orderdate"),
         F.when(F.col("o_orderstatus") != "P", F.substring(key, 1, 1).cast("int")),
         params.first_values(chosen),
-        base_url="https://feeds.example.org", routing_path="/api/", asset_id="TW/",
+        base_url="https://feeds.example.org", routing_path="/api/", asset_id="A1/",
     )
     return table(spark, sf_dir, "orders").select("o_orderkey", url.alias("url"))
 

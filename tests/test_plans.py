@@ -96,7 +96,7 @@ def test_recipes():
 
     recipes.register_step("Shout", shout)
     assert recipes.recipe("shout")[-1] is shout and recipes.step_for("SHOUT") is shout
-    assert recipes.kind_of_asset("TW/capacity/") == "capacity" and recipes.kind_of_asset("TW") == "default"
+    assert recipes.kind_of_asset("A1/capacity/") == "capacity" and recipes.kind_of_asset("A1") == "default"
 
 
 def test_lineage_step_needs_sidecars(spark):

@@ -190,3 +190,20 @@ def test_duplicate_key_on_another_day_is_seen(spark, tmp_path):
     path = str(tmp_path / "table")
     target(spark, [("a", D1, 5.0, "", OLD), ("a", D1, 6.0, "", OLD)]).write.partitionBy("measure_date").parquet(path)
     assert tables.load(spark, path, source(spark, [(1, "b", D2, 1.0)]), ["ord"], KEYS, SCHEMA) == "append"
+
+
+def test_repeated_append_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.append_into(spark, path, source(spark, [(1, "a", D1, 1.0), (2, "a", D1, 2.0)]), SCHEMA, order_by=["ord"])
+    load = source(spark, [(1, "a", D1, 3.0), (2, "b", D2, 4.0)])
+    for _ in range(2):  # a repeat counts what the batch did, too
+        watch = Observation()
+        assert tables.load(spark, path, load, ["ord"], KEYS, SCHEMA, batch=7, counters=watch) == "append"
+        assert watch.get == {"inserted": 2, "updated": 0, "kept": 2}
+        assert tables.read_table(spark, path, SCHEMA).count() == 4
+    tables.load(spark, path, source(spark, [(1, "c", D2, 5.0)]), ["ord"], KEYS, SCHEMA, batch=8)
+    assert tables.read_table(spark, path, SCHEMA).count() == 5
+    watch = Observation()
+    tables.load(spark, path, load.limit(0), ["ord"], KEYS, SCHEMA, batch=9, counters=watch)
+    assert watch.get == {"inserted": 0, "updated": 0, "kept": 0}
+    assert tables.read_table(spark, path, SCHEMA).count() == 5

@@ -126,16 +126,19 @@ def insert_absent(
 
 def append(
     target: DataFrame, source: DataFrame, order_by: Sequence[str] = (),
-    now: Column | None = None, created_at: str | None = CREATED_AT,
+    now: Column | None = None, created_at: str | None = CREATED_AT, with_action: bool = False,
 ) -> DataFrame:
     """The table plus all source rows: what a load does without a unique key."""
     now = F.current_timestamp() if now is None else now
     columns = _check_columns(target, source, [], order_by)
-    return target.unionByName(_as_new(source.select(*columns), target, now, created_at))
+    new = _as_new(source.select(*columns), target, now, created_at)
+    if with_action:
+        target, new = target.withColumn(ACTION, F.lit(KEPT)), new.withColumn(ACTION, F.lit(INSERTED))
+    return target.unionByName(new)
 
 
 def action_counts() -> list[Column]:
-    """Counters for ``DataFrame.observe`` on the result of ``upsert(with_action=True)``."""
+    """Counters for ``DataFrame.observe`` on a result that was made ``with_action``."""
     return [
         F.count_if(F.col(ACTION) == name).alias(name) for name in (INSERTED, UPDATED, KEPT)
     ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -85,27 +85,37 @@ def merge_into(
     """
     if partition_by not in keys:
         raise ValueError(f"{partition_by} must be one of the key columns")
-    schema = schema or capacity_schema()
+
+    def merge(touched: DataFrame) -> DataFrame:
+        return upsert(touched, source, order_by, keys, now, with_action=True)
+
+    _change(spark, path, source, merge, schema or capacity_schema(), partition_by, batch, writer, counters)
+
+
+def _change(
+    spark: SparkSession, path: str, source: DataFrame, change: Callable[[DataFrame], DataFrame], schema: T.StructType,
+    partition_by: str, batch: int | None, writer: str, counters: Observation | None,
+) -> None:
+    """Stage what ``change`` makes of the touched partitions, with the action of every row, and swap it in."""
     target = ensure_table(spark, path, schema, partition_by)
     staged = staging_path(path, batch, writer)
     name = None if batch is None else f"{batch}-{_digest(source)}"
     content = staged if batch is None else f"{staged}/batch={name}"
-    done = batch is not None and path_exists(spark, f"{staged}/_SUCCESS") and path_exists(spark, content)
-    if not done:
-        touched = touched_partitions(target, source, partition_by)
-        merged = upsert(touched, source, order_by, keys, now, with_action=True)
-        if counters is not None:
-            merged = merged.observe(counters, *action_counts())
+    if batch is None or not (path_exists(spark, f"{staged}/_SUCCESS") and path_exists(spark, content)):
         # Rows of a day are brought together here, AQE evens out the days; the swap
         # below is then a copy without a shuffle.
-        merged = merged.drop(ACTION).hint("rebalance", partition_by)
+        changed = change(touched_partitions(target, source, partition_by)).hint("rebalance", partition_by)
         if batch is None:
-            merged.write.mode("overwrite").parquet(staged)
+            changed.write.mode("overwrite").parquet(staged)
         else:
-            merged.withColumn("batch", F.lit(name)).write.mode("overwrite").partitionBy("batch").parquet(staged)
-        if not path_exists(spark, content):
-            return  # nothing to load
-    _write_partitions(spark.read.schema(schema).parquet(content), path, partition_by)
+            changed.withColumn("batch", F.lit(name)).write.mode("overwrite").partitionBy("batch").parquet(staged)
+    with_action = T.StructType([*schema.fields, T.StructField(ACTION, T.StringType())])
+    there = path_exists(spark, content)  # a batch without rows leaves no folder
+    rows = spark.read.schema(with_action).parquet(content) if there else target.limit(0).withColumn(ACTION, F.lit(""))
+    if counters is not None:
+        rows = rows.observe(counters, *action_counts())
+    if there or counters is not None:
+        _write_partitions(rows.drop(ACTION), path, partition_by)
 
 
 def _digest(rows: DataFrame) -> str:
@@ -134,12 +144,26 @@ def stage(df: DataFrame, path: str) -> DataFrame:
 
 
 def append_into(spark: SparkSession, path: str, source: DataFrame, schema: T.StructType | None = None,
-                partition_by: str = PARTITION, order_by: Sequence[str] = (), now: Column | None = None) -> None:
-    """Add all rows of ``source``: a load without a usable key."""
+                partition_by: str = PARTITION, order_by: Sequence[str] = (), now: Column | None = None,
+                batch: int | None = None, writer: str = "load", counters: Observation | None = None) -> None:
+    """Add all rows of ``source``: a load without a usable key.
+
+    With a ``batch`` number the touched partitions are staged and swapped in as by
+    ``merge_into``: repeating the batch with the same rows adds nothing.  Without
+    one the rows are only added, and a repeat adds them again.
+    """
     schema = schema or capacity_schema()
+    if batch is not None:
+        def add(touched: DataFrame) -> DataFrame:
+            return append(touched, source, order_by, now, with_action=True)
+
+        _change(spark, path, source, add, schema, partition_by, batch, writer, counters)
+        return
     ensure_table(spark, path, schema, partition_by)
-    empty = spark.createDataFrame([], schema)
-    append(empty, source, order_by, now).write.mode("append").partitionBy(partition_by).parquet(path)
+    added = append(spark.createDataFrame([], schema), source, order_by, now, with_action=True)
+    if counters is not None:
+        added = added.observe(counters, *action_counts())
+    added.drop(ACTION).write.mode("append").partitionBy(partition_by).parquet(path)
 
 
 def load(spark: SparkSession, path: str, source: DataFrame, order_by: Sequence[str],
@@ -157,7 +181,7 @@ def load(spark: SparkSession, path: str, source: DataFrame, order_by: Sequence[s
     if keyed:
         merge_into(spark, path, source, order_by, keys, schema, partition_by, now, batch, writer, counters)
         return "upsert"
-    append_into(spark, path, source, schema, partition_by, order_by, now)
+    append_into(spark, path, source, schema, partition_by, order_by, now, batch, writer, counters)
     return "append"
 
 
