@@ -188,6 +188,49 @@ def stored_reports(spark, sf_dir):
     return again.withColumns({c: F.col(c).cast("int") for c in ("column_count", "issue_count")})
 
 
+_LACKING = "file_name in ('click', 'error')"
+_TWO_LAYOUTS = with_sql(FEED_SQL.replace("case when k < 95 then k end as available", "case when k < 95 and event_type not in ('click', 'error') then k end as available"))
+
+
+def _two_layouts(spark, sf_dir):
+    """Clicks and errors come in files without availability; read together they have the column, empty."""
+    lacking = F.expr(_LACKING)
+    rows = feed(spark, sf_dir).withColumn("available", F.when(~lacking, F.col("available")))
+    every = [c for c in rows.columns if c not in ("file_name", "row_id")]
+    own = F.when(lacking, F.array(*[F.lit(c) for c in every if c != "available"])).otherwise(F.array(*map(F.lit, every)))
+    return q.quality_report(rows, layouts=rows.select("file_name").distinct().withColumn("file_columns", own))
+
+
+@query("quality_issues_layouts", _TWO_LAYOUTS + _ISSUES + f"""
+select file_name, severity, type, "column", affected_count from issues
+where not ({_LACKING} and type = 'MISSING_VALUES' and "column" = 'available')
+union all select distinct file_name, 'ERROR', 'MISSING_COLUMNS', null, 0 from feed where {_LACKING}
+""")
+def quality_issues_layouts(spark, sf_dir):
+    return _two_layouts(spark, sf_dir).issues.select("file_name", "severity", "type", "column", "affected_count")
+
+
+@query("quality_layouts", _TWO_LAYOUTS + _ISSUES + f"""
+select file_name, record_count, if({_LACKING}, 5, 6) as column_count, round(cast(1 - nulls / (record_count * if({_LACKING}, 5, 6)) as double), 4) as completeness,
+  coalesce(rows_named, 0) as rows_named
+from (
+  select file_name, count(*) as record_count, 6 * count(*) - count(date) - count(cycle) - count(location) - count(capacity)
+    - count(note) - case when {_LACKING} then count(*) else count(available) end as nulls
+  from feed group by file_name
+) left join (
+  select file_name, count(*) as rows_named from issue_rows
+  where not ({_LACKING} and type = 'MISSING_VALUES' and "column" = 'available') group by file_name
+) using (file_name)
+""")
+def quality_layouts(spark, sf_dir):
+    """Columns, completeness and affected rows per file, each by the file's own columns."""
+    report = _two_layouts(spark, sf_dir)
+    complete = report.metrics.where("name = 'completeness'").select("file_name", F.col("value").alias("completeness"))
+    named = report.issue_rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("rows_named"))
+    return report.summary.select("file_name", "record_count", "column_count").join(complete, "file_name").join(
+        named, "file_name", "left").withColumn("rows_named", F.coalesce("rows_named", F.lit(0)))
+
+
 @query("quality_missing_columns", """
 select event_type as file_name, 'ERROR' as severity, 'MISSING_COLUMNS' as type,
   'Missing required columns: available, capacity, date, location' as description, count(*) as record_count

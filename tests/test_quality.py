@@ -193,3 +193,22 @@ def test_further_checks_count_like_built_in_ones(spark):
     scores = [r.summary.where("file_name = 'f1'").first() for r in (plain, more)]
     assert scores[1]["issue_count"] == scores[0]["issue_count"] + 1
     assert scores[1]["quality_score"] <= scores[0]["quality_score"]
+
+
+def test_missing_columns_per_file(spark, tmp_path):
+    """Two layouts read together: a file answers for its own columns only."""
+    from tidegate.sources import feed as source
+
+    (tmp_path / "a.csv").write_text("date,cycle,location,capacity,available\nd,c,L1,5,1\nd,c,L2,,2\n")
+    (tmp_path / "b.csv").write_text("location,date,cycle,capacity\nL1,d,c,5\nL2,d,c,6\n")
+    path = str(tmp_path)
+    rows = source.read_layouts(spark, path, min_bytes=0, index="row_id").drop(source.SURPLUS)
+    rows = rows.withColumns({c: F.col(c).cast("double") for c in ("capacity", "available")})
+    checks = q.Checks(by="file_path", helpers=("file_name", "file_size", "file_modified", "block_start"))
+    layouts = source.file_layouts(spark, path, min_bytes=0)
+    for given, b_columns in ((layouts, 4), (layouts.where("file_path like '%a.csv'"), 5)):
+        report = q.quality_report(rows, checks, given)
+        issues = {(r["file_path"][-5:], r["type"], r["column"]) for r in report.issues.collect()}
+        lacking = ("b.csv", "MISSING_COLUMNS", None) if b_columns == 4 else ("b.csv", "MISSING_VALUES", "available")
+        assert issues == {("a.csv", "MISSING_VALUES", "capacity"), lacking}
+        assert {r["file_path"][-5:]: r["column_count"] for r in report.summary.collect()} == {"a.csv": 5, "b.csv": b_columns}

@@ -105,10 +105,34 @@ def _profile_aggregates(df: DataFrame, checks: Checks) -> list[Column]:
     return [F.expr(a) for a in aggregates]
 
 
-def _completeness(df: DataFrame, checks: Checks) -> Column:
+# Columns of a row's own file, where files differ in them.
+OWN = "__own_columns"
+
+
+def _owns(df: DataFrame, column: str) -> str:
+    """SQL: whether the file has the column; all files have all columns unless layouts are given."""
+    return f"array_contains({OWN}, {sql.text(column)})" if OWN in df.columns else "true"
+
+
+def _column_count(wide: DataFrame, df: DataFrame, checks: Checks) -> Column:
+    columns = checks.columns(df)
+    if OWN not in wide.columns:
+        return F.lit(len(columns))
+    return F.size(F.array_intersect(OWN, F.array(*map(F.lit, columns)).cast("array<string>")))
+
+
+def _with_layouts(wide: DataFrame, df: DataFrame, layouts: DataFrame | None, checks: Checks) -> DataFrame:
+    if layouts is None:
+        return wide
+    every = F.array(*map(F.lit, checks.columns(df))).cast("array<string>")
+    joined = _joined(wide, layouts.select(checks.by, F.col("file_columns").alias(OWN)), checks.by)
+    return joined.withColumn(OWN, F.coalesce(OWN, every))
+
+
+def _completeness(wide: DataFrame, df: DataFrame, checks: Checks) -> Column:
     columns = checks.columns(df)
-    empty = F.expr(" + ".join(sql.name(f"{c}__nulls") for c in columns) or "0")
-    cells = F.col("record_count") * len(columns)
+    empty = F.expr(" + ".join(f"if({_owns(wide, c)}, {sql.name(f'{c}__nulls')}, 0)" for c in columns) or "0")
+    cells = F.col("record_count") * _column_count(wide, df, checks)
     return F.when(cells > 0, round_exact(1 - empty / cells, 4)).otherwise(F.lit(0.0))
 
 
@@ -233,9 +257,17 @@ def _issues(wide: DataFrame, df: DataFrame, checks: Checks) -> DataFrame:
 
     def add(severity: str, kind: str, column: str | None, counter: str, before: str, after: str) -> None:
         count = sql.name(counter)
-        found.append(f"case when {count} > 0 then {_issue(severity, kind, column, count, before, after)} end")
+        there = "" if column is None or OWN not in wide.columns else f" and {_owns(wide, column)}"
+        found.append(f"case when {count} > 0{there} then {_issue(severity, kind, column, count, before, after)} end")
 
-    if missing := checks.missing(df):
+    if OWN in wide.columns:
+        lacking = f"array_sort(array_except(array({', '.join(map(sql.text, checks.expected))}), {OWN}))"
+        wide = wide.withColumn("__lacking", F.expr(f"array_join({lacking}, ', ')"))
+        found.append(
+            "case when __lacking <> '' then named_struct('severity', 'ERROR', 'type', 'MISSING_COLUMNS', 'column', cast(null as"
+            " string), 'description', concat('Missing required columns: ', __lacking), 'affected_count', 0L) end"
+        )
+    elif missing := checks.missing(df):
         found.append(
             _issue(ERROR, "MISSING_COLUMNS", None, "0", f"Missing required columns: {', '.join(missing)}", "")
         )
@@ -251,7 +283,7 @@ def _issues(wide: DataFrame, df: DataFrame, checks: Checks) -> DataFrame:
         add(INFO, "POTENTIAL_OUTLIERS", c, f"{c}__outliers",
             f"Potential outliers in {c}: ", " records affected")
     listed = f"array_compact(array({', '.join(found)}))" if found else "array()"
-    return wide.withColumn("issues", F.expr(listed))
+    return wide.withColumn("issues", F.expr(listed)).drop("__lacking")
 
 
 def _with_extra(wide: DataFrame, df: DataFrame, checks: Checks) -> DataFrame:
@@ -300,7 +332,7 @@ def _summary(wide: DataFrame, df: DataFrame, checks: Checks) -> DataFrame:
         wide.select(
             checks.by,
             "record_count",
-            F.lit(len(checks.columns(df))).alias("column_count"),
+            _column_count(wide, df, checks).alias("column_count"),
             F.size("issues").alias("issue_count"),
             score.alias("quality_score"),
         )
@@ -320,7 +352,7 @@ def _metrics(wide: DataFrame, df: DataFrame, checks: Checks) -> DataFrame:
             metric(f"{c}_max", F.col(f"{c}__max")),
             metric(f"{c}_mean", round_exact(F.col(f"{c}__mean"), 2)),
         ]
-    listed.append(metric("completeness", _completeness(df, checks)))
+    listed.append(metric("completeness", _completeness(wide, df, checks)))
     if checks.has(df, checks.location):
         listed.append(metric("unique_locations", F.col("unique_locations")))
     return wide.select(checks.by, F.explode(F.array(*listed)).alias("m")).select(checks.by, "m.*")
@@ -336,6 +368,11 @@ def profile_metrics(df: DataFrame, checks: Checks = Checks()) -> DataFrame:
 def _issue_rows(df: DataFrame, fences: DataFrame, files: int, checks: Checks) -> DataFrame:
     """Rows each issue affects: file, type, column, row id."""
     rows = _with_fences(df, fences, files, checks)
+    if OWN in fences.columns:
+        rows = join_groups(
+            rows, fences.select(checks.by, "record_count", OWN), [checks.by], "record_count", [checks.row_id], "inner",
+            lines=files, **checks.limits,
+        )
     kinds = []
 
     def add(kind: str, column: str | None, hit: str) -> None:
@@ -349,7 +386,8 @@ def _issue_rows(df: DataFrame, fences: DataFrame, files: int, checks: Checks) ->
         rows = flag_duplicates(rows, flagged, [checks.by, checks.row_id], "__duplicate", **_hot(checks))
         add("DUPLICATE_RECORDS", None, "__duplicate")
     for c in checks.columns(df):
-        add("MISSING_VALUES", c, f"{sql.name(c)} is null")
+        there = f" and {_owns(rows, c)}" if OWN in rows.columns else ""
+        add("MISSING_VALUES", c, f"{sql.name(c)} is null{there}")
     for c in checks.outlier_columns(df):
         add("POTENTIAL_OUTLIERS", c, _is_outlier(c))
     listed = F.expr(f"explode(array_compact(array({', '.join(kinds)}))) as k")
@@ -360,8 +398,14 @@ def _hot(checks: Checks) -> dict:
     return {k: v for k, v in checks.limits.items() if k == "hot_rows"}
 
 
-def quality_report(df: DataFrame, checks: Checks = Checks()) -> QualityReport:
-    """All checks for all files of ``df``; per-file statistics are computed once."""
+def quality_report(df: DataFrame, checks: Checks = Checks(), layouts: DataFrame | None = None) -> QualityReport:
+    """All checks for all files of ``df``; per-file statistics are computed once.
+
+    ``layouts`` says which columns every file has, one line per file (``checks.by``,
+    ``file_columns``), where files of several layouts stand in one frame: a column
+    that a file lacks is a missing column there, not a column of missing values.
+    A file without a line has all columns.
+    """
     df = nan_to_null(df)
     measured = _measure(df, checks)
     fences = _fences(df, measured, checks)
@@ -374,6 +418,7 @@ def quality_report(df: DataFrame, checks: Checks = Checks()) -> QualityReport:
             *[F.expr(f"max({end}) as {end}") for end in ends],
         )
         wide = _joined(wide, counted, checks.by)
+    wide = _with_layouts(wide, df, layouts, checks)
     wide = materialise(_with_extra(_issues(wide, df, checks), df, checks))
     issues = wide.select(
         checks.by, F.posexplode("issues").alias("issue_id", "issue")

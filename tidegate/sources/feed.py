@@ -126,6 +126,20 @@ def read_feed(
     return shape_feed(raw, names, min_bytes, sep)
 
 
+def _layouts(spark: SparkSession, path: str, sep: str, min_bytes: int) -> tuple[DataFrame, list[list[str]]]:
+    """Names of every file's columns in its order (``__path``, ``__names``), and all layouts there are."""
+    headers = materialise(file_headers(spark, path, CSV_GLOB, min_bytes))
+    layouts = {r["header"]: clean_names(split_header(r["header"], sep)) for r in headers.select("header").distinct().collect()}
+    named = spark.createDataFrame(list(layouts.items()), "header string, __names array<string>")
+    return headers.join(named, "header").select(F.col("file_path").alias("__path"), "__names"), list(layouts.values())
+
+
+def file_layouts(spark: SparkSession, path: str, sep: str = ",", min_bytes: int = MIN_BYTES) -> DataFrame:
+    """One line per file with the columns it has: ``file_path``, ``file_columns``."""
+    files, _ = _layouts(spark, path, sep, min_bytes)
+    return files.select(F.col("__path").alias("file_path"), F.col("__names").alias("file_columns"))
+
+
 def read_layouts(
     spark: SparkSession, path: str, sep: str = ",", multi_line: bool = False, min_bytes: int = MIN_BYTES,
     index: str | None = None,
@@ -138,12 +152,11 @@ def read_layouts(
     file's header is marked (``split_surplus``).  ``index`` adds the row
     position (``with_row_index``), which must be taken before files are matched.
     """
-    headers = materialise(file_headers(spark, path, CSV_GLOB, min_bytes))
-    layouts = {r["header"]: clean_names(split_header(r["header"], sep)) for r in headers.select("header").distinct().collect()}
+    files, layouts = _layouts(spark, path, sep, min_bytes)
     if not layouts:
         rows = read_feed(spark, path, [], sep, multi_line, min_bytes)
         return with_row_index(rows, index) if index else rows
-    places = [f"__{i}" for i in range(max(map(len, layouts.values())))]
+    places = [f"__{i}" for i in range(max(map(len, layouts)))]
     raw = (
         spark.read.schema(_scan_schema(places))
         .options(**_csv_options(sep, multi_line))
@@ -153,14 +166,12 @@ def read_layouts(
     )
     rows = raw.where(F.col("_metadata.file_size") >= min_bytes).select(*raw.columns, *_metadata_columns())
     rows = with_row_index(rows, index) if index else rows
-    named = spark.createDataFrame(list(layouts.items()), "header string, __names array<string>")
-    files = headers.join(named, "header").select(F.col("file_path").alias("__path"), "__names")
-    few = headers.limit(LISTED_FILES + 1).count() <= LISTED_FILES
+    few = files.limit(LISTED_FILES + 1).count() <= LISTED_FILES
     rows = rows.join(F.broadcast(files) if few else files, F.col("file_path") == F.col("__path"))
     cells = F.array(*places)
     columns = [
         null_if_na(F.get(cells, F.array_position("__names", F.lit(name)).cast("int") - 1)).alias(name)
-        for name in dict.fromkeys(n for names in layouts.values() for n in names)
+        for name in dict.fromkeys(n for names in layouts for n in names)
     ]
     # A row that fills all places has no line of its own: its fields make one up.
     fields = F.when(F.col(SURPLUS).isNull(), len(places)).otherwise(_fields_of(F.col(SURPLUS), sep))
