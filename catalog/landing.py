@@ -276,22 +276,6 @@ def processed_csv(spark, sf_dir):
     )
 
 
-@query("unreadable_files", """
-select concat(event_type, '.csv') as file_name, case when event_type in ('click', 'error') then 'FILE_NOT_FOUND' else 'EMPTY_FILE' end as type,
-  0 as record_count, 'FAILED' as status, count(*) as events
-from events where event_type <> 'view' group by event_type
-""")
-def unreadable_files(spark, sf_dir):
-    """Expected files against listed and filled ones; only views arrived whole."""
-    rows = table(spark, sf_dir, "events").withColumn("file_name", F.concat("event_type", F.lit(".csv")))
-    expected = rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("events"))
-    there = expected.where(~F.col("file_name").isin("click.csv", "error.csv"))
-    counts = there.select("file_name", F.when(F.col("file_name") == "view.csv", F.col("events")).otherwise(0).alias("record_count"))
-    issues = q.unreadable_files(expected, there, counts)
-    summary = q.failed_summary(issues).select("file_name", F.col("record_count").cast("int").alias("record_count"), "status")
-    return issues.select("file_name", "type").join(summary, "file_name").join(expected, "file_name")
-
-
 _ROW_SCHEMA = T.StructType([
     T.StructField("loc", T.StringType()),
     T.StructField("event", T.StringType()),
@@ -532,6 +516,26 @@ def load_mixed_folder(spark, sf_dir):
     return tables.read_table(spark, at).select(*_PLACE).unionByName(lines, allowMissingColumns=True)
 
 
+@query("unreadable_files", """
+select concat(event_type, '.csv') as file, 'FILE_NOT_FOUND' as type, 'ERROR' as severity, 0 as record_count, 'FAILED' as status
+from events group by event_type
+union all select 'empty.csv', 'EMPTY_FILE', 'ERROR', 0, 'FAILED'
+""")
+def unreadable_files(spark, sf_dir):
+    """A load whose sidecars announce a file per kind, none of which landed, and a file with a header alone."""
+    landing, metadata = scratch_path(spark, "partly"), scratch_path(spark, "announced")
+    rows = readings(spark, sf_dir)
+    _raw_lines(rows, "Loc,Loc Name,DC", F.concat_ws(",", "Loc", "Loc", F.col("OAC")), f"{landing}/a")
+    _put_text(spark, f"{landing}/b/empty.csv", "Loc,Loc Name,DC\n")
+    for row in rows.select("kind").distinct().toLocalIterator():  # five
+        _put_text(spark, f"{metadata}/{row['kind']}.meta.json", "{}")
+    done = load_folder(spark, f"{landing}/*", metadata, scratch_path(spark, "capacity"), now=NOW, min_bytes=0)
+    issues, failed = done.unreadable, q.failed_summary(done.unreadable, by="file_path")
+    return issues.select("file_path", "type", "severity").join(failed, "file_path").select(
+        F.substring_index("file_path", "/", -1).alias("file"), "type", "severity",
+        F.col("record_count").cast("int").alias("record_count"), "status")
+
+
 @query("stream_feed", _MIXED + """,
 checked as (
   select concat(layout, '-', kind) as loc, count(*) as n, count(*) - count(dc) as empty from lines where not too_long and layout = 'a'

@@ -8,7 +8,9 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from tidegate.functions.filenames import stem
 from tidegate.operators.clean import nan_to_null, split_casts
+from tidegate.operators.quality import unreadable_files
 from tidegate.operators.upsert import split_check
 from tidegate.plans.recipes import Load, run_recipe
 from tidegate.schema import KEY_COLUMNS, capacity_schema
@@ -24,13 +26,16 @@ ROW_ORDER = ("download_timestamp", "file_path", "row_id")
 class Prepared:
     """Typed rows ready for the table, and the rows that cannot go there.
 
-    ``surplus``: the lines with more fields than their file's header.
+    ``surplus``: the lines with more fields than their file's header;
+    ``unreadable``: an issue per file that a sidecar announces but that is not
+    there, and per file without a row.
     """
 
     accepted: DataFrame
     uncastable: DataFrame
     rejected: DataFrame
     surplus: DataFrame | None = None
+    unreadable: DataFrame | None = None
 
 
 def prepare(processed: DataFrame, schema: T.StructType | None = None) -> Prepared:
@@ -43,6 +48,19 @@ def prepare(processed: DataFrame, schema: T.StructType | None = None) -> Prepare
     return Prepared(accepted.drop(*helpers), uncastable, rejected)
 
 
+def unreadable(announced: DataFrame, listed: DataFrame, rows: DataFrame) -> DataFrame:
+    """Issues of the announced files that are not listed, and of the listed ones without rows, by ``file_path``.
+
+    A file that is not there is named by its stem; it has no path.
+    """
+    files = listed.select("file_path", stem(F.col("file_name")).alias("stem"))
+    absent = announced.select("stem").distinct().join(files, "stem", "left_anti").select(
+        F.concat("stem", F.lit(".csv")).alias("file_path"))
+    counts = rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("record_count"))
+    expected = files.select("file_path").unionByName(absent)
+    return unreadable_files(expected, files.select("file_path"), counts, by="file_path")
+
+
 def load_folder(
     spark: SparkSession,
     landing: str,
@@ -69,16 +87,14 @@ def load_folder(
         rows = read_layouts(spark, landing, min_bytes=min_bytes, index="row_id")
     else:
         rows = with_row_index(read_feed(spark, landing, header, min_bytes=min_bytes))
-    load = Load(
-        sidecars=read_sidecars(spark, sidecars),
-        files=list_files(spark, landing).where(F.col("file_size") >= min_bytes),
-        now=now,
-        compat_dates=compat_dates,
-    )
+    announced = read_sidecars(spark, sidecars)
+    listed = list_files(spark, landing).where(F.col("file_size") >= min_bytes)
+    load = Load(sidecars=announced, files=listed, now=now, compat_dates=compat_dates)
     place = f"{table.rstrip('/')}__staging/rows-{uuid.uuid4().hex}"
-    fitting, surplus = split_surplus(stage(rows, f"{place}/raw"))
+    raw = stage(rows, f"{place}/raw")
+    fitting, surplus = split_surplus(raw)
     processed = stage(run_recipe(fitting, kind, load), f"{place}/processed")
-    prepared = replace(prepare(processed), surplus=surplus)
+    prepared = replace(prepare(processed), surplus=surplus, unreadable=unreadable(announced, listed, raw))
     stamp = None if now is None else F.timestamp_seconds(F.lit(now))
     load_table(spark, table, prepared.accepted, ROW_ORDER, keys, now=stamp, batch=batch, counters=counters)
     return prepared
