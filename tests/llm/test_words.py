@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -83,6 +84,45 @@ def test_kneser_ney_orders_and_hot_contexts(spark, edge, monkeypatch):
     assert sum(s for _, s in found[3, 1e-9]) > sum(s for _, s in found[2, 1e-9])
 
 
+def test_kneser_ney_query_has_trigrams(spark):
+    docs = common.read_table(spark, SF_DIR, "documents")
+    model = ngram_lm.train(docs.where(common.fold(10) != 0), order=3)
+    want = {r["doc_id"]: r["score"] for r in ngram_lm.score(docs, model, keep=["doc_id"]).collect()}
+    got = {r["doc_id"]: r["score"] for r in queries.QUERIES["op1_kneser_ney"](spark, SF_DIR).collect()}
+    assert got == pytest.approx(want, rel=1e-9)
+
+
+def test_kneser_ney_three_words(spark, edge, monkeypatch):
+    texts = [r["text"] for r in edge.collect()]
+    grams = Counter(g for t in texts for s in [[b"\t", b"\t", *tokens(t)]] for g in zip(s, s[1:], s[2:]))
+    pairs = Counter((b, c) for _, b, c in grams)
+    singles = Counter(b for _, b in pairs)
+    d3, d2, d1 = (ngram_lm._discounts(*(Counter(c.values())[k] for k in (1, 2, 3, 4))) for c in (grams, pairs, singles))
+    taken = lambda d, n: ([0.0] + list(d))[min(n, 3)]
+    total, followers = sum(singles.values()), defaultdict(list)
+    for counts in (grams, pairs):
+        for g, n in counts.items():
+            followers[g[:-1]].append(n)
+
+    def over(g: tuple, counts: Counter, d: tuple, low: float) -> float:
+        n = followers.get(g[:-1])
+        return low if n is None else max(counts[g] - taken(d, counts[g]), 0) / sum(n) + sum(taken(d, x) for x in n) / sum(n) * low
+
+    rest = sum(taken(d1, n) for n in singles.values())
+
+    @functools.cache
+    def p(g: tuple) -> float:
+        low = rest / total / (len(singles) + 1) + max(singles[g[2]] - taken(d1, singles[g[2]]), 0) / total
+        return over(g, grams, d3, over(g[1:], pairs, d2, low))
+
+    for share in (ngram_lm.RANKED_SHARE, 0.01, 2.0):  # most words by rank, some, none but the start
+        monkeypatch.setattr(ngram_lm, "RANKED_SHARE", share)
+        model = ngram_lm.train(edge, order=3)
+        for r in ngram_lm.score(edge, model, keep=["text"]).collect():
+            own = tokens(r["text"])
+            assert r["score"] == pytest.approx(sum(math.log10(p(g)) for g in zip([b"\t", b"\t", *own], [b"\t", *own], own)), rel=1e-9)
+
+
 def test_kneser_ney_without_training(spark, edge, nothing):
     model = ngram_lm.train(nothing)
     got = ngram_lm.score(edge, model).collect()

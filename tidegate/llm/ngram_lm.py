@@ -6,7 +6,10 @@ n-grams with their counts to the shared folder and passes what the next lower or
 needs: for every n-gram without its first word in how many n-grams it continues, and
 for every context its total and how many of its followers were seen once, twice, more
 often.  Contexts so frequent that one shard would get a large part of all tokens are
-dealt by the whole n-gram instead.  Scoring workers map the arrays into memory.
+dealt by the whole n-gram instead, and only their figures are added up by another shuffle.
+In the shuffle a frequent word is its rank and a rare one its hash; ranks, counts and
+sizes are as narrow as their largest value and compressed by byte planes.  Scoring
+workers map the arrays into memory.
 
 Texts are bytes; A-Z is lower-cased.  Null texts are empty, an empty text has the one
 token ``end``.  Repeated rows count as often as they stand there.  An empty training
@@ -31,12 +34,14 @@ TALLY_TOKENS = 2_000_000
 SCORE_TOKENS = 500_000
 #: A context that makes up this part of a task's tokens may be dealt over all shards.
 HOT_SHARE = 1 / 1024
-_HOT_STEP = 8  # contexts are weighed on every eighth token; they only decide where rows go
+_HOT_STEP = 8  # contexts and words are weighed on every eighth token; they only decide where rows go and how they are written
+#: A word that makes up this part of all tokens is written as its rank in the shuffle; at most 1 / share of them.
+RANKED_SHARE = 1 / (1 << 17)
 
 _START = common.mix(np.full(1, 11, np.uint64))[0]
 _END = common.mix(np.full(1, 13, np.uint64))[0]
 _FACTOR = np.uint64(0xC2B2AE3D27D4EB4F)
-_ROW = "shard int, kind int, b0 binary, b1 binary, b2 binary, b3 binary, b4 binary"
+_ROW = "shard int, kind int, b0 binary, b1 binary, b2 binary, b3 binary, b4 binary, b5 binary"
 _GRAMS, _CONTEXTS, _STATS = 0, 1, 2
 _FIGURES = 6  # per order: n-grams counted once, twice, three and four times; n-grams; their total
 
@@ -137,50 +142,108 @@ def _distinct_grams(sequence: np.ndarray, places: np.ndarray, order: int) -> tup
     return np.stack(columns[::-1], axis=1), counts
 
 
-def _gram_rows(grams: np.ndarray, counts: np.ndarray, raw: np.ndarray, hot: np.ndarray, bits: int) -> Iterator[dict]:
+def _packed(values: np.ndarray) -> bytes:
+    """Unsigned integers, as narrow as the largest one allows, by byte planes and compressed."""
+    narrow = _small(np.ascontiguousarray(values))
+    width = narrow.dtype.itemsize
+    raw = bytes([width]) + narrow.view(np.uint8).reshape(len(narrow), width).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(cell: pa.Scalar) -> np.ndarray:
+    data = cell.as_py()
+    raw = pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(f"<u{raw[0]}").astype(np.uint64)
+
+
+@dataclass(frozen=True)
+class _Ranks:
+    """Frequent words, the most frequent first; a rare word has the rank after the last."""
+
+    words: np.ndarray
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.zeros(words.shape, np.int64)
+        by = np.argsort(self.words)
+        ordered = self.words[by]
+        at = np.minimum(np.searchsorted(ordered, words), len(ordered) - 1)
+        return np.where(ordered[at] == words, by[at], len(ordered))
+
+    def back(self, ranks: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        out = np.append(self.words, np.uint64(0))[ranks.astype(np.int64)]
+        out[ranks == len(self.words)] = rare
+        return out
+
+
+def _gram_rows(grams: np.ndarray, counts: np.ndarray, raw: np.ndarray, hot: np.ndarray, frequent: _Ranks, bits: int) -> Iterator[dict]:
     """Blobs per shard.  A context is written once for all its followers that stand together."""
     if grams.shape[1] > 1:
-        context = _key(grams[:, :-1])
-        route = _route(context, _key(grams), hot)
+        route = _route(_key(grams[:, :-1]), _key(grams), hot)
     else:  # single words have no context, and are looked up by their own hash
-        context = route = grams[:, 0]
-    by = np.argsort(route, kind="stable")
-    grams, counts, raw, context, route = grams[by], counts[by], raw[by], context[by], route[by]
+        route = grams[:, 0]
+    shard = route >> np.uint64(64 - bits)
+    by = np.argsort(shard.astype(np.uint16) if bits <= 16 else shard, kind="stable")
+    grams, counts, raw, route = grams[by], counts[by], raw[by], route[by]
+    ranks = frequent.of(grams)
     for shard, part in common.shard_slices(route, bits):
-        firsts = common.runs(context[part])
-        size = np.diff(np.append(firsts, part.stop - part.start))
-        yield {"shard": shard, "kind": _GRAMS} | dict(zip(("b0", "b1", "b2", "b3", "b4"), common.blob(
-            grams[part][firsts][:, :-1], size.astype(np.uint32), grams[part][:, -1],
-            counts[part].astype(np.uint64), raw[part].astype(np.uint64))))
+        by = np.lexsort(ranks[part].T[::-1])
+        own, rank = grams[part][by], ranks[part][by]
+        new = np.ones(len(own), bool)
+        new[1:] = (own[1:, :-1] != own[:-1, :-1]).any(axis=1) if own.shape[1] > 1 else True
+        firsts = np.flatnonzero(new)
+        size = np.diff(np.append(firsts, len(own)))
+        before, word = rank[firsts, :-1].T.reshape(-1), rank[:, -1]
+        hashes = np.concatenate([own[firsts, :-1].T.reshape(-1), own[:, -1]])
+        yield {"shard": shard, "kind": _GRAMS, "b0": _packed(before), "b1": _packed(size), "b2": _packed(word), "b3": _packed(counts[part][by]),
+               "b4": _packed(raw[part][by]), "b5": hashes[np.concatenate([before, word]) == len(frequent.words)].tobytes()}
+
+
+def _read_grams(rows: pa.Table, level: int, frequent: _Ranks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, counts and raw counts of rows made by ``_gram_rows``."""
+    matrices, counts, raws = [np.zeros((0, level), np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for before, size, word, n, raw, rare in zip(*(rows.column(f"b{i}") for i in range(6))):
+        before, size, word = _unpacked(before), _unpacked(size).astype(np.int64), _unpacked(word)
+        words = frequent.back(np.concatenate([before, word]), np.frombuffer(rare.as_py(), np.uint64))
+        context = words[: len(before)].reshape(level - 1, len(size)).T
+        matrices.append(np.concatenate([np.repeat(context, size, axis=0), words[len(before) :, None]], axis=1))
+        counts.append(_unpacked(n))
+        raws.append(_unpacked(raw))
+    return np.concatenate(matrices), np.concatenate(counts), np.concatenate(raws)
 
 
 def _as_batch(rows: list[dict]) -> pa.RecordBatch:
-    schema = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), *((f"b{i}", pa.binary()) for i in range(5))])
+    schema = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), *((f"b{i}", pa.binary()) for i in range(6))])
     return pa.RecordBatch.from_pylist(rows, schema)
 
 
-def hot_contexts(docs: DataFrame, order: int) -> np.ndarray:
-    """Contexts that make up more than ``HOT_SHARE`` of all tokens, for every order; few by this definition."""
+def hot_contexts(docs: DataFrame, order: int) -> tuple[np.ndarray, _Ranks]:
+    """Contexts that make up more than ``HOT_SHARE`` of all tokens, for every order, and words above ``RANKED_SHARE``;
+    few by this definition."""
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sequence, tokens, _ in _flushes(batches, order, TALLY_TOKENS):
             places = _predicted(tokens, order)[::_HOT_STEP]
-            out_key, out_n = [np.zeros(1, np.uint64)], [np.array([len(places)])]  # key 0: all tokens
-            for words in range(1, order):
-                key = _key(np.stack([sequence[places - back] for back in range(words, 0, -1)], axis=1))
+            out_key, out_n, out_words = [np.zeros(1, np.uint64)], [np.array([len(places)])], [0]  # key 0: all tokens
+            for words in range(order):  # no word: the predicted one itself
+                key = _key(np.stack([sequence[places - back] for back in range(words, 0, -1)], axis=1)) if words else sequence[places]
                 seen, n = np.unique(key, return_counts=True)
-                frequent = n >= max(2, len(places) * HOT_SHARE)
+                frequent = n >= max(2, len(places) * (HOT_SHARE if words else RANKED_SHARE))
                 out_key.append(seen[frequent])
                 out_n.append(n[frequent])
+                out_words.append(words)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(out_key).view(np.int64)), pa.array(np.concatenate(out_n).astype(np.int64))], ["key", "n"])
+                [pa.array(np.repeat(np.array(out_words) > 0, [len(k) for k in out_key])),
+                 pa.array(np.concatenate(out_key).view(np.int64)), pa.array(np.concatenate(out_n).astype(np.int64))], ["context", "key", "n"])
 
-    sums = docs.mapInArrow(weigh, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    total = F.max(F.when(F.col("key") == 0, F.col("n")))
-    # At most (order - 1) / share contexts can pass; the sum is one row, so the join is with one row.
-    least = sums.agg((total * HOT_SHARE).alias("least")).first()["least"] or 0
-    found = sums.where((F.col("key") != 0) & (F.col("n") > least)).collect()
-    return np.sort(np.array([r["key"] for r in found], np.int64).view(np.uint64))
+    sums = docs.mapInArrow(weigh, "context boolean, key long, n long").groupBy("context", "key").agg(F.sum("n").alias("n"))
+    # At most (order - 1) / share contexts and 1 / share words can pass; the sum is one row, so the join is with one row.
+    total = sums.agg(F.max(F.when(F.col("key") == 0, F.col("n"))).alias("total")).first()["total"] or 0
+    least = F.when(F.col("context"), total * HOT_SHARE).otherwise(total * RANKED_SHARE)
+    found = sums.where((F.col("key") != 0) & (F.col("n") > least)).toPandas().sort_values(["n", "key"], ascending=[False, True])
+    keys, context = found["key"].to_numpy(np.int64).view(np.uint64), found["context"].to_numpy(bool)
+    return np.sort(keys[context]), _Ranks(np.append(_START, keys[~context & (keys != _START)]))
 
 
 def _small(values: np.ndarray) -> np.ndarray:
@@ -188,7 +251,15 @@ def _small(values: np.ndarray) -> np.ndarray:
     return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
 
 
-def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, bits: int):
+def _save_contexts(folder: str, name: str, context: np.ndarray, stats: np.ndarray) -> None:
+    """Contexts in order and their figures, of which most are alike: a number per context and a table by number."""
+    codes, _ = pd.factorize(_key(stats))
+    arrays.save(folder, f"{name}", context)
+    arrays.save(folder, name.replace("context", "followers"), _small(codes))
+    arrays.save(folder, name.replace("context", "figures"), _small(stats[np.unique(codes, return_index=True)[1]]))
+
+
+def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, frequent: _Ranks, bits: int):
     """Adds up a shard of n-grams of ``level`` words and writes it; yields the rows of the next lower level."""
 
     def reduce(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -202,21 +273,15 @@ def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, bits: i
             stats = common.unblob(seen.column("b1"), np.uint64).reshape(-1, 4)
             by = np.argsort(context)
             firsts = common.runs(context[by])
-            arrays.save(folder, f"context{level + 1}-{shard}", context[by][firsts])
-            arrays.save(folder, f"followers{level + 1}-{shard}", _small(np.add.reduceat(stats[by], firsts, axis=0)))
-
-        grams = table.filter(pa.array(kinds == _GRAMS))
-        word = common.unblob(grams.column("b2"), np.uint64)
-        if len(word):
-            size = common.unblob(grams.column("b1"), np.uint32)
-            before = np.repeat(common.unblob(grams.column("b0"), np.uint64).reshape(len(size), level - 1), size, axis=0)
-            matrix = np.concatenate([before, word[:, None]], axis=1)
+            _save_contexts(folder, f"hotcontext{level + 1}-{shard}", context[by][firsts], np.add.reduceat(stats[by], firsts, axis=0))
+
+        matrix, n, raw = _read_grams(table.filter(pa.array(kinds == _GRAMS)), level, frequent)
+        if len(matrix):
             gram = _key(matrix)
             by = np.argsort(gram)
             firsts = common.runs(gram[by])
             gram, matrix = gram[by][firsts], matrix[by[firsts]]
-            n = np.add.reduceat(common.unblob(grams.column("b3"), np.uint64)[by], firsts)
-            raw = np.add.reduceat(common.unblob(grams.column("b4"), np.uint64)[by], firsts)
+            n, raw = np.add.reduceat(n[by], firsts), np.add.reduceat(raw[by], firsts)
             arrays.save(folder, f"gram{level}-{shard}", gram)
             arrays.save(folder, f"count{level}-{shard}", _small(n))
             if level == 1:
@@ -225,27 +290,32 @@ def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, bits: i
             if level == 1:
                 rows.append({"shard": shard, "kind": _STATS, "b1": int(raw.sum()).to_bytes(8, "little")})
             else:
-                rows += _lower(matrix, n, raw, hot, bits)
+                rows += _lower(folder, level, shard, matrix, n, raw, hot, frequent, bits)
         rows.append({"shard": shard, "kind": _STATS, "b0": figures.astype(np.int64).tobytes()})
         return pa.Table.from_batches([_as_batch(rows)])
 
     return reduce
 
 
-def _lower(matrix: np.ndarray, n: np.ndarray, raw: np.ndarray, hot: np.ndarray, bits: int) -> list[dict]:
-    """Continuation counts of the n-grams without their first word, and the followers of the contexts."""
+def _lower(folder: str, level: int, shard: int, matrix: np.ndarray, n: np.ndarray, raw: np.ndarray, hot: np.ndarray, frequent: _Ranks, bits: int) -> list[dict]:
+    """Continuation counts of the n-grams without their first word, and the followers of the contexts that other shards
+    hold too; all others are complete and are written."""
     context = _key(matrix[:, :-1])
     by = np.argsort(context)
     firsts = common.runs(context[by])
     each = np.stack([n, n == 1, n == 2, n > 2], axis=1).astype(np.uint64)[by]
     stats, context = np.add.reduceat(each, firsts, axis=0), context[by][firsts]
-    rows = [{"shard": shard, "kind": _CONTEXTS, "b0": context[part].tobytes(), "b1": stats[part].tobytes()}
-            for shard, part in common.shard_slices(context, bits)]
+    shared = common.is_member(context, hot)
+    if not shared.all():
+        _save_contexts(folder, f"context{level}-{shard}", context[~shared], stats[~shared])
+    stats, context = stats[shared], context[shared]
+    rows = [{"shard": to, "kind": _CONTEXTS, "b0": context[part].tobytes(), "b1": stats[part].tobytes()}
+            for to, part in common.shard_slices(context, bits)]
     suffix = _key(matrix[:, 1:])
     by = np.argsort(suffix)
     firsts = common.runs(suffix[by])
     continued = np.diff(np.append(firsts, len(by)))
-    rows += _gram_rows(matrix[by[firsts]][:, 1:], continued, np.add.reduceat(raw[by], firsts), hot, bits)
+    rows += _gram_rows(matrix[by[firsts]][:, 1:], continued, np.add.reduceat(raw[by], firsts), hot, frequent, bits)
     return rows
 
 
@@ -256,18 +326,18 @@ def train(docs: DataFrame, order: int = 2, text: str = "text") -> Model:
     spark = common.prepared(docs.sparkSession)
     bits = common.shard_bits(docs, text)
     texts = docs.select(common.text_bytes(text).alias("__text"))
-    hot = hot_contexts(texts, order)
+    hot, frequent = hot_contexts(texts, order)
     folder = scratch_path(spark, "ngrams")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sequence, tokens, _ in _flushes(batches, order, TALLY_TOKENS):
             grams, counts = _distinct_grams(sequence, _predicted(tokens, order), order)
-            for row in _gram_rows(grams, counts, counts, hot, bits):
+            for row in _gram_rows(grams, counts, counts, hot, frequent, bits):
                 yield _as_batch([row])
 
     level = texts.mapInArrow(tally, _ROW)
     for words in range(order, 0, -1):
-        level = level.groupBy("shard").applyInArrow(_tally_reducer(folder, words, order, hot, bits), _ROW)
+        level = level.groupBy("shard").applyInArrow(_tally_reducer(folder, words, order, hot, frequent, bits), _ROW)
     figures, tokens = np.zeros((order, _FIGURES), np.int64), 0
     for row in level.select("b0", "b1").toLocalIterator():  # one short row per shard
         if row["b1"] is not None:
@@ -307,6 +377,23 @@ def _look_up(folder: str, bits: int, route: np.ndarray, key: np.ndarray, names:
     return [np.zeros(len(key), np.int64) if x is None else x for x in out]
 
 
+def _followers(model: Model, level: int, context: np.ndarray) -> np.ndarray:
+    """The figures of distinct contexts: total, followers seen once, twice, more often."""
+    out = np.zeros((len(context), 4), np.int64)
+    hot = common.is_member(context, model.hot)
+    for prefix, own in (("", np.flatnonzero(~hot)), ("hot", np.flatnonzero(hot))):
+        for shard, wanted in common.by_shard(context[own], model.bits) if len(own) else ():
+            names = (f"{prefix}{name}{level}-{shard}" for name in ("context", "followers", "figures"))
+            held, codes, figures = (arrays.load(model.folder, name) for name in names)
+            if held is None:
+                continue
+            wanted = own[wanted]
+            at = np.minimum(np.searchsorted(held, context[wanted]), len(held) - 1)
+            hit = held[at] == context[wanted]
+            out[wanted[hit]] = figures[codes[at[hit]]]
+    return out
+
+
 def _discounted(model: Model, level: int, n: np.ndarray) -> np.ndarray:
     taken = np.array([0.0, *model.discounts[level - 1]])
     return np.maximum(n - taken[np.minimum(n, 3)], 0.0)
@@ -323,10 +410,9 @@ def _probabilities(model: Model, grams: np.ndarray) -> tuple[np.ndarray, np.ndar
     for level in range(2, model.order + 1):
         own = grams[:, -level:]
         codes, context = pd.factorize(_key(own[:, :-1]))
-        followers = _look_up(model.folder, model.bits, context, context, [f"context{level}", f"followers{level}"])[0]
-        followers = followers.reshape(len(context), -1)
+        followers = _followers(model, level, context)
         total = followers[:, 0]
-        kept = followers[:, 1:] @ np.array(model.discounts[level - 1]) if followers.shape[1] == 4 else np.zeros(len(context))
+        kept = followers[:, 1:] @ np.array(model.discounts[level - 1])
         kept = np.where(total > 0, kept / np.maximum(total, 1), 1.0)
         key = _key(own)
         n = _look_up(model.folder, model.bits, _route(context[codes], key, model.hot), key, [f"gram{level}", f"count{level}"])[0]

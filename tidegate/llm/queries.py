@@ -23,7 +23,7 @@ def query(run: Query) -> Query:
 def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_table(spark, sf_dir, "documents")
     held_out = common.fold(10) == 0
-    model = ngram_lm.train(docs.where(~held_out), order=2)
+    model = ngram_lm.train(docs.where(~held_out), order=3)
     scores = ngram_lm.score(docs, model, keep=["doc_id", held_out.alias("held_out")])
     return scores.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
 
