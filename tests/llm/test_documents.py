@@ -243,6 +243,21 @@ def test_guesses_are_ordered():
     assert cost("") == 0 and cost("f3ef4d6b2755a36d7d9c2") > 15 and cost("x7" * 5_000) < 6
 
 
+def test_random_values_are_found_and_words_kept():
+    rng = np.random.default_rng(8)
+    draw = lambda chars, n: "".join(rng.choice(list(chars), n))
+    lower, mixed = "abcdefghijklmnopqrstuvwxyz", [chr(c) for c in range(33, 127) if chr(c) not in "\"'`<>,;()[]{}.!?:"]
+    found = lambda value: bool(secret_scan.value_spans(f"pwd: {value} end"))
+    assert found("kX9$vQ2m") and sum(found(draw(mixed, 8)) for _ in range(500)) >= 0.99 * 500
+    for n, least in ((8, 0.85), (12, 0.95), (18, 0.99)):
+        assert sum(found(draw(lower, n)) for _ in range(500)) >= least * 500
+    kept = """required optional variable undefined configuration temporary forgotten protected REQUIRED UNKNOWN Please Object Update Lambda something
+        somewhere unavailable authentication environment administrator instructions contraseña Passwort vergessen erforderlich obligatoire
+        mot-de-passe changeme123 your_password your-api-key example-token placeholder XXXXXXXX ******** 12345678 qwertyuiop hunter2
+        Summer2024! admin@example.com user_name client_credentials"""
+    assert [w for w in kept.split() if found(w)] == []
+
+
 def test_pipeline_against_plain_python(spark, edge, tmp_path):
     edge.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([("q", "Two words")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")

@@ -1,8 +1,9 @@
 """Secrets in texts: fixed formats, and values in credential contexts that would be expensive to guess.
 
 The cost of a value is that of the cheapest way to write it as words, dates, repeats,
-keyboard walks and characters tried one by one (a dynamic programme over its positions,
-in powers of ten).  A value after a credential word counts as a secret from
+keyboard walks, syllables and characters tried one by one (a dynamic programme over its
+positions, in powers of ten).  A character costs as much as the classes of the value have
+members; only letters whose pairs are usual in words are guessed by syllables.  A value after a credential word counts as a secret from
 ``MIN_GUESSES`` on, so that names, prose and placeholders stay.
 
 Base kinds are found as they are asked for and always stay; ``value`` spans are added.
@@ -56,7 +57,32 @@ _LEET = str.maketrans("@4301!57$", "aaeoiists")
 _ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz", "qazwsxedcrfvtgbyhnujmikolp")
 _WALKS = tuple(x for row in _ROWS for x in (row, row[::-1]))
 _DATE = re.compile(r"(?:19|20)[0-9]{2}(?:[-/._]?[01][0-9](?:[-/._]?[0-3][0-9])?)?|[0-3]?[0-9][-/._][01]?[0-9][-/._](?:[0-9]{4}|[0-9]{2})")
-_PRONOUNCED = re.compile("[A-Za-z]?[a-z]{3,}")
+_LETTERS = re.compile("[A-Za-z]?[a-z]{3,}|[A-Z]{3,}")
+_CLASSES = ((re.compile("[a-z]"), 26), (re.compile("[A-Z]"), 26), (re.compile("[0-9]"), 10), (re.compile(r"[!-/:-@\[-`{-~]"), 33))
+_HEX_ONLY = re.compile("(?:[0-9a-f]+|[0-9A-F]+)")
+_CONSONANTS = re.compile("[b-df-hj-np-tv-xz]{5}")
+_SEPARATORS = frozenset("-_./:")
+# Letters that often follow a letter in English, German, French and Spanish words.
+_FOLLOWING = dict(zip("abcdefghijklmnopqrstuvwxyz", (
+    "bcdefghiklmnprstuvwxyz abeilorsuy acehiklorstuy adegilnorsuy abcdefghiklmnopqrstuvwxyz aefilortuy aeghilnorstuy aeilnortuy "
+    "abcdefgkllmnoprstuvxzq aeou aeilnorstuy abcdefgiklmopstuvy abeimnopstuy acdefghijklnoqstuvyz abcdefghiklmnoprstuvwxyz "
+    "aehilopprstuy u abcdefgiklmnoprstuvyz acehiklmnopqstuwy acehilmnorstuwyz abcdefgiklmnoprstvxyz aeiouy adehilnors aceiptuy "
+    "abcdeilmnoprst aeiltouwyz").split()))
+
+
+def _pronounceable(letters: str) -> bool:
+    """Whether the pairs of the letters are those of words: one unusual pair, or five consonants on end, in six letters pass."""
+    low = letters.lower()
+    unusual = sum(b not in _FOLLOWING[a] for a, b in zip(low, low[1:])) + len(_CONSONANTS.findall(low))
+    return unusual <= (len(low) - 1) // 6
+
+
+def _per_character(value: str) -> float:
+    """Power of ten of the characters that the classes used in the value have."""
+    if _HEX_ONLY.fullmatch(value) and not value.isdecimal():
+        return math.log10(16)
+    rest = value[1:] if value[:1].isupper() else value  # a capital at the start is tried before others
+    return math.log10(max(10, sum(size for pattern, size in _CLASSES if pattern.search(rest))))
 
 
 def guesses(value: str) -> float:
@@ -66,7 +92,10 @@ def guesses(value: str) -> float:
     if len(lower) != n or len(plain) != n:
         lower = plain = "".join(c if c.isascii() else "?" for c in value).lower()
     best = [0.0] + [math.inf] * n
-    spoken = {m.start(): m.end() for m in _PRONOUNCED.finditer(value)}
+    single = _per_character(value)
+    spoken = {m.start(): m.end() for m in _LETTERS.finditer(value) if _pronounceable(m[0])}
+    # A few letters beside other characters may be usual by chance.
+    spoken = {a: b for a, b in spoken.items() if b - a >= 6 or (a == 0 or value[a - 1] in _SEPARATORS) and (b == n or value[b] in _SEPARATORS)}
     inside = {i for a, b in spoken.items() for i in range(a, b)}
     for i in range(n):
         at = best[i] + 0.3 * (i > 0)  # another segment doubles the orders to try
@@ -100,7 +129,8 @@ def guesses(value: str) -> float:
                 reach(end, 1.5 + math.log10(end - i))
         if i in spoken:  # letters as in prose are guessed by syllables
             reach(spoken[i], 0.45 * (spoken[i] - i) + 0.5)
-        best[i + 1] = min(best[i + 1], best[i] + (0.6 if i in inside else 1.0))
+        one = 0.6 if i in inside else 1.0 if value[i] in _SEPARATORS or not value[i].isascii() else single
+        best[i + 1] = min(best[i + 1], best[i] + one)
     return best[n]
 
 
