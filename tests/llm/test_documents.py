@@ -67,6 +67,18 @@ def test_pii_is_native_and_adds(spark):
     assert got[5000]["spans"] == "number:12:28"
 
 
+def test_pii_adds_what_is_more_frequent_than_the_fixed_formats(spark):
+    rows = [(i, f"call me on tel +1 (212) 555-01{i % 100:02d} today") for i in range(200)]
+    rows += [(1000 + i, f"call me on tel (212) 555-01{i % 100:02d} today") for i in range(800)]
+    rows += [(2000 + i, f"write to jane{i}@mail.com soon") for i in range(200)] + [(3000 + i, f"write to jane{i} (at) mail (dot) com soon") for i in range(800)]
+    rows += [(4000 + i, f"order 2023-0{i % 9 + 1}-11 of {i}") for i in range(400)] + [(5000 + i, f"on 2023-0{i % 9 + 1}-11 we met") for i in range(400)]
+    rows += [(6000 + i, f"order ref (212) 555-01{i % 100:02d} shipped") for i in range(200)]
+    rows += [(7000 + i, f"paid by card 4111 1111 1111 1111 or 41111111111111{i % 90 + 10}" if i % 2 else f"no {4111111111111112 + 10 * i} here") for i in range(100)]
+    got = {r["doc_id"]: r["n_added"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    added = {k: sum(n for i, n in got.items() if i // 1000 == k) for k in range(7)}
+    assert added == {0: 0, 1: 800, 2: 0, 3: 800, 4: 0, 5: 0, 6: 0} and got[7000] == got[7002] == 0
+
+
 def test_packing(edge, nothing):
     by: dict = {}
     pieces = packing.pack(edge, VOCABULARY, keep=["doc_id", "text"]).collect()

@@ -3,12 +3,15 @@
 Fixed formats (email, ip, card, phone) are found as asked for and always stay.  Two wide
 generators propose further, overlapping spans: ``number`` (any grouped digits) and ``handle``
 (addresses written out, with "at" and "dot").  Boosted trees tell from a candidate's shape
-and the words before it how likely it is personal data.  They learn from candidates that
-hold a fixed format against those that don't, without seeing what decides that (plus sign,
-check digits, ranges), so that they can speak for a candidate that misses only this.  Shape
-and context take few values, so one grouped count of all candidates is the whole training
-set; the trees become a SQL expression.  A threshold per generator is calibrated on one
-fifth of the documents; where it can't reach ``PRECISION`` nothing is added.
+and the words before it how likely it is personal data.  Right examples are the candidates
+that hold a fixed format, and the same with the country code masked or the address written
+out (at, dot): forms that no fixed format has.  Wrong examples are candidates of none of the
+shapes of phones and addresses so found (numbers that fail a check digit among them), and those of such a shape that the words before announce as something else
+(order, version, date).  The rest, shaped like personal data without a fixed format, has no
+label and is left out of training and calibration, however frequent it is.  Shape and context
+take few values, so one grouped count of all candidates is the whole training set; the trees
+become a SQL expression.  A threshold per generator is calibrated on one fifth of the
+documents; where it can't reach ``PRECISION`` nothing is added.
 
 Matches are cut out by marks: a regular expression brackets them, the text is split at the
 marks, and running lengths give the places.  Null texts are empty.  Spans are code points,
@@ -48,6 +51,10 @@ _HANDLE = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:\(at\)|\[at\]|\{at\}|\b
 _CONTEXT = (
     "phone|tel|call|mobile|cell|fax|whatsapp|sms", "card|visa|credit|debit|account|iban|payment", "mail|contact|write|reach",
     "ip|addr|host|server|client|subnet", "order|ref|invoice|version|page|isbn|date|year|item|total|price|#")
+_ELSE = len(_CONTEXT)
+#: Ways to write out the ``@`` and the last dot of an address.
+_WRITTEN = ((" (at) ", " (dot) "), ("(at)", "(dot)"), (" at ", " dot "), (" [at] ", " [dot] "), ("[at]", "[dot]"), (" (at) ", "."), ("(at)", "."))
+SHAPE = ("digits", "groups", "parens", "dots", "dashes", "spaces", "slashes")
 FEATURES = ("kind", "digits", "groups", "parens", "dots", "dashes", "spaces", "slashes", "context", "before", "after")
 
 
@@ -93,6 +100,21 @@ def _segments(text: Column) -> Column:
     return F.flatten(F.array_compact(F.array(*some)))
 
 
+def _shape(m: Column) -> dict[str, Column]:
+    count = lambda chars: F.length(F.regexp_replace(m, f"[^{chars}]", ""))
+    values = (F.least(F.length(_digits(m)), F.lit(24)), F.least(F.length(F.regexp_replace(F.regexp_replace(m, "[0-9]+", "9"), "[^9]", "")), F.lit(9)),
+              F.least(count("()"), F.lit(2)), F.least(count("."), F.lit(4)), F.least(count("-"), F.lit(4)), F.least(count(" "), F.lit(4)), F.least(count("/"), F.lit(2)))
+    return dict(zip(SHAPE, values))
+
+
+def _masked(m: Column, kind: Column) -> Column:
+    """Shapes of a find of a fixed format in forms that have none: phone without plus or country code, address written out."""
+    described = lambda form: F.struct(*[v.alias(n) for n, v in _shape(form).items()])
+    national = F.array(described(F.regexp_replace(m, r"^\+[0-9]{1,3}[ .-]*(?=[(0-9])", "")), described(F.regexp_replace(m, r"^\+[0-9]{1,3}[ .-]*\(?([0-9]+)\)?", "$1")))
+    written = F.array(*(described(F.regexp_replace(F.regexp_replace(m, "@", at), r"\.([A-Za-z]+)$", f"{dot}$1")) for at, dot in _WRITTEN))
+    return F.when((kind == BASE) & m.startswith("+"), national).when((kind == BASE + 1), written)
+
+
 def _side(char: Column) -> Column:
     """What stands next to a candidate."""
     return F.when(F.coalesce(F.length(char), F.lit(0)) == 0, 0).when(char.rlike(r"\s"), 1).when(char.rlike(r"\p{L}"), 2).when(char.rlike("[0-9]"), 3).otherwise(4)
@@ -123,15 +145,12 @@ def candidates(docs: DataFrame, text: str = "text", keep: list[str | Column] = (
              .when(kind == 3, digits.between(8, 15)).when(kind == 4, holds).otherwise(handle))
     context = reduce(lambda other, w: F.when(F.col("tail").rlike(f"(?<![a-z])(?:{w[1]})"), w[0]).otherwise(other),
                      reversed(list(enumerate(_CONTEXT, 1))), F.lit(0))
-    count = lambda chars: F.length(F.regexp_replace(m, f"[^{chars}]", ""))
-    shape = {"digits": F.least(digits, F.lit(24)), "groups": F.least(F.length(F.regexp_replace(F.regexp_replace(m, "[0-9]+", "9"), "[^9]", "")), F.lit(9)),
-             "parens": F.least(count("()"), F.lit(2)), "dots": F.least(count("."), F.lit(4)), "dashes": F.least(count("-"), F.lit(4)),
-             "spaces": F.least(count(" "), F.lit(4)), "slashes": F.least(count("/"), F.lit(2)), "context": context,
-             "before": _side(F.substring("tail", -1, 1)), "after": _side(F.col("head"))}
+    shape = _shape(m) | {"context": context, "before": _side(F.substring("tail", -1, 1)), "after": _side(F.col("head"))}
     real = F.col("i") % 2 == 1
     wide = real & (kind >= BASE)
     return placed.select("__row", *[F.col(f"`{c}`") for c in kept], F.when(real, kind).alias("kind"), "start", "end",
-                         F.coalesce(F.when(real, valid), F.lit(False)).alias("valid"), *[F.when(wide, v).alias(n) for n, v in shape.items()])
+                         F.coalesce(F.when(real, valid), F.lit(False)).alias("valid"), *[F.when(wide, v).alias(n) for n, v in shape.items()],
+                         F.when(wide & valid, _masked(m, kind)).alias("masked"))
 
 
 def _tree_sql(node) -> str:
@@ -143,15 +162,29 @@ def _tree_sql(node) -> str:
     return f"CASE WHEN {name} <= {at!r} THEN {_tree_sql(node.leftChild())} ELSE {_tree_sql(node.rightChild())} END"
 
 
+def _labelled(counts: DataFrame) -> DataFrame:
+    """Counted candidates with a ``label``; those shaped like personal data without a fixed format have none and are left out."""
+    right = counts.where("valid")
+    masked = right.select("held", "kind", "context", "before", "after", "n", F.explode("masked").alias("s")).select(
+        "held", "kind", "context", "before", "after", "n", *[F.col(f"s.{c}").alias(c) for c in SHAPE])
+    columns = ["held", *FEATURES, "n"]
+    # A number that fails its check digit or range is no card or address: only phones and handles have forms without a format.
+    formless = right.where("masked is not null").select("kind", *SHAPE).unionByName(masked.select("kind", *SHAPE))
+    right = right.select(*columns).unionByName(masked.select(*columns))
+    known = formless.distinct().withColumn("known", F.lit(True))
+    others = counts.where("not valid").join(known, ["kind", *SHAPE], "left").where(F.col("known").isNull() | (F.col("context") == _ELSE))
+    return right.withColumn("label", F.lit(True)).unionByName(others.select(*columns).withColumn("label", F.lit(False)))
+
+
 def _likelihood(counts: DataFrame) -> Column | None:
     """Probability of personal data by boosted trees on the counted candidates; None where only one class is there."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    classes = counts.agg(F.sum(F.col("valid").cast("long") * F.col("n")).alias("yes"), F.sum("n").alias("all")).first()
+    classes = counts.agg(F.sum(F.col("label").cast("long") * F.col("n")).alias("yes"), F.sum("n").alias("all")).first()
     if not classes["yes"] or classes["yes"] == classes["all"]:
         return None
-    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(counts.withColumn("label", F.col("valid").cast("double")).withColumn("w", F.col("n").cast("double")))
+    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(counts.withColumn("label", F.col("label").cast("double")).withColumn("w", F.col("n").cast("double")))
     model = GBTClassifier(featuresCol="x", labelCol="label", weightCol="w", maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, minInstancesPerNode=1, seed=5).fit(rows)
     terms = [f"{float(w)!r} * ({_tree_sql(t._call_java('rootNode'))})" for t, w in zip(model.trees, model.treeWeights)]
     return F.expr(f"1 / (1 + exp(-2 * ({' + '.join(terms)})))")
@@ -159,7 +192,7 @@ def _likelihood(counts: DataFrame) -> Column | None:
 
 def _thresholds(counts: DataFrame, likelihood: Column) -> dict[int, float]:
     """Per generator the least likelihood above which the calibration candidates are right often enough."""
-    binned = counts.withColumn("bin", F.floor(likelihood * BINS)).groupBy("kind", "bin").agg(F.sum("n").alias("n"), F.sum(F.col("valid").cast("long") * F.col("n")).alias("yes"))
+    binned = counts.withColumn("bin", F.floor(likelihood * BINS)).groupBy("kind", "bin").agg(F.sum("n").alias("n"), F.sum(F.col("label").cast("long") * F.col("n")).alias("yes"))
     out: dict[int, float] = {}
     table = sorted(((r["kind"], r["bin"], r["n"], r["yes"]) for r in binned.collect()), reverse=True)  # bins times generators
     for kind in {r[0] for r in table}:
@@ -178,7 +211,8 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     all_.write.parquet(at := scratch_path(spark, "candidates"))
     all_ = spark.read.parquet(at)
     wide = all_.where(F.col("kind") >= BASE).withColumn("held", F.coalesce(common.fold(5) == 0, F.lit(False)))
-    wide.groupBy("held", "valid", *FEATURES).agg(F.count(F.lit(1)).alias("n")).write.parquet(at := scratch_path(spark, "counts"))
+    wide.groupBy("held", "valid", "masked", *FEATURES).agg(F.count(F.lit(1)).alias("n")).write.parquet(at := scratch_path(spark, "counts"))
+    _labelled(spark.read.parquet(at)).write.parquet(at := scratch_path(spark, "labelled"))
     counts = spark.read.parquet(at)
     likelihood = _likelihood(counts.where("not held"))
     added = F.lit(False)
