@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gzip
+
 from pyspark.sql import Window, functions as F, types as T
 
 from catalog import query
@@ -441,13 +443,17 @@ def _raw_lines(rows, header: str, line, path: str) -> None:
     )
 
 
-def _put_text(spark, path: str, text: str) -> None:
+def _put_bytes(spark, path: str, data: bytes) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
-    out.write(bytearray(text, "utf-8"))
+    out.write(bytearray(data))
     out.close()
 
 
+def _put_text(spark, path: str, text: str) -> None:
+    _put_bytes(spark, path, text.encode())
+
+
 # Sidecars of the files of a kind; the other kinds have none.
 _SIDECARS = {
     "purchase": '{"cycle_name": "Evening", "date": "20240110", "download_timestamp": 1704931200}',
@@ -566,3 +572,67 @@ def stream_feed(spark, sf_dir):
         F.sum("summary.record_count").alias("n"), F.sum(F.coalesce(F.get(nulls, F.lit(0))["affected_count"], F.lit(0))).alias("empty")
     ).withColumn("part", F.lit("report"))
     return rows.unionByName(lines, allowMissingColumns=True).unionByName(reports, allowMissingColumns=True)
+
+
+@query("stream_layouts", _MIXED + """,
+again as (
+  select loc, loc_name, dc, cast(event % 7 as double) as opc from readings where kind = 'signup' and event % 2 = 0
+  qualify row_number() over (partition by loc, loc_name order by event desc) = 1
+)
+select s.loc, s.loc_name, case when a.loc is null then s.dc else a.dc end as dc, a.opc, s.oac, s.measure_date, s.cycle_id, s.download_timestamp,
+  cast(null as varchar) as line
+from stored s left join again a on s.loc = a.loc and s.loc_name = a.loc_name and s.cycle_id = 'Unknown_Cycle'
+union all by name select line from aside
+""")
+def stream_layouts(spark, sf_dir):
+    """A folder of two layouts as a stream; a third one, with a column of its own, first appears in the second run."""
+    landing, metadata = _mixed_folder(spark, sf_dir)
+    out = scratch_path(spark, "layouts")
+
+    def run():
+        stream = source.read_files_stream(spark, landing, min_bytes=0)
+        step = ingest.files_step(f"{out}/table", metadata, f"{out}/checkpoint", now=NOW, quarantine=f"{out}/aside")
+        ingest.start(stream, step, f"{out}/checkpoint").awaitTermination()
+
+    run()
+    rows = readings(spark, sf_dir).where((F.col("kind") == "signup") & (F.col("Event").cast("long") % 2 == 0))
+    number = [F.coalesce(F.col("DC"), F.lit("")), (F.col("Event").cast("long") % 7).cast("string")]
+    line = F.concat_ws(",", number[0], F.concat(F.lit('"'), F.col("Loc Name"), F.lit('"')), number[1], "Loc")
+    _raw_lines(rows, "DC,Loc Name,OPC,Loc", line, landing.replace("/*", "/c-signup"))
+    run()
+    lines = spark.read.parquet(f"{out}/aside/surplus").select(F.col("surplus_line").alias("line"))
+    stored = tables.read_table(spark, f"{out}/table").select(*_PLACE, "opc")
+    return stored.unionByName(lines, allowMissingColumns=True)
+
+
+@query("stream_bad_files", _READINGS + """,
+keyed as (
+  select loc, loc_name, dc from readings where kind <> 'error'
+  qualify row_number() over (partition by loc, loc_name order by event desc) = 1
+)
+select 'table' as part, loc, loc_name, dc from keyed
+union all by name select 'table' as part, loc_name, dc from readings where kind = 'error'
+union all by name select 'unreadable' as part, * from (values ('bytes.csv', 'not UTF-8'), ('cut.csv.gz', 'broken')) t(loc, loc_name)
+""")
+def stream_bad_files(spark, sf_dir):
+    """Files that are no text or cut short among many: the others are loaded, also the rows without a key, and once only
+    although the batch is run again."""
+    landing, out = scratch_path(spark, "queue"), scratch_path(spark, "loaded")
+    rows = readings(spark, sf_dir)
+    loc = F.when(F.col("kind") == "error", F.lit("")).otherwise(F.col("Loc"))
+    line = F.concat_ws(",", loc, F.concat(F.lit('"'), F.col("Loc Name"), F.lit('"')), F.coalesce(F.col("DC"), F.lit("")))
+    _raw_lines(rows, "Loc,Loc Name,DC", line, f"{landing}/sound")
+    text = "Loc,Loc Name,DC\n" + "".join(f"X{i},bad,{i}\n" for i in range(1000))
+    _put_bytes(spark, f"{landing}/bad/bytes.csv", text.encode() + b"caf\xe9,latin,1\n")
+    packed = gzip.compress(text.encode(), mtime=0)
+    _put_bytes(spark, f"{landing}/bad/cut.csv.gz", packed[: len(packed) // 2])
+    _put_bytes(spark, f"{out}/metadata/none.meta.json", b"{}")
+    step = ingest.files_step(f"{out}/table", f"{out}/metadata", f"{out}/checkpoint", now=NOW, quarantine=f"{out}/aside")
+    stream = source.read_files_stream(spark, f"{landing}/*", min_bytes=0)
+    ingest.start(stream, step, f"{out}/checkpoint").awaitTermination()
+    step(spark.createDataFrame([], "path string, file_path string"), 0)  # run again: the record says which files it is about
+    bad = spark.read.parquet(f"{out}/aside/unreadable").select(
+        F.lit("unreadable").alias("part"), F.substring_index("file_path", "/", -1).alias("loc"),
+        F.when(F.col("error").startswith("not UTF-8"), "not UTF-8").otherwise("broken").alias("loc_name"))
+    stored = tables.read_table(spark, f"{out}/table").select(F.lit("table").alias("part"), "loc", "loc_name", "dc")
+    return stored.unionByName(bad, allowMissingColumns=True)

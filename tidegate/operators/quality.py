@@ -452,6 +452,16 @@ def unreadable_files(expected: DataFrame, listing: DataFrame, row_counts: DataFr
     })
 
 
+def refused_files(refused: DataFrame, by: str = "file_name") -> DataFrame:
+    """Issues of files that could not be read from end to end: ``by`` and ``error``."""
+    return refused.select(
+        by,
+        F.lit("UNREADABLE_FILE").alias("type"),
+        F.concat(F.lit("Data file could not be read: "), by, F.lit(" ("), "error", F.lit(")")).alias("description"),
+        F.lit(ERROR).alias("severity"), F.lit(0).alias("issue_id"), F.lit(0).cast("long").alias("affected_count"),
+    )
+
+
 def failed_summary(unreadable: DataFrame, by: str = "file_name") -> DataFrame:
     """Summary lines of files that could not be checked: zeros and FAILED."""
     return unreadable.groupBy(by).agg(F.count(F.lit(1)).cast("int").alias("issue_count")).select(

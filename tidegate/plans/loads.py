@@ -10,12 +10,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from tidegate.functions.filenames import stem
 from tidegate.operators.clean import nan_to_null, split_casts
-from tidegate.operators.quality import unreadable_files
+from tidegate.operators.quality import refused_files, unreadable_files
 from tidegate.operators.upsert import split_check
 from tidegate.plans.recipes import Load, run_recipe
 from tidegate.schema import KEY_COLUMNS, capacity_schema
-from tidegate.sources.feed import FILE_COLUMNS, MIN_BYTES, list_files, read_feed, read_layouts, split_surplus, with_row_index
+from tidegate.session import materialise
+from tidegate.sources.feed import (
+    CSV_GLOB, FILE_COLUMNS, MIN_BYTES, SCAN, list_files, read_feed, read_layouts, scan_order, split_surplus, with_row_index,
+)
 from tidegate.sources.sidecars import read_sidecars
+from tidegate.sources.soundness import check_folder
 from tidegate.sources.tables import load as load_table, stage
 
 # Files of one load follow each other by download time and name, rows by position.
@@ -48,8 +52,9 @@ def prepare(processed: DataFrame, schema: T.StructType | None = None) -> Prepare
     return Prepared(accepted.drop(*helpers), uncastable, rejected)
 
 
-def unreadable(announced: DataFrame, listed: DataFrame, rows: DataFrame) -> DataFrame:
-    """Issues of the announced files that are not listed, and of the listed ones without rows, by ``file_path``.
+def unreadable(announced: DataFrame, listed: DataFrame, rows: DataFrame, refused: DataFrame | None = None) -> DataFrame:
+    """Issues of the announced files that are not listed, of the listed ones without rows, and of those ``refused``
+    (``file_path``, ``error``) as a whole, by ``file_path``.
 
     A file that is not there is named by its stem; it has no path.
     """
@@ -58,7 +63,12 @@ def unreadable(announced: DataFrame, listed: DataFrame, rows: DataFrame) -> Data
         F.concat("stem", F.lit(".csv")).alias("file_path"))
     counts = rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("record_count"))
     expected = files.select("file_path").unionByName(absent)
-    return unreadable_files(expected, files.select("file_path"), counts, by="file_path")
+    listed = files.select("file_path")
+    if refused is None:
+        return unreadable_files(expected, listed, counts, by="file_path")
+    others = listed.join(refused.select("file_path"), "file_path", "left_anti")
+    issues = unreadable_files(expected.join(refused.select("file_path"), "file_path", "left_anti"), others, counts, by="file_path")
+    return issues.unionByName(refused_files(refused, by="file_path"))
 
 
 def load_folder(
@@ -78,23 +88,26 @@ def load_folder(
     """Load every file of ``landing`` into the table; returns what was loaded and set aside.
 
     Without a ``header`` every file is read by its own.  Lines with more fields
-    than that are set aside with their file and row.  The files are parsed
-    once: processed rows are staged beside the table, in a
-    folder of this load's own, and loading, quarantine and later quality checks
+    than that are set aside with their file and row.  A file that cannot be read to its end, or is not UTF-8, is
+    an issue and none of its rows is loaded; one pass over the lines finds that out and the headers.  The files are then parsed
+    once: raw and processed rows are staged beside the table, in a
+    folder of this load's own, and numbering, loading, quarantine and later quality checks
     read them from there.  The returned frames are good until it is removed.
     """
+    place = f"{table.rstrip('/')}__staging/rows-{uuid.uuid4().hex}"
+    checked = check_folder(spark, landing, f"{place}/checked", min_bytes, CSV_GLOB)
+    refused = materialise(checked.refused)
     if header is None:
-        rows = read_layouts(spark, landing, min_bytes=min_bytes, index="row_id")
+        rows = read_layouts(spark, landing, min_bytes=min_bytes, index=SCAN, headers=checked.sound)
     else:
-        rows = with_row_index(read_feed(spark, landing, header, min_bytes=min_bytes))
+        rows = scan_order(read_feed(spark, landing, header, min_bytes=min_bytes)).join(refused.select("file_path"), "file_path", "left_anti")
     announced = read_sidecars(spark, sidecars)
     listed = list_files(spark, landing).where(F.col("file_size") >= min_bytes)
     load = Load(sidecars=announced, files=listed, now=now, compat_dates=compat_dates)
-    place = f"{table.rstrip('/')}__staging/rows-{uuid.uuid4().hex}"
-    raw = stage(rows, f"{place}/raw")
+    raw = with_row_index(stage(rows, f"{place}/raw"))
     fitting, surplus = split_surplus(raw)
     processed = stage(run_recipe(fitting, kind, load), f"{place}/processed")
-    prepared = replace(prepare(processed), surplus=surplus, unreadable=unreadable(announced, listed, raw))
+    prepared = replace(prepare(processed), surplus=surplus, unreadable=unreadable(announced, listed, raw, refused))
     stamp = None if now is None else F.timestamp_seconds(F.lit(now))
     load_table(spark, table, prepared.accepted, ROW_ORDER, keys, now=stamp, batch=batch, counters=counters)
     return prepared

@@ -12,13 +12,16 @@ from tidegate.functions.text import null_if_na
 from tidegate.session import materialise
 from tidegate.sources.headers import clean_names, file_headers, split_header
 
-CSV_GLOB = "*.[cC][sS][vV]"
+# Plain and compressed files.
+CSV_GLOB = "*.[cC][sS][vV]{,.gz}"
 # Smaller files hold no more than a header.
 MIN_BYTES = 200
 # Files named in a filter at most; longer lists become a join.
 LISTED_FILES = 10_000
 # The whole line of a row with more fields than its header, null for every other row.
 SURPLUS = "surplus_line"
+# The place of a row in the scan, where rows are numbered after they are stored.
+SCAN = "__scan"
 # Columns that say where a row comes from.
 FILE_COLUMNS = ("file_name", "file_path", "file_size", "file_modified", "block_start", SURPLUS)
 
@@ -73,7 +76,7 @@ def landed_header(spark: SparkSession, path: str | list[str], sep: str = ",", mi
     return split_header(first[0]["value"], sep) if first else []
 
 
-def _csv_options(sep: str, multi_line: bool) -> dict[str, object]:
+def _csv_options(sep: str, multi_line: bool, glob: str = CSV_GLOB) -> dict[str, object]:
     return {
         "header": True,
         "mode": "PERMISSIVE",
@@ -81,7 +84,7 @@ def _csv_options(sep: str, multi_line: bool) -> dict[str, object]:
         "quote": '"',
         "escape": '"',
         "multiLine": multi_line,
-        "pathGlobFilter": CSV_GLOB,
+        "pathGlobFilter": glob,
         "columnNameOfCorruptRecord": SURPLUS,
     }
 
@@ -126,9 +129,9 @@ def read_feed(
     return shape_feed(raw, names, min_bytes, sep)
 
 
-def _layouts(spark: SparkSession, path: str, sep: str, min_bytes: int) -> tuple[DataFrame, list[list[str]]]:
+def _layouts(spark: SparkSession, path: str | list[str], sep: str, min_bytes: int, headers: DataFrame | None = None) -> tuple[DataFrame, list[list[str]]]:
     """Names of every file's columns in its order (``__path``, ``__names``), and all layouts there are."""
-    headers = materialise(file_headers(spark, path, CSV_GLOB, min_bytes))
+    headers = materialise(file_headers(spark, path, CSV_GLOB, min_bytes) if headers is None else headers.select("file_path", "header"))
     layouts = {r["header"]: clean_names(split_header(r["header"], sep)) for r in headers.select("header").distinct().collect()}
     named = spark.createDataFrame(list(layouts.items()), "header string, __names array<string>")
     return headers.join(named, "header").select(F.col("file_path").alias("__path"), "__names"), list(layouts.values())
@@ -141,8 +144,8 @@ def file_layouts(spark: SparkSession, path: str, sep: str = ",", min_bytes: int
 
 
 def read_layouts(
-    spark: SparkSession, path: str, sep: str = ",", multi_line: bool = False, min_bytes: int = MIN_BYTES,
-    index: str | None = None,
+    spark: SparkSession, path: str | list[str], sep: str = ",", multi_line: bool = False, min_bytes: int = MIN_BYTES,
+    index: str | None = None, headers: DataFrame | None = None, glob: str = CSV_GLOB,
 ) -> DataFrame:
     """Like ``read_feed`` for a folder whose files do not share one header.
 
@@ -150,22 +153,24 @@ def read_layouts(
     reads all files by position, and every file's own header says which column
     a position is.  A column that a file lacks is null, a row longer than its
     file's header is marked (``split_surplus``).  ``index`` adds the row
-    position (``with_row_index``), which must be taken before files are matched.
+    position (``with_row_index``), which must be taken before files are matched; ``SCAN`` marks the rows so that it
+    can be taken once they are stored (``scan_order``).  ``headers`` (file_path, header) spares the first
+    pass, and only files that it names are read.
     """
-    files, layouts = _layouts(spark, path, sep, min_bytes)
+    files, layouts = _layouts(spark, path, sep, min_bytes, headers)
+    numbered = {None: lambda rows, _: rows, SCAN: lambda rows, _: scan_order(rows)}.get(index, with_row_index)
     if not layouts:
-        rows = read_feed(spark, path, [], sep, multi_line, min_bytes)
-        return with_row_index(rows, index) if index else rows
+        return numbered(read_feed(spark, path, [], sep, multi_line, min_bytes), index)
     places = [f"__{i}" for i in range(max(map(len, layouts)))]
     raw = (
         spark.read.schema(_scan_schema(places))
-        .options(**_csv_options(sep, multi_line))
+        .options(**_csv_options(sep, multi_line, glob))
         .option("ignoreMissingFiles", True)
         .option("ignoreCorruptFiles", True)
         .csv(path)
     )
     rows = raw.where(F.col("_metadata.file_size") >= min_bytes).select(*raw.columns, *_metadata_columns())
-    rows = with_row_index(rows, index) if index else rows
+    rows = numbered(rows, index)
     few = files.limit(LISTED_FILES + 1).count() <= LISTED_FILES
     rows = rows.join(F.broadcast(files) if few else files, F.col("file_path") == F.col("__path"))
     cells = F.array(*places)
@@ -201,6 +206,19 @@ def read_feed_stream(
     return shape_feed(reader.csv(path), names, min_bytes, sep)
 
 
+def read_files_stream(spark: SparkSession, path: str, min_bytes: int = MIN_BYTES, max_files: int | None = None, glob: str = CSV_GLOB) -> DataFrame:
+    """The files of a landing folder as a stream, a line each (``path``, ``file_path`` as rows name it, ``file_size``).
+
+    Contents are not opened; what is done with a file, its own header included, is up to the step that gets it.
+    """
+    listing = "path string, modificationTime timestamp, length long, content binary"
+    reader = spark.readStream.format("binaryFile").schema(listing).option("pathGlobFilter", glob)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    found = reader.load(path).where(F.col("length") >= min_bytes)
+    return found.select("path", F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("file_size"))
+
+
 def union_feeds(*feeds: DataFrame) -> DataFrame:
     """Feeds of different layouts in one frame; a column one of them lacks is null there.
 
@@ -228,23 +246,32 @@ def list_files(spark: SparkSession, path: str | list[str], glob: str = CSV_GLOB)
     )
 
 
+def scan_order(df: DataFrame) -> DataFrame:
+    """Rows marked with their place in the scan, for ``with_row_index`` once they are stored.
+
+    The files are then parsed once: rows are counted per split from the stored column.
+    """
+    return df.withColumn(SCAN, F.monotonically_increasing_id())
+
+
 def with_row_index(df: DataFrame, name: str = "row_id") -> DataFrame:
     """0-based position of each row in its file.
 
     Rows are numbered inside their split first; the row counts of a file's
     splits, one line each, are summed up to give every split its start.  No
     task ever holds more than one split of a file, however big the file is.
-    Apply it right after ``read_feed``: the order is that of the scan.
+    Apply it right after ``read_feed``, as the order is that of the scan, or to stored rows that ``scan_order`` marked.
     """
     split = ["file_path", "block_start"]
-    scanned = df.withColumn("__scan", F.monotonically_increasing_id())
+    scanned = df if SCAN in df.columns else scan_order(df)
     base = (
         scanned.groupBy(*split)
-        .agg(F.min("__scan").alias("__first"), F.count(F.lit(1)).alias("__rows"))
+        .agg(F.min(SCAN).alias("__first"), F.count(F.lit(1)).alias("__rows"))
     )
     before = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = base.select(
         *split, "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset")
     )
-    position = F.col("__scan") - F.col("__first") + F.col("__offset")
-    return scanned.join(offsets, split, "left").withColumn(name, position).select(*df.columns, name)
+    position = F.col(SCAN) - F.col("__first") + F.col("__offset")
+    columns = [c for c in df.columns if c != SCAN]
+    return scanned.join(offsets, split, "left").withColumn(name, position).select(*columns, name)

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidegate.operators.duplicates import validate_unique_key
 from tidegate.operators.quality import QualityReport, report_documents
-from tidegate.operators.upsert import ACTION, action_counts, append, upsert
+from tidegate.operators.upsert import ACTION, INSERTED, KEPT, UPDATED, append, upsert
 from tidegate.schema import KEY_COLUMNS, capacity_schema
-from tidegate.sources.storage import path_exists
+from tidegate.sources import versions
+from tidegate.sources.storage import path_exists, size_of
 
 PARTITION = "measure_date"
 # More touched days than this are matched by a join, not by a list.
 LISTED_DAYS = 10_000
+# Buckets of the keys of a day in a new table: what a load rewrites of a day it touches.
+BUCKETS = 8
+# Times a load begins again because another one changed the same parts meanwhile.
+ATTEMPTS = 5
 
 
 def ensure_table(
@@ -28,8 +35,12 @@ def ensure_table(
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The latest version of the table, as it is when this is called: later loads do not change the frame."""
     schema = schema or capacity_schema()
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    version = versions.latest(spark, path)
+    if version is None:
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
+    return versions.read_parts(spark, path, version.parts, schema)
 
 
 def touched_partitions(target: DataFrame, source: DataFrame, partition_by: str = PARTITION) -> DataFrame:
@@ -50,14 +61,14 @@ def touched_partitions(target: DataFrame, source: DataFrame, partition_by: str =
     return target.where(condition)
 
 
-def _write_partitions(rows: DataFrame, path: str, partition_by: str) -> None:
-    """Replace exactly the partitions ``rows`` holds."""
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
+@dataclass(frozen=True)
+class Rewritten:
+    """What a load wrote: parts (a bucket of a day each), files, bytes and rows."""
+
+    parts: int = 0
+    files: int = 0
+    bytes: int = 0
+    rows: int = 0
 
 
 def merge_into(
@@ -72,16 +83,19 @@ def merge_into(
     batch: int | None = None,
     writer: str = "load",
     counters: Observation | None = None,
-) -> None:
+    identity: str | None = None,
+    buckets: int = BUCKETS,
+) -> Rewritten:
     """Upsert ``source`` into the table at ``path``.
 
-    Only partitions the load touches are read and rewritten.  The new content
-    is first written beside the table, then swapped in; after a failure in
-    between, repeating the call with the same ``batch`` and the same
-    rows finishes the swap instead of loading twice; other rows under a number
-    used before are a load of their own.  Without a batch name a repeat is harmless for
+    Only the parts of the table that the load touches, a bucket of the keys of a day each, are read and
+    rewritten.  New content is written beside the old and becomes the table by one
+    rename (``versions``): a reader sees all of a load or nothing.  Repeating a call with the same
+    ``batch`` after a failure finishes the load instead of loading twice.  A batch is known by its number and
+    its ``identity``, or by its rows where the caller has none; other rows under a number used before are a load of their own.
+    Without a batch name a repeat is harmless for
     rows with a key.  ``partition_by`` must be a key column, so that no key
-    changes its partition.
+    changes its partition.  ``buckets`` counts for a new table.
     """
     if partition_by not in keys:
         raise ValueError(f"{partition_by} must be one of the key columns")
@@ -89,33 +103,143 @@ def merge_into(
     def merge(touched: DataFrame) -> DataFrame:
         return upsert(touched, source, order_by, keys, now, with_action=True)
 
-    _change(spark, path, source, merge, schema or capacity_schema(), partition_by, batch, writer, counters)
-
-
-def _change(
-    spark: SparkSession, path: str, source: DataFrame, change: Callable[[DataFrame], DataFrame], schema: T.StructType,
-    partition_by: str, batch: int | None, writer: str, counters: Observation | None,
-) -> None:
-    """Stage what ``change`` makes of the touched partitions, with the action of every row, and swap it in."""
-    target = ensure_table(spark, path, schema, partition_by)
-    staged = staging_path(path, batch, writer)
-    name = None if batch is None else f"{batch}-{_digest(source)}"
-    content = staged if batch is None else f"{staged}/batch={name}"
-    if batch is None or not (path_exists(spark, f"{staged}/_SUCCESS") and path_exists(spark, content)):
-        # Rows of a day are brought together here, AQE evens out the days; the swap
-        # below is then a copy without a shuffle.
-        changed = change(touched_partitions(target, source, partition_by)).hint("rebalance", partition_by)
-        if batch is None:
-            changed.write.mode("overwrite").parquet(staged)
-        else:
-            changed.withColumn("batch", F.lit(name)).write.mode("overwrite").partitionBy("batch").parquet(staged)
-    with_action = T.StructType([*schema.fields, T.StructField(ACTION, T.StringType())])
-    there = path_exists(spark, content)  # a batch without rows leaves no folder
-    rows = spark.read.schema(with_action).parquet(content) if there else target.limit(0).withColumn(ACTION, F.lit(""))
+    change = _Change(path, source, schema or capacity_schema(), partition_by, tuple(keys), batch, writer, identity, buckets)
+    return _apply(spark, change, merge, counters)
+
+
+@dataclass(frozen=True)
+class _Change:
+    path: str
+    source: DataFrame
+    schema: T.StructType
+    partition_by: str
+    keys: tuple[str, ...]
+    batch: int | None
+    writer: str
+    identity: str | None
+    buckets: int
+    adds: bool = False  # rows are added beside the parts that are there, which stay as they are
+
+
+def current_version(spark: SparkSession, path: str, schema: T.StructType, partition_by: str, keys: Sequence[str],
+                    buckets: int = BUCKETS) -> versions.Version:
+    """The latest version; for a table without manifests what lies there, as version 0."""
+    found = versions.latest(spark, path)
+    if found is None:
+        ensure_table(spark, path, schema, partition_by)
+        own = tuple(k for k in keys if k in schema.names)
+        found = versions.Version(0, buckets, own, own, tuple(versions.plain_parts(spark, path, partition_by)))
+    return found
+
+
+def _bucket(version: versions.Version, schema: T.StructType, known: Sequence[str]) -> Column:
+    """The bucket of a row; null where the row lacks a column that decides it."""
+    if any(c not in known for c in version.bucket_by):
+        return F.lit(None).cast("int")
+    return F.pmod(F.xxhash64(F.lit(0), *(F.col(c).cast(schema[c].dataType) for c in version.bucket_by)), F.lit(version.buckets)).cast("int")
+
+
+def _touched(version: versions.Version, change: _Change) -> list[versions.Part]:
+    """The parts in which rows of the load can lie.  One line per part is collected, as many as a listing has."""
+    day = F.col(change.partition_by).cast(change.schema[change.partition_by].dataType).cast("string")
+    known = change.keys if set(version.bucket_by) <= set(change.keys) else ()  # else a key may be in any bucket
+    found = change.source.select(day.alias("day"), _bucket(version, change.schema, known).alias("bucket")).distinct().collect()
+    pairs, days = {(r["day"], r["bucket"]) for r in found}, {r["day"] for r in found}
+    return [p for p in version.parts if p.day in days and (p.bucket is None or (p.day, p.bucket) in pairs or (p.day, None) in pairs)]
+
+
+def _apply(spark: SparkSession, change: _Change, make: Callable[[DataFrame], DataFrame], counters: Observation | None) -> Rewritten:
+    """Write what ``make`` makes of the touched parts and put it in their place."""
+    path, schema = change.path.rstrip("/"), change.schema
+    name = None
+    if change.batch is not None:
+        name = f"{change.writer}-{change.batch}-{change.identity or _digest(change.source)}"
+    for _ in range(ATTEMPTS):
+        version = current_version(spark, path, schema, change.partition_by, change.keys, change.buckets)
+        touched = _touched(version, change)
+        done = version.writers.get(change.writer, "")
+        if name is not None and done.rsplit("-v", 1)[0] == name:
+            own = versions.written_parts(spark, path, done, change.partition_by)
+            return _outcome(spark, path, done, own, counters, [p for p in touched if p.load != done] if change.adds else [])
+        load = f"{name or f'{change.writer}-{uuid.uuid4().hex}'}-v{version.number + 1}"
+        place = f"{path}/{versions.load_folder(load)}"
+        gone = [] if change.adds else touched
+        if not path_exists(spark, f"{place}/_SUCCESS"):  # else a call that failed got as far as this
+            # Rows of a part are brought together here, AQE evens out the parts.
+            rows = make(versions.read_parts(spark, path, gone, schema)).withColumn(versions.BUCKET, _bucket(version, schema, schema.names))
+            rows = rows.hint("rebalance", change.partition_by, versions.BUCKET)
+            rows.write.mode("overwrite").partitionBy(change.partition_by, versions.BUCKET).parquet(place)
+        new = _counted(spark, path, version, change, touched, versions.written_parts(spark, path, load, change.partition_by))
+        if versions.commit(spark, path, version.changed(gone, new, change.writer, load)):
+            versions.sweep(spark, path)
+            return _outcome(spark, path, load, new, counters, touched if change.adds else [])
+    raise RuntimeError(f"other loads changed {path} during each of {ATTEMPTS} attempts")
+
+
+def _keyed_counts(rows: DataFrame, schema: T.StructType, partition_by: str, version: versions.Version, distinct: bool = True) -> dict[tuple, tuple[int, int]]:
+    """Per day and bucket: rows with a whole key, and distinct keys among them."""
+    day = F.col(partition_by).cast("string").alias("day")
+    own = [F.col(k).alias(f"__{k}") for k in version.keys]
+    keyed = rows.dropna(subset=list(version.keys)).select(*own, day, _bucket(version, schema, schema.names).alias("bucket"))
+    if distinct:
+        keyed = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("n"))
+    else:
+        keyed = keyed.select("day", "bucket", F.lit(1).alias("n"))
+    found = keyed.groupBy("day", "bucket").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys")).collect()  # a line per part
+    return {(r["day"], r["bucket"]): (r["rows"], r["keys"]) for r in found}
+
+
+def _counted(spark: SparkSession, path: str, version: versions.Version, change: _Change, touched: list[versions.Part],
+             new: list[versions.Part]) -> list[versions.Part]:
+    """New parts with their rows and keys.  An upsert leaves keys unique that were; where rows are added they are
+    counted together with those that the day and bucket hold already."""
+    if not new:
+        return []
+    schema, partition_by = change.schema, change.partition_by
+    rows = versions.read_parts(spark, path, new, schema)
+    place = [F.col(partition_by).cast("string").alias("day"), _bucket(version, schema, schema.names).alias("bucket")]
+    sizes = {(r["day"], r["bucket"]): r["count"] for r in rows.groupBy(*place).count().collect()}  # a line per part
+    still = not change.adds and set(change.keys) == set(version.keys) and all(p.keys == p.keyed >= 0 for p in touched)
+    if change.adds:
+        rows = versions.read_parts(spark, path, [*touched, *new], schema)
+    counts = _keyed_counts(rows, schema, partition_by, version, not still)
+    out = []
+    for part in new:
+        keyed, keys = counts.get((part.day, part.bucket), (0, 0))
+        out.append(replace(part, rows=sizes.get((part.day, part.bucket), 0), keyed=keyed, keys=keys))
+    return out
+
+
+def _marked(spark: SparkSession, path: str, version: versions.Version, schema: T.StructType, partition_by: str) -> versions.Version:
+    """The version with the keys of all parts counted: once for a table that was taken over as it lay."""
+    unknown = [p for p in version.parts if p.keyed < 0]
+    if not unknown:
+        return version
+    rows = versions.read_parts(spark, path, unknown, schema)
+    sizes = {r["day"]: r["count"] for r in rows.groupBy(F.col(partition_by).cast("string").alias("day")).count().collect()}  # a line per part
+    counts: dict[str | None, list[int]] = {}
+    for (day, _), pair in _keyed_counts(rows, schema, partition_by, version).items():
+        counts[day] = [a + b for a, b in zip(counts.get(day, (0, 0)), pair)]
+    marked = [replace(p, rows=sizes.get(p.day, 0), keyed=counts.get(p.day, (0, 0))[0], keys=counts.get(p.day, (0, 0))[1]) for p in unknown]
+    out = replace(version, number=version.number + 1, parts=tuple(p for p in version.parts if p.keyed >= 0) + tuple(marked))
+    return out if versions.commit(spark, path, out) else versions.latest(spark, path)
+
+
+def _outcome(spark: SparkSession, path: str, load: str, parts: list[versions.Part], counters: Observation | None,
+             beside: list[versions.Part]) -> Rewritten:
+    """What a load wrote, and its actions for the observer; ``beside``: touched parts that stayed as they were."""
+    place = f"{path}/{versions.load_folder(load)}"
     if counters is not None:
-        rows = rows.observe(counters, *action_counts())
-    if there or counters is not None:
-        _write_partitions(rows.drop(ACTION), path, partition_by)
+        action = T.StructType([T.StructField(ACTION, T.StringType())])
+        actions = spark.read.schema(action).parquet(place).groupBy(ACTION).agg(F.count(F.lit(1)).alias("n"))
+        kept = sum(p.rows for p in beside)
+        if any(p.rows < 0 for p in beside):
+            kept = spark.read.parquet(*(f"{path}/{p.folder}" for p in beside)).count()
+        lines = actions.unionByName(spark.createDataFrame([(KEPT, kept)], f"{ACTION} string, n long"))
+        sums = [F.coalesce(F.sum(F.when(F.col(ACTION) == name, F.col("n"))), F.lit(0)).alias(name) for name in (INSERTED, UPDATED, KEPT)]
+        lines.observe(counters, *sums).collect()
+    files, size = size_of(spark, place)
+    return Rewritten(len(parts), max(0, files - 1), size, sum(max(p.rows, 0) for p in parts))
 
 
 def _digest(rows: DataFrame) -> str:
@@ -145,43 +269,48 @@ def stage(df: DataFrame, path: str) -> DataFrame:
 
 def append_into(spark: SparkSession, path: str, source: DataFrame, schema: T.StructType | None = None,
                 partition_by: str = PARTITION, order_by: Sequence[str] = (), now: Column | None = None,
-                batch: int | None = None, writer: str = "load", counters: Observation | None = None) -> None:
+                batch: int | None = None, writer: str = "load", counters: Observation | None = None,
+                keys: Sequence[str] = KEY_COLUMNS, identity: str | None = None, buckets: int = BUCKETS) -> Rewritten:
     """Add all rows of ``source``: a load without a usable key.
 
-    With a ``batch`` number the touched partitions are staged and swapped in as by
-    ``merge_into``: repeating the batch with the same rows adds nothing.  Without
-    one the rows are only added, and a repeat adds them again.
+    Nothing that is there is rewritten.  With a ``batch`` number a repeat adds nothing, as with ``merge_into``;
+    without one it adds the rows again.  ``keys`` are what a new table is bucketed by.
     """
     schema = schema or capacity_schema()
-    if batch is not None:
-        def add(touched: DataFrame) -> DataFrame:
-            return append(touched, source, order_by, now, with_action=True)
-
-        _change(spark, path, source, add, schema, partition_by, batch, writer, counters)
-        return
-    ensure_table(spark, path, schema, partition_by)
-    added = append(spark.createDataFrame([], schema), source, order_by, now, with_action=True)
-    if counters is not None:
-        added = added.observe(counters, *action_counts())
-    added.drop(ACTION).write.mode("append").partitionBy(partition_by).parquet(path)
+
+    def add(_: DataFrame) -> DataFrame:
+        return append(spark.createDataFrame([], schema), source, order_by, now, with_action=True)
+
+    change = _Change(path, source, schema, partition_by, tuple(keys), batch, writer, identity, buckets, adds=True)
+    return _apply(spark, change, add, counters)
+
+
+def unique_keys(spark: SparkSession, path: str, keys: Sequence[str] = KEY_COLUMNS, schema: T.StructType | None = None,
+                partition_by: str = PARTITION) -> bool:
+    """Whether no key stands twice in the table; rows with a null key are left out of the question.
+
+    The partition column is part of the key, so the answer is that of each part, and every load counts the parts
+    that it writes.  Only for other keys than those the table was begun with is the whole table read.
+    """
+    schema = schema or capacity_schema()
+    keys = [k for k in keys if k]
+    if not keys or any(k not in schema.names for k in keys):
+        return False
+    version = current_version(spark, path, schema, partition_by, keys)
+    if set(version.keys) != set(keys) or partition_by not in keys:
+        return validate_unique_key(read_table(spark, path, schema).dropna(subset=keys), keys)[0]
+    return all(p.keys == p.keyed for p in _marked(spark, path, version, schema, partition_by).parts)
 
 
 def load(spark: SparkSession, path: str, source: DataFrame, order_by: Sequence[str],
          keys: Sequence[str] = KEY_COLUMNS, schema: T.StructType | None = None,
          partition_by: str = PARTITION, now: Column | None = None, batch: int | None = None,
-         writer: str = "load", counters: Observation | None = None) -> str:
-    """Upsert if ``keys`` are unique in the table, else append; says which.
-
-    The whole table is asked (its key columns alone are read), so the answer does
-    not depend on the days that arrive.  Rows with a null key never match and are
-    left out of the question.
-    """
-    target = ensure_table(spark, path, schema, partition_by)
-    keyed, _ = validate_unique_key(target.dropna(subset=list(keys)), keys)
-    if keyed:
-        merge_into(spark, path, source, order_by, keys, schema, partition_by, now, batch, writer, counters)
+         writer: str = "load", counters: Observation | None = None, identity: str | None = None) -> str:
+    """Upsert if ``keys`` are unique in the whole table, else append; says which."""
+    if unique_keys(spark, path, keys, schema, partition_by):
+        merge_into(spark, path, source, order_by, keys, schema, partition_by, now, batch, writer, counters, identity)
         return "upsert"
-    append_into(spark, path, source, schema, partition_by, order_by, now, batch, writer, counters)
+    append_into(spark, path, source, schema, partition_by, order_by, now, batch, writer, counters, keys, identity)
     return "append"
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -14,9 +15,11 @@ from tidegate.operators.quality import Checks, quality_report
 from tidegate.plans.loads import ROW_ORDER, prepare
 from tidegate.plans.recipes import Load, run_recipe
 from tidegate.schema import KEY_COLUMNS, capacity_schema
-from tidegate.sources.feed import split_surplus, with_row_index
+from tidegate.sources.feed import SCAN, read_layouts, scan_order, split_surplus, with_row_index
 from tidegate.sources.sidecars import read_sidecars
-from tidegate.sources.tables import merge_into, stage, staging_path, write_report
+from tidegate.sources.soundness import check_files, literal
+from tidegate.sources.tables import BUCKETS, Rewritten, merge_into, stage, staging_path, write_report
+from tidegate.streaming.batches import BatchRecord, begin
 
 BatchStep = Callable[[DataFrame, int], None]
 # A file is known by its path; files of one name in two folders are two files.
@@ -36,14 +39,6 @@ def start(stream: DataFrame, step: BatchStep, checkpoint: str, every: str | None
     return writer.trigger(**trigger).start()
 
 
-def _merge(
-    batch: DataFrame, number: int, table: str, writer: str, order_by: Sequence[str], keys: Sequence[str],
-    schema: T.StructType | None, partition_by: str, now: float | None,
-) -> None:
-    stamp = None if now is None else F.timestamp_seconds(F.lit(now))
-    merge_into(batch.sparkSession, table, batch, order_by, keys, schema, partition_by, stamp, number, writer)
-
-
 def upsert_step(
     table: str,
     checkpoint: str,
@@ -52,21 +47,62 @@ def upsert_step(
     schema: T.StructType | None = None,
     partition_by: str = "measure_date",
     now: float | None = None,
+    buckets: int = BUCKETS,
+    watch: Callable[[int, Rewritten], None] | None = None,
 ) -> BatchStep:
     """Upsert a micro-batch; a repeated batch is finished, never loaded twice.
 
     The batch is staged first: its days, its keyed and its keyless rows are then
-    read from a table, and the source is scanned once.
+    read from a table, and the source is scanned once.  ``watch`` is told what each batch rewrote.
     """
 
     def run(batch: DataFrame, number: int) -> None:
-        writer = stream_id(batch.sparkSession, checkpoint)
-        rows = stage(batch, f"{staging_path(table, number, writer)}-rows")
-        _merge(rows, number, table, writer, order_by, keys, schema, partition_by, now)
+        spark = batch.sparkSession
+        writer = stream_id(spark, checkpoint)
+        place = staging_path(table, number, writer)
+        record = begin(spark, place, number, now)
+        rows = stage(batch, f"{place}-rows")
+        stamp = F.timestamp_seconds(F.lit(record.now))
+        done = merge_into(spark, table, rows, order_by, keys, schema, partition_by, stamp, number, writer, identity=record.identity, buckets=buckets)
+        if watch is not None:
+            watch(number, done)
 
     return run
 
 
+@dataclass(frozen=True)
+class _Outputs:
+    """Where a feed stream writes, and how it treats its rows."""
+
+    table: str
+    sidecars: str
+    kind: str
+    keys: Sequence[str]
+    reports: str | None
+    quarantine: str | None
+    checks: Checks
+
+
+def _load_rows(spark: SparkSession, out: _Outputs, record: BatchRecord, writer: str, place: str, raw: DataFrame) -> None:
+    """Process staged rows of a batch, upsert them, set aside and report."""
+    rows, surplus = split_surplus(with_row_index(raw))
+    load = Load(sidecars=read_sidecars(spark, out.sidecars, files_of(rows)), now=record.now)
+    processed = stage(run_recipe(rows, out.kind, load), f"{place}/processed")
+    prepared = prepare(processed)
+    stamp = F.timestamp_seconds(F.lit(record.now))
+    merge_into(spark, out.table, prepared.accepted, ROW_ORDER, out.keys, now=stamp, batch=record.number, writer=writer, identity=record.identity)
+    for name, frame in (("uncastable", prepared.uncastable), ("rejected", prepared.rejected), ("surplus", surplus)):
+        _set_aside(out, record, writer, name, frame)
+    if out.reports:
+        checked = quality_report(typed_leniently(processed, capacity_schema()), out.checks)
+        write_report(checked, out.reports, f"{writer}-batch-{record.number}", out.checks.by)
+
+
+def _set_aside(out: _Outputs, record: BatchRecord, writer: str, name: str, frame: DataFrame) -> None:
+    if out.quarantine:
+        frame.write.mode("overwrite").parquet(f"{out.quarantine}/{name}/writer={writer}/batch={record.number}")
+
+
 def feed_step(
     table: str,
     sidecars: str,
@@ -78,29 +114,66 @@ def feed_step(
     quarantine: str | None = None,
     checks: Checks = PER_FILE,
 ) -> BatchStep:
-    """Process the files of a micro-batch, upsert them, and report on their quality.
+    """Process the rows of a micro-batch of ``read_feed_stream``, upsert them, and report on their quality.
 
     The sidecars of the batch's files are read with it, as they land together.
     Rows are staged once; every output is written under the stream's id and the
     batch number, so that a repeated batch replaces what it wrote before and no
-    other stream's.
+    other stream's.  A file that breaks stops the stream; ``files_step`` goes on without it.
+    """
+    out = _Outputs(table, sidecars, kind, keys, reports, quarantine, checks)
+
+    def run(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        writer = stream_id(spark, checkpoint)
+        place = staging_path(table, number, writer)
+        record = begin(spark, place, number, now)
+        raw = stage(scan_order(batch), f"{place}-rows/raw")
+        _load_rows(spark, out, record, writer, f"{place}-rows", raw)
+
+    return run
+
+
+def files_step(
+    table: str,
+    sidecars: str,
+    checkpoint: str,
+    kind: str = "capacity",
+    keys: Sequence[str] = KEY_COLUMNS,
+    now: float | None = None,
+    reports: str | None = None,
+    quarantine: str | None = None,
+    checks: Checks = PER_FILE,
+    sep: str = ",",
+) -> BatchStep:
+    """Like ``feed_step`` for ``read_files_stream``: the batch brings files, and each is read by its own header.
+
+    Files are first read to their end.  One that breaks, or that is not UTF-8, is refused as a whole: the others are
+    loaded, it stands in the quarantine under ``unreadable`` with its error, and the stream goes on.  Which files
+    these are is written down, so a repeated batch refuses the same.
     """
+    out = _Outputs(table, sidecars, kind, keys, reports, quarantine, checks)
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         writer = stream_id(spark, checkpoint)
-        place = f"{staging_path(table, number, writer)}-rows"
-        rows, surplus = split_surplus(stage(with_row_index(batch), f"{place}/raw"))
-        load = Load(sidecars=read_sidecars(spark, sidecars, files_of(rows)), now=now)
-        processed = stage(run_recipe(rows, kind, load), f"{place}/processed")
-        prepared = prepare(processed)
-        _merge(prepared.accepted, number, table, writer, ROW_ORDER, keys, None, "measure_date", now)
-        if quarantine:
-            for name, frame in (("uncastable", prepared.uncastable), ("rejected", prepared.rejected), ("surplus", surplus)):
-                frame.write.mode("overwrite").parquet(f"{quarantine}/{name}/writer={writer}/batch={number}")
-        if reports:
-            checked = quality_report(typed_leniently(processed, capacity_schema()), checks)
-            write_report(checked, reports, f"{writer}-batch-{number}", checks.by)
+        place = staging_path(table, number, writer)
+        # A micro-batch's list of files is one that the stream itself holds on the driver.
+        record = begin(spark, place, number, now, [list(r) for r in batch.select("path", "file_path").orderBy("path").collect()])
+        urls = dict(record.files)
+        refused, headers = record.note(spark, "checked") or (None, None)
+        if refused is None:
+            found = check_files(spark, list(urls), f"{place}-rows/checked")
+            refused = {urls.get(r["file_path"], r["file_path"]): r["error"] for r in found.refused.collect()}
+            headers = {r["file_path"]: r["header"] for r in found.sound.collect()}
+            record.reach(spark, "checked", [refused, headers])
+        _set_aside(out, record, writer, "unreadable", spark.createDataFrame(sorted(refused.items()), "file_path string, error string"))
+        if not headers:
+            return
+        lines = spark.createDataFrame(list(headers.items()), "file_path string, header string")
+        sound = [path for path, url in urls.items() if url in headers]
+        raw = stage(read_layouts(spark, [literal(p) for p in sound], sep, min_bytes=0, index=SCAN, headers=lines, glob="*"), f"{place}-rows/raw")
+        _load_rows(spark, out, record, writer, f"{place}-rows", raw)
 
     return run
 
