@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.llm import common
+from tidegate.operators.skew import join_groups
 from tidegate.session import scratch_path
 
 SEED = 42
@@ -128,32 +129,52 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """Per row: ``doc_id``, ``fingerprint`` (16 hexadecimal digits), ``component_id`` (the smallest id reachable)."""
-    prints = _written(fingerprints(docs, text, shingle, [F.col(doc_id).alias("doc_id")]), "fingerprints")
+def _grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, keep: list[str | Column] = ()) -> DataFrame:
+    """Per row: ``doc_id``, ``keep``, ``fp``, ``root`` (a fingerprint that names the group), ``component_id``."""
+    prints = _written(fingerprints(docs, text, shingle, [F.col(doc_id).alias("doc_id"), *keep]), "fingerprints")
+    kept = [c for c in prints.columns if c != "fp"]
     nodes = _written(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "nodes")
     roots = components(links(nodes.select("fp")))
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left")
     named = named.select("fp", "first", "n", F.coalesce("root", "fp").alias("root"))
     ids = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = _written(named.join(ids, "root").select("fp", "n", "component_id"), "components")
+    named = _written(named.join(ids, "root").select("fp", "n", "root", "component_id"), "components")
     total = named.agg(F.sum("n").alias("n")).first()["n"] or 0
-    hot = named.where(F.col("n") > total * HOT_SHARE).select("fp", "component_id", F.lit(True).alias("hot"))
+    hot = named.where(F.col("n") > total * HOT_SHARE).select("fp", "root", "component_id", F.lit(True).alias("hot"))
     marked = prints.join(F.broadcast(hot), "fp", "left")  # 1 / HOT_SHARE lines at most
-    common_ones = marked.where("hot").select("doc_id", "fp", "component_id")
-    others = marked.where("hot is null").select("doc_id", "fp").join(named.where(F.col("n") <= total * HOT_SHARE).select("fp", "component_id"), "fp")
-    out = common_ones.unionByName(others)
+    common_ones = marked.where("hot").select(*kept, "fp", "root", "component_id")
+    others = marked.where("hot is null").select(*kept, "fp").join(named.where(F.col("n") <= total * HOT_SHARE).select("fp", "root", "component_id"), "fp")
+    return common_ones.unionByName(others)
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+    """Per row: ``doc_id``, ``fingerprint`` (16 hexadecimal digits), ``component_id`` (the smallest id reachable)."""
+    out = _grouped(docs, doc_id, text, shingle)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """The rows of ``docs`` without those of a smaller id in their group; of rows of one id, one stays.  Rows of null id stay."""
-    found = _written(near_duplicates(docs, doc_id, text, shingle), "near-duplicates")
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(gone, docs[doc_id] == gone["doc_id"], "left_anti")
-    again = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
-    if again.isEmpty():
-        return kept
-    twice = F.broadcast(again.select("doc_id")) if again.count() <= 10_000 else again.select("doc_id")
-    once = kept.join(twice, kept[doc_id] == twice["doc_id"], "left_anti")
-    return once.unionByName(kept.join(twice, kept[doc_id] == twice["doc_id"], "left_semi").dropDuplicates([doc_id]))
+    """Of every group of linked texts one row of the smallest id.  Rows of null id stay.
+
+    A row goes for its own text, whatever else its id stands on: two different texts of one id both stay.  Of rows
+    that are alike in id and text one stays.
+    """
+    own = {"__t1": F.xxhash64(text), "__t2": F.xxhash64(F.lit(11), F.col(text))}  # an id and its text, in 128 bits
+    found = _grouped(docs, doc_id, text, shingle, [c.alias(n) for n, c in own.items()]).where("doc_id is not null")
+    key = ["doc_id", *own]
+    texts = _written(found.groupBy(*key, "root").agg(F.count(F.lit(1)).alias("rows")), "texts")
+    best = texts.groupBy("root").agg(F.min(F.struct(*key)).alias("best"), F.count(F.lit(1)).alias("n"))
+    judged = join_groups(texts, _written(best, "best"), ["root"], "n", key)
+    judged = _written(judged.select(*key, "rows", (F.struct(*key) == F.col("best")).alias("stays")), "judged")
+
+    def same(frame: DataFrame):
+        return (marked["__id"] == frame["doc_id"]) & (marked["__t1"] == frame["__t1"]) & (marked["__t2"] == frame["__t2"])
+
+    marked = docs.withColumns({"__id": F.col(doc_id), **own})
+    gone, again = judged.where("not stays").select(*key), judged.where("stays and rows > 1").select(*key)
+    kept = marked.join(gone, same(gone), "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    if not again.limit(1).count():
+        return kept.select(*columns)
+    once, twice = kept.join(again, same(again), "left_anti"), kept.join(again, same(again), "left_semi")
+    return once.select(*columns).unionByName(twice.dropDuplicates(["__id", *own]).select(*columns))
