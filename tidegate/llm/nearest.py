@@ -31,8 +31,10 @@ from tidegate.session import scratch_path
 #: Sample that the trees are fitted on: vectors and bytes at most; sample vectors per leaf at least.
 SAMPLE_ROWS, SAMPLE_BYTES, SAMPLE_PER_LEAF = 20_000, 16_000_000, 8
 TREES = 12
-#: Leaves of a tree, whatever the number of vectors: so a query meets the same number of leaves in any table.
+#: Leaves of a tree.  Their number is bounded by the sample, so leaves grow with the table, and with them the work of a query.
 LEAVES = 256
+#: Rounding of the products that choose whom to look at exactly: ties within it are all looked at.
+MARGIN = 1e-9
 #: Recall that a search among the sample must reach for its share of vectors to be enough, and queries that try it.
 TRIAL_RECALL, TRIAL_QUERIES = 0.96, 200
 #: Vectors of a leaf that one group holds.
@@ -208,11 +210,11 @@ def search(vectors: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", vec
         held = _matrix(vectors_.column("vec").combine_chunks(), size)
         held, wanted = _unit(held), _unit(_matrix(queries_.column("vec").combine_chunks(), size))
         raw, raw_q = (_matrix(x.column("vec").combine_chunks(), size) for x in (vectors_, queries_))
-        rep, most = vectors_.column("rep").to_numpy(), min(len(held), k + 5)
+        rep, most = vectors_.column("rep").to_numpy(), min(len(held), k + 1)
         pick, source, score = [], [], []
         for i in range(len(wanted)):
             near = held @ wanted[i]
-            best = np.argpartition(-near, most - 1)[:most]
+            best = np.flatnonzero(near >= np.partition(near, len(near) - most)[len(near) - most] - MARGIN)
             exact = cosine(raw_q[i], raw[best])
             order = np.lexsort((rep[best], -exact))[: k + 1]
             pick += best[order].tolist()
