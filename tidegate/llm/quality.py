@@ -7,10 +7,11 @@ zero the step goes back.  The loss is logistic, so the score is a probability.
 is estimated first: a classifier of positive against unlabelled text is fitted, and of all
 its upper score ranges the one that holds least unlabelled text per positive text bounds it.
 
-The fit uses at most ``SAMPLE`` positive and ``SAMPLE`` unlabelled documents, those of the
-smallest hash of their id.  A document is a trusted positive if all its labels are 1, and
-unlabelled if it has no label; where every document has one, all of them count as unlabelled.
-Null and empty texts have score 0.  Without positives nothing is learned and every other
+The fit uses at most ``SAMPLE`` positive documents and ``UNLABELLED`` of all documents, those of the
+smallest hash of their id.  A document is a trusted positive if all its labels are 1.  Unlabelled text is
+all text: the mixture whose share of positives is estimated, labels ignored, however many there are.
+An id on several rows counts once, with the text of the smallest hash.
+Null and empty texts have score 0, and no part in the fit; rows of null id are only scored.  Without positives nothing is learned and every other
 text has score 0.5.
 """
 
@@ -26,8 +27,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.llm import common
 
-#: Documents of each kind that the model is fitted on, at most.
-SAMPLE = 8_000
+#: Positive documents and documents of the mixture that the model is fitted on, at most.
+SAMPLE, UNLABELLED = 8_000, 8_000
 STEPS, RATE, DECAY = 400, 0.05, 1e-4
 
 _CLASSES = 16
@@ -78,28 +79,35 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * z))
 
 
+def slope(x: np.ndarray, n: int, prior: float | None, w: np.ndarray) -> np.ndarray:
+    """How the risk changes with the weights and, last, the bias.  The first ``n`` rows are positives, the others
+    unlabelled; without a prior they count as negatives."""
+    z = x @ w[:-1] + w[-1]
+    p = _sigmoid(z)
+    g = np.zeros(len(x))  # slope of the risk by each logit
+    if prior is None:
+        g[:n], g[n:] = (p[:n] - 1) / n, p[n:] / (len(x) - n)
+    else:
+        as_negative = np.logaddexp(0, z)
+        rest = as_negative[n:].mean() - prior * as_negative[:n].mean()
+        back = -prior * p[:n] / n, p[n:] / (len(x) - n)
+        if rest >= 0:
+            g[:n], g[n:] = prior * (p[:n] - 1) / n + back[0], back[1]
+        else:
+            g[:n], g[n:] = -back[0], -back[1]
+    return np.append(x.T @ g, g.sum())
+
+
 def _descend(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None) -> tuple[np.ndarray, float]:
     """Weights and bias of least risk: non-negative for a prior, positive against unlabelled without one (Adam)."""
     x = np.concatenate([positive, unlabelled])
-    n, w = len(positive), np.zeros(x.shape[1] + 1)
+    w = np.zeros(x.shape[1] + 1)
     first, second = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
-        z = x @ w[:-1] + w[-1]
-        p = _sigmoid(z)
-        g = np.zeros(len(x))  # slope of the risk by each logit
-        if prior is None:
-            g[:n], g[n:] = (p[:n] - 1) / n, p[n:] / (len(x) - n)
-        else:
-            as_negative = np.logaddexp(0, z)
-            rest = as_negative[n:].mean() - prior * as_negative[:n].mean()
-            back = -prior * p[:n] / n, p[n:] / (len(x) - n)
-            if rest >= 0:
-                g[:n], g[n:] = prior * (p[:n] - 1) / n + back[0], back[1]
-            else:
-                g[:n], g[n:] = -back[0], -back[1]
-        slope = np.append(x.T @ g + DECAY * w[:-1], g.sum())
-        first += 0.1 * (slope - first)
-        second += 0.01 * (slope * slope - second)
+        down = slope(x, len(positive), prior, w)
+        down[:-1] += DECAY * w[:-1]
+        first += 0.1 * (down - first)
+        second += 0.01 * (down * down - second)
         w -= RATE / (1 + step / 100) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
     return w[:-1], float(w[-1])
 
@@ -122,19 +130,21 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
     return Model(mean, scale, w, b, prior)
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality", sample: int = SAMPLE) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality", sample: int = SAMPLE,
+          unlabelled: int = UNLABELLED) -> Model | None:
     """Fit on the rows of ``docs``; None where no document is a trusted positive."""
     common.prepared(docs.sparkSession)
     known = labels.where(F.col(doc_id).isNotNull() & F.col(quality).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(F.min(quality).alias("q"))
-    ids = docs.where(F.col(doc_id).isNotNull() & (F.octet_length(text) > 0)).select(F.col(doc_id).alias("id"))
+    texts = docs.where(F.col(doc_id).isNotNull() & (F.octet_length(text) > 0)).select(F.col(doc_id).alias("id"), common.text_bytes(text).alias("__text"))
+    ids = texts.select("id").distinct()
     order = [F.xxhash64("id"), "id"]
-    positive = ids.join(known.where("q = 1"), "id", "left_semi").orderBy(*order).limit(sample).distinct()
-    others = ids.join(known, "id", "left_anti")
-    if others.isEmpty():
-        others = ids
-    unlabelled = others.orderBy(*order).limit(sample).distinct()
-    chosen = positive.select("id", F.lit(1).alias("kind")).union(unlabelled.select("id", F.lit(0).alias("kind")))
-    rows = docs.select(F.col(doc_id).alias("id"), common.text_bytes(text).alias("__text")).join(F.broadcast(chosen), "id")  # 2 * sample ids
+    positive = ids.join(known.where("q = 1"), "id", "left_semi").orderBy(*order).limit(sample)
+    mixture = ids.orderBy(*order).limit(unlabelled)
+    chosen = positive.select("id", F.lit(1).alias("kind")).union(mixture.select("id", F.lit(0).alias("kind")))
+    kinds = chosen.groupBy("id").agg(F.collect_set("kind").alias("kinds"))
+    rows = texts.join(F.broadcast(kinds), "id")  # sample + unlabelled ids
+    rows = rows.groupBy("id").agg(F.min_by("__text", F.xxhash64("__text")).alias("__text"), F.first("kinds").alias("kinds"))
+    rows = rows.select("id", F.explode("kinds").alias("kind"), "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
