@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -148,6 +150,19 @@ def test_simhash_documents(edge, nothing):
     assert simhash.near_duplicates(nothing).count() == 0 and simhash.keep_first(nothing).count() == 0
 
 
+def test_rows_go_for_their_own_text(spark):
+    a, b = "one two three four five six seven", "quite another text that has nothing of the first"
+
+    def kept(rows):
+        return sorted(tuple(r) for r in simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string, n int")).collect())
+
+    assert kept([(1, a, 0), (2, a, 0), (2, b, 0)]) == [(1, a, 0), (2, b, 0)]
+    assert kept([(5, a, 0), (5, b, 0)]) == sorted([(5, a, 0), (5, b, 0)])
+    assert kept([(5, a, 0)] * 3 + [(6, a, 0)]) == [(5, a, 0)]
+    rows = simhash.keep_first(spark.createDataFrame([(5, a), (None, a), (None, a), (7, None), (8, "")], "doc_id long, text string")).collect()
+    assert sorted(str(r["doc_id"]) for r in rows) == ["5", "7", "None", "None"]
+
+
 def test_masks_cover_every_pair():
     tables = simhash.masks()
     for i in range(64):
@@ -187,6 +202,42 @@ def test_quality(spark, edge, nothing):
     assert {r["score"] for r in quality.score(edge, None).collect()} == {0.0, 0.5}
 
 
+def plain_risk(x: np.ndarray, n: int, prior: float, w: np.ndarray) -> tuple[float, bool]:
+    """Positive-unlabelled risk of a linear model, term by term; whether the negatives' part is below zero."""
+    loss = lambda z, y: np.log1p(np.exp(-y * z)) if -y * z < 30 else -y * z
+    z = [float(sum(a * b for a, b in zip(row, w[:-1])) + w[-1]) for row in x]
+    positive = prior * sum(loss(v, 1) for v in z[:n]) / n
+    rest = sum(loss(v, -1) for v in z[n:]) / (len(z) - n) - prior * sum(loss(v, -1) for v in z[:n]) / n
+    return (positive + rest, False) if rest >= 0 else (-rest, True)
+
+
+def test_quality_risk_and_slope():
+    dice = np.random.default_rng(2)
+    sides = set()
+    for prior in (0.1, 0.5, 0.95):
+        for scale in (0.1, 1.0, 4.0):
+            p, u = dice.normal(0.5, 1, (6, 3)), dice.normal(0, 1, (9, 3))
+            w = dice.normal(0, scale, 4)
+            got = quality.slope(np.concatenate([p, u]), 6, prior, w)
+            for i in range(4):
+                step = np.zeros(4)
+                step[i] = 1e-6
+                (above, side), (below, other) = (plain_risk(np.concatenate([p, u]), 6, prior, w + s) for s in (step, -step))
+                assert side == other and got[i] == pytest.approx((above - below) / 2e-6, abs=1e-5)
+            sides.add(side)
+    assert sides == {True, False}
+
+
+def test_quality_fit_is_bounded_and_has_no_switch(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(quality, "fit", lambda p, u: seen.update(p=len(p), u=len(u)))
+    docs = spark.createDataFrame([(1, f"text {i} of one id") for i in range(500)] + [(i, f"text number {i}") for i in range(2, 90)], "doc_id long, text string")
+    for labelled in (range(0, 40), range(0, 90)):  # with and without documents that have no label
+        labels = spark.createDataFrame([(i, 1) for i in labelled], "doc_id long, quality int")
+        quality.train(docs, labels, sample=20, unlabelled=30)
+        assert seen == {"p": 20, "u": 30}
+
+
 def test_nearest_exact_where_all_is_searched(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(600, 16)).astype(np.float32)
@@ -210,6 +261,13 @@ def test_nearest_exact_where_all_is_searched(spark):
     assert nearest.search(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_nearest_ties(spark):
+    rows = [(i, [float(2 ** (i % 20)) * x for x in (0.25, -0.5, 0.75, 1.0)]) for i in range(60)]
+    rows += [(100 + i, [float(3 + i), -7.0, 0.1 * i, 2.0]) for i in range(30)]
+    found = nearest.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, share=1e9)
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in found.orderBy("rank").collect()] == [(i, i, 1.0) for i in range(1, 6)]
+
+
 def test_nearest_recall(spark):
     sf_dir = "/root/testdata/sf0.1"
     rows = common.read_table(spark, sf_dir, "embeddings").collect()
@@ -255,6 +313,75 @@ def test_guesses_are_ordered():
     assert cost("") == 0 and cost("f3ef4d6b2755a36d7d9c2") > 15 and cost("x7" * 5_000) < 6
 
 
+def pieces(value: str, ranks: dict) -> dict[int, list[tuple[int, float]]]:
+    """Every way to go on from a place of a value, one by one: where to and at what cost."""
+    n, low, plain = len(value), value.lower(), value.lower().translate(secret_scan._LEET)
+    spoken = {m.start(): m.end() for m in secret_scan._LETTERS.finditer(value) if secret_scan._pronounceable(m[0])}
+    spoken = {a: b for a, b in spoken.items() if b - a >= 6 or (a == 0 or value[a - 1] in "-_./:") and (b == n or value[b] in "-_./:")}
+    single, out = secret_scan._per_character(value), {}
+    for i in range(n):
+        to = []
+        for j in range(i + 1, n + 1):
+            if plain[i:j] in ranks:
+                to.append((j, np.log10(ranks[plain[i:j]] + 1) + 0.6 * (value[i:j] != plain[i:j])))
+        if m := secret_scan._DATE.match(value, i):
+            to.append((m.end(), 4.6 if m.end() - i > 4 else 2.1))
+        j = max(j for j in range(i + 1, n + 1) if len(set(value[i:j])) == 1)
+        if j - i >= 3:
+            to.append((j, 1 + np.log10(j - i)))
+        for unit in (2, 3, 4):
+            times = max([t for t in range(1, n + 1) if value[i : i + unit] * t == value[i : i + unit * t] and i + unit * t <= n], default=1)
+            if times >= 2:
+                to.append((i + unit * times, unit + np.log10(times)))
+        for one in secret_scan._ROWS:
+            for row in (one, one[::-1]):
+                j = max([j for j in range(i, n + 1) if low[i:j] in row])
+                if j - i >= 3:
+                    to.append((j, 1.5 + np.log10(j - i)))
+        if i in spoken:
+            to.append((spoken[i], 0.45 * (spoken[i] - i) + 0.5))
+        inside = any(a <= i < b for a, b in spoken.items())
+        out[i] = [(j, c + 0.3 * (i > 0)) for j, c in to] + [(i + 1, 0.6 if inside else 1.0 if value[i] in "-_./:" else single)]
+    return out
+
+
+def test_segmentation_against_all_splits():
+    ranks, dice = secret_scan.ranked(["river", "stone", "able"]), np.random.default_rng(9)
+    parts = ["river", "St0ne", "able", "qwer", "321", "aaa", "ababab", "1987", "12-05-87", "x", "K", "$", "7", "-", "fghj", "xyzxyz", "hello", "p4ss", "zq"]
+    for _ in range(400):
+        value = "".join(dice.choice(parts, dice.integers(1, 4)))[:12]
+        steps = pieces(value, ranks)
+
+        def cheapest(i: int) -> float:
+            return 0.0 if i == len(value) else min(c + cheapest(j) for j, c in steps[i])
+
+        want = cheapest(0)
+        assert secret_scan.guesses(value, ranks) == pytest.approx(want), value
+        for enough in (3.0, 9.0):
+            assert (secret_scan.guesses(value * 9, ranks, enough) >= enough) == (secret_scan.guesses(value * 9, ranks) >= enough)
+
+
+def test_long_values_take_linear_time():
+    long = ["a" * 200_000, "x7Kq" * 50_000, "password" * 25_000, "".join(chr(33 + i * 7919 % 90) for i in range(200_000))]
+    began = time.perf_counter()
+    for value in long:
+        secret_scan.value_spans(f"password={value}")
+    assert time.perf_counter() - began < 4
+
+
+def test_learned_words(spark, edge):
+    texts = ["the river Bank, the RIVER"] * 6 + ["password: riverstone token=abcdefabcdefabcd"] * 50 + [None, ""] + ["rare"] * 4
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert secret_scan.learned_words(docs) == ["password", "river", "the", "bank"]
+    assert secret_scan.learned_words(docs, most=2) == ["password", "river"]
+    assert secret_scan.learned_words(edge.limit(0)) == []
+    value = "pwd: gleamotter end"
+    assert secret_scan.value_spans(value.replace("gleamotter", "gleam7otter"))
+    assert not secret_scan.value_spans(value.replace("gleamotter", "gleam7otter"), ranks=secret_scan.ranked(["gleam", "otter"]))
+    for code in ("process.env.DB_PASSWORD", "config.getSecretValue", "os.environ.get"):
+        assert not secret_scan.value_spans(f"password = {code}(x)")
+
+
 def test_random_values_are_found_and_words_kept():
     rng = np.random.default_rng(8)
     draw = lambda chars, n: "".join(rng.choice(list(chars), n))
@@ -271,7 +398,7 @@ def test_random_values_are_found_and_words_kept():
 
 
 def test_pipeline_against_plain_python(spark, edge, tmp_path):
-    edge.write.parquet(f"{tmp_path}/documents.parquet")
+    edge.withColumn("__row", F.lit(7)).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([("q", "Two words")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs = [(r["doc_id"], r["text"]) for r in edge.collect()]
     model = language_id.train(edge)
@@ -280,14 +407,19 @@ def test_pipeline_against_plain_python(spark, edge, tmp_path):
     group = {(i, f): c for i, f, c in plain_components([(i, plain_fingerprint(t)) for i, t in docs])}
     docs = list(dict.fromkeys((i, t) for i, t in docs if i is None or group[str(i), f"{plain_fingerprint(t):016x}"] == i))
     docs = [(i, t) for i, t in docs if "two words" not in t]
+    counts: Counter = Counter()
+    for _, t in docs:
+        hidden = [(a, 0, b) for a, b in secret_scan._contexts(t)] + secret_scan.base_spans(t)
+        counts.update(w for w in re.findall("[a-z]+", secret_scan.redacted(t, hidden, " ").lower()) if 3 <= len(w) <= 16)
+    ranks = secret_scan.ranked([w for w, n in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if n >= 5])
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    sizes = sorted((str(i), len(tokenizer.encode(secret_scan.redacted(t, secret_scan.base_spans(t) + secret_scan.value_spans(t), "[SECRET]"), add_special_tokens=False).ids) + 1) for i, t in docs)
+    sizes = sorted((str(i), len(tokenizer.encode(secret_scan.redacted(t, secret_scan.base_spans(t) + secret_scan.value_spans(t, ranks=ranks), "[SECRET]"), add_special_tokens=False).ids) + 1) for i, t in docs)
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     starts = sorted((str(r["doc_id"]), r["doc_tokens"]) for r in got if r["start"] == 0)
     assert starts == sizes and sum(r["length"] for r in got) == sum(n for _, n in sizes)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES) - {"op5_language_id", "op7_quality_pu", "op8_rp_forest"}))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES) - {"op5_language_id", "op7_quality_pu", "op8_rp_forest", "op13_hard_negatives"}))
 def test_query_runs(spark, name):
     n = common.read_table(spark, SF_DIR, "documents").count()
     out = queries.QUERIES[name](spark, SF_DIR)

@@ -26,18 +26,18 @@ def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = common.fold(10) == 0
     model = ngram_lm.train(docs.where(~held_out), order=3)
     scores = ngram_lm.score(docs, model, keep=["doc_id", held_out.alias("held_out")])
-    return scores.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 @query
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_table(spark, sf_dir, "documents")
-    levels = substring_dedup.repeated_windows(docs, min_words=13, longest=13)
-    return substring_dedup.remove_repeats(docs, levels, keep=["doc_id"], with_text=False).drop("longest_repeat")
+    levels = substring_dedup.repeated_windows(docs, min_words=13)
+    return substring_dedup.remove_repeats(docs, levels, keep=["doc_id"], with_text=False)
 
 
 ORACLES["op2_substring_dedup"] = r"""
-with words as (
+with recursive words as (
   select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
 starts as (
   select r, doc_id, w, unnest(range(1, len(w) - 11)) as i from words),
@@ -52,9 +52,18 @@ places as (
 marked as (
   select p.r, p.word, p.i, h.i is not null as gone from places p left join hits h on p.r = h.r and p.i = h.i),
 counted as (
-  select r, sum(gone::int) as n_removed, string_agg(word, ' ' order by i) filter (where not gone) as kept from marked group by r)
-select doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
-from words left join counted using (r)
+  select r, sum(gone::int) as n_removed, string_agg(word, ' ' order by i) filter (where not gone) as kept from marked group by r),
+doubled as (  -- windows that several documents hold, of 13 words, then of twice as many, and so on
+  select r, doc_id, i, 13 as size, h, first from windows join firsts using (h)
+  union all
+  select r, doc_id, i, size, h, first from (
+    select *, min(doc_id) over (partition by h) as first, max(doc_id) over (partition by h) as last from (
+      select a.r, a.doc_id, a.i, 2 * a.size as size, sha256(a.h || b.h) as h from doubled a join doubled b on a.r = b.r and b.i = a.i + a.size))
+  where first < last),
+longest as (select r, max(size) as longest from doubled where first < doc_id group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256,
+  coalesce(longest, 0)::bigint as longest_repeat
+from words left join counted using (r) left join longest using (r)
 """
 
 
@@ -111,7 +120,9 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scan(common.read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    docs = common.read_table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, keep=["doc_id"], words=secret_scan.learned_words(docs))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_value")
 
 
 @query
@@ -129,7 +140,8 @@ def op7_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.find(common.read_table(spark, sf_dir, "documents"))
+    found = pii.find(common.read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS[: pii.BASE]), "base_sha256", "spans", "n_added")
 
 
 @query
