@@ -65,13 +65,19 @@ grid as (
   from (select distinct endpoint, day from downloads), unnest(range(1, 9)) t(c)
   union all select distinct endpoint, day, '', null from downloads
 ),
+usable as (
+  select k.*, f.ts as fresh_ts from keyed k join fresh f on f.cache_key = k.cache_key where k.cycle_name <> 'Timely' and k.file_size >= 200
+),
+offers as (  -- cycle 0: a request for any cycle
+  select *, requested_cycle as offered from usable union all select *, 0 as offered from usable
+),
+asked as (select *, coalesce(cycle, 0) as wanted from grid),
 cached as (
   select g.endpoint, g.day, g.cycle, g.param_text, d.cycle_name, replace(d.endpoint, '/', '_') as folder, d.file_name,
-    d.file_size, d.cache_key, f.ts
-  from grid g join keyed d on d.endpoint = g.endpoint and d.day = g.day and (g.cycle is null or g.cycle = d.requested_cycle)
-  join fresh f on f.cache_key = d.cache_key
-  where d.cycle_name <> 'Timely' and d.file_size >= 200
-)
+    d.file_size, d.cache_key, d.fresh_ts as ts
+  from asked g join offers d on d.endpoint = g.endpoint and d.day = g.day and d.offered = g.wanted
+),
+answered as (select distinct endpoint, day, offered from offers)
 """
 
 
@@ -88,8 +94,8 @@ def cached_files(spark, sf_dir):
 
 
 @query("pending_requests", _DOWNLOADS + """
-select g.* from grid g anti join cached c
-  on c.endpoint = g.endpoint and c.day = g.day and coalesce(c.cycle, -1) = coalesce(g.cycle, -1)
+select endpoint, day, param_text, cycle from asked g
+where not exists (select 1 from answered a where a.endpoint = g.endpoint and a.day = g.day and a.offered = g.wanted)
 """)
 def pending_requests(spark, sf_dir):
     asked, manifest, ledger, listing = _parts(spark, sf_dir)

@@ -11,7 +11,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from tidegate.llm import common, decontaminate, language_id, packing, secret_scan, simhash
 from tidegate.session import scratch_path
@@ -24,42 +23,46 @@ TOKENIZER = "word_bpe_49k.json"
 SECRET = "[SECRET]"
 
 
-def _boxed(docs: DataFrame) -> tuple[DataFrame, StructType]:
-    """The whole row as one column, beside the columns an operator reads: no name can clash."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *[F.col(f"`{c}`") for c in docs.columns]), docs.schema
+def _boxed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The whole row as one column, under a name that no other has, beside the columns an operator reads."""
+    box = "__row"
+    while box in docs.columns:
+        box += "_"
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(F.struct(*own).alias(box), *own), box
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows in one of the languages that the labelled rows show; null texts, texts without a letter and texts that fit
     no language go.  Nothing goes for want of labels: without any the stage only asks for a text with a letter."""
     model = language_id.train(docs)
-    rows, _ = _boxed(docs)
-    found = language_id.predict(rows, model, keep=["__row"])
+    rows, box = _boxed(docs)
+    found = language_id.predict(rows, model, keep=[box])
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return found.where((F.col("lang_pred") != "und") & (F.col("fit") > MIN_FIT)).select("__row.*")
+    return found.where((F.col("lang_pred") != "und") & (F.col("fit") > MIN_FIT)).select(f"{box}.*")
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the row of the smallest id."""
+    """Of each group of linked texts one row of the smallest id; rows of null id stay."""
     return simhash.keep_first(docs)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold no passage of the benchmark."""
-    rows, _ = _boxed(docs)
-    found = decontaminate.scan(rows, common.read_table(spark, sf_dir, "benchmark"), keep=["__row"])
-    return found.where(~F.col("contaminated")).select("__row.*")
+    rows, box = _boxed(docs)
+    found = decontaminate.scan(rows, common.read_table(spark, sf_dir, "benchmark"), keep=[box])
+    return found.where(~F.col("contaminated")).select(f"{box}.*")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with every secret in the text replaced by a mark; n_chars follows the text where it was changed."""
-    rows, schema = _boxed(docs)
-    found = secret_scan.scan(rows, keep=["__row"], mark=SECRET)
+    rows, box = _boxed(docs)
+    found = secret_scan.scan(rows, keep=[box], mark=SECRET, words=secret_scan.learned_words(docs))
     changed = F.col("spans") != ""
     out = []
-    for field in schema.fields:
-        own = F.col("__row").getField(field.name)
+    for field in docs.schema.fields:
+        own = F.col(box).getField(field.name)
         if field.name == "text":
             own = F.when(changed, F.col("redacted")).otherwise(own)
         elif field.name == "n_chars":
