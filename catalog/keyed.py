@@ -176,6 +176,31 @@ def stored_upsert(spark, sf_dir):
     return read_table(spark, path, SCHEMA)
 
 
+@query("numbered_rows", with_sql(FEED_SQL) + _TABLES + """,
+keys as (select distinct loc, measure_date, cycle_id from readings where loc is not null),
+loose as (select count(*) as n from readings where loc is null)
+select (select count(*) from keys) + n as row_count, 1 as least, (select count(*) from keys) + n as most,
+  (select count(*) from keys) + n as numbers, 0 as changed
+from loose
+""")
+def numbered_rows(spark, sf_dir):
+    """Three loads into a table whose rows are numbered when they are inserted: no gap, none twice, none changed by an update."""
+    path, day = scratch_path(spark, "numbered"), F.dayofmonth("measure_date")
+    schema = T.StructType([T.StructField("id", T.LongType()), *SCHEMA.fields])
+    rows = readings(spark, sf_dir)
+    before = None
+    for own in (rows.where(day <= 10), rows.where(day > 10), rows.where((day <= 15) & F.col("loc").isNotNull())):  # the last one updates
+        before = None if before is None else read_table(spark, path, schema)
+        merge_into(spark, path, own, ["row_id"], KEYS, schema, now=now(), number="id")
+        before = read_table(spark, path, schema) if before is None else before
+    after = read_table(spark, path, schema)
+    moved = after.join(before.withColumnsRenamed({"id": "old", "loc": "l", "measure_date": "m", "cycle_id": "c"}).select("old", "l", "m", "c"),
+                       (F.col("loc") == F.col("l")) & (F.col("measure_date") == F.col("m")) & (F.col("cycle_id") == F.col("c")))
+    changed = moved.agg(F.count_if(F.col("id") != F.col("old")).cast("int").alias("changed"))
+    found = after.agg(F.count(F.lit(1)).alias("row_count"), F.min("id").cast("int").alias("least"), F.max("id").alias("most"), F.countDistinct("id").alias("numbers"))
+    return found.withColumn("k", F.lit(1)).join(changed.withColumn("k", F.lit(1)), "k").drop("k")
+
+
 @query("stored_load_without_key", with_sql(FEED_SQL) + _TABLES + """
 select *, 'append' as how from (
   select loc, measure_date, cycle_id, dc, oac, note, timestamp '2024-02-01 00:00:00' as created_at

@@ -9,11 +9,11 @@ from pyspark.sql import Window, functions as F, types as T
 from catalog import query
 from catalog.views import NAMES_SQL, names, table, with_sql
 from tidegate.functions.filenames import stem
-from tidegate.operators import lineage, quality as q
+from tidegate.operators import lineage, quality as q, sketches
 from tidegate.operators.clean import infer_types
 from tidegate.plans.loads import load_folder, prepare
 from tidegate.plans.recipes import Load, run_recipe
-from tidegate.session import scratch_path
+from tidegate.session import materialise, scratch_path
 from tidegate.sources import feed as source, tables
 from tidegate.sources.sidecars import append_manifest, read_manifest, sidecars_of
 from tidegate.streaming import ingest
@@ -636,3 +636,50 @@ def stream_bad_files(spark, sf_dir):
         F.when(F.col("error").startswith("not UTF-8"), "not UTF-8").otherwise("broken").alias("loc_name"))
     stored = tables.read_table(spark, f"{out}/table").select(F.lit("table").alias("part"), "loc", "loc_name", "dc")
     return stored.unionByName(bad, allowMissingColumns=True)
+
+
+@query("stream_admit_exact", """
+with recursive admitted as (
+  select user_id, min(ts) as ts from events group by user_id
+  union all
+  select user_id, ts from (
+    select e.user_id, min(e.ts) as ts from admitted a join events e on e.user_id = a.user_id and e.ts > a.ts + interval 172800 second
+    group by e.user_id)
+)
+select cast(user_id as varchar) as loc, ts as arrival from admitted
+""")
+def stream_admit_exact(spark, sf_dir):
+    """Every event of a user as an arrival: admitted when the last admitted one is more than two days old, to the microsecond."""
+    path, out, checkpoint = (scratch_path(spark, name) for name in ("arrivals", "admitted", "checkpoint"))
+    events = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("loc"), F.col("ts").cast("timestamp").alias("arrival"))
+    day = F.dayofmonth("arrival")
+    for when in (day <= 11, day.between(12, 20), day > 20):
+        events.where(when).write.mode("append").parquet(path)
+        arrivals = spark.readStream.schema(events.schema).parquet(path)
+        admitted = ingest.admit_exactly(arrivals, ["loc"], "arrival", 172_800, "1 day")
+        admitted.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(
+            availableNow=True
+        ).start().awaitTermination()
+    return spark.read.schema(events.schema).parquet(out)
+
+
+@query("sketched_statistics", """
+select event_type as kind, count(*) as row_count, true as distinct_ok, true as quartiles_ok from events group by event_type
+""")
+def sketched_statistics(spark, sf_dir):
+    """Distinct users and quartiles of a month from the stored sketches of its days, held against the rows themselves."""
+    events = table(spark, sf_dir, "events").select(F.col("event_type").alias("kind"), F.to_date("ts").alias("day"), "user_id", "value")
+    path = scratch_path(spark, "sketches")
+    for load in range(2):
+        own = events.where(F.dayofmonth("day") % 2 == load)
+        for _ in range(2):  # a repeated load replaces its own lines
+            sketches.store(sketches.sketch(own, ["kind", "day"], ["user_id"], ["value"]), path, "feed", load)
+    ranks = (0.25, 0.5, 0.75)
+    month = materialise(sketches.estimates(sketches.merge(sketches.stored(spark, path), ["kind"]), ranks))
+    below = [F.avg((F.col("value") <= F.col("q_value")[i]).cast("double")) for i in range(3)]
+    least = [F.avg((F.col("value") < F.col("q_value")[i]).cast("double")) for i in range(3)]
+    exact = events.join(F.broadcast(month), "kind").groupBy("kind", "row_count", "n_user_id").agg(
+        F.countDistinct("user_id").alias("users"), *(b.alias(f"b{i}") for i, b in enumerate(below)), *(b.alias(f"l{i}") for i, b in enumerate(least)))
+    near = [(F.col(f"l{i}") <= r + 0.015) & (F.col(f"b{i}") >= r - 0.015) for i, r in enumerate(ranks)]
+    return exact.select("kind", "row_count", (F.abs(F.col("n_user_id") - F.col("users")) <= 0.03 * F.col("users")).alias("distinct_ok"),
+                        (near[0] & near[1] & near[2]).alias("quartiles_ok"))

@@ -9,7 +9,8 @@ from catalog.views import table
 from tidegate.functions.filenames import endpoint_folder
 from tidegate.functions.requests import cache_key
 from tidegate.plans import requests as plan
-from tidegate.sources.ledger import fresh_entries, latest_entries
+from tidegate.session import materialise, scratch_path
+from tidegate.sources.ledger import append_ledger, compact_ledger, fresh_entries, latest_entries, read_ledger
 from tidegate.sources.sidecars import accepted_responses
 
 # 2000-01-01 and two years in seconds.
@@ -158,3 +159,15 @@ def accepted_responses_query(spark, sf_dir):
         F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("received"),
     )
     return accepted_responses(answered)
+
+
+@query("compacted_ledger", _DOWNLOADS + "select * from fresh")
+def compacted_ledger(spark, sf_dir):
+    """A ledger appended to in three loads and compacted in between: what is left, without a filter, is what is fresh."""
+    _, done, ledger, _ = _parts(spark, sf_dir)
+    path, entries = scratch_path(spark, "ledger"), materialise(ledger)
+    for third in range(3):
+        append_ledger(entries.where(F.pmod(F.xxhash64("cache_key", "ts"), F.lit(3)) == third), path)
+        if third != 1:
+            compact_ledger(spark, path, NOW, TTL)
+    return read_ledger(spark, path)

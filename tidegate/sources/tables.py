@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from tidegate.operators.duplicates import validate_unique_key
 from tidegate.operators.quality import QualityReport, report_documents
+from tidegate.operators.surrogate import marked, numbered
 from tidegate.operators.upsert import ACTION, INSERTED, KEPT, UPDATED, append, upsert
 from tidegate.schema import KEY_COLUMNS, capacity_schema
 from tidegate.sources import versions
@@ -85,6 +86,7 @@ def merge_into(
     counters: Observation | None = None,
     identity: str | None = None,
     buckets: int = BUCKETS,
+    number: str | None = None,
 ) -> Rewritten:
     """Upsert ``source`` into the table at ``path``.
 
@@ -95,7 +97,8 @@ def merge_into(
     its ``identity``, or by its rows where the caller has none; other rows under a number used before are a load of their own.
     Without a batch name a repeat is harmless for
     rows with a key.  ``partition_by`` must be a key column, so that no key
-    changes its partition.  ``buckets`` counts for a new table.
+    changes its partition.  ``buckets`` counts for a new table.  ``number`` names a column of the table that
+    gives each row a number of its own when it is inserted: 1, 2 and so on over all loads, without gaps.
     """
     if partition_by not in keys:
         raise ValueError(f"{partition_by} must be one of the key columns")
@@ -103,7 +106,7 @@ def merge_into(
     def merge(touched: DataFrame) -> DataFrame:
         return upsert(touched, source, order_by, keys, now, with_action=True)
 
-    change = _Change(path, source, schema or capacity_schema(), partition_by, tuple(keys), batch, writer, identity, buckets)
+    change = _Change(path, source, schema or capacity_schema(), partition_by, tuple(keys), batch, writer, identity, buckets, number=number)
     return _apply(spark, change, merge, counters)
 
 
@@ -119,6 +122,7 @@ class _Change:
     identity: str | None
     buckets: int
     adds: bool = False  # rows are added beside the parts that are there, which stay as they are
+    number: str | None = None
 
 
 def current_version(spark: SparkSession, path: str, schema: T.StructType, partition_by: str, keys: Sequence[str],
@@ -166,16 +170,32 @@ def _apply(spark: SparkSession, change: _Change, make: Callable[[DataFrame], Dat
         gone = [] if change.adds else touched
         if not path_exists(spark, f"{place}/_SUCCESS"):  # else a call that failed got as far as this
             # Rows of a part are brought together here, AQE evens out the parts.
-            rows = make(versions.read_parts(spark, path, gone, schema)).withColumn(versions.BUCKET, _bucket(version, schema, schema.names))
+            rows = make(versions.read_parts(spark, path, gone, schema))
+            if change.number is not None:
+                rows = _with_numbers(rows, change.number, version.highest, f"{path}__staging/{load}")
+            rows = rows.withColumn(versions.BUCKET, _bucket(version, schema, schema.names))
             rows = rows.hint("rebalance", change.partition_by, versions.BUCKET)
             rows.write.mode("overwrite").partitionBy(change.partition_by, versions.BUCKET).parquet(place)
         new = _counted(spark, path, version, change, touched, versions.written_parts(spark, path, load, change.partition_by))
-        if versions.commit(spark, path, version.changed(gone, new, change.writer, load)):
+        numbers = 0 if change.number is None else _actions(spark, place).where(F.col(ACTION) == INSERTED).count()
+        if versions.commit(spark, path, version.changed(gone, new, change.writer, load, numbers)):
             versions.sweep(spark, path)
             return _outcome(spark, path, load, new, counters, touched if change.adds else [])
     raise RuntimeError(f"other loads changed {path} during each of {ATTEMPTS} attempts")
 
 
+def _actions(spark: SparkSession, place: str) -> DataFrame:
+    """What a written load did to each of its rows."""
+    return spark.read.schema(T.StructType([T.StructField(ACTION, T.StringType())])).parquet(place).select(ACTION)
+
+
+def _with_numbers(rows: DataFrame, number: str, highest: int, at: str) -> DataFrame:
+    """Rows of a load in which the inserted ones have numbers above ``highest``."""
+    staged = stage(rows, f"{at}/rows")
+    new = stage(marked(staged.where(F.col(ACTION) == INSERTED)), f"{at}/new")
+    return staged.where(F.col(ACTION) != INSERTED).unionByName(numbered(new, number, highest).select(*staged.columns))
+
+
 def _keyed_counts(rows: DataFrame, schema: T.StructType, partition_by: str, version: versions.Version, distinct: bool = True) -> dict[tuple, tuple[int, int]]:
     """Per day and bucket: rows with a whole key, and distinct keys among them."""
     day = F.col(partition_by).cast("string").alias("day")
@@ -230,8 +250,7 @@ def _outcome(spark: SparkSession, path: str, load: str, parts: list[versions.Par
     """What a load wrote, and its actions for the observer; ``beside``: touched parts that stayed as they were."""
     place = f"{path}/{versions.load_folder(load)}"
     if counters is not None:
-        action = T.StructType([T.StructField(ACTION, T.StringType())])
-        actions = spark.read.schema(action).parquet(place).groupBy(ACTION).agg(F.count(F.lit(1)).alias("n"))
+        actions = _actions(spark, place).groupBy(ACTION).agg(F.count(F.lit(1)).alias("n"))
         kept = sum(p.rows for p in beside)
         if any(p.rows < 0 for p in beside):
             kept = spark.read.parquet(*(f"{path}/{p.folder}" for p in beside)).count()

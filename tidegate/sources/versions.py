@@ -52,11 +52,13 @@ class Version:
     keys: tuple[str, ...]
     parts: tuple[Part, ...] = ()
     writers: dict[str, str] = field(default_factory=dict)
+    highest: int = 0  # of the numbers given to rows
 
-    def changed(self, gone: Iterable[Part], new: Iterable[Part], writer: str, load: str) -> Version:
+    def changed(self, gone: Iterable[Part], new: Iterable[Part], writer: str, load: str, numbers: int = 0) -> Version:
         gone = set(gone)
         kept = tuple(p for p in self.parts if p not in gone)
-        return replace(self, number=self.number + 1, parts=(*kept, *new), writers={**self.writers, writer: load})
+        writers = {**self.writers, writer: load}
+        return replace(self, number=self.number + 1, parts=(*kept, *new), writers=writers, highest=self.highest + numbers)
 
     def groups(self) -> dict[tuple[str | None, int | None], list[Part]]:
         """Parts by day and bucket, the earliest first."""
@@ -89,7 +91,8 @@ def latest(spark: SparkSession, path: str) -> Version | None:
 
 def commit(spark: SparkSession, path: str, version: Version) -> bool:
     """Make a version the one that readers see; False if its number is taken by another load."""
-    head = {"number": version.number, "buckets": version.buckets, "bucket_by": version.bucket_by, "keys": version.keys, "writers": version.writers}
+    head = {"number": version.number, "buckets": version.buckets, "bucket_by": version.bucket_by, "keys": version.keys,
+            "writers": version.writers, "highest": version.highest}
     text = "\n".join(json.dumps(x) for x in (head, *map(asdict, version.parts)))
     return write_new(spark, _file(path, version.number), text)
 

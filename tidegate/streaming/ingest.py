@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
+from tidegate.operators import sketches
 from tidegate.operators.clean import typed_leniently
 from tidegate.operators.lineage import files_of
 from tidegate.operators.quality import Checks, quality_report
 from tidegate.plans.loads import ROW_ORDER, prepare
 from tidegate.plans.recipes import Load, run_recipe
-from tidegate.schema import KEY_COLUMNS, capacity_schema
+from tidegate.schema import KEY_COLUMNS, QUANTITY_COLUMNS, capacity_schema
 from tidegate.sources.feed import SCAN, read_layouts, scan_order, split_surplus, with_row_index
 from tidegate.sources.sidecars import read_sidecars
 from tidegate.sources.soundness import check_files, literal
@@ -81,6 +85,7 @@ class _Outputs:
     reports: str | None
     quarantine: str | None
     checks: Checks
+    sketches: str | None = None
 
 
 def _load_rows(spark: SparkSession, out: _Outputs, record: BatchRecord, writer: str, place: str, raw: DataFrame) -> None:
@@ -93,9 +98,12 @@ def _load_rows(spark: SparkSession, out: _Outputs, record: BatchRecord, writer:
     merge_into(spark, out.table, prepared.accepted, ROW_ORDER, out.keys, now=stamp, batch=record.number, writer=writer, identity=record.identity)
     for name, frame in (("uncastable", prepared.uncastable), ("rejected", prepared.rejected), ("surplus", surplus)):
         _set_aside(out, record, writer, name, frame)
+    typed = typed_leniently(processed, capacity_schema())
     if out.reports:
-        checked = quality_report(typed_leniently(processed, capacity_schema()), out.checks)
-        write_report(checked, out.reports, f"{writer}-batch-{record.number}", out.checks.by)
+        write_report(quality_report(typed, out.checks), out.reports, f"{writer}-batch-{record.number}", out.checks.by)
+    if out.sketches:
+        numbers = [c for c in QUANTITY_COLUMNS if c in typed.columns]
+        sketches.store(sketches.sketch(typed, ["file_path", "measure_date"], ["loc"], numbers), out.sketches, writer, record.number)
 
 
 def _set_aside(out: _Outputs, record: BatchRecord, writer: str, name: str, frame: DataFrame) -> None:
@@ -145,14 +153,16 @@ def files_step(
     quarantine: str | None = None,
     checks: Checks = PER_FILE,
     sep: str = ",",
+    sketch_path: str | None = None,
 ) -> BatchStep:
     """Like ``feed_step`` for ``read_files_stream``: the batch brings files, and each is read by its own header.
 
     Files are first read to their end.  One that breaks, or that is not UTF-8, is refused as a whole: the others are
     loaded, it stands in the quarantine under ``unreadable`` with its error, and the stream goes on.  Which files
-    these are is written down, so a repeated batch refuses the same.
+    these are is written down, so a repeated batch refuses the same.  Below ``sketch_path`` the statistics of every file
+    and day are kept in a form that can be merged (``operators.sketches``).
     """
-    out = _Outputs(table, sidecars, kind, keys, reports, quarantine, checks)
+    out = _Outputs(table, sidecars, kind, keys, reports, quarantine, checks, sketch_path)
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -182,6 +192,38 @@ def admit_once_within(stream: DataFrame, key: Sequence[str], arrival: str, ttl:
     """First row of a key; the key is admitted again once ``ttl`` has passed.
 
     State is dropped by the watermark on ``arrival``, so it stays bounded by the
-    keys of one ``ttl``; expiry is exact to the micro-batch.
+    keys of one ``ttl``; expiry is exact to the micro-batch (to the microsecond: ``admit_exactly``).
     """
     return stream.withWatermark(arrival, ttl).dropDuplicatesWithinWatermark(list(key))
+
+
+def admit_exactly(stream: DataFrame, key: Sequence[str], arrival: str, ttl: float, late: str) -> DataFrame:
+    """First row of a key, and again every first one that arrives more than ``ttl`` seconds after the last admitted: key, ``arrival``.
+
+    An age of exactly ``ttl`` is not admitted, the next microsecond is, also within one micro-batch.  Each key's state is
+    the time it was admitted last; a timer drops it when the watermark (``late`` behind the latest arrival) has passed the
+    end of its time.  Rows later than that are ignored, as are rows without an arrival.  A null key is a key.  The
+    times of one key in one micro-batch are sorted in one task, eight bytes each; the size of a micro-batch bounds them.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
+    fields = ", ".join(f"`{k}` {kinds[k]}" for k in key)
+    lifetime = round(ttl * 1e6)
+
+    def admit(own: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        times = np.unique(np.concatenate([f["__at"].to_numpy(np.int64) for f in frames]))
+        last, admitted = state.get[0] if state.exists else None, []
+        at = 0 if last is None else int(np.searchsorted(times, last + lifetime, side="right"))
+        while at < len(times):
+            last = int(times[at])
+            admitted.append(last)
+            at = int(np.searchsorted(times, last + lifetime, side="right"))
+        state.update((last,))
+        state.setTimeoutTimestamp(max((last + lifetime) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({**{k: [v] * len(admitted) for k, v in zip(key, own)}, "__at": admitted})
+
+    rows = stream.where(F.col(arrival).isNotNull()).withWatermark(arrival, late).select(*key, arrival, F.unix_micros(arrival).alias("__at"))
+    found = rows.groupBy(*key).applyInPandasWithState(admit, f"{fields}, __at long", "last long", "append", "EventTimeTimeout")
+    return found.select(*key, F.timestamp_micros("__at").alias(arrival))
