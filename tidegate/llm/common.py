@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidegate.session import scratch_path
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Documents handed to Python at a time; a batch of the longest documents stays within tens of MB.
 BATCH_DOCS = 256
@@ -46,6 +48,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written_lean(rows: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows from a fresh folder below the shared one, and the folder; the shuffles that made them are removed once
+    they are written."""
+    spark, setting = rows.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        rows.write.parquet(at := scratch_path(spark, name))
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.parquet(at), at
+
+
 def fold(modulus: int, doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % modulus
@@ -140,6 +155,16 @@ def window_hashes(words: np.ndarray, length: int, seed: int) -> np.ndarray:
     return mix(total)
 
 
+def window_hashes_at(words: np.ndarray, length: int, places: np.ndarray, seed: int) -> np.ndarray:
+    """Hashes of the runs of ``length`` words that start at some places."""
+    factor = mix(np.full(1, seed, np.uint64))[0] | np.uint64(1)
+    total = words[places].copy()
+    for i in range(1, length):
+        total *= factor
+        total += words[places + i]
+    return mix(total)
+
+
 def is_member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     """Which values stand in a sorted array."""
     if not len(ordered):

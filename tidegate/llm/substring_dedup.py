@@ -2,8 +2,8 @@
 
 The first level looks at windows of half the wanted length.  Of the half windows inside a
 wanted window only the one of smallest hash counts, which is the same one in every copy; so
-about a quarter of the positions is counted.  A window is hashed at the next length only if
-it repeats at the one before, and so on until nothing survives or ``longest`` is reached.
+about a quarter of the positions is counted.  A window is hashed at the next length, from the hashes of its halves, only if
+both repeat, and so on until nothing survives or ``longest`` is reached.
 Each level is one scan, one shuffle of hashes dealt to shards, and one set of sorted arrays
 in the shared folder, which the next scan maps into memory.
 
@@ -30,7 +30,8 @@ from tidegate.session import scratch_path
 FLUSH_BYTES = 12_000_000
 _NO_ID = np.iinfo(np.int64).max
 _ROW = "shard int, b0 binary, b1 binary, b2 binary, b3 binary"
-_CHECK_SEED = 7_919
+_SEEDS = (13, 7_919)
+_FACTORS = tuple(common.mix(np.full(1, s + 1, np.uint64))[0] | np.uint64(1) for s in _SEEDS)
 
 
 @dataclass(frozen=True)
@@ -68,36 +69,40 @@ class _Texts:
             np.minimum(least, short[i : i + n], out=least)
         return least
 
-    def survivors(self, levels: Levels, upto: int) -> np.ndarray:
-        """Starts of the windows of length ``levels.lengths[upto]`` whose shorter windows all repeat."""
-        lengths = levels.lengths
+    def walk(self, levels: Levels, counted: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For every length: its level, the starts of the windows whose halves all repeat, two hashes of each; and for levels up
+        to ``counted``, whose arrays are there, which windows repeat and the smallest id they start in.
+
+        The hash of a window is made from those of its halves, so a length costs what survives to it.
+        """
+        lengths, none = levels.lengths, np.zeros(0, np.int64)
         places = np.flatnonzero(self.inside(lengths[1]))
         least = self.anchors(lengths[1])[places]
         news = common.runs(least)  # neighbours mostly share the anchor
         hit = _member(levels, 0, least[news])
         places = places[np.repeat(hit, np.diff(np.append(news, len(least))))]
-        for level in range(2, upto + 1):
-            before, length = lengths[level - 1], lengths[level]
-            found, _ = _smallest(levels, level - 1, *self.hashes(before, places))
-            repeated = np.zeros(len(self.words) + length, bool)
-            repeated[places[found]] = True
-            fits = np.zeros(len(repeated), bool)
-            fits[: len(self.inside(length))] = self.inside(length)
-            places = places[found]
-            places = places[fits[places] & repeated[places + length - before]]
-        return places
-
-    def hashes(self, length: int, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(places):
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-        both = []
-        for seed in (length, length + _CHECK_SEED):
-            factor = common.mix(np.full(1, seed, np.uint64))[0] | np.uint64(1)
-            total = self.words[places]
-            for i in range(1, length):
-                total = total * factor + self.words[places + i]
-            both.append(common.mix(total))
-        return both[0], (both[1] >> np.uint64(32)).astype(np.uint32)
+        both = [common.window_hashes_at(self.words, lengths[1], places, seed) for seed in _SEEDS]
+        halves = [np.zeros(len(self.words), np.uint64) for _ in _SEEDS]
+        stamp, n = np.zeros(len(self.words), np.int8), len(self.words)
+        for level in range(1, len(lengths)):
+            check = (both[1] >> np.uint64(32)).astype(np.uint32)
+            if level > counted:
+                yield level, places, both[0], check, none, none
+                return
+            found, first = _smallest(levels, level, both[0], check)
+            yield level, places, both[0], check, found, first
+            if level + 1 == len(lengths):
+                return
+            before, length = lengths[level], lengths[level + 1]
+            places, both = places[found], [h[found] for h in both]
+            stamp[places] = level
+            for half, h in zip(halves, both):
+                half[places] = h
+            ends = places + length - 1
+            fits = ends < n
+            fits[fits] = (self.doc[places[fits]] == self.doc[ends[fits]]) & (stamp[places[fits] + before] == level)
+            places, both = places[fits], [h[fits] for h in both]
+            both = [common.mix(h * factor + half[places + before]) for h, half, factor in zip(both, halves, _FACTORS)]
 
 
 def _member(levels: Levels, level: int, hashes: np.ndarray) -> np.ndarray:
@@ -232,8 +237,7 @@ def _survivor_rows(levels: Levels):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, _ in _flushes(batches):
-            places = texts.survivors(levels, level)
-            h, c = texts.hashes(levels.lengths[level], places)
+            *_, (_, places, h, c, _, _) = texts.walk(levels, level - 1)
             ids = texts.ids[texts.doc[places]]
             h, c, low, high = _merged(h, c, ids, ids)
             for shard, part in common.shard_slices(h, levels.bits):
@@ -256,9 +260,7 @@ def remove_repeats(docs: DataFrame, levels: Levels, doc_id: str = "doc_id", text
         for texts, held in _flushes(batches):
             gone, longest = np.zeros(len(texts.words) + 1, np.int64), np.zeros(len(texts.ids), np.int64)
             length = levels.lengths[1]
-            for level in range(1, len(levels.lengths)):
-                places = texts.survivors(levels, level)
-                _, first = _smallest(levels, level, *texts.hashes(levels.lengths[level], places))
+            for level, places, _, _, _, first in texts.walk(levels, len(levels.lengths) - 1):
                 doc = texts.doc[places]
                 later = (first < texts.ids[doc]) & (texts.ids[doc] != _NO_ID)
                 if level == 1:
