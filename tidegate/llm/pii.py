@@ -163,17 +163,18 @@ def _tree_sql(node) -> str:
 
 
 def _labelled(counts: DataFrame) -> DataFrame:
-    """Counted candidates with a ``label``; those shaped like personal data without a fixed format have none and are left out."""
+    """Counted candidates with a ``label``, and whether they hold no fixed format (``formless``); those shaped like personal data without a fixed format have none and are left out."""
     right = counts.where("valid")
     masked = right.select("held", "kind", "context", "before", "after", "n", F.explode("masked").alias("s")).select(
         "held", "kind", "context", "before", "after", "n", *[F.col(f"s.{c}").alias(c) for c in SHAPE])
     columns = ["held", *FEATURES, "n"]
     # A number that fails its check digit or range is no card or address: only phones and handles have forms without a format.
     formless = right.where("masked is not null").select("kind", *SHAPE).unionByName(masked.select("kind", *SHAPE))
-    right = right.select(*columns).unionByName(masked.select(*columns))
+    right = right.select(*columns).withColumn("formless", F.lit(False)).unionByName(masked.select(*columns).withColumn("formless", F.lit(True)))
     known = formless.distinct().withColumn("known", F.lit(True))
     others = counts.where("not valid").join(known, ["kind", *SHAPE], "left").where(F.col("known").isNull() | (F.col("context") == _ELSE))
-    return right.withColumn("label", F.lit(True)).unionByName(others.select(*columns).withColumn("label", F.lit(False)))
+    return right.withColumn("label", F.lit(True)).unionByName(
+        others.select(*columns).withColumns({"formless": F.lit(True), "label": F.lit(False)}))
 
 
 def _likelihood(counts: DataFrame) -> Column | None:
@@ -218,7 +219,8 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     added = F.lit(False)
     if likelihood is not None:
         least = F.lit(None).cast("double")
-        for kind, value in _thresholds(counts.where("held"), likelihood).items():
+        # What is added holds no fixed format, so thresholds are calibrated on such candidates alone.
+        for kind, value in _thresholds(counts.where("held and formless"), likelihood).items():
             least = F.when(F.col("kind") == kind, value).otherwise(least)
         # A candidate that holds a fixed format is there already.
         added = F.coalesce((F.col("kind") >= BASE) & ~F.col("valid") & (likelihood >= least), F.lit(False))
