@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.llm import common
+from tidegate.llm.running import written
 
 #: Power of ten of the guesses from which a value in a credential context is a secret.
 MIN_GUESSES = 9.0
@@ -224,7 +225,8 @@ def learned_words(docs: DataFrame, text: str = "text", most: int = LEARNED) -> l
 
     rows = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
     sums = rows.mapInArrow(tally, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
-    return [r["word"] for r in sums.orderBy(F.desc("n"), "word").limit(most).collect()]
+    # Written first: each task's list then goes to one task, not to the driver, which gets the one that counts.
+    return [r["word"] for r in written(sums.orderBy(F.desc("n"), "word").limit(most), "words").orderBy(F.desc("n"), "word").collect()]
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
