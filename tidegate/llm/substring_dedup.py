@@ -229,6 +229,8 @@ def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 
 def _total(counts: DataFrame) -> int:
+    """The sum of the counts of the shards; the shuffle that made them is done with then."""
+    counts, _ = common.written_lean(counts, "counts")
     return counts.agg(F.sum("n").alias("n")).first()["n"] or 0
 
 
