@@ -1,15 +1,16 @@
 """Interpolated modified Kneser-Ney n-gram model, counted in Spark and looked up in mapped hash arrays.
 
 A tally task pre-counts the n-grams of a few million tokens, deals them to shards by
-their context, and one reducer per shard adds them up, writes the sorted hashes of its
-n-grams with their counts to the shared folder and passes what the next lower order
+their context, and one reducer per shard adds them up, writes its contexts as sorted hashes, under each the
+sorted hashes of the words that follow it with their counts, to the shared folder, and passes what the next lower order
 needs: for every n-gram without its first word in how many n-grams it continues, and
 for every context its total and how many of its followers were seen once, twice, more
-often.  Contexts so frequent that one shard would get a large part of all tokens are
+often.  The texts are read ``PASSES`` times, each time for a part of the shards, and every order is a job of its own
+whose shuffle goes when it is written: the disk holds a part of the n-grams on their way at a time, and the model.  Contexts so frequent that one shard would get a large part of all tokens are
 dealt by the whole n-gram instead, and only their figures are added up by another shuffle.
 In the shuffle a frequent word is its rank and a rare one its hash; ranks, counts and
 sizes are as narrow as their largest value and compressed by byte planes.  Scoring
-workers map the arrays into memory.
+workers map the arrays into memory.  Words and contexts are 64-bit hashes, a follower is found by 32 bits among those of its context.
 
 Texts are bytes; A-Z is lower-cased.  Null texts are empty, an empty text has the one
 token ``end``.  Repeated rows count as often as they stand there.  An empty training
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property, reduce
 
 import numpy as np
 import pandas as pd
@@ -28,15 +30,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.llm import arrays, common
 from tidegate.session import scratch_path
+from tidegate.sources.storage import remove
 
 #: Tokens that a tally task counts before it hands them on, and that a scoring task looks up together.
 TALLY_TOKENS = 2_000_000
-SCORE_TOKENS = 500_000
+SCORE_TOKENS = 1_000_000
 #: A context that makes up this part of a task's tokens may be dealt over all shards.
 HOT_SHARE = 1 / 1024
 _HOT_STEP = 8  # contexts and words are weighed on every eighth token; they only decide where rows go and how they are written
 #: A word that makes up this part of all tokens is written as its rank in the shuffle; at most 1 / share of them.
-RANKED_SHARE = 1 / (1 << 17)
+RANKED_SHARE = 1 / (1 << 20)
+#: Times the texts are read to be counted, each time for a part of the shards.
+PASSES = 2
 
 _START = common.mix(np.full(1, 11, np.uint64))[0]
 _END = common.mix(np.full(1, 13, np.uint64))[0]
@@ -142,6 +147,13 @@ def _distinct_grams(sequence: np.ndarray, places: np.ndarray, order: int) -> tup
     return np.stack(columns[::-1], axis=1), counts
 
 
+def _places_of(part: int, sequence: np.ndarray, places: np.ndarray, order: int, hot: np.ndarray, bits: int) -> np.ndarray:
+    """The places whose n-grams go to the shards of one part."""
+    context = _key(np.stack([sequence[places - back] for back in range(order - 1, 0, -1)], axis=1))
+    route = _route(context, context * _FACTOR + sequence[places], hot)
+    return places[(route >> np.uint64(64 - bits)) % np.uint64(PASSES) == part]
+
+
 def _packed(values: np.ndarray) -> bytes:
     """Unsigned integers, as narrow as the largest one allows, by byte planes and compressed."""
     narrow = _small(np.ascontiguousarray(values))
@@ -157,17 +169,24 @@ def _unpacked(cell: pa.Scalar) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view(f"<u{raw[0]}").astype(np.uint64)
 
 
-@dataclass(frozen=True)
+@dataclass
 class _Ranks:
     """Frequent words, the most frequent first; a rare word has the rank after the last."""
 
     words: np.ndarray
 
+    @cached_property
+    def _sorted(self) -> tuple[np.ndarray, np.ndarray]:
+        by = np.argsort(self.words)
+        return self.words[by], by
+
+    def __getstate__(self) -> dict:
+        return {"words": self.words}
+
     def of(self, words: np.ndarray) -> np.ndarray:
         if not len(self.words):
             return np.zeros(words.shape, np.int64)
-        by = np.argsort(self.words)
-        ordered = self.words[by]
+        ordered, by = self._sorted
         at = np.minimum(np.searchsorted(ordered, words), len(ordered) - 1)
         return np.where(ordered[at] == words, by[at], len(ordered))
 
@@ -251,12 +270,63 @@ def _small(values: np.ndarray) -> np.ndarray:
     return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
 
 
-def _save_contexts(folder: str, name: str, context: np.ndarray, stats: np.ndarray) -> None:
-    """Contexts in order and their figures, of which most are alike: a number per context and a table by number."""
-    codes, _ = pd.factorize(_key(stats))
-    arrays.save(folder, f"{name}", context)
-    arrays.save(folder, name.replace("context", "followers"), _small(codes))
-    arrays.save(folder, name.replace("context", "figures"), _small(stats[np.unique(codes, return_index=True)[1]]))
+_MANY = 255  # a number from here on stands in a list of its own
+
+
+def _save_short(folder: str, name: str, values: np.ndarray) -> None:
+    """Numbers that are mostly small, a byte each."""
+    many = np.flatnonzero(values >= _MANY)
+    arrays.save(folder, name, np.minimum(values, _MANY).astype(np.uint8))
+    if len(many):
+        arrays.save(folder, f"many{name}", _small(many))
+        arrays.save(folder, f"more{name}", _small(values[many]))
+
+
+def _short_at(folder: str, name: str, places: np.ndarray) -> np.ndarray:
+    out = arrays.load(folder, name)[places].astype(np.int64)
+    often = np.flatnonzero(out == _MANY)
+    if len(often):
+        many, more = arrays.load(folder, f"many{name}"), arrays.load(folder, f"more{name}")
+        out[often] = more[np.searchsorted(many, places[often])]
+    return out
+
+
+def _short_all(folder: str, name: str) -> np.ndarray:
+    out = arrays.load(folder, name).astype(np.int64)
+    if (out == _MANY).any():
+        out[arrays.load(folder, f"many{name}")] = arrays.load(folder, f"more{name}")
+    return out
+
+
+def _save_figures(folder: str, name: str, stats: np.ndarray) -> None:
+    """The figures of contexts, of which most are alike: a number per context, small for frequent ones, and a table by number."""
+    _, one, codes, n = np.unique(_key(stats), return_index=True, return_inverse=True, return_counts=True)
+    by = np.argsort(-n, kind="stable")
+    rank = np.empty(len(by), np.int64)
+    rank[by] = np.arange(len(by))
+    _save_short(folder, name.replace("context", "followers"), rank[codes])
+    arrays.save(folder, name.replace("context", "figures"), _small(stats[one[by]]))
+
+
+def _low(words: np.ndarray) -> np.ndarray:
+    """The bits of a word's hash by which it is found among the followers of a context."""
+    return (words & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def _save_grams(folder: str, level: int, shard: int, matrix: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Write the n-grams of a shard by context; its contexts and their figures: total, followers seen once, twice, more often."""
+    context, word = _key(matrix[:, :-1]), _low(matrix[:, -1])
+    by = np.lexsort((word, context))
+    context, word, n = context[by], word[by], n[by]
+    firsts = common.runs(context)
+    stats = np.add.reduceat(np.stack([n, n == 1, n == 2, n > 2], axis=1).astype(np.uint64), firsts, axis=0)
+    name = f"context{level}-{shard}"
+    arrays.save(folder, name, context[firsts])
+    arrays.save(folder, name.replace("context", "word"), word)
+    _save_short(folder, name.replace("context", "size"), np.diff(np.append(firsts, len(n))))
+    _save_short(folder, name.replace("context", "count"), n)
+    _save_figures(folder, name, stats)
+    return context[firsts], stats
 
 
 def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, frequent: _Ranks, bits: int):
@@ -273,7 +343,9 @@ def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, frequen
             stats = common.unblob(seen.column("b1"), np.uint64).reshape(-1, 4)
             by = np.argsort(context)
             firsts = common.runs(context[by])
-            _save_contexts(folder, f"hotcontext{level + 1}-{shard}", context[by][firsts], np.add.reduceat(stats[by], firsts, axis=0))
+            name = f"hotcontext{level + 1}-{shard}"
+            arrays.save(folder, name, context[by][firsts])
+            _save_figures(folder, name, np.add.reduceat(stats[by], firsts, axis=0))
 
         matrix, n, raw = _read_grams(table.filter(pa.array(kinds == _GRAMS)), level, frequent)
         if len(matrix):
@@ -282,9 +354,9 @@ def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, frequen
             firsts = common.runs(gram[by])
             gram, matrix = gram[by][firsts], matrix[by[firsts]]
             n, raw = np.add.reduceat(n[by], firsts), np.add.reduceat(raw[by], firsts)
-            arrays.save(folder, f"gram{level}-{shard}", gram)
-            arrays.save(folder, f"count{level}-{shard}", _small(n))
             if level == 1:
+                arrays.save(folder, f"gram1-{shard}", gram)
+                arrays.save(folder, f"count1-{shard}", _small(n))
                 arrays.save(folder, f"raw-{shard}", _small(raw))
             figures[level - 1] += [*np.bincount(np.minimum(n, 5).astype(np.int64), minlength=6)[1:5], np.count_nonzero(n), int(n.sum())]
             if level == 1:
@@ -298,16 +370,10 @@ def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, frequen
 
 
 def _lower(folder: str, level: int, shard: int, matrix: np.ndarray, n: np.ndarray, raw: np.ndarray, hot: np.ndarray, frequent: _Ranks, bits: int) -> list[dict]:
-    """Continuation counts of the n-grams without their first word, and the followers of the contexts that other shards
-    hold too; all others are complete and are written."""
-    context = _key(matrix[:, :-1])
-    by = np.argsort(context)
-    firsts = common.runs(context[by])
-    each = np.stack([n, n == 1, n == 2, n > 2], axis=1).astype(np.uint64)[by]
-    stats, context = np.add.reduceat(each, firsts, axis=0), context[by][firsts]
+    """Write the n-grams of a shard.  Rows of the next lower level: continuation counts of the n-grams without their first
+    word, and the figures of the contexts that other shards hold too."""
+    context, stats = _save_grams(folder, level, shard, matrix, n)
     shared = common.is_member(context, hot)
-    if not shared.all():
-        _save_contexts(folder, f"context{level}-{shard}", context[~shared], stats[~shared])
     stats, context = stats[shared], context[shared]
     rows = [{"shard": to, "kind": _CONTEXTS, "b0": context[part].tobytes(), "b1": stats[part].tobytes()}
             for to, part in common.shard_slices(context, bits)]
@@ -329,15 +395,25 @@ def train(docs: DataFrame, order: int = 2, text: str = "text") -> Model:
     hot, frequent = hot_contexts(texts, order)
     folder = scratch_path(spark, "ngrams")
 
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sequence, tokens, _ in _flushes(batches, order, TALLY_TOKENS):
-            grams, counts = _distinct_grams(sequence, _predicted(tokens, order), order)
-            for row in _gram_rows(grams, counts, counts, hot, frequent, bits):
-                yield _as_batch([row])
+    def tally(part: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for sequence, tokens, _ in _flushes(batches, order, TALLY_TOKENS):
+                own = _places_of(part, sequence, _predicted(tokens, order), order, hot, bits)
+                if len(own):
+                    grams, counts = _distinct_grams(sequence, own, order)
+                    for row in _gram_rows(grams, counts, counts, hot, frequent, bits):
+                        yield _as_batch([row])
 
-    level = texts.mapInArrow(tally, _ROW)
+        return run
+
+    levels, done = [texts.mapInArrow(tally(part), _ROW) for part in range(PASSES)], []
     for words in range(order, 0, -1):
-        level = level.groupBy("shard").applyInArrow(_tally_reducer(folder, words, order, hot, frequent, bits), _ROW)
+        reducer = _tally_reducer(folder, words, order, hot, frequent, bits)
+        found = [common.written_lean(rows.groupBy("shard").applyInArrow(reducer, _ROW), f"grams{words}") for rows in levels]
+        for at in done:  # counted and written
+            remove(spark, at)
+        level, done = reduce(DataFrame.unionByName, [rows for rows, _ in found]), [at for _, at in found]
+        levels = [level.where(F.pmod("shard", F.lit(2 * PASSES)) == part) for part in range(2 * PASSES)]  # a part of the shuffle at a time
     figures, tokens = np.zeros((order, _FIGURES), np.int64), 0
     for row in level.select("b0", "b1").toLocalIterator():  # one short row per shard
         if row["b1"] is not None:
@@ -360,21 +436,51 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]
     return tuple(d if 0 < d < most else most / 2 for d, most in zip(found, (1, 2, 3)))
 
 
-def _look_up(folder: str, bits: int, route: np.ndarray, key: np.ndarray, names: list[str]) -> list[np.ndarray]:
+def _look_up(folder: str, bits: int, key: np.ndarray, names: list[str]) -> list[np.ndarray]:
     """What the shards hold for the keys: the arrays of the names after the first, zero where there is nothing."""
-    out: list[np.ndarray | None] = [None] * (len(names) - 1)
-    for shard, wanted in common.by_shard(route, bits):
+    out = [np.zeros(len(key), np.int64) for _ in names[1:]]
+    for shard, wanted in common.by_shard(key, bits):
         held = arrays.load(folder, f"{names[0]}-{shard}")
         if held is None:
             continue
         at = np.minimum(np.searchsorted(held, key[wanted]), len(held) - 1)
         hit = held[at] == key[wanted]
         for i, name in enumerate(names[1:]):
-            values = arrays.load(folder, f"{name}-{shard}")
-            if out[i] is None:
-                out[i] = np.zeros((len(key), *values.shape[1:]), np.int64)
-            out[i][wanted[hit]] = values[at[hit]]
-    return [np.zeros(len(key), np.int64) if x is None else x for x in out]
+            out[i][wanted[hit]] = arrays.load(folder, f"{name}-{shard}")[at[hit]]
+    return out
+
+
+def _within(ordered: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """First place in ``ordered[low:high]``, sorted there, that is not below what is wanted; for all at once."""
+    low, high = low.copy(), high.copy()
+    open_ = np.flatnonzero(low < high)
+    while len(open_):
+        middle = (low[open_] + high[open_]) // 2
+        below = ordered[middle] < wanted[open_]
+        low[open_[below]] = middle[below] + 1
+        high[open_[~below]] = middle[~below]
+        open_ = open_[low[open_] < high[open_]]
+    return low
+
+
+def _counts(model: Model, level: int, route: np.ndarray, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Counts of n-grams by their context and last word."""
+    out = np.zeros(len(word), np.int64)
+    for shard, wanted in common.by_shard(route, model.bits):
+        held = arrays.load(model.folder, f"context{level}-{shard}")
+        if held is None:
+            continue
+        words, size = arrays.load(model.folder, f"word{level}-{shard}"), _short_all(model.folder, f"size{level}-{shard}")
+        at = np.minimum(np.searchsorted(held, context[wanted]), len(held) - 1)
+        known = held[at] == context[wanted]
+        wanted, at = wanted[known], at[known]
+        ends = np.cumsum(size)
+        low, high, own = ends[at] - size[at], ends[at], _low(word[wanted])
+        place = _within(words, low, high, own)
+        hit = np.flatnonzero(place < high)
+        hit = hit[words[place[hit]] == own[hit]]
+        out[wanted[hit]] = _short_at(model.folder, f"count{level}-{shard}", place[hit])
+    return out
 
 
 def _followers(model: Model, level: int, context: np.ndarray) -> np.ndarray:
@@ -383,14 +489,13 @@ def _followers(model: Model, level: int, context: np.ndarray) -> np.ndarray:
     hot = common.is_member(context, model.hot)
     for prefix, own in (("", np.flatnonzero(~hot)), ("hot", np.flatnonzero(hot))):
         for shard, wanted in common.by_shard(context[own], model.bits) if len(own) else ():
-            names = (f"{prefix}{name}{level}-{shard}" for name in ("context", "followers", "figures"))
-            held, codes, figures = (arrays.load(model.folder, name) for name in names)
+            held, figures = (arrays.load(model.folder, f"{prefix}{name}{level}-{shard}") for name in ("context", "figures"))
             if held is None:
                 continue
             wanted = own[wanted]
             at = np.minimum(np.searchsorted(held, context[wanted]), len(held) - 1)
             hit = held[at] == context[wanted]
-            out[wanted[hit]] = figures[codes[at[hit]]]
+            out[wanted[hit]] = figures[_short_at(model.folder, f"{prefix}followers{level}-{shard}", at[hit])]
     return out
 
 
@@ -400,23 +505,27 @@ def _discounted(model: Model, level: int, n: np.ndarray) -> np.ndarray:
 
 
 def _probabilities(model: Model, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Model probability of the last word of every row after the others, and that word's count in training."""
+    """Model probability of the last word of every row after the others, and that word's count in training.
+
+    Words, contexts and n-grams are looked up once each and in the order in which they are stored.
+    """
     word = grams[:, -1]
-    codes, distinct = pd.factorize(word)
-    n, raw = _look_up(model.folder, model.bits, distinct, distinct, ["gram1", "count1", "raw"])
+    distinct, codes = np.unique(word, return_inverse=True)
+    n, raw = _look_up(model.folder, model.bits, distinct, ["gram1", "count1", "raw"])
     single = model.unigram_rest / (model.vocabulary + 1)
     single = single + (_discounted(model, 1, n) / model.unigram_total if model.unigram_total else 0.0)
     p, raw = np.broadcast_to(single, distinct.shape)[codes], raw[codes]
     for level in range(2, model.order + 1):
         own = grams[:, -level:]
-        codes, context = pd.factorize(_key(own[:, :-1]))
+        context, codes = np.unique(_key(own[:, :-1]), return_inverse=True)
         followers = _followers(model, level, context)
         total = followers[:, 0]
         kept = followers[:, 1:] @ np.array(model.discounts[level - 1])
         kept = np.where(total > 0, kept / np.maximum(total, 1), 1.0)
-        key = _key(own)
-        n = _look_up(model.folder, model.bits, _route(context[codes], key, model.hot), key, [f"gram{level}", f"count{level}"])[0]
-        p = _discounted(model, level, n) / np.maximum(total, 1)[codes] + kept[codes] * p
+        _, one, back = np.unique((codes.astype(np.uint64) << np.uint64(32)) | _low(word), return_index=True, return_inverse=True)
+        at = codes[one]
+        n = _counts(model, level, _route(context[at], _key(own[one]), model.hot), context[at], word[one])
+        p = (_discounted(model, level, n) / np.maximum(total, 1)[at])[back] + kept[codes] * p
     return p, raw
 
 
@@ -433,21 +542,13 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str | Co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sequence, tokens, held in _flushes(batches, order, SCORE_TOKENS):
             places = _predicted(tokens, order)
-            ranks, distinct = _ranked(sequence)
-            if order == 2:  # look up every distinct pair once
-                pairs = (ranks[places - 1] << np.uint64(32)) | ranks[places]
-                codes, pairs = pd.factorize(pairs)
-                grams = np.stack([distinct[(pairs >> np.uint64(32)).astype(np.int64)],
-                                  distinct[(pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)]], axis=1)
-            else:
-                grams = np.stack([sequence[places - back] for back in range(order - 1, -1, -1)], axis=1)
-                codes = np.arange(len(grams))
+            grams = np.stack([sequence[places - back] for back in range(order - 1, -1, -1)], axis=1)
             p, raw = _probabilities(model, grams)
             firsts = np.cumsum(tokens) - tokens
             base = np.log10((raw + 0.1) / (model.tokens + 0.1 * (model.vocabulary + 1)))
             columns = [pa.array(tokens.astype(np.int64))]
             for values, kind in ((raw > 0, np.int64), (base, np.float64), (np.log10(p), np.float64)):
-                columns.append(pa.array(np.add.reduceat(values.astype(kind)[codes], firsts)))
+                columns.append(pa.array(np.add.reduceat(values.astype(kind), firsts)))
             carried = pa.Table.from_batches(held).combine_chunks()
             names = [*carried.column_names, "n_tokens", "n_known", "base_score", "score"]
             yield from pa.Table.from_arrays([*carried.columns, *columns], names).to_batches()
