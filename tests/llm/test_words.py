@@ -189,3 +189,15 @@ def test_decontamination_in_blocks(spark, edge, nothing, monkeypatch):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_against_sql(spark, name):
     assert compare(queries.QUERIES[name](spark, SF_DIR), connect(SF_DIR), queries.ORACLES[name]) is None
+
+
+def test_runs_are_found_by_the_lengths_beside_them(tmp_path):
+    rng = np.random.default_rng(5)
+    for n in (1, ngram_lm._STEP, ngram_lm._STEP * 7 + 3):
+        lengths = np.where(rng.random(n) < 0.2, rng.integers(250, 70_000, n), rng.integers(1, 9, n))
+        ends = np.cumsum(lengths)
+        folder = str(tmp_path / str(n))
+        ngram_lm._save_runs(folder, "size3-0", ends - lengths, int(ends[-1]))
+        places = rng.permutation(np.repeat(np.arange(n), 2))
+        low, high = ngram_lm._runs_at(folder, "size3-0", places)
+        assert (low == (ends - lengths)[places]).all() and (high == ends[places]).all()

@@ -271,6 +271,7 @@ def _small(values: np.ndarray) -> np.ndarray:
 
 
 _MANY = 255  # a number from here on stands in a list of its own
+_STEP = 32  # lengths that are added up to find where a run begins
 
 
 def _save_short(folder: str, name: str, values: np.ndarray) -> None:
@@ -291,11 +292,21 @@ def _short_at(folder: str, name: str, places: np.ndarray) -> np.ndarray:
     return out
 
 
-def _short_all(folder: str, name: str) -> np.ndarray:
-    out = arrays.load(folder, name).astype(np.int64)
-    if (out == _MANY).any():
-        out[arrays.load(folder, f"many{name}")] = arrays.load(folder, f"more{name}")
-    return out
+def _save_runs(folder: str, name: str, firsts: np.ndarray, total: int) -> None:
+    """Where runs begin that lie one behind the other up to ``total``: the length of each, and the begin of every ``_STEP``-th."""
+    _save_short(folder, name, np.diff(np.append(firsts, total)))
+    arrays.save(folder, f"begin{name}", _small(firsts[::_STEP]))
+
+
+def _runs_at(folder: str, name: str, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of the runs at some places; only the lengths beside them are read, each once."""
+    size, begin = arrays.load(folder, name), arrays.load(folder, f"begin{name}")
+    steps, own = np.unique(places // _STEP, return_inverse=True)
+    beside = steps[:, None] * _STEP + np.arange(_STEP)
+    lengths = _short_at(folder, name, np.minimum(beside, len(size) - 1).reshape(-1)).reshape(beside.shape)
+    ends = begin[steps].astype(np.int64)[:, None] + np.cumsum(lengths, axis=1)
+    high = ends[own, places % _STEP]
+    return high - lengths[own, places % _STEP], high
 
 
 def _save_figures(folder: str, name: str, stats: np.ndarray) -> None:
@@ -323,7 +334,7 @@ def _save_grams(folder: str, level: int, shard: int, matrix: np.ndarray, n: np.n
     name = f"context{level}-{shard}"
     arrays.save(folder, name, context[firsts])
     arrays.save(folder, name.replace("context", "word"), word)
-    _save_short(folder, name.replace("context", "size"), np.diff(np.append(firsts, len(n))))
+    _save_runs(folder, name.replace("context", "size"), firsts, len(n))
     _save_short(folder, name.replace("context", "count"), n)
     _save_figures(folder, name, stats)
     return context[firsts], stats
@@ -470,12 +481,13 @@ def _counts(model: Model, level: int, route: np.ndarray, context: np.ndarray, wo
         held = arrays.load(model.folder, f"context{level}-{shard}")
         if held is None:
             continue
-        words, size = arrays.load(model.folder, f"word{level}-{shard}"), _short_all(model.folder, f"size{level}-{shard}")
+        words = arrays.load(model.folder, f"word{level}-{shard}")
         at = np.minimum(np.searchsorted(held, context[wanted]), len(held) - 1)
         known = held[at] == context[wanted]
         wanted, at = wanted[known], at[known]
-        ends = np.cumsum(size)
-        low, high, own = ends[at] - size[at], ends[at], _low(word[wanted])
+        if not len(at):
+            continue
+        (low, high), own = _runs_at(model.folder, f"size{level}-{shard}", at), _low(word[wanted])
         place = _within(words, low, high, own)
         hit = np.flatnonzero(place < high)
         hit = hit[words[place[hit]] == own[hit]]
@@ -510,20 +522,20 @@ def _probabilities(model: Model, grams: np.ndarray) -> tuple[np.ndarray, np.ndar
     Words, contexts and n-grams are looked up once each and in the order in which they are stored.
     """
     word = grams[:, -1]
-    distinct, codes = np.unique(word, return_inverse=True)
+    codes, distinct = _ranked(word)
     n, raw = _look_up(model.folder, model.bits, distinct, ["gram1", "count1", "raw"])
     single = model.unigram_rest / (model.vocabulary + 1)
     single = single + (_discounted(model, 1, n) / model.unigram_total if model.unigram_total else 0.0)
     p, raw = np.broadcast_to(single, distinct.shape)[codes], raw[codes]
     for level in range(2, model.order + 1):
         own = grams[:, -level:]
-        context, codes = np.unique(_key(own[:, :-1]), return_inverse=True)
+        codes, context = _ranked(_key(own[:, :-1]))
         followers = _followers(model, level, context)
         total = followers[:, 0]
         kept = followers[:, 1:] @ np.array(model.discounts[level - 1])
         kept = np.where(total > 0, kept / np.maximum(total, 1), 1.0)
-        _, one, back = np.unique((codes.astype(np.uint64) << np.uint64(32)) | _low(word), return_index=True, return_inverse=True)
-        at = codes[one]
+        _, one, back = np.unique((codes << np.uint64(32)) | _low(word), return_index=True, return_inverse=True)
+        at = codes[one].astype(np.int64)
         n = _counts(model, level, _route(context[at], _key(own[one]), model.hot), context[at], word[one])
         p = (_discounted(model, level, n) / np.maximum(total, 1)[at])[back] + kept[codes] * p
     return p, raw
