@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import math
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -14,7 +15,7 @@ import pytest
 
 from tests.llm.conftest import SF_DIR, rows
 from tests.oracle import compare, connect
-from tidegate.llm import common, decontaminate, ngram_lm, queries, substring_dedup
+from tidegate.llm import arrays, common, decontaminate, ngram_lm, queries, substring_dedup
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -195,9 +196,19 @@ def test_runs_are_found_by_the_lengths_beside_them(tmp_path):
     rng = np.random.default_rng(5)
     for n in (1, ngram_lm._STEP, ngram_lm._STEP * 7 + 3):
         lengths = np.where(rng.random(n) < 0.2, rng.integers(250, 70_000, n), rng.integers(1, 9, n))
-        ends = np.cumsum(lengths)
-        folder = str(tmp_path / str(n))
-        ngram_lm._save_runs(folder, "size3-0", ends - lengths, int(ends[-1]))
+        ends, held = np.cumsum(lengths), {"none": np.zeros((0, 4), np.uint16)}
+        ngram_lm._keep_runs(held, "size", ends - lengths, int(ends[-1]))
+        arrays.save_together(str(tmp_path / str(n)), "a", held)
+        read = arrays.load_together(str(tmp_path / str(n)), "a")
+        assert {k: (v.dtype, v.tolist()) for k, v in read.items()} == {k: (v.dtype, v.tolist()) for k, v in held.items()}
         places = rng.permutation(np.repeat(np.arange(n), 2))
-        low, high = ngram_lm._runs_at(folder, "size3-0", places)
+        low, high = ngram_lm._runs_at(read, "size", places)
         assert (low == (ends - lengths)[places]).all() and (high == ends[places]).all()
+    assert arrays.load_together(str(tmp_path), "absent") is None
+
+
+def test_kneser_ney_opens_a_file_per_order_and_shard(spark, edge, monkeypatch):
+    monkeypatch.setattr(common, "shard_bits", lambda *_: 4)
+    model = ngram_lm.train(edge, order=3)
+    names = [n for n in os.listdir(arrays.mounted(model.folder)) if not n.startswith(".")]
+    assert names and len(names) <= 3 * 16 and all(n.endswith(".pack") for n in names)

@@ -274,49 +274,46 @@ _MANY = 255  # a number from here on stands in a list of its own
 _STEP = 32  # lengths that are added up to find where a run begins
 
 
-def _save_short(folder: str, name: str, values: np.ndarray) -> None:
+def _keep_short(held: dict[str, np.ndarray], name: str, values: np.ndarray) -> None:
     """Numbers that are mostly small, a byte each."""
     many = np.flatnonzero(values >= _MANY)
-    arrays.save(folder, name, np.minimum(values, _MANY).astype(np.uint8))
+    held[name] = np.minimum(values, _MANY).astype(np.uint8)
     if len(many):
-        arrays.save(folder, f"many{name}", _small(many))
-        arrays.save(folder, f"more{name}", _small(values[many]))
+        held |= {f"many{name}": _small(many), f"more{name}": _small(values[many])}
 
 
-def _short_at(folder: str, name: str, places: np.ndarray) -> np.ndarray:
-    out = arrays.load(folder, name)[places].astype(np.int64)
+def _short_at(held: dict[str, np.ndarray], name: str, places: np.ndarray) -> np.ndarray:
+    out = held[name][places].astype(np.int64)
     often = np.flatnonzero(out == _MANY)
     if len(often):
-        many, more = arrays.load(folder, f"many{name}"), arrays.load(folder, f"more{name}")
-        out[often] = more[np.searchsorted(many, places[often])]
+        out[often] = held[f"more{name}"][np.searchsorted(held[f"many{name}"], places[often])]
     return out
 
 
-def _save_runs(folder: str, name: str, firsts: np.ndarray, total: int) -> None:
+def _keep_runs(held: dict[str, np.ndarray], name: str, firsts: np.ndarray, total: int) -> None:
     """Where runs begin that lie one behind the other up to ``total``: the length of each, and the begin of every ``_STEP``-th."""
-    _save_short(folder, name, np.diff(np.append(firsts, total)))
-    arrays.save(folder, f"begin{name}", _small(firsts[::_STEP]))
+    _keep_short(held, name, np.diff(np.append(firsts, total)))
+    held[f"begin{name}"] = _small(firsts[::_STEP])
 
 
-def _runs_at(folder: str, name: str, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _runs_at(held: dict[str, np.ndarray], name: str, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of the runs at some places; only the lengths beside them are read, each once."""
-    size, begin = arrays.load(folder, name), arrays.load(folder, f"begin{name}")
     steps, own = np.unique(places // _STEP, return_inverse=True)
     beside = steps[:, None] * _STEP + np.arange(_STEP)
-    lengths = _short_at(folder, name, np.minimum(beside, len(size) - 1).reshape(-1)).reshape(beside.shape)
-    ends = begin[steps].astype(np.int64)[:, None] + np.cumsum(lengths, axis=1)
+    lengths = _short_at(held, name, np.minimum(beside, len(held[name]) - 1).reshape(-1)).reshape(beside.shape)
+    ends = held[f"begin{name}"][steps].astype(np.int64)[:, None] + np.cumsum(lengths, axis=1)
     high = ends[own, places % _STEP]
     return high - lengths[own, places % _STEP], high
 
 
-def _save_figures(folder: str, name: str, stats: np.ndarray) -> None:
+def _keep_figures(held: dict[str, np.ndarray], prefix: str, stats: np.ndarray) -> None:
     """The figures of contexts, of which most are alike: a number per context, small for frequent ones, and a table by number."""
     _, one, codes, n = np.unique(_key(stats), return_index=True, return_inverse=True, return_counts=True)
     by = np.argsort(-n, kind="stable")
     rank = np.empty(len(by), np.int64)
     rank[by] = np.arange(len(by))
-    _save_short(folder, name.replace("context", "followers"), rank[codes])
-    arrays.save(folder, name.replace("context", "figures"), _small(stats[one[by]]))
+    _keep_short(held, f"{prefix}followers", rank[codes])
+    held[f"{prefix}figures"] = _small(stats[one[by]])
 
 
 def _low(words: np.ndarray) -> np.ndarray:
@@ -324,19 +321,17 @@ def _low(words: np.ndarray) -> np.ndarray:
     return (words & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def _save_grams(folder: str, level: int, shard: int, matrix: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Write the n-grams of a shard by context; its contexts and their figures: total, followers seen once, twice, more often."""
+def _keep_grams(held: dict[str, np.ndarray], matrix: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keep the n-grams of a shard by context; its contexts and their figures: total, followers seen once, twice, more often."""
     context, word = _key(matrix[:, :-1]), _low(matrix[:, -1])
     by = np.lexsort((word, context))
     context, word, n = context[by], word[by], n[by]
     firsts = common.runs(context)
     stats = np.add.reduceat(np.stack([n, n == 1, n == 2, n > 2], axis=1).astype(np.uint64), firsts, axis=0)
-    name = f"context{level}-{shard}"
-    arrays.save(folder, name, context[firsts])
-    arrays.save(folder, name.replace("context", "word"), word)
-    _save_runs(folder, name.replace("context", "size"), firsts, len(n))
-    _save_short(folder, name.replace("context", "count"), n)
-    _save_figures(folder, name, stats)
+    held |= {"context": context[firsts], "word": word}
+    _keep_runs(held, "size", firsts, len(n))
+    _keep_short(held, "count", n)
+    _keep_figures(held, "", stats)
     return context[firsts], stats
 
 
@@ -346,6 +341,7 @@ def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, frequen
     def reduce(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         shard, kinds = key[0].as_py(), table.column("kind").to_numpy()
         rows: list[dict] = []
+        held: dict[str, np.ndarray] = {}
         figures = common.unblob(table.filter(pa.array(kinds == _STATS)).column("b0"), np.int64).reshape(-1, order, _FIGURES).sum(axis=0)
 
         seen = table.filter(pa.array(kinds == _CONTEXTS))
@@ -354,9 +350,8 @@ def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, frequen
             stats = common.unblob(seen.column("b1"), np.uint64).reshape(-1, 4)
             by = np.argsort(context)
             firsts = common.runs(context[by])
-            name = f"hotcontext{level + 1}-{shard}"
-            arrays.save(folder, name, context[by][firsts])
-            _save_figures(folder, name, np.add.reduceat(stats[by], firsts, axis=0))
+            held["hotcontext"] = context[by][firsts]
+            _keep_figures(held, "hot", np.add.reduceat(stats[by], firsts, axis=0))
 
         matrix, n, raw = _read_grams(table.filter(pa.array(kinds == _GRAMS)), level, frequent)
         if len(matrix):
@@ -366,24 +361,24 @@ def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, frequen
             gram, matrix = gram[by][firsts], matrix[by[firsts]]
             n, raw = np.add.reduceat(n[by], firsts), np.add.reduceat(raw[by], firsts)
             if level == 1:
-                arrays.save(folder, f"gram1-{shard}", gram)
-                arrays.save(folder, f"count1-{shard}", _small(n))
-                arrays.save(folder, f"raw-{shard}", _small(raw))
+                held |= {"gram": gram, "count": _small(n), "raw": _small(raw)}
             figures[level - 1] += [*np.bincount(np.minimum(n, 5).astype(np.int64), minlength=6)[1:5], np.count_nonzero(n), int(n.sum())]
             if level == 1:
                 rows.append({"shard": shard, "kind": _STATS, "b1": int(raw.sum()).to_bytes(8, "little")})
             else:
-                rows += _lower(folder, level, shard, matrix, n, raw, hot, frequent, bits)
+                rows += _lower(held, matrix, n, raw, hot, frequent, bits)
+        if held:
+            arrays.save_together(folder, f"grams{level}-{shard}", held)
         rows.append({"shard": shard, "kind": _STATS, "b0": figures.astype(np.int64).tobytes()})
         return pa.Table.from_batches([_as_batch(rows)])
 
     return reduce
 
 
-def _lower(folder: str, level: int, shard: int, matrix: np.ndarray, n: np.ndarray, raw: np.ndarray, hot: np.ndarray, frequent: _Ranks, bits: int) -> list[dict]:
-    """Write the n-grams of a shard.  Rows of the next lower level: continuation counts of the n-grams without their first
+def _lower(held: dict[str, np.ndarray], matrix: np.ndarray, n: np.ndarray, raw: np.ndarray, hot: np.ndarray, frequent: _Ranks, bits: int) -> list[dict]:
+    """Keep the n-grams of a shard.  Rows of the next lower level: continuation counts of the n-grams without their first
     word, and the figures of the contexts that other shards hold too."""
-    context, stats = _save_grams(folder, level, shard, matrix, n)
+    context, stats = _keep_grams(held, matrix, n)
     shared = common.is_member(context, hot)
     stats, context = stats[shared], context[shared]
     rows = [{"shard": to, "kind": _CONTEXTS, "b0": context[part].tobytes(), "b1": stats[part].tobytes()}
@@ -447,18 +442,17 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]
     return tuple(d if 0 < d < most else most / 2 for d, most in zip(found, (1, 2, 3)))
 
 
-def _look_up(folder: str, bits: int, key: np.ndarray, names: list[str]) -> list[np.ndarray]:
-    """What the shards hold for the keys: the arrays of the names after the first, zero where there is nothing."""
-    out = [np.zeros(len(key), np.int64) for _ in names[1:]]
-    for shard, wanted in common.by_shard(key, bits):
-        held = arrays.load(folder, f"{names[0]}-{shard}")
-        if held is None:
+def _singles(model: Model, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Continuation counts and counts in training of single words; zero for unknown ones."""
+    n, raw = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+    for shard, wanted in common.by_shard(key, model.bits):
+        held = arrays.load_together(model.folder, f"grams1-{shard}")
+        if held is None or "gram" not in held:
             continue
-        at = np.minimum(np.searchsorted(held, key[wanted]), len(held) - 1)
-        hit = held[at] == key[wanted]
-        for i, name in enumerate(names[1:]):
-            out[i][wanted[hit]] = arrays.load(folder, f"{name}-{shard}")[at[hit]]
-    return out
+        at = np.minimum(np.searchsorted(held["gram"], key[wanted]), len(held["gram"]) - 1)
+        hit = held["gram"][at] == key[wanted]
+        n[wanted[hit]], raw[wanted[hit]] = held["count"][at[hit]], held["raw"][at[hit]]
+    return n, raw
 
 
 def _within(ordered: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -478,20 +472,20 @@ def _counts(model: Model, level: int, route: np.ndarray, context: np.ndarray, wo
     """Counts of n-grams by their context and last word."""
     out = np.zeros(len(word), np.int64)
     for shard, wanted in common.by_shard(route, model.bits):
-        held = arrays.load(model.folder, f"context{level}-{shard}")
-        if held is None:
+        held = arrays.load_together(model.folder, f"grams{level}-{shard}")
+        if held is None or "context" not in held:
             continue
-        words = arrays.load(model.folder, f"word{level}-{shard}")
-        at = np.minimum(np.searchsorted(held, context[wanted]), len(held) - 1)
-        known = held[at] == context[wanted]
+        contexts, words = held["context"], held["word"]
+        at = np.minimum(np.searchsorted(contexts, context[wanted]), len(contexts) - 1)
+        known = contexts[at] == context[wanted]
         wanted, at = wanted[known], at[known]
         if not len(at):
             continue
-        (low, high), own = _runs_at(model.folder, f"size{level}-{shard}", at), _low(word[wanted])
+        (low, high), own = _runs_at(held, "size", at), _low(word[wanted])
         place = _within(words, low, high, own)
         hit = np.flatnonzero(place < high)
         hit = hit[words[place[hit]] == own[hit]]
-        out[wanted[hit]] = _short_at(model.folder, f"count{level}-{shard}", place[hit])
+        out[wanted[hit]] = _short_at(held, "count", place[hit])
     return out
 
 
@@ -499,15 +493,15 @@ def _followers(model: Model, level: int, context: np.ndarray) -> np.ndarray:
     """The figures of distinct contexts: total, followers seen once, twice, more often."""
     out = np.zeros((len(context), 4), np.int64)
     hot = common.is_member(context, model.hot)
-    for prefix, own in (("", np.flatnonzero(~hot)), ("hot", np.flatnonzero(hot))):
+    for prefix, stored, own in (("", level, np.flatnonzero(~hot)), ("hot", level - 1, np.flatnonzero(hot))):
         for shard, wanted in common.by_shard(context[own], model.bits) if len(own) else ():
-            held, figures = (arrays.load(model.folder, f"{prefix}{name}{level}-{shard}") for name in ("context", "figures"))
-            if held is None:
+            held = arrays.load_together(model.folder, f"grams{stored}-{shard}")  # hot contexts are added up one job later
+            if held is None or f"{prefix}context" not in held:
                 continue
-            wanted = own[wanted]
-            at = np.minimum(np.searchsorted(held, context[wanted]), len(held) - 1)
-            hit = held[at] == context[wanted]
-            out[wanted[hit]] = figures[_short_at(model.folder, f"{prefix}followers{level}-{shard}", at[hit])]
+            wanted, contexts = own[wanted], held[f"{prefix}context"]
+            at = np.minimum(np.searchsorted(contexts, context[wanted]), len(contexts) - 1)
+            hit = contexts[at] == context[wanted]
+            out[wanted[hit]] = held[f"{prefix}figures"][_short_at(held, f"{prefix}followers", at[hit])]
     return out
 
 
@@ -523,7 +517,7 @@ def _probabilities(model: Model, grams: np.ndarray) -> tuple[np.ndarray, np.ndar
     """
     word = grams[:, -1]
     codes, distinct = _ranked(word)
-    n, raw = _look_up(model.folder, model.bits, distinct, ["gram1", "count1", "raw"])
+    n, raw = _singles(model, distinct)
     single = model.unigram_rest / (model.vocabulary + 1)
     single = single + (_discounted(model, 1, n) / model.unigram_total if model.unigram_total else 0.0)
     p, raw = np.broadcast_to(single, distinct.shape)[codes], raw[codes]
