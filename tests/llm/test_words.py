@@ -168,6 +168,31 @@ def test_repeats_doubled_to_the_end(edge, nothing):
     assert substring_dedup.remove_repeats(nothing, none).count() == 0
 
 
+def test_repeats_read_the_texts_three_times_however_many_lengths(spark, edge, monkeypatch):
+    plans, written = [], common.written_lean
+
+    def noted(rows, name):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return written(rows, name)
+
+    monkeypatch.setattr(common, "written_lean", noted)
+    levels = substring_dedup.repeated_windows(edge, min_words=13)
+    assert len(levels.lengths) > 10
+    assert len([p for p in plans if "InMemoryTableScan" in p]) == 3  # half windows, 13 words, those of them that repeat
+
+
+def test_window_hashes_know_the_words(monkeypatch):
+    monkeypatch.setattr(common, "_WORD_BLOCK", 64)  # several blocks
+    words = np.random.default_rng(3).integers(0, 5, 3_000).astype(np.uint64)
+    for length in (1, 2, 7, 13):
+        seen = {}
+        for i, h in enumerate(common.window_hashes(words, length, 13).tolist()):
+            assert seen.setdefault(tuple(words[i : i + length].tolist()), h) == h
+        assert len(set(seen.values())) == len(seen)
+        places = np.array([2, 700, len(words) - length])
+        assert (common.window_hashes_at(words, length, places, 13) == common.window_hashes(words, length, 13)[places]).all()
+
+
 def test_decontamination_in_blocks(spark, edge, nothing, monkeypatch):
     items = [("q1", "CAT sat; on a mat. While rain-fell over every red roof"), ("q2", "two  words"), ("q2", "two words"), (None, "Sole"), ("q4", None),
              ("q5", "..."), ("q6", "the cat sat on a mat while rain fell over every red")]

@@ -73,7 +73,7 @@ def _unpacked(data) -> dict[str, np.ndarray]:
 @lru_cache(maxsize=4096)
 def _mapped(path: str) -> np.ndarray | None:
     try:
-        return np.load(path, mmap_mode="r")
+        return np.asarray(np.load(path, mmap_mode="r"))  # a plain array over the mapped pages
     except FileNotFoundError:
         return None
     except ValueError:  # an empty array cannot be mapped

@@ -27,8 +27,8 @@ IS_SPACE[list(SPACES)] = True
 LOWER = bytes(range(256)).lower()
 _BYTE = np.random.default_rng(20_240_229).integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0xD1342543DE82EF95
-_WORD_BLOCK = 1 << 19
-_powers: tuple[np.ndarray, np.ndarray] | None = None
+_WORD_BLOCK = 1 << 15  # bytes, or words, that are hashed at a time: what lies between stays in the cache
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -80,9 +80,12 @@ def shard_bits(df: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser of SplitMix64: every input bit reaches every output bit."""
     h = h + GOLDEN
-    h = (h ^ (h >> np.uint64(30))) * MIX1
-    h = (h ^ (h >> np.uint64(27))) * MIX2
-    return h ^ (h >> np.uint64(31))
+    h ^= h >> np.uint64(30)
+    h *= MIX1
+    h ^= h >> np.uint64(27)
+    h *= MIX2
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +104,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     """Start and end byte of every word, and the index of each text's first word (one more at the end)."""
     n = len(data)
     solid = np.zeros(n + 1, bool)
-    solid[:n] = ~IS_SPACE[data]
+    solid[:n] = (data != 32) & (data - np.uint8(9) > 4)  # 9 to 13 and 32 are white space
     first = np.zeros(n + 1, bool)
     first[offsets] = True
     starts = solid[:n].copy()
@@ -111,18 +114,17 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, offsets)
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    global _powers
-    if _powers is None or len(_powers[0]) < n:
+def _power_tables(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse modulo 2**64."""
+    if base not in _powers or len(_powers[base][0]) < n:
         size = max(n, _WORD_BLOCK)
         both = []
-        for base in (_BASE, pow(_BASE, -1, 2**64)):
-            table = np.full(size, base, np.uint64)
+        for factor in (base, pow(base, -1, 2**64)):
+            table = np.full(size, factor, np.uint64)
             table[0] = 1
             both.append(np.cumprod(table, dtype=np.uint64))
-        _powers = both[0], both[1]
-    return _powers
+        _powers[base] = both[0], both[1]
+    return _powers[base]
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -142,27 +144,33 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
-def window_hashes(words: np.ndarray, length: int, seed: int) -> np.ndarray:
-    """Hash of every run of ``length`` words; the last ``length - 1`` starts have none."""
+def _window_sums(words: np.ndarray, length: int, seed: int) -> np.ndarray:
+    """For every run of ``length`` words their polynomial, from sums up to its ends: a run costs the same at any length."""
     n = len(words) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    factor = mix(np.full(1, seed, np.uint64))[0] | np.uint64(1)
-    total = words[:n].copy()
-    for i in range(1, length):
-        total *= factor
-        total += words[i : i + n]
-    return mix(total)
+    factor = int(mix(np.full(1, seed, np.uint64))[0]) | 1
+    out = np.empty(n, np.uint64)
+    step = max(_WORD_BLOCK, 4 * length)
+    up, down = _power_tables(step + length, factor)
+    for i in range(0, n, step):
+        own = words[i : i + step + length - 1]
+        sums = np.zeros(len(own) + 1, np.uint64)
+        np.cumsum(own * up[: len(own)], out=sums[1:])
+        total = sums[length:] - sums[:-length]
+        total *= down[: len(total)]
+        out[i : i + step] = total
+    return out
+
+
+def window_hashes(words: np.ndarray, length: int, seed: int) -> np.ndarray:
+    """Hash of every run of ``length`` words; the last ``length - 1`` starts have none."""
+    return mix(_window_sums(words, length, seed))
 
 
 def window_hashes_at(words: np.ndarray, length: int, places: np.ndarray, seed: int) -> np.ndarray:
     """Hashes of the runs of ``length`` words that start at some places."""
-    factor = mix(np.full(1, seed, np.uint64))[0] | np.uint64(1)
-    total = words[places].copy()
-    for i in range(1, length):
-        total *= factor
-        total += words[places + i]
-    return mix(total)
+    return mix(_window_sums(words, length, seed)[places])
 
 
 def is_member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
