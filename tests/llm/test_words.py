@@ -237,3 +237,23 @@ def test_kneser_ney_opens_a_file_per_order_and_shard(spark, edge, monkeypatch):
     model = ngram_lm.train(edge, order=3)
     names = [n for n in os.listdir(arrays.mounted(model.folder)) if not n.startswith(".")]
     assert names and len(names) <= 3 * 16 and all(n.endswith(".pack") for n in names)
+
+
+@pytest.mark.parametrize("top", [3, 2**20, 2**64 - 1])
+def test_values_are_ordered_with_their_places(top):
+    values = np.random.default_rng(7).integers(0, top, 5_000, dtype=np.uint64, endpoint=True)
+    values = np.concatenate([values, values[::-1], np.array([0, top], np.uint64)])
+    assert (common.order(values) == np.argsort(values, kind="stable")).all()
+    one, which, n = common.distinct(values)
+    seen, first, back, counts = np.unique(values, return_index=True, return_inverse=True, return_counts=True)
+    assert (values[one] == seen).all() and (one == first).all() and (which == back).all() and (n == counts).all()
+    assert len(common.order(values[:0])) == 0 and len(common.distinct(values[:0])[0]) == 0
+
+
+def test_ranks_of_words_by_their_top_bits():
+    words = np.random.default_rng(9).integers(0, 2**64, 3_000, dtype=np.uint64)
+    words = np.concatenate([words, words[:50] + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+    for held in (words, words[:1], words[:0]):
+        ranks, place = ngram_lm._Ranks(held), {w: i for i, w in enumerate(held.tolist())}
+        asked = np.concatenate([words, words + np.uint64(2)]).reshape(2, -1)
+        assert ranks.of(asked).tolist() == [[place.get(w, len(held)) for w in row] for row in asked.tolist()]

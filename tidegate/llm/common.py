@@ -188,6 +188,32 @@ def runs(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
 
 
+def order(values: np.ndarray) -> np.ndarray:
+    """``argsort`` of unsigned 64-bit values, equal ones as they stand: sorted with their places in the lowest bits, which is
+    several times as fast.  The bits that make room are compared afterwards, in what is then almost sorted."""
+    n = len(values)
+    if n < 2:
+        return np.arange(n)
+    places = (1 << (n - 1).bit_length()) - 1
+    free = 64 - int(values.max()).bit_length()
+    packed = (values << np.uint64(free)) & np.uint64(~places & 0xFFFFFFFFFFFFFFFF)
+    packed |= np.arange(n, dtype=np.uint64)
+    packed.sort()
+    by = (packed & np.uint64(places)).astype(np.int64)
+    ordered = values[by]
+    return by[np.argsort(ordered, kind="stable")] if (ordered[1:] < ordered[:-1]).any() else by
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unsigned 64-bit values: the first place of every distinct one, in their order; for every value which it is; how often each stands there."""
+    by = order(values)
+    firsts = runs(values[by])
+    counts = np.diff(np.append(firsts, len(by)))
+    which = np.empty(len(by), np.int64)
+    which[by] = np.repeat(np.arange(len(firsts)), counts)
+    return by[firsts], which, counts
+
+
 def shard_slices(ordered: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
     """Slices of sorted hashes by their top bits."""
     shard = (ordered >> np.uint64(64 - bits)).astype(np.int64)

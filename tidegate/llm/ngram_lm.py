@@ -24,7 +24,6 @@ from dataclasses import dataclass
 from functools import cached_property, reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -119,11 +118,8 @@ def _flushes(batches: Iterator[pa.RecordBatch], order: int, most: int) -> Iterat
 
 def _ranked(sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Every word as the rank of its hash among the distinct ones; the distinct ones in order."""
-    codes, distinct = pd.factorize(sequence)
-    by = np.argsort(distinct)
-    rank = np.empty(len(by), np.uint64)
-    rank[by] = np.arange(len(by), dtype=np.uint64)
-    return rank[codes], distinct[by]
+    one, which, _ = common.distinct(sequence)
+    return which.view(np.uint64), sequence[one]
 
 
 def _distinct_grams(sequence: np.ndarray, places: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -132,9 +128,8 @@ def _distinct_grams(sequence: np.ndarray, places: np.ndarray, order: int) -> tup
     code = ranks[places - order + 1]
     levels = []
     for back in range(order - 2, 0, -1):  # for three words and more, the context so far becomes one number
-        code, seen = pd.factorize((code << np.uint64(32)) | ranks[places - back])
+        code, seen = _ranked((code << np.uint64(32)) | ranks[places - back])
         levels.append(seen)
-        code = code.astype(np.uint64)
     pairs = np.sort((code << np.uint64(32)) | ranks[places])
     firsts = common.runs(pairs)
     counts = np.diff(np.append(firsts, len(pairs)))
@@ -176,9 +171,12 @@ class _Ranks:
     words: np.ndarray
 
     @cached_property
-    def _sorted(self) -> tuple[np.ndarray, np.ndarray]:
+    def _sorted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The words in order, an end behind them; their ranks; by the top bits of a word, where the ones with these bits begin."""
         by = np.argsort(self.words)
-        return self.words[by], by
+        bits = max(1, len(by).bit_length() + 1)
+        begins = np.searchsorted(self.words[by], np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+        return np.append(self.words[by], np.uint64(0xFFFFFFFFFFFFFFFF)), np.append(by, len(by)), begins
 
     def __getstate__(self) -> dict:
         return {"words": self.words}
@@ -186,9 +184,14 @@ class _Ranks:
     def of(self, words: np.ndarray) -> np.ndarray:
         if not len(self.words):
             return np.zeros(words.shape, np.int64)
-        ordered, by = self._sorted
-        at = np.minimum(np.searchsorted(ordered, words), len(ordered) - 1)
-        return np.where(ordered[at] == words, by[at], len(ordered))
+        ordered, by, begins = self._sorted
+        flat = words.reshape(-1)
+        at = begins[(flat >> np.uint64(65 - len(begins).bit_length())).astype(np.int64)]
+        behind = np.flatnonzero(ordered[at] < flat)
+        while len(behind):  # few words share their top bits
+            at[behind] += 1
+            behind = behind[ordered[at[behind]] < flat[behind]]
+        return np.where(ordered[at] == flat, by[at], len(self.words)).reshape(words.shape)
 
     def back(self, ranks: np.ndarray, rare: np.ndarray) -> np.ndarray:
         out = np.append(self.words, np.uint64(0))[ranks.astype(np.int64)]
@@ -207,10 +210,12 @@ def _gram_rows(grams: np.ndarray, counts: np.ndarray, raw: np.ndarray, hot: np.n
     grams, counts, raw, route = grams[by], counts[by], raw[by], route[by]
     ranks = frequent.of(grams)
     for shard, part in common.shard_slices(route, bits):
-        by = np.lexsort(ranks[part].T[::-1])
+        by = _by_ranks(ranks[part], len(frequent.words))
         own, rank = grams[part][by], ranks[part][by]
-        new = np.ones(len(own), bool)
-        new[1:] = (own[1:, :-1] != own[:-1, :-1]).any(axis=1) if own.shape[1] > 1 else True
+        new = np.full(len(own), own.shape[1] == 1)
+        new[0] = True
+        for column in own[:, :-1].T:
+            new[1:] |= column[1:] != column[:-1]
         firsts = np.flatnonzero(new)
         size = np.diff(np.append(firsts, len(own)))
         before, word = rank[firsts, :-1].T.reshape(-1), rank[:, -1]
@@ -219,6 +224,17 @@ def _gram_rows(grams: np.ndarray, counts: np.ndarray, raw: np.ndarray, hot: np.n
                "b4": _packed(raw[part][by]), "b5": hashes[np.concatenate([before, word]) == len(frequent.words)].tobytes()}
 
 
+def _by_ranks(ranks: np.ndarray, most: int) -> np.ndarray:
+    """The order of rows of ranks up to ``most``."""
+    width = most.bit_length()
+    if width * ranks.shape[1] > 64:
+        return np.lexsort(ranks.T[::-1])
+    key = np.zeros(len(ranks), np.uint64)
+    for column in ranks.T:
+        key = (key << np.uint64(width)) | column.astype(np.uint64)
+    return common.order(key)
+
+
 def _read_grams(rows: pa.Table, level: int, frequent: _Ranks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes, counts and raw counts of rows made by ``_gram_rows``."""
     matrices, counts, raws = [np.zeros((0, level), np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
@@ -298,7 +314,8 @@ def _keep_runs(held: dict[str, np.ndarray], name: str, firsts: np.ndarray, total
 
 def _runs_at(held: dict[str, np.ndarray], name: str, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of the runs at some places; only the lengths beside them are read, each once."""
-    steps, own = np.unique(places // _STEP, return_inverse=True)
+    one, own, _ = common.distinct((places // _STEP).astype(np.uint64))
+    steps = places[one] // _STEP
     beside = steps[:, None] * _STEP + np.arange(_STEP)
     lengths = _short_at(held, name, np.minimum(beside, len(held[name]) - 1).reshape(-1)).reshape(beside.shape)
     ends = held[f"begin{name}"][steps].astype(np.int64)[:, None] + np.cumsum(lengths, axis=1)
@@ -308,7 +325,7 @@ def _runs_at(held: dict[str, np.ndarray], name: str, places: np.ndarray) -> tupl
 
 def _keep_figures(held: dict[str, np.ndarray], prefix: str, stats: np.ndarray) -> None:
     """The figures of contexts, of which most are alike: a number per context, small for frequent ones, and a table by number."""
-    _, one, codes, n = np.unique(_key(stats), return_index=True, return_inverse=True, return_counts=True)
+    one, codes, n = common.distinct(_key(stats))
     by = np.argsort(-n, kind="stable")
     rank = np.empty(len(by), np.int64)
     rank[by] = np.arange(len(by))
@@ -324,7 +341,8 @@ def _low(words: np.ndarray) -> np.ndarray:
 def _keep_grams(held: dict[str, np.ndarray], matrix: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keep the n-grams of a shard by context; its contexts and their figures: total, followers seen once, twice, more often."""
     context, word = _key(matrix[:, :-1]), _low(matrix[:, -1])
-    by = np.lexsort((word, context))
+    _, run, _ = common.distinct(context)
+    by = common.order((run.view(np.uint64) << np.uint64(32)) | word)
     context, word, n = context[by], word[by], n[by]
     firsts = common.runs(context)
     stats = np.add.reduceat(np.stack([n, n == 1, n == 2, n > 2], axis=1).astype(np.uint64), firsts, axis=0)
@@ -348,7 +366,7 @@ def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, frequen
         context = common.unblob(seen.column("b0"), np.uint64)
         if len(context):
             stats = common.unblob(seen.column("b1"), np.uint64).reshape(-1, 4)
-            by = np.argsort(context)
+            by = common.order(context)
             firsts = common.runs(context[by])
             held["hotcontext"] = context[by][firsts]
             _keep_figures(held, "hot", np.add.reduceat(stats[by], firsts, axis=0))
@@ -356,7 +374,7 @@ def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, frequen
         matrix, n, raw = _read_grams(table.filter(pa.array(kinds == _GRAMS)), level, frequent)
         if len(matrix):
             gram = _key(matrix)
-            by = np.argsort(gram)
+            by = common.order(gram)
             firsts = common.runs(gram[by])
             gram, matrix = gram[by][firsts], matrix[by[firsts]]
             n, raw = np.add.reduceat(n[by], firsts), np.add.reduceat(raw[by], firsts)
@@ -384,7 +402,7 @@ def _lower(held: dict[str, np.ndarray], matrix: np.ndarray, n: np.ndarray, raw:
     rows = [{"shard": to, "kind": _CONTEXTS, "b0": context[part].tobytes(), "b1": stats[part].tobytes()}
             for to, part in common.shard_slices(context, bits)]
     suffix = _key(matrix[:, 1:])
-    by = np.argsort(suffix)
+    by = common.order(suffix)
     firsts = common.runs(suffix[by])
     continued = np.diff(np.append(firsts, len(by)))
     rows += _gram_rows(matrix[by[firsts]][:, 1:], continued, np.add.reduceat(raw[by], firsts), hot, frequent, bits)
@@ -457,7 +475,9 @@ def _singles(model: Model, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _within(ordered: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """First place in ``ordered[low:high]``, sorted there, that is not below what is wanted; for all at once."""
-    low, high = low.copy(), high.copy()
+    middle = (low + high) // 2  # of most runs, which are short, this leaves nothing to search
+    below = (low < high) & (ordered[np.minimum(middle, len(ordered) - 1)] < wanted)
+    low, high = np.where(below, middle + 1, low), np.where(below, high, middle)
     open_ = np.flatnonzero(low < high)
     while len(open_):
         middle = (low[open_] + high[open_]) // 2
@@ -516,20 +536,22 @@ def _probabilities(model: Model, grams: np.ndarray) -> tuple[np.ndarray, np.ndar
     Words, contexts and n-grams are looked up once each and in the order in which they are stored.
     """
     word = grams[:, -1]
-    codes, distinct = _ranked(word)
-    n, raw = _singles(model, distinct)
+    one, codes, _ = common.distinct(word)
+    n, raw = _singles(model, word[one])
     single = model.unigram_rest / (model.vocabulary + 1)
     single = single + (_discounted(model, 1, n) / model.unigram_total if model.unigram_total else 0.0)
-    p, raw = np.broadcast_to(single, distinct.shape)[codes], raw[codes]
+    p, raw = np.broadcast_to(single, one.shape)[codes], raw[codes]
     for level in range(2, model.order + 1):
         own = grams[:, -level:]
-        codes, context = _ranked(_key(own[:, :-1]))
+        context = _key(own[:, :-1])
+        one, codes, _ = common.distinct(context)
+        context = context[one]
         followers = _followers(model, level, context)
         total = followers[:, 0]
-        kept = followers[:, 1:] @ np.array(model.discounts[level - 1])
+        kept = sum(n * d for n, d in zip(followers[:, 1:].T, model.discounts[level - 1]))
         kept = np.where(total > 0, kept / np.maximum(total, 1), 1.0)
-        _, one, back = np.unique((codes << np.uint64(32)) | _low(word), return_index=True, return_inverse=True)
-        at = codes[one].astype(np.int64)
+        one, back, _ = common.distinct((codes.view(np.uint64) << np.uint64(32)) | _low(word))
+        at = codes[one]
         n = _counts(model, level, _route(context[at], _key(own[one]), model.hot), context[at], word[one])
         p = (_discounted(model, level, n) / np.maximum(total, 1)[at])[back] + kept[codes] * p
     return p, raw

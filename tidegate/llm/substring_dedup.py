@@ -163,7 +163,7 @@ def _member(levels: Levels, level: int, hashes: np.ndarray) -> np.ndarray:
 def _smallest(levels: Levels, level: int, hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether a window repeats, and the smallest id of a document it starts in."""
     found, first = np.zeros(len(hashes), bool), np.full(len(hashes), _NO_ID)
-    by = np.argsort(hashes)  # look-ups go forward through the array
+    by = common.order(hashes)  # look-ups go forward through the array
     ordered = hashes[by]
     for shard, part in common.shard_slices(ordered, levels.bits):
         held = arrays.load(levels.folder, f"hash{level}-{shard}")
@@ -239,7 +239,7 @@ def _window_reducer(folder: str, level: int):
 
 
 def _merged(h: np.ndarray, c: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
-    by = np.argsort(h)
+    by = common.order(h)
     if not len(h):
         return h, c, low, high
     same = h[by[1:]] == h[by[:-1]]
