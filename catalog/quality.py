@@ -9,7 +9,7 @@ from catalog.views import FEED_SQL, feed, with_sql
 from tidegate.operators import quality as q
 from tidegate.operators.quantiles import group_quantiles
 from tidegate.session import scratch_path
-from tidegate.sources.tables import write_report
+from tidegate.sources.tables import stored_report, write_report
 
 _COLUMNS = ["date", "cycle", "location", "capacity", "available", "note"]
 _NULLS = ", ".join(f"count(*) - count({c}) as {c}__nulls" for c in _COLUMNS)
@@ -181,7 +181,8 @@ def quality_summary(spark, sf_dir):
 @query("stored_reports", _SUMMARY.replace("from scored\n", "from scored, (select unnest(['run-1', 'run-2']) as run)\n"))
 def stored_reports(spark, sf_dir):
     """Two runs' reports written as JSON and read again; neither replaces the other's, a repeated run its own."""
-    out, report = scratch_path(spark, "reports"), q.quality_report(feed(spark, sf_dir))
+    out = scratch_path(spark, "reports")
+    report = stored_report(q.quality_report(feed(spark, sf_dir)), f"{out}__staging/issue_rows")
     for run in ("run-1", "run-2", "run-2"):
         write_report(report, out, run)
     again = spark.read.json(f"{out}/reports").select(F.col("run_date").alias("run"), "file_name", "summary.*")

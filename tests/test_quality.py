@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import math
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidegate.operators import quality as q
 from tidegate.operators.quantiles import group_quantiles
-from tidegate.sources.tables import write_report
+from tidegate.sources.tables import stored_report, write_report
 
 SCHEMA = (
     "file_name string, row_id long, date string, cycle string, location string, capacity double, available double,"
@@ -212,3 +213,22 @@ def test_missing_columns_per_file(spark, tmp_path):
         lacking = ("b.csv", "MISSING_COLUMNS", None) if b_columns == 4 else ("b.csv", "MISSING_VALUES", "available")
         assert issues == {("a.csv", "MISSING_VALUES", "capacity"), lacking}
         assert {r["file_path"][-5:]: r["column_count"] for r in report.summary.collect()} == {"a.csv": 5, "b.csv": b_columns}
+
+
+def test_affected_rows_of_a_report_written_twice_are_computed_once(spark, tmp_path):
+    rows = [("a", k, "2024-01-01", "x", None if k % 3 else "l", 5.0, 7.0) for k in range(9)]
+    df = spark.createDataFrame(rows, "file_name string, row_id long, date string, cycle string, location string, capacity double, available double")
+    found, read = q.quality_report(df), spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    counted = replace(found, find_rows=lambda: found.issue_rows.mapInArrow(noted, found.issue_rows.schema))
+    report = stored_report(counted, str(tmp_path / "rows"))
+    for run in ("run-1", "run-2", "run-2"):
+        write_report(report, str(tmp_path / "out"), run)
+    again, want = spark.read.json(str(tmp_path / "out/issue_rows")), found.issue_rows.count()
+    assert {r["run_date"]: r["count"] for r in again.groupBy("run_date").count().collect()} == {"run-1": want, "run-2": want}
+    assert want > 0 and read.value == want

@@ -346,6 +346,12 @@ def export_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 1000, **p
     df.write.format("jdbc").options(url=url, dbtable=table, batchsize=batch_size, **properties).mode("append").save()
 
 
+def stored_report(report: QualityReport, path: str) -> QualityReport:
+    """The report with its affected rows, which may be long, computed once and kept at ``path``, for what is written more than once."""
+    rows = stage(report.issue_rows, path)
+    return replace(report, find_rows=lambda: rows)
+
+
 def write_report(report: QualityReport, path: str, run_date: str, by: str = "file_name") -> None:
     """Reports of all files as JSON lines, one folder per run date; affected rows beside them."""
     dated = {"run_date": F.lit(run_date)}
