@@ -257,3 +257,45 @@ def test_ranks_of_words_by_their_top_bits():
         ranks, place = ngram_lm._Ranks(held), {w: i for i, w in enumerate(held.tolist())}
         asked = np.concatenate([words, words + np.uint64(2)]).reshape(2, -1)
         assert ranks.of(asked).tolist() == [[place.get(w, len(held)) for w in row] for row in asked.tolist()]
+
+
+def test_hashes_are_found_in_small_buckets(tmp_path):
+    rng = np.random.default_rng(13)
+    for n in (1, 2, 3, 64, 50_000):
+        keys = np.unique(np.concatenate([rng.integers(0, 2**64, n, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)[: n - 1]]))
+        held = {}
+        ngram_lm._keep_table(held, "key", keys)
+        assert len(keys) < 1000 or sum(a.nbytes for a in held.values()) < 6 * len(keys)
+        arrays.save_together(str(tmp_path / str(n)), "a", held)
+        read = arrays.load_together(str(tmp_path / str(n)), "a")
+        low, high = ngram_lm._runs_at(read, "keybucket", np.arange(len(held["keybucket"]) - 1))
+        assert (low[1:] == high[:-1]).all() and (low[0], high[-1]) == (0, len(keys)) and (high - low).max() <= 16
+        asked = rng.permutation(np.concatenate([keys, keys, rng.integers(0, 2**64, n, dtype=np.uint64)]))
+        hit, at = ngram_lm._find(read, "key", asked)
+        assert (hit == np.flatnonzero(np.isin(asked, keys))).all() and (keys[at] == asked[hit]).all()
+
+
+def test_scoring_sorts_its_words_once_an_order(spark, edge, monkeypatch):
+    model = ngram_lm.train(edge, order=3)
+    texts = [(r["text"] or "").encode() for r in edge.collect()]
+    sequence, own = ngram_lm._sequences(pa.record_batch([pa.array(texts, pa.binary())], ["__text"]), 3)
+    sizes, order = [], common.order
+    monkeypatch.setattr(common, "order", lambda values: sizes.append(len(values)) or order(values))
+    p, raw = (x[ngram_lm._predicted(own, 3)] for x in ngram_lm._probabilities(model, sequence))
+    assert sum(sizes) <= 2 * len(sequence)
+    firsts = np.cumsum(own) - own
+    want = sorted(r["score"] for r in ngram_lm.score(edge, model).collect())
+    assert sorted(np.add.reduceat(np.log10(p), firsts)) == pytest.approx(want, rel=1e-9) and (raw > 0).all()
+
+
+def test_contexts_are_weighed_in_one_reading(spark, edge):
+    read, n = spark.sparkContext.accumulator(0), edge.count()
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    texts = edge.select(common.text_bytes().alias("__text"))
+    ngram_lm.hot_contexts(texts.mapInArrow(counted, texts.schema), 3)
+    assert read.value == n

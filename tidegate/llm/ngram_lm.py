@@ -1,8 +1,8 @@
 """Interpolated modified Kneser-Ney n-gram model, counted in Spark and looked up in mapped hash arrays.
 
 A tally task pre-counts the n-grams of a few million tokens, deals them to shards by
-their context, and one reducer per shard adds them up, writes its contexts as sorted hashes, under each the
-sorted hashes of the words that follow it with their counts, to the shared folder, and passes what the next lower order
+their context, and one reducer per shard adds them up, writes tables of its n-grams with their counts and of its
+contexts with their figures to the shared folder, and passes what the next lower order
 needs: for every n-gram without its first word in how many n-grams it continues, and
 for every context its total and how many of its followers were seen once, twice, more
 often.  The texts are read ``PASSES`` times, each time for a part of the shards, and every order is a job of its own
@@ -10,7 +10,8 @@ whose shuffle goes when it is written: the disk holds a part of the n-grams on t
 dealt by the whole n-gram instead, and only their figures are added up by another shuffle.
 In the shuffle a frequent word is its rank and a rare one its hash; ranks, counts and
 sizes are as narrow as their largest value and compressed by byte planes.  Scoring
-workers map the arrays into memory.  Words and contexts are 64-bit hashes, a follower is found by 32 bits among those of its context.
+workers map the arrays into memory.  Words, contexts and n-grams are 64-bit hashes; a table
+holds 32 bits of each in buckets by the bits before these, one or two to a bucket, so that a look-up reads one place.
 
 Texts are bytes; A-Z is lower-cased.  Null texts are empty, an empty text has the one
 token ``end``.  Repeated rows count as often as they stand there.  An empty training
@@ -73,9 +74,32 @@ def _key(words: np.ndarray) -> np.ndarray:
     return total
 
 
+def _keys(sequence: np.ndarray, words: int) -> np.ndarray:
+    """The hash of the words that end at every place of a sequence; too few stand before the first places, which mean nothing."""
+    key = sequence
+    for _ in range(words - 1):
+        key = np.roll(key, 1) * _FACTOR + sequence
+    return key
+
+
+def _is_hot(context: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Which contexts are hot ones, of which there are few: only those that share 16 bits with one are compared."""
+    out = np.zeros(len(context), bool)
+    if len(hot):
+        alike = np.zeros(1 << 16, bool)
+        alike[hot >> np.uint64(48)] = True
+        maybe = np.flatnonzero(alike[context >> np.uint64(48)])
+        out[maybe] = common.is_member(context[maybe], hot)
+    return out
+
+
 def _route(context: np.ndarray, key: np.ndarray, hot: np.ndarray) -> np.ndarray:
     """The hash by which an n-gram finds its shard."""
-    return np.where(common.is_member(context, hot), common.mix(key), context) if len(hot) else context
+    dealt = np.flatnonzero(_is_hot(context, hot))
+    if len(dealt):
+        context = context.copy()
+        context[dealt] = common.mix(key[dealt])
+    return context
 
 
 def _sequences(batch: pa.RecordBatch, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,29 +146,40 @@ def _ranked(sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which.view(np.uint64), sequence[one]
 
 
-def _distinct_grams(sequence: np.ndarray, places: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams that end at the places, as a matrix of word hashes, with their counts."""
-    ranks, distinct = _ranked(sequence)
-    code = ranks[places - order + 1]
+def _numbered(sequence: np.ndarray, frequent: _Ranks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every word as a number by its rank, rare ones last; the distinct words in that order, and their ranks."""
+    numbers, words = _ranked(sequence)
+    ranks = frequent.of(words)
+    by = common.order(ranks.view(np.uint64))
+    number = np.empty(len(by), np.uint64)
+    number[by] = np.arange(len(by), dtype=np.uint64)
+    return number[numbers.view(np.int64)], words[by], ranks[by]
+
+
+def _distinct_grams(sequence: np.ndarray, places: np.ndarray, order: int, frequent: _Ranks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams that end at the places, as a matrix of word hashes and one of ranks, in the order of ranks; their counts."""
+    numbers, words, ranks = _numbered(sequence, frequent)
+    code = numbers[places - order + 1]
     levels = []
     for back in range(order - 2, 0, -1):  # for three words and more, the context so far becomes one number
-        code, seen = _ranked((code << np.uint64(32)) | ranks[places - back])
+        code, seen = _ranked((code << np.uint64(32)) | numbers[places - back])
         levels.append(seen)
-    pairs = np.sort((code << np.uint64(32)) | ranks[places])
+    pairs = np.sort((code << np.uint64(32)) | numbers[places])
     firsts = common.runs(pairs)
     counts = np.diff(np.append(firsts, len(pairs)))
     left, columns = pairs[firsts], []
     for seen in [None, *reversed(levels)]:
         left = left if seen is None else seen[left.astype(np.int64)]
-        columns.append(distinct[(left & np.uint64(0xFFFFFFFF)).astype(np.int64)])
+        columns.append((left & np.uint64(0xFFFFFFFF)).astype(np.int64))
         left = left >> np.uint64(32)
-    columns.append(distinct[left.astype(np.int64)])
-    return np.stack(columns[::-1], axis=1), counts
+    columns.append(left.astype(np.int64))
+    own = np.stack(columns[::-1], axis=1)
+    return words[own], ranks[own], counts
 
 
 def _places_of(part: int, sequence: np.ndarray, places: np.ndarray, order: int, hot: np.ndarray, bits: int) -> np.ndarray:
     """The places whose n-grams go to the shards of one part."""
-    context = _key(np.stack([sequence[places - back] for back in range(order - 1, 0, -1)], axis=1))
+    context = _keys(sequence, order - 1)[places - 1]
     route = _route(context, context * _FACTOR + sequence[places], hot)
     return places[(route >> np.uint64(64 - bits)) % np.uint64(PASSES) == part]
 
@@ -199,19 +234,17 @@ class _Ranks:
         return out
 
 
-def _gram_rows(grams: np.ndarray, counts: np.ndarray, raw: np.ndarray, hot: np.ndarray, frequent: _Ranks, bits: int) -> Iterator[dict]:
-    """Blobs per shard.  A context is written once for all its followers that stand together."""
+def _gram_rows(grams: np.ndarray, ranks: np.ndarray, counts: np.ndarray, raw: np.ndarray, hot: np.ndarray, frequent: _Ranks,
+               bits: int) -> Iterator[dict]:
+    """Blobs per shard of n-grams that come in the order of their ranks.  A context is written once for all its followers
+    that stand together."""
     if grams.shape[1] > 1:
-        route = _route(_key(grams[:, :-1]), _key(grams), hot)
+        context = _key(grams[:, :-1])
+        route = _route(context, context * _FACTOR + grams[:, -1], hot)
     else:  # single words have no context, and are looked up by their own hash
         route = grams[:, 0]
-    shard = route >> np.uint64(64 - bits)
-    by = np.argsort(shard.astype(np.uint16) if bits <= 16 else shard, kind="stable")
-    grams, counts, raw, route = grams[by], counts[by], raw[by], route[by]
-    ranks = frequent.of(grams)
-    for shard, part in common.shard_slices(route, bits):
-        by = _by_ranks(ranks[part], len(frequent.words))
-        own, rank = grams[part][by], ranks[part][by]
+    for shard, by in common.by_shard(route, bits):
+        own, rank = grams.take(by, axis=0), ranks.take(by, axis=0)
         new = np.full(len(own), own.shape[1] == 1)
         new[0] = True
         for column in own[:, :-1].T:
@@ -220,8 +253,8 @@ def _gram_rows(grams: np.ndarray, counts: np.ndarray, raw: np.ndarray, hot: np.n
         size = np.diff(np.append(firsts, len(own)))
         before, word = rank[firsts, :-1].T.reshape(-1), rank[:, -1]
         hashes = np.concatenate([own[firsts, :-1].T.reshape(-1), own[:, -1]])
-        yield {"shard": shard, "kind": _GRAMS, "b0": _packed(before), "b1": _packed(size), "b2": _packed(word), "b3": _packed(counts[part][by]),
-               "b4": _packed(raw[part][by]), "b5": hashes[np.concatenate([before, word]) == len(frequent.words)].tobytes()}
+        yield {"shard": shard, "kind": _GRAMS, "b0": _packed(before), "b1": _packed(size), "b2": _packed(word), "b3": _packed(counts[by]),
+               "b4": _packed(raw[by]), "b5": hashes[np.concatenate([before, word]) == len(frequent.words)].tobytes()}
 
 
 def _by_ranks(ranks: np.ndarray, most: int) -> np.ndarray:
@@ -273,10 +306,12 @@ def hot_contexts(docs: DataFrame, order: int) -> tuple[np.ndarray, _Ranks]:
                  pa.array(np.concatenate(out_key).view(np.int64)), pa.array(np.concatenate(out_n).astype(np.int64))], ["context", "key", "n"])
 
     sums = docs.mapInArrow(weigh, "context boolean, key long, n long").groupBy("context", "key").agg(F.sum("n").alias("n"))
+    sums, at = common.written_lean(sums, "weights")  # read twice, weighed once
     # At most (order - 1) / share contexts and 1 / share words can pass; the sum is one row, so the join is with one row.
     total = sums.agg(F.max(F.when(F.col("key") == 0, F.col("n"))).alias("total")).first()["total"] or 0
     least = F.when(F.col("context"), total * HOT_SHARE).otherwise(total * RANKED_SHARE)
     found = sums.where((F.col("key") != 0) & (F.col("n") > least)).toPandas().sort_values(["n", "key"], ascending=[False, True])
+    remove(docs.sparkSession, at)
     keys, context = found["key"].to_numpy(np.int64).view(np.uint64), found["context"].to_numpy(bool)
     return np.sort(keys[context]), _Ranks(np.append(_START, keys[~context & (keys != _START)]))
 
@@ -287,7 +322,7 @@ def _small(values: np.ndarray) -> np.ndarray:
 
 
 _MANY = 255  # a number from here on stands in a list of its own
-_STEP = 32  # lengths that are added up to find where a run begins
+_STEP = 32  # runs of which the first one's begin is stored in full
 
 
 def _keep_short(held: dict[str, np.ndarray], name: str, values: np.ndarray) -> None:
@@ -307,20 +342,48 @@ def _short_at(held: dict[str, np.ndarray], name: str, places: np.ndarray) -> np.
 
 
 def _keep_runs(held: dict[str, np.ndarray], name: str, firsts: np.ndarray, total: int) -> None:
-    """Where runs begin that lie one behind the other up to ``total``: the length of each, and the begin of every ``_STEP``-th."""
-    _keep_short(held, name, np.diff(np.append(firsts, total)))
+    """Where runs begin that lie one behind the other up to ``total``: the begin of every ``_STEP``-th, of the others how far behind that."""
+    firsts = np.append(firsts, total)
+    held[name] = _small(firsts - np.repeat(firsts[::_STEP], _STEP)[: len(firsts)])
     held[f"begin{name}"] = _small(firsts[::_STEP])
 
 
 def _runs_at(held: dict[str, np.ndarray], name: str, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of the runs at some places; only the lengths beside them are read, each once."""
-    one, own, _ = common.distinct((places // _STEP).astype(np.uint64))
-    steps = places[one] // _STEP
-    beside = steps[:, None] * _STEP + np.arange(_STEP)
-    lengths = _short_at(held, name, np.minimum(beside, len(held[name]) - 1).reshape(-1)).reshape(beside.shape)
-    ends = held[f"begin{name}"][steps].astype(np.int64)[:, None] + np.cumsum(lengths, axis=1)
-    high = ends[own, places % _STEP]
-    return high - lengths[own, places % _STEP], high
+    """Begin and end of the runs at some places."""
+    begins, behind = held[f"begin{name}"], held[name]
+    low = begins[places // _STEP].astype(np.int64)
+    low += behind[places]
+    places = places + 1
+    high = begins[places // _STEP].astype(np.int64)
+    high += behind[places]
+    return low, high
+
+
+def _keep_table(held: dict[str, np.ndarray], name: str, keys: np.ndarray) -> None:
+    """Sorted distinct hashes in buckets by their top bits, with the 32 bits that come next; one or two to a bucket."""
+    bits = max(1, len(keys).bit_length() - 1)
+    size = np.bincount((keys >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    _keep_runs(held, f"{name}bucket", np.cumsum(size) - size, len(keys))
+    held[name] = _next_bits(keys, bits)
+
+
+def _next_bits(keys: np.ndarray, bits: int) -> np.ndarray:
+    return ((keys << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
+
+
+def _find(held: dict[str, np.ndarray], name: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the hashes stand in a table, and where."""
+    stored, bits = held[name], (len(held[f"{name}bucket"]) - 1).bit_length() - 1
+    low, high = _runs_at(held, f"{name}bucket", (keys >> np.uint64(64 - bits)).astype(np.int64))
+    own = _next_bits(keys, bits)
+    behind = np.flatnonzero((low < high) & (stored[np.minimum(low, len(stored) - 1)] < own))
+    while len(behind):
+        low[behind] += 1
+        behind = behind[low[behind] < high[behind]]
+        behind = behind[stored[low[behind]] < own[behind]]
+    hit = np.flatnonzero(low < high)
+    hit = hit[stored[low[hit]] == own[hit]]
+    return hit, low[hit]
 
 
 def _keep_figures(held: dict[str, np.ndarray], prefix: str, stats: np.ndarray) -> None:
@@ -333,24 +396,23 @@ def _keep_figures(held: dict[str, np.ndarray], prefix: str, stats: np.ndarray) -
     held[f"{prefix}figures"] = _small(stats[one[by]])
 
 
-def _low(words: np.ndarray) -> np.ndarray:
-    """The bits of a word's hash by which it is found among the followers of a context."""
-    return (words & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-
-
-def _keep_grams(held: dict[str, np.ndarray], matrix: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keep the n-grams of a shard by context; its contexts and their figures: total, followers seen once, twice, more often."""
-    context, word = _key(matrix[:, :-1]), _low(matrix[:, -1])
-    _, run, _ = common.distinct(context)
-    by = common.order((run.view(np.uint64) << np.uint64(32)) | word)
-    context, word, n = context[by], word[by], n[by]
-    firsts = common.runs(context)
-    stats = np.add.reduceat(np.stack([n, n == 1, n == 2, n > 2], axis=1).astype(np.uint64), firsts, axis=0)
-    held |= {"context": context[firsts], "word": word}
-    _keep_runs(held, "size", firsts, len(n))
+def _keep_grams(held: dict[str, np.ndarray], gram: np.ndarray, matrix: np.ndarray, n: np.ndarray, hot: np.ndarray,
+                bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keep the n-grams of a shard, in the order of their hashes, and its contexts with their figures: total, followers seen
+    once, twice, more often.  Hot contexts, of which this shard has a part, are not kept but given back with their figures."""
+    _keep_table(held, "gram", gram)
     _keep_short(held, "count", n)
-    _keep_figures(held, "", stats)
-    return context[firsts], stats
+    context = _key(matrix[:, :-1])
+    by = common.order(context)
+    context, n = context[by], n[by]
+    firsts = common.runs(context)
+    stats = np.stack([np.add.reduceat(x, firsts, dtype=np.uint64) for x in (n, n == 1, n == 2, n > 2)], axis=1)
+    context = context[firsts]
+    shared = _is_hot(context, hot)
+    if not shared.all():  # the others have the top bits of the shard in common
+        _keep_table(held, "context", context[~shared] << np.uint64(bits))
+        _keep_figures(held, "", stats[~shared])
+    return context[shared], stats[shared]
 
 
 def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, frequent: _Ranks, bits: int):
@@ -375,16 +437,18 @@ def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, frequen
         if len(matrix):
             gram = _key(matrix)
             by = common.order(gram)
-            firsts = common.runs(gram[by])
-            gram, matrix = gram[by][firsts], matrix[by[firsts]]
+            gram = gram[by]
+            firsts = common.runs(gram)
+            gram, matrix = gram[firsts], matrix.take(by[firsts], axis=0)
             n, raw = np.add.reduceat(n[by], firsts), np.add.reduceat(raw[by], firsts)
             if level == 1:
-                held |= {"gram": gram, "count": _small(n), "raw": _small(raw)}
+                _keep_table(held, "gram", gram << np.uint64(bits))
+                held |= {"count": _small(n), "raw": _small(raw)}
             figures[level - 1] += [*np.bincount(np.minimum(n, 5).astype(np.int64), minlength=6)[1:5], np.count_nonzero(n), int(n.sum())]
             if level == 1:
                 rows.append({"shard": shard, "kind": _STATS, "b1": int(raw.sum()).to_bytes(8, "little")})
             else:
-                rows += _lower(held, matrix, n, raw, hot, frequent, bits)
+                rows += _lower(held, gram, matrix, n, raw, hot, frequent, bits)
         if held:
             arrays.save_together(folder, f"grams{level}-{shard}", held)
         rows.append({"shard": shard, "kind": _STATS, "b0": figures.astype(np.int64).tobytes()})
@@ -393,19 +457,21 @@ def _tally_reducer(folder: str, level: int, order: int, hot: np.ndarray, frequen
     return reduce
 
 
-def _lower(held: dict[str, np.ndarray], matrix: np.ndarray, n: np.ndarray, raw: np.ndarray, hot: np.ndarray, frequent: _Ranks, bits: int) -> list[dict]:
+def _lower(held: dict[str, np.ndarray], gram: np.ndarray, matrix: np.ndarray, n: np.ndarray, raw: np.ndarray, hot: np.ndarray, frequent: _Ranks,
+           bits: int) -> list[dict]:
     """Keep the n-grams of a shard.  Rows of the next lower level: continuation counts of the n-grams without their first
     word, and the figures of the contexts that other shards hold too."""
-    context, stats = _keep_grams(held, matrix, n)
-    shared = common.is_member(context, hot)
-    stats, context = stats[shared], context[shared]
+    context, stats = _keep_grams(held, gram, matrix, n, hot, bits)
     rows = [{"shard": to, "kind": _CONTEXTS, "b0": context[part].tobytes(), "b1": stats[part].tobytes()}
             for to, part in common.shard_slices(context, bits)]
     suffix = _key(matrix[:, 1:])
     by = common.order(suffix)
     firsts = common.runs(suffix[by])
     continued = np.diff(np.append(firsts, len(by)))
-    rows += _gram_rows(matrix[by[firsts]][:, 1:], continued, np.add.reduceat(raw[by], firsts), hot, frequent, bits)
+    lower, raw = matrix[:, 1:].take(by[firsts], axis=0), np.add.reduceat(raw[by], firsts)
+    ranks = frequent.of(lower)
+    by = _by_ranks(ranks, len(frequent.words))
+    rows += _gram_rows(lower.take(by, axis=0), ranks.take(by, axis=0), continued[by], raw[by], hot, frequent, bits)
     return rows
 
 
@@ -424,8 +490,8 @@ def train(docs: DataFrame, order: int = 2, text: str = "text") -> Model:
             for sequence, tokens, _ in _flushes(batches, order, TALLY_TOKENS):
                 own = _places_of(part, sequence, _predicted(tokens, order), order, hot, bits)
                 if len(own):
-                    grams, counts = _distinct_grams(sequence, own, order)
-                    for row in _gram_rows(grams, counts, counts, hot, frequent, bits):
+                    grams, ranks, counts = _distinct_grams(sequence, own, order, frequent)
+                    for row in _gram_rows(grams, ranks, counts, counts, hot, frequent, bits):
                         yield _as_batch([row])
 
         return run
@@ -467,61 +533,44 @@ def _singles(model: Model, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         held = arrays.load_together(model.folder, f"grams1-{shard}")
         if held is None or "gram" not in held:
             continue
-        at = np.minimum(np.searchsorted(held["gram"], key[wanted]), len(held["gram"]) - 1)
-        hit = held["gram"][at] == key[wanted]
-        n[wanted[hit]], raw[wanted[hit]] = held["count"][at[hit]], held["raw"][at[hit]]
+        hit, at = _find(held, "gram", key[wanted] << np.uint64(model.bits))
+        n[wanted[hit]], raw[wanted[hit]] = held["count"][at], held["raw"][at]
     return n, raw
 
 
-def _within(ordered: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """First place in ``ordered[low:high]``, sorted there, that is not below what is wanted; for all at once."""
-    middle = (low + high) // 2  # of most runs, which are short, this leaves nothing to search
-    below = (low < high) & (ordered[np.minimum(middle, len(ordered) - 1)] < wanted)
-    low, high = np.where(below, middle + 1, low), np.where(below, high, middle)
-    open_ = np.flatnonzero(low < high)
-    while len(open_):
-        middle = (low[open_] + high[open_]) // 2
-        below = ordered[middle] < wanted[open_]
-        low[open_[below]] = middle[below] + 1
-        high[open_[~below]] = middle[~below]
-        open_ = open_[low[open_] < high[open_]]
-    return low
-
-
-def _counts(model: Model, level: int, route: np.ndarray, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Counts of n-grams by their context and last word."""
-    out = np.zeros(len(word), np.int64)
-    for shard, wanted in common.by_shard(route, model.bits):
+def _counts(model: Model, level: int, context: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """Counts of n-grams by the hashes of their context and of the whole."""
+    out = np.zeros(len(gram), np.int64)
+    for shard, wanted in common.by_shard(_route(context, gram, model.hot), model.bits):
         held = arrays.load_together(model.folder, f"grams{level}-{shard}")
-        if held is None or "context" not in held:
-            continue
-        contexts, words = held["context"], held["word"]
-        at = np.minimum(np.searchsorted(contexts, context[wanted]), len(contexts) - 1)
-        known = contexts[at] == context[wanted]
-        wanted, at = wanted[known], at[known]
-        if not len(at):
+        if held is None or "gram" not in held:
             continue
-        (low, high), own = _runs_at(held, "size", at), _low(word[wanted])
-        place = _within(words, low, high, own)
-        hit = np.flatnonzero(place < high)
-        hit = hit[words[place[hit]] == own[hit]]
-        out[wanted[hit]] = _short_at(held, "count", place[hit])
+        hit, at = _find(held, "gram", gram[wanted])
+        out[wanted[hit]] = _short_at(held, "count", at)
     return out
 
 
 def _followers(model: Model, level: int, context: np.ndarray) -> np.ndarray:
     """The figures of distinct contexts: total, followers seen once, twice, more often."""
     out = np.zeros((len(context), 4), np.int64)
-    hot = common.is_member(context, model.hot)
-    for prefix, stored, own in (("", level, np.flatnonzero(~hot)), ("hot", level - 1, np.flatnonzero(hot))):
-        for shard, wanted in common.by_shard(context[own], model.bits) if len(own) else ():
-            held = arrays.load_together(model.folder, f"grams{stored}-{shard}")  # hot contexts are added up one job later
-            if held is None or f"{prefix}context" not in held:
-                continue
-            wanted, contexts = own[wanted], held[f"{prefix}context"]
-            at = np.minimum(np.searchsorted(contexts, context[wanted]), len(contexts) - 1)
-            hit = contexts[at] == context[wanted]
-            out[wanted[hit]] = held[f"{prefix}figures"][_short_at(held, f"{prefix}followers", at[hit])]
+    hot = _is_hot(context, model.hot)
+    own = np.flatnonzero(~hot)
+    for shard, wanted in common.by_shard(context[own], model.bits):
+        held = arrays.load_together(model.folder, f"grams{level}-{shard}")
+        if held is None or "context" not in held:
+            continue
+        wanted = own[wanted]
+        hit, at = _find(held, "context", context[wanted] << np.uint64(model.bits))
+        out[wanted[hit]] = held["figures"][_short_at(held, "followers", at)]
+    own = np.flatnonzero(hot)
+    for shard, wanted in common.by_shard(context[own], model.bits):
+        held = arrays.load_together(model.folder, f"grams{level - 1}-{shard}")  # hot contexts are added up one job later
+        if held is None or "hotcontext" not in held:
+            continue
+        wanted, contexts = own[wanted], held["hotcontext"]
+        at = np.minimum(np.searchsorted(contexts, context[wanted]), len(contexts) - 1)
+        hit = contexts[at] == context[wanted]
+        out[wanted[hit]] = held["hotfigures"][_short_at(held, "hotfollowers", at[hit])]
     return out
 
 
@@ -530,30 +579,32 @@ def _discounted(model: Model, level: int, n: np.ndarray) -> np.ndarray:
     return np.maximum(n - taken[np.minimum(n, 3)], 0.0)
 
 
-def _probabilities(model: Model, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Model probability of the last word of every row after the others, and that word's count in training.
+def _probabilities(model: Model, sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Model probability of every word of a sequence after those before it, and that word's count in training.
 
-    Words, contexts and n-grams are looked up once each and in the order in which they are stored.
+    The first ``order - 1`` have too few before them and mean nothing.  Words and n-grams below the highest order are
+    looked up once each, in the order in which they are stored, and again as the contexts of the next order.
     """
-    word = grams[:, -1]
-    one, codes, _ = common.distinct(word)
-    n, raw = _singles(model, word[one])
+    one, which, _ = common.distinct(sequence)
+    key, own = sequence, sequence[one]
+    n, raw = _singles(model, own)
     single = model.unigram_rest / (model.vocabulary + 1)
     single = single + (_discounted(model, 1, n) / model.unigram_total if model.unigram_total else 0.0)
-    p, raw = np.broadcast_to(single, one.shape)[codes], raw[codes]
+    p, raw = np.broadcast_to(single, one.shape)[which], raw[which]
     for level in range(2, model.order + 1):
-        own = grams[:, -level:]
-        context = _key(own[:, :-1])
-        one, codes, _ = common.distinct(context)
-        context = context[one]
-        followers = _followers(model, level, context)
+        followers = _followers(model, level, own)
         total = followers[:, 0]
         kept = sum(n * d for n, d in zip(followers[:, 1:].T, model.discounts[level - 1]))
         kept = np.where(total > 0, kept / np.maximum(total, 1), 1.0)
-        one, back, _ = common.distinct((codes.view(np.uint64) << np.uint64(32)) | _low(word))
-        at = codes[one]
-        n = _counts(model, level, _route(context[at], _key(own[one]), model.hot), context[at], word[one])
-        p = (_discounted(model, level, n) / np.maximum(total, 1)[at])[back] + kept[codes] * p
+        before, context = np.roll(which, 1), np.roll(key, 1)  # a word's context ends at the word before
+        key = context * _FACTOR + sequence
+        if level < model.order:
+            one, which, _ = common.distinct(key)
+            own = key[one]
+            n = _counts(model, level, context[one], own)[which]
+        else:
+            n = _counts(model, level, context, key)
+        p = _discounted(model, level, n) / np.maximum(total, 1)[before] + kept[before] * p
     return p, raw
 
 
@@ -570,8 +621,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str | Co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sequence, tokens, held in _flushes(batches, order, SCORE_TOKENS):
             places = _predicted(tokens, order)
-            grams = np.stack([sequence[places - back] for back in range(order - 1, -1, -1)], axis=1)
-            p, raw = _probabilities(model, grams)
+            p, raw = (x[places] for x in _probabilities(model, sequence))
             firsts = np.cumsum(tokens) - tokens
             base = np.log10((raw + 0.1) / (model.tokens + 0.1 * (model.vocabulary + 1)))
             columns = [pa.array(tokens.astype(np.int64))]
