@@ -194,11 +194,10 @@ def numbered_rows(spark, sf_dir):
         merge_into(spark, path, own, ["row_id"], KEYS, schema, now=now(), number="id")
         before = read_table(spark, path, schema) if before is None else before
     after = read_table(spark, path, schema)
-    moved = after.join(before.withColumnsRenamed({"id": "old", "loc": "l", "measure_date": "m", "cycle_id": "c"}).select("old", "l", "m", "c"),
-                       (F.col("loc") == F.col("l")) & (F.col("measure_date") == F.col("m")) & (F.col("cycle_id") == F.col("c")))
-    changed = moved.agg(F.count_if(F.col("id") != F.col("old")).cast("int").alias("changed"))
-    found = after.agg(F.count(F.lit(1)).alias("row_count"), F.min("id").cast("int").alias("least"), F.max("id").alias("most"), F.countDistinct("id").alias("numbers"))
-    return found.withColumn("k", F.lit(1)).join(changed.withColumn("k", F.lit(1)), "k").drop("k")
+    both = after.join(before.withColumnsRenamed({"id": "old", "loc": "l", "measure_date": "m", "cycle_id": "c"}).select("old", "l", "m", "c"),
+                      (F.col("loc") == F.col("l")) & (F.col("measure_date") == F.col("m")) & (F.col("cycle_id") == F.col("c")), "left")  # keys are unique
+    return both.agg(F.count(F.lit(1)).alias("row_count"), F.min("id").cast("int").alias("least"), F.max("id").alias("most"), F.countDistinct("id").alias("numbers"),
+                    F.count_if(F.col("id") != F.col("old")).cast("int").alias("changed"))
 
 
 @query("stored_load_without_key", with_sql(FEED_SQL) + _TABLES + """
